@@ -269,11 +269,9 @@ def q_first_nonempty_key(spark, sf):
 
 def q_find_subarray(spark, sf):
     d = token_rows(spark, sf)
-    return d.select("rec_key", A.find_subarray("input_ids", MARKER).alias("pos_marker"),
-                    A.find_subarray("input_ids", USER_TURN).alias("pos_user"),
-                    A.find_subarray("input_ids", END_THEN_MARKER).alias("pos_end_marker"),
-                    A.find_subarray("input_ids", END_ID).alias("pos_end"),
-                    A.find_subarray("input_ids", []).alias("pos_empty"))
+    needles = {"pos_marker": MARKER, "pos_user": USER_TURN, "pos_end_marker": END_THEN_MARKER,
+               "pos_end": END_ID, "pos_empty": []}
+    return d.select("rec_key", *[A.find_subarray("input_ids", n).cast("long").alias(k) for k, n in needles.items()])
 
 
 def q_mask_labels(spark, sf):
