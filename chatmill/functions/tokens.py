@@ -36,12 +36,16 @@ def token_pattern() -> str:
     return r"\x01[^\x01]+\x01|" + _WORD + "|" + _OTHER
 
 
-def split_tokens(text, specials: Sequence[str] = SPECIAL_TOKENS) -> Column:
-    """Text -> ARRAY<STRING> of tokens."""
+def raw_tokens(text, specials: Sequence[str] = SPECIAL_TOKENS) -> Column:
+    """Tokens with each special still wrapped in the delimiter."""
     clean = F.regexp_replace(F.coalesce(_c(text), F.lit("")), F.lit(SEP), F.lit(""))
     wrapped = F.regexp_replace(clean, F.lit(special_pattern(specials)), F.lit(SEP + "$1" + SEP))
-    raw = F.regexp_extract_all(wrapped, F.lit(token_pattern()), F.lit(0))
-    return F.transform(raw, lambda t: F.regexp_replace(t, F.lit(SEP), F.lit("")))
+    return F.regexp_extract_all(wrapped, F.lit(token_pattern()), F.lit(0))
+
+
+def split_tokens(text, specials: Sequence[str] = SPECIAL_TOKENS) -> Column:
+    """Text -> ARRAY<STRING> of tokens."""
+    return F.transform(raw_tokens(text, specials), lambda t: F.replace(t, F.lit(SEP), F.lit("")))
 
 
 def hashed_id(token, n_special: int = len(SPECIAL_TOKENS), buckets: int = DEFAULT_BUCKETS) -> Column:
@@ -50,11 +54,14 @@ def hashed_id(token, n_special: int = len(SPECIAL_TOKENS), buckets: int = DEFAUL
     return (F.lit(n_special) + F.pmod(h60, F.lit(buckets))).cast("int")
 
 
-def token_id(token, specials: Sequence[str] = SPECIAL_TOKENS, buckets: int = DEFAULT_BUCKETS) -> Column:
+def token_id(token, specials: Sequence[str] = SPECIAL_TOKENS, buckets: int = DEFAULT_BUCKETS,
+             wrapped: bool = False) -> Column:
+    """Id of one token; ``wrapped`` matches specials still in delimiters."""
     t = _c(token)
     expr = None
     for i, s in enumerate(specials):
-        expr = F.when(t == F.lit(s), F.lit(i)) if expr is None else expr.when(t == F.lit(s), F.lit(i))
+        form = F.lit(SEP + s + SEP if wrapped else s)
+        expr = F.when(t == form, F.lit(i)) if expr is None else expr.when(t == form, F.lit(i))
     return expr.otherwise(hashed_id(t, len(specials), buckets))
 
 
@@ -63,6 +70,12 @@ def encode_ids(tokens, specials: Sequence[str] = SPECIAL_TOKENS, buckets: int =
     return F.transform(_c(tokens), lambda t: token_id(t, specials, buckets))
 
 
+def text_to_ids(text, specials: Sequence[str] = SPECIAL_TOKENS, buckets: int = DEFAULT_BUCKETS) -> Column:
+    """Text -> ids in one pass over the raw tokens (no delimiter-strip pass:
+    only specials carry the delimiter, and they are matched wrapped)."""
+    return F.transform(raw_tokens(text, specials), lambda t: token_id(t, specials, buckets, wrapped=True))
+
+
 # --- driver-side twin, for constants (X3) and brute-force tests -------------
 _PY_TOKEN = regex.compile(r"\x01[^\x01]+\x01|[\p{L}\p{N}]+|[^ \t\n\x0B\f\r\x01]")
 

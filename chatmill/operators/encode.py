@@ -46,7 +46,7 @@ class Tokenizer:
         return TK.split_tokens(text, self.specials)
 
     def ids(self, text) -> Column:
-        return TK.encode_ids(self.tokens(text), self.specials, self.buckets)
+        return TK.text_to_ids(text, self.specials, self.buckets)
 
     def encode_py(self, text: str) -> list[int]:
         return TK.py_encode(text, self.specials, self.buckets)

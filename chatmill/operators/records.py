@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatmill.config import NO_CONTEXT_PLACEHOLDER, SCRATCHPAD_TEXT, SYSTEM_PROMPT
@@ -13,6 +13,24 @@ from chatmill.operators.context import resolve_context
 KEEP = ["source", "rec_key"]
 
 
+def span_qa_keep(question: Column, context: Column, answers_text: Column) -> Column:
+    """F1 as a predicate: question and context non-blank after trim, the
+    answer list non-empty (a blank answer passes), first answer not null."""
+    texts = F.coalesce(answers_text, F.array().cast("array<string>"))
+    return ((clean_text(question) != "") & (clean_text(context) != "") & (F.size(texts) > 0)
+            & F.try_element_at(texts, F.lit(1)).isNotNull())
+
+
+def answerable(is_impossible: Column) -> Column:
+    """F2 as a predicate: ``is_impossible`` not truthy (null counts as false)."""
+    return ~F.coalesce(is_impossible, F.lit(False))
+
+
+def evidence_qa_keep(question: Column, answer_value: Column) -> Column:
+    """F3 as a predicate: question and trimmed answer value non-blank."""
+    return (clean_text(question) != "") & (clean_text(answer_value) != "")
+
+
 def first_answer(df: DataFrame, name: str = "answer") -> DataFrame:
     """``answers.text[0]`` and the list's truthiness."""
     texts = F.coalesce(F.col("answers.text"), F.array().cast("array<string>"))
@@ -22,19 +40,26 @@ def first_answer(df: DataFrame, name: str = "answer") -> DataFrame:
 def filter_span_qa(df: DataFrame) -> DataFrame:
     """question and context non-blank after trim, answer list non-empty.
     A blank answer passes; a null first answer is dropped (declared deviation)."""
-    return (first_answer(df)
-            .where((clean_text("question") != "") & (clean_text("context") != "")
-                   & (F.col("_n_answers") > 0) & F.col("answer").isNotNull()))
+    return first_answer(df).where(span_qa_keep(F.col("question"), F.col("context"), F.col("answers.text")))
 
 
 def filter_answerable(df: DataFrame) -> DataFrame:
     """drop rows whose ``is_impossible`` is truthy (null counts as false)."""
-    return df.where(~F.coalesce(F.col("is_impossible"), F.lit(False)))
+    return df.where(answerable(F.col("is_impossible")))
 
 
 def filter_evidence_qa(df: DataFrame) -> DataFrame:
     """question and trimmed ``answer.value`` both non-blank."""
-    return df.where((clean_text("question") != "") & (clean_text(F.col("answer.value")) != ""))
+    return df.where(evidence_qa_keep(F.col("question"), F.col("answer.value")))
+
+
+def record_struct(source: str, rec_key: Column, question: Column, context: Column, answer: Column,
+                  system_prompt: str = SYSTEM_PROMPT, scratchpad: str = SCRATCHPAD_TEXT) -> Column:
+    """J5 as one struct (source, rec_key, instruction, output)."""
+    return F.struct(F.lit(source).alias("source"), rec_key.alias("rec_key"),
+                    render_instruction(F.coalesce(question, F.lit("")), F.coalesce(context, F.lit("")),
+                                       system_prompt).alias("instruction"),
+                    render_output(F.coalesce(answer, F.lit("")), scratchpad).alias("output"))
 
 
 def make_records(df: DataFrame, question: str = "question", answer: str = "answer", context: str = "context",

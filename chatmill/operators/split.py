@@ -56,28 +56,37 @@ def _prefix(level: int) -> Column:
     return F.shiftright(F.col(HASH), _BITS - _LEVEL * level)
 
 
-def find_cutoff(df: DataFrame, n_val: int, key: str = "rec_key") -> tuple[int, str] | None:
-    """(shuffle_key, key) of the ``n_val``-th smallest row, or None if n_val = 0."""
+def _histogram(scope: DataFrame, level: int) -> list[tuple[int, int]]:
+    """Row counts per 12-bit bucket at ``level`` (<= 4096 rows to the driver)."""
+    return sorted((r[0], r[1]) for r in
+                  scope.groupBy(_bucket(level).alias("b")).agg(F.count(F.lit(1)).alias("n")).collect())
+
+
+def find_cutoff(df: DataFrame, val_fraction: float, key: str = "rec_key") -> tuple[int, tuple[int, str] | None]:
+    """(n_total, cutoff): the row count and the (shuffle_key, key) of the
+    ``int(n * val_fraction)``-th smallest row (None when that is 0). The
+    first histogram pass also yields the row count."""
+    rows = df.select(HASH, key)
+    hist = _histogram(rows, 0)
+    n_total = sum(c for _, c in hist)
+    n_val = val_count(n_total, val_fraction)
     if n_val <= 0:
-        return None
-    rows, rest, prefix = df.select(HASH, key), n_val, None
-    for level in range((_BITS + _LEVEL - 1) // _LEVEL):
-        scope = rows if prefix is None else rows.where(_prefix(level) == F.lit(prefix))
-        hist = sorted((r[0], r[1]) for r in
-                      scope.groupBy(_bucket(level).alias("b")).agg(F.count(F.lit(1)).alias("n")).collect())
+        return n_total, None
+    rest, prefix, level = n_val, None, 0
+    while True:
         for b, cnt in hist:
             if rest <= cnt:
                 break
             rest -= cnt
-        else:
-            raise ValueError(f"fewer than {n_val} rows")
         prefix = b if prefix is None else (prefix << _LEVEL) | b
-        if cnt <= _EXACT_LIMIT:
+        if cnt <= _EXACT_LIMIT or _LEVEL * (level + 1) >= _BITS:
             break
+        level += 1
+        hist = _histogram(rows.where(_prefix(level) == F.lit(prefix)), level)
     scope = rows.where(_prefix(level + 1) == F.lit(prefix))
     top = scope.orderBy(HASH, key).limit(rest)
     last = top.agg(F.max(F.struct(F.col(HASH), F.col(key))).alias("m")).first()["m"]
-    return int(last[0]), str(last[1])
+    return n_total, (int(last[0]), str(last[1]))
 
 
 def label_split(df: DataFrame, cutoff: tuple[int, str] | None, key: str = "rec_key") -> DataFrame:
@@ -90,14 +99,12 @@ def label_split(df: DataFrame, cutoff: tuple[int, str] | None, key: str = "rec_k
 
 
 def exact_split(df: DataFrame, val_fraction: float = DEFAULT_VAL_FRACTION, seed: int = DEFAULT_SEED,
-                key: str = "rec_key", n_total: int | None = None) -> DataFrame:
+                key: str = "rec_key") -> DataFrame:
     """O2: exactly ``int(n * val_fraction)`` rows labeled 'val', the first in
     shuffle order; the rest 'train'. Runs its counting passes eagerly."""
     if HASH not in df.columns:
         df = seeded_shuffle(df, seed, key)
-    if n_total is None:
-        n_total = df.count()
-    cutoff = find_cutoff(df, val_count(n_total, val_fraction), key)
+    _, cutoff = find_cutoff(df, val_fraction, key)
     return label_split(df, cutoff, key)
 
 

@@ -25,20 +25,23 @@ def token_counts(df: DataFrame, tokens: str = "tokens") -> DataFrame:
 
 def fit_vocab(df: DataFrame, tokens: str = "tokens", vocab_size: int = DEFAULT_VOCAB_SIZE,
               specials=SPECIAL_TOKENS) -> DataFrame:
-    """(token STRING, id INT, count BIGINT), at most ``vocab_size`` rows."""
+    """(token STRING, id INT, count BIGINT), at most ``vocab_size`` rows.
+
+    One aggregation; the bounded top-k keeps present specials first, then the
+    most frequent tokens. Ids are assigned on that bounded table only.
+    """
     n_special = len(specials)
     if vocab_size <= n_special:
         raise ValueError("vocab_size must exceed the number of special tokens")
-    counts = token_counts(df, tokens)
-    is_special = F.col("token").isin(list(specials))
-    # bounded top-k: each task keeps its best vocab_size rows, then one merge of those
-    top = (counts.where(~is_special)
-           .orderBy(F.desc("count"), F.asc("token")).limit(vocab_size - n_special))
-    ranked = top.select("token", "count", (F.row_number().over(
-        Window.orderBy(F.desc("count"), F.asc("token"))) + F.lit(n_special - 1)).cast("int").alias("id"))
     special_ids = F.create_map(*[x for i, s in enumerate(specials) for x in (F.lit(s), F.lit(i))])
-    sp = counts.where(is_special).select("token", "count", special_ids[F.col("token")].cast("int").alias("id"))
-    return ranked.unionByName(sp).select("token", "id", "count")
+    counts = token_counts(df, tokens).withColumn("_sid", special_ids[F.col("token")])
+    order = [F.col("_sid").asc_nulls_last(), F.desc("count"), F.asc("token")]
+    top = counts.orderBy(*order).limit(vocab_size)          # <= vocab_size rows to one merge
+    rank = F.row_number().over(Window.partitionBy(F.col("_sid").isNull()).orderBy(*order))
+    ranked = top.withColumn("_rank", rank)
+    vid = F.coalesce(F.col("_sid"), F.col("_rank") + F.lit(n_special - 1)).cast("int")
+    return (ranked.where(F.col("_sid").isNotNull() | (F.col("_rank") <= F.lit(vocab_size - n_special)))
+            .select("token", vid.alias("id"), "count"))
 
 
 def encode_with_vocab(df: DataFrame, key: str, vocab: DataFrame, tokens: str = "tokens",

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from chatmill.config import (DEFAULT_INCLUDE, DEFAULT_SEED, DEFAULT_TRAIN_SIZE, DEFAULT_VAL_FRACTION,
                              NO_CONTEXT_PLACEHOLDER, SCRATCHPAD_TEXT, SYSTEM_PROMPT)
 from chatmill.operators import records as R
+from chatmill.functions.templates import render_instruction, render_output
+from chatmill.operators.context import resolve_context
 from chatmill.operators.ordinal import mix_caps
 from chatmill.operators.split import HASH, exact_split, preview, seeded_shuffle, split_counts
 from chatmill.session import scratch_path
@@ -41,15 +43,64 @@ def union_sources(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def build_records(spark: SparkSession, sf_dir: str, include=DEFAULT_INCLUDE,
-                  train_size: int | None = DEFAULT_TRAIN_SIZE, **tpl) -> DataFrame:
-    """S8 + L2 + U1: the selected sources, each capped, as one record set."""
+def build_records_by_union(spark: SparkSession, sf_dir: str, include=DEFAULT_INCLUDE,
+                           train_size: int | None = DEFAULT_TRAIN_SIZE, **tpl) -> DataFrame:
+    """S8 + L2 + U1 as a literal union of per-source plans (each scans and
+    joins on its own); kept as the reference shape for tests."""
     if not include:
         raise ValueError("include at least one source")
     caps = mix_caps(train_size) if train_size is not None else {s: None for s in tables.SOURCES}
     return union_sources([source_records(spark, sf_dir, s, caps[s], **tpl) for s in include])
 
 
+def build_records(spark: SparkSession, sf_dir: str, include=DEFAULT_INCLUDE,
+                  train_size: int | None = DEFAULT_TRAIN_SIZE, system_prompt: str = SYSTEM_PROMPT,
+                  scratchpad: str = SCRATCHPAD_TEXT, placeholder: str = NO_CONTEXT_PLACEHOLDER) -> DataFrame:
+    """S8 + L2 + U1 in one pass: the three sources are views of the same
+    (user turn, reply, document, page) rows, so they are scanned and joined
+    once and each row emits up to one record per source through ``inline``
+    (a bag union: nothing is deduplicated). Each source keeps its own cap on
+    the raw-row ordinal and its own filters."""
+    include = list(include)
+    if not include:
+        raise ValueError("include at least one source")
+    unknown = set(include) - set(tables.SOURCES)
+    if unknown:
+        raise ValueError(f"unknown sources {sorted(unknown)}; choose from {tables.SOURCES}")
+    caps = mix_caps(train_size) if train_size is not None else None
+    p = tables.qa_pairs(spark, sf_dir, max(caps[s] for s in include) if caps else None, keep_ordinal=True)
+    trivia = "trivia_qa" in include
+    if trivia:
+        p = resolve_context(tables.evidence_fields(tables.with_pages(spark, sf_dir, p)), placeholder, "ev_context")
+    q, ctx, ans = F.col("question"), F.col("doc_text"), F.col("answer_text")
+    texts = F.when(ans.isNotNull(), F.array(ans)).otherwise(F.array().cast("array<string>"))
+
+    def capped(source):
+        return F.lit(True) if caps is None else F.col("ordinal") < F.lit(caps[source])
+
+    # stage 1: each rendered string once, with the per-source keep flags
+    cols = {"conv_id": F.col("conv_id"), "turn": F.col("turn"),
+            "span_instruction": render_instruction(F.coalesce(q, F.lit("")), F.coalesce(ctx, F.lit("")), system_prompt),
+            "span_output": render_output(F.coalesce(ans, F.lit("")), scratchpad),
+            "keep_squad": capped("squad") & R.span_qa_keep(q, ctx, texts),
+            "keep_squad_v2": capped("squad_v2") & R.answerable(ans.isNull()) & R.span_qa_keep(q, ctx, texts)}
+    if trivia:
+        cols["trivia_instruction"] = render_instruction(F.coalesce(q, F.lit("")), F.col("ev_context"), system_prompt)
+        cols["keep_trivia_qa"] = capped("trivia_qa") & R.evidence_qa_keep(q, ans)
+    staged = p.select(*[c.alias(k) for k, c in cols.items()])
+
+    # stage 2: emit 0..3 records per row
+    def rec(source, instr, out):
+        return F.struct(F.lit(source).alias("source"), tables.rec_key(source).alias("rec_key"),
+                        F.col(instr).alias("instruction"), F.col(out).alias("output"))
+    parts = {"squad": rec("squad", "span_instruction", "span_output"),
+             "squad_v2": rec("squad_v2", "span_instruction", "span_output"),
+             "trivia_qa": rec("trivia_qa", "trivia_instruction", "span_output") if trivia else None}
+    empty = F.array().cast("array<struct<source:string,rec_key:string,instruction:string,output:string>>")
+    emitted = F.concat(*[F.when(F.col(f"keep_{s}"), F.array(parts[s])).otherwise(empty) for s in include])
+    return staged.select(F.inline(emitted))
+
+
 def metadata_frame(counts: DataFrame, include, seed: int, system_prompt: str = SYSTEM_PROMPT) -> DataFrame:
     """D10 from the split counts (one row)."""
     return counts.select(

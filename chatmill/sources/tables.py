@@ -40,26 +40,33 @@ def rec_key(source: str) -> Column:
     return F.concat_ws(":", F.lit(source), F.col("conv_id").cast("string"), F.col("turn").cast("string"))
 
 
-def user_turns(spark: SparkSession, sf_dir: str, cap: int | None = None) -> DataFrame:
+def user_turns(spark: SparkSession, sf_dir: str, cap: int | None = None, keep_ordinal: bool = False) -> DataFrame:
     """Raw QA rows (user turns) in source order, first ``cap`` only (L1)."""
     conv = scan_with_position(spark, table_path(sf_dir, "conversations"))
     users = conv.where(F.col("role") == "user").select(
         "conv_id", "turn", F.col("text").alias("question"), SRC_FILE, SRC_BLOCK)
-    return prefix_cap(users, cap).select("conv_id", "turn", "question")
+    cols = ["conv_id", "turn", "question"] + (["ordinal"] if keep_ordinal and cap is not None else [])
+    return prefix_cap(users, cap).select(*cols)
 
 
-def qa_pairs(spark: SparkSession, sf_dir: str, cap: int | None = None) -> DataFrame:
+def qa_pairs(spark: SparkSession, sf_dir: str, cap: int | None = None, keep_ordinal: bool = False) -> DataFrame:
     """User turn + following assistant turn (if any) + conversation document."""
     conv = read_table(spark, sf_dir, "conversations")
     answers = conv.where(F.col("role") == "assistant").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer_text"))
     docs = read_table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("conv_id"), F.col("text").alias("doc_text"))
-    return (user_turns(spark, sf_dir, cap)
+    return (user_turns(spark, sf_dir, cap, keep_ordinal)
             .join(answers, ["conv_id", "turn"], "left")
             .join(docs, "conv_id", "left"))
 
 
+def with_pages(spark: SparkSession, sf_dir: str, pairs: DataFrame) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages").select(
+        F.col("page_id").alias("conv_id"), F.col("html").alias("page_html"), F.col("url").alias("page_url"))
+    return pairs.join(pages, "conv_id", "left")
+
+
 def _answers_struct() -> Column:
     text = F.when(F.col("answer_text").isNotNull(), F.array(F.col("answer_text"))) \
             .otherwise(F.array().cast("array<string>"))
@@ -85,15 +92,11 @@ def _obj(**fields) -> Column:
     return F.struct(*[c.alias(k) for k, c in fields.items()])
 
 
-def evidence_qa(spark: SparkSession, sf_dir: str, cap: int | None = None) -> DataFrame:
-    """D3 rows: question, ``answer.value`` and three polymorphic JSON fields."""
-    pages = read_table(spark, sf_dir, "pages").select(
-        F.col("page_id").alias("conv_id"), F.col("html").alias("page_html"), F.col("url").alias("page_url"))
-    p = qa_pairs(spark, sf_dir, cap).join(pages, "conv_id", "left")
+def evidence_fields(p: DataFrame) -> DataFrame:
+    """Adds the three polymorphic JSON fields built from document and page."""
     d, html, url = F.col("doc_text"), F.col("page_html"), F.col("page_url")
     shape = F.pmod(F.col("conv_id"), F.lit(6))
     j = F.to_json
-
     entity_pages = (
         F.when(shape == 0, j(F.array(_obj(wiki_context=d))))
          .when(shape == 1, j(F.array(_obj(wiki_context=F.lit("  "), text=d))))
@@ -113,8 +116,13 @@ def evidence_qa(spark: SparkSession, sf_dir: str, cap: int | None = None) -> Dat
          .when(shape == 4, j(_obj(zz=F.array(_obj(snippet=d)), aa=_obj(title=url))))
          .when(shape == 5, j(_obj(d=F.array(url))))
     )
+    return p.withColumns({"entity_pages": entity_pages, "evidence": evidence, "search_results": search_results})
+
+
+def evidence_qa(spark: SparkSession, sf_dir: str, cap: int | None = None) -> DataFrame:
+    """D3 rows: question, ``answer.value`` and three polymorphic JSON fields."""
+    p = evidence_fields(with_pages(spark, sf_dir, qa_pairs(spark, sf_dir, cap)))
     return p.select(
         F.lit("trivia_qa").alias("source"), rec_key("trivia_qa").alias("rec_key"),
         "question", F.struct(F.col("answer_text").alias("value")).alias("answer"),
-        entity_pages.alias("entity_pages"), evidence.alias("evidence"),
-        search_results.alias("search_results"))
+        "entity_pages", "evidence", "search_results")
