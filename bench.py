@@ -3,7 +3,9 @@
 prepare      sources -> records -> exact split -> JSONL + metadata (writes)
 pretokenize  train/val JSONL -> window path (4096) -> ordered Parquet (writes)
 train_data   raw path (2048) of the train JSONL + padded batches (noop sink)
-plus single operators over the whole tables (noop sink).
+plus single operators (noop sink): context tiers and the exact split over
+the whole source tables; vocabulary fit and the 256-token window over the
+prepared train split.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from chatmill.plans.prepare import build_records, prepare  # noqa: E402
 from chatmill.functions.templates import build_text  # noqa: E402
 from chatmill.session import local_session, scratch_path  # noqa: E402
 from chatmill.sources import tables  # noqa: E402
+from chatmill.sources.files import scan_jsonl  # noqa: E402
 from chatmill.operators.context import resolve_context  # noqa: E402
 
 
@@ -58,11 +61,11 @@ def main():
         noop(TD.collate(df, tok, batch_size=2))
     timed("train_data", train_data)
 
+    train = scan_jsonl(spark, f"{out}/train.jsonl", positioned=False)
     timed("resolve_context", lambda: noop(resolve_context(tables.evidence_qa(spark, sf_dir))))
     timed("exact_split", lambda: noop(exact_split(seeded_shuffle(build_records(spark, sf_dir)))))
-    timed("fit_vocab", lambda: noop(V.fit_vocab(
-        build_records(spark, sf_dir).select(tok.tokens(build_text()).alias("tokens")), "tokens")))
-    timed("window_256", lambda: noop(E.tokenize_and_mask(build_records(spark, sf_dir), tok, 256)))
+    timed("fit_vocab", lambda: noop(V.fit_vocab(train.select(tok.tokens(build_text()).alias("tokens")), "tokens")))
+    timed("window_256", lambda: noop(E.tokenize_and_mask(train, tok, 256)))
 
     total = round(sum(times.values()), 3)
     print(json.dumps({"metric": "total_wall_sec", "value": total, "unit": "sec", "queries": times,

@@ -32,19 +32,31 @@ def scan_with_position(spark: SparkSession, path: str, fmt: str = "parquet", sch
                      F.col("_metadata.file_block_start").alias(SRC_BLOCK))
 
 
-def with_ordinal(df: DataFrame, name: str = "ordinal") -> DataFrame:
+SEGMENT = "seg"
+SEGMENT_WIDTH = 12
+
+
+def with_ordinal(df: DataFrame, name: str = "ordinal", segment: str | None = None) -> DataFrame:
     """Append the exact source-order ordinal (``df`` must come from
-    ``scan_with_position`` through narrow, row-order-preserving steps)."""
+    ``scan_with_position`` through narrow, row-order-preserving steps).
+
+    ``segment`` also keeps the input split's rank in source order as a
+    zero-padded string, for writers that keep order without a shuffle.
+    """
     x = df.withColumn("_mid", F.monotonically_increasing_id())
     seg = (x.groupBy(SRC_FILE, SRC_BLOCK)
            .agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_mid0")))
-    before = Window.orderBy(SRC_FILE, SRC_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    in_order = Window.orderBy(SRC_FILE, SRC_BLOCK)
     seg = seg.select(SRC_FILE, SRC_BLOCK, "_mid0",
-                     F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+                     F.coalesce(F.sum("_n").over(in_order.rowsBetween(Window.unboundedPreceding, -1)),
+                                F.lit(0)).alias("_off"),
+                     F.lpad((F.row_number().over(in_order) - 1).cast("string"), SEGMENT_WIDTH, "0").alias("_seg"))
     # one row per input split: bounded by the split count, never by the data
     out = x.join(F.broadcast(seg), [SRC_FILE, SRC_BLOCK])
-    return (out.withColumn(name, (F.col("_off") + F.col("_mid") - F.col("_mid0")).cast("long"))
-               .drop("_mid", "_mid0", "_off"))
+    out = out.withColumn(name, (F.col("_off") + F.col("_mid") - F.col("_mid0")).cast("long"))
+    if segment:
+        out = out.withColumnRenamed("_seg", segment)
+    return out.drop("_mid", "_mid0", "_off", "_seg")
 
 
 def prefix_cap(df: DataFrame, cap: int | None, ordinal: str = "ordinal") -> DataFrame:

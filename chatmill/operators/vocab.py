@@ -50,8 +50,11 @@ def encode_with_vocab(df: DataFrame, key: str, vocab: DataFrame, tokens: str = "
     (bounded by ``max_vocab``); the token stream is exploded, joined and
     re-assembled per row key. ``key`` must be unique per row."""
     v = vocab.select("token", "id")
+    # broadcast only under a checked bound; a larger (loaded) vocabulary is
+    # joined by shuffle instead
+    small = v.limit(max_vocab + 1).count() <= max_vocab
     exploded = df.select(key, F.posexplode(tokens).alias("pos", "token"))
-    joined = exploded.join(F.broadcast(v), "token", "left").select(
+    joined = exploded.join(F.broadcast(v) if small else v, "token", "left").select(
         key, "pos", F.coalesce("id", F.lit(unk_id)).alias("id"))
     ids = (joined.groupBy(key)
            .agg(F.sort_array(F.collect_list(F.struct("pos", "id"))).alias("_p"))

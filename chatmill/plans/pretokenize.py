@@ -1,9 +1,11 @@
 """Pretokenize (X6): JSONL split -> window-cropped, masked token rows -> Parquet.
 
 One narrow stage per split (scan -> encode -> window -> mask -> emit). The
-input order is the prepared shuffle order; it is kept by carrying each
-row's source ordinal and writing range-partitioned and sorted on it, so
-part-file order is row order for the next step's ordinals.
+input order is the prepared shuffle order, and it is kept without a
+shuffle: each row carries its source ordinal and the rank of its input
+split; the writer puts every split's rows, sorted by ordinal inside the
+task, under its own zero-padded ``seg=`` directory. File-path order is then
+row order for the next step's ordinals.
 """
 
 from __future__ import annotations
@@ -13,22 +15,24 @@ from pyspark.sql import functions as F
 
 from chatmill.config import WINDOW_MAX_LENGTH
 from chatmill.operators.encode import Tokenizer, filter_nonempty, tokenize_and_mask
-from chatmill.operators.ordinal import with_ordinal
+from chatmill.operators.ordinal import SEGMENT, with_ordinal
 from chatmill.sources import sinks
 from chatmill.sources.files import try_scan, scan_jsonl
 
 
-def ordered_write(df: DataFrame, path: str, mode: str, order: str = "ordinal", partitions: int | None = None) -> None:
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (df.repartitionByRange(n, order).sortWithinPartitions(order)
-       .select("input_ids", "attention_mask", "labels").write.mode(mode).parquet(path))
+def ordered_write(df: DataFrame, path: str, mode: str, order: str = "ordinal") -> None:
+    """Order-keeping write with no exchange: a local sort by (segment, ordinal)
+    inside each task, one directory per input split."""
+    (df.sortWithinPartitions(SEGMENT, order)
+       .select(SEGMENT, "input_ids", "attention_mask", "labels")
+       .write.mode(mode).partitionBy(SEGMENT).parquet(path))
 
 
 def pretokenize_frame(records: DataFrame, tok: Tokenizer = Tokenizer(),
                       max_length: int = WINDOW_MAX_LENGTH) -> DataFrame:
-    """Window path over positioned JSONL rows; keeps ``ordinal``."""
-    x = with_ordinal(records, "ordinal")
-    return filter_nonempty(tokenize_and_mask(x, tok, max_length, keep=["ordinal"]))
+    """Window path over positioned JSONL rows; keeps ``ordinal`` and ``seg``."""
+    x = with_ordinal(records, "ordinal", SEGMENT)
+    return filter_nonempty(tokenize_and_mask(x, tok, max_length, keep=["ordinal", SEGMENT]))
 
 
 def pretokenize_split(spark: SparkSession, split: str, in_path: str, out_dir: str, tok: Tokenizer = Tokenizer(),

@@ -9,6 +9,7 @@ from chatmill.config import EVAL_BATCH_SIZE, PAD_MULTIPLE, RAW_MAX_LENGTH, TRAIN
 from chatmill.operators.batching import pad_batches
 from chatmill.operators.encode import Tokenizer, encode_raw
 from chatmill.operators.ordinal import SRC_BLOCK, SRC_FILE, head_cap, with_ordinal
+from chatmill.session import shared_dir
 from chatmill.sources.files import resolve_split
 
 
@@ -17,7 +18,10 @@ def load_split(spark: SparkSession, tokenized_dir: str | None, raw_file: str | N
                bos_id: int | None = None) -> tuple[str, DataFrame] | None:
     """Rows (ordinal, input_ids, attention_mask, labels) of one split, or None."""
     def raw(df):
-        return encode_raw(df, tok, max_length, bos_id, keep=[SRC_FILE, SRC_BLOCK])
+        # tokenize once: the ordinal and batching passes read the checkpoint
+        # (shared folder, partitions kept in order) instead of re-encoding
+        shared_dir(spark)
+        return encode_raw(df, tok, max_length, bos_id, keep=[SRC_FILE, SRC_BLOCK]).checkpoint(eager=True)
     found = resolve_split(spark, tokenized_dir, raw_file, raw)
     if found is None:
         return None
