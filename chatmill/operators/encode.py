@@ -59,6 +59,59 @@ class Tokenizer:
     def pad_token_id(self) -> int:
         return self.pad_id if self.pad_id is not None else self.encode_py("<|im_end|>")[0]
 
+    def raw_ids(self, text, bos_id: int | None = None) -> Column:
+        """Raw-path encode: the stand-in adds no special tokens of its own;
+        ``bos_id`` stands for a tokenizer that prepends one."""
+        ids = self.ids(text)
+        return ids if bos_id is None else F.concat(F.array(F.lit(int(bos_id))), ids)
+
+
+@dataclass(frozen=True)
+class SubwordTokenizer:
+    """A ``tokenizers`` JSON file used through an Arrow-batched UDF (the
+    reference's pretrained tokenizer slot). Specials are added tokens."""
+    path: str
+    specials: tuple = tuple(SPECIAL_TOKENS)
+    marker: str = ASSISTANT_MARKER
+    pad_id: int | None = None
+
+    def ship(self, spark) -> "SubwordTokenizer":
+        spark.sparkContext.addFile(self.path)
+        return self
+
+    def _tok(self):
+        from chatmill.functions.subword import load
+        return load(self.path, self.specials)
+
+    def tokens(self, text) -> Column:
+        from chatmill.functions.subword import tokens_udf
+        return tokens_udf(self.path, self.specials)(F.col(text) if isinstance(text, str) else text)
+
+    def ids(self, text) -> Column:
+        from chatmill.functions.subword import encode_column
+        return encode_column(text, self.path, self.specials, add_special_tokens=False)
+
+    def raw_ids(self, text, bos_id: int | None = None) -> Column:
+        """Raw path: the library default, i.e. with the tokenizer's own
+        post-processing (BOS/EOS) when it defines one."""
+        from chatmill.functions.subword import encode_column
+        ids = encode_column(text, self.path, self.specials, add_special_tokens=True)
+        return ids if bos_id is None else F.concat(F.array(F.lit(int(bos_id))), ids)
+
+    def encode_py(self, text: str) -> list[int]:
+        return list(self._tok().encode(text, add_special_tokens=False).ids)
+
+    @property
+    def marker_ids(self) -> list[int]:
+        return self.encode_py(self.marker)
+
+    @property
+    def pad_token_id(self) -> int:
+        if self.pad_id is not None:
+            return self.pad_id
+        tok = self._tok()
+        return tok.token_to_id("<|im_end|>")
+
 
 def text_ids(df: DataFrame, tok: Tokenizer = Tokenizer(), keep=(), name: str = "input_ids") -> DataFrame:
     """instruction/output -> joined text (J7) -> ids, no special tokens added."""
@@ -94,9 +147,7 @@ def tokenize_and_mask(df: DataFrame, tok: Tokenizer = Tokenizer(), max_length: i
 def encode_raw(df: DataFrame, tok: Tokenizer = Tokenizer(), max_length: int = RAW_MAX_LENGTH,
                bos_id: int | None = None, mask: bool = True, keep=()) -> DataFrame:
     """Raw path (T): head truncation, marker-optional masking, >= 8 supervised."""
-    ids = tok.ids(build_text("instruction", "output"))
-    if bos_id is not None:
-        ids = F.concat(F.array(F.lit(int(bos_id))), ids)
+    ids = tok.raw_ids(build_text("instruction", "output"), bos_id)
     marker = tok.marker_ids
     m = len(marker)
     x = df.select(*keep, truncate_head(ids, max_length).alias("_ids"))
