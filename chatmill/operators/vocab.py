@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatmill.config import SPECIAL_TOKENS
+from chatmill.session import shared_dir
 
 DEFAULT_VOCAB_SIZE = 1 << 16
 
@@ -23,20 +24,50 @@ def token_counts(df: DataFrame, tokens: str = "tokens") -> DataFrame:
     return df.select(F.explode(tokens).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("count"))
 
 
+def count_threshold(counts: DataFrame, k: int) -> int:
+    """The k-th largest ``count`` (or 1 when there are fewer than k rows).
+
+    A log2 histogram of counts (<= 64 rows) finds the bucket holding the
+    k-th value; an exact histogram of the counts inside that bucket (at most
+    its width, and few rows in the wide top buckets) pins it down. Rows below
+    it can never reach the top k, so the final top-k merge only sees
+    ``k + ties`` candidates instead of ``k`` from every partition.
+    """
+    lg = F.floor(F.log2(F.col("count"))).cast("int")
+    hist = sorted(((r[0], r[1]) for r in counts.groupBy(lg.alias("b")).agg(F.count(F.lit(1))).collect()),
+                  reverse=True)
+    seen = 0
+    for b, n in hist:
+        if seen + n >= k:
+            lo, hi = 1 << b, 1 << (b + 1)
+            exact = sorted(((r[0], r[1]) for r in counts.where((F.col("count") >= lo) & (F.col("count") < hi))
+                            .groupBy("count").agg(F.count(F.lit(1))).collect()), reverse=True)
+            for c, m in exact:
+                seen += m
+                if seen >= k:
+                    return int(c)
+        seen += n
+    return 1
+
+
 def fit_vocab(df: DataFrame, tokens: str = "tokens", vocab_size: int = DEFAULT_VOCAB_SIZE,
               specials=SPECIAL_TOKENS) -> DataFrame:
     """(token STRING, id INT, count BIGINT), at most ``vocab_size`` rows.
 
-    One aggregation; the bounded top-k keeps present specials first, then the
-    most frequent tokens. Ids are assigned on that bounded table only.
+    One aggregation (staged once); present specials first, then the most
+    frequent tokens by (count desc, token asc). Ids are assigned on the
+    bounded table only.
     """
     n_special = len(specials)
     if vocab_size <= n_special:
         raise ValueError("vocab_size must exceed the number of special tokens")
     special_ids = F.create_map(*[x for i, s in enumerate(specials) for x in (F.lit(s), F.lit(i))])
-    counts = token_counts(df, tokens).withColumn("_sid", special_ids[F.col("token")])
+    shared_dir(df.sparkSession)        # counts are read by three passes: cut the lineage once
+    counts = token_counts(df, tokens).withColumn("_sid", special_ids[F.col("token")]).checkpoint(eager=True)
+    floor_count = count_threshold(counts.where(F.col("_sid").isNull()), vocab_size - n_special)
     order = [F.col("_sid").asc_nulls_last(), F.desc("count"), F.asc("token")]
-    top = counts.orderBy(*order).limit(vocab_size)          # <= vocab_size rows to one merge
+    top = (counts.where(F.col("_sid").isNotNull() | (F.col("count") >= F.lit(floor_count)))
+           .orderBy(*order).limit(vocab_size))
     rank = F.row_number().over(Window.partitionBy(F.col("_sid").isNull()).orderBy(*order))
     ranked = top.withColumn("_rank", rank)
     vid = F.coalesce(F.col("_sid"), F.col("_rank") + F.lit(n_special - 1)).cast("int")
