@@ -42,13 +42,20 @@ def _blank_to_null(c: Column) -> Column:
 
 def resolve_context(df: DataFrame, placeholder: str = NO_CONTEXT_PLACEHOLDER, name: str = "context",
                     entity_pages: str = "entity_pages", evidence: str = "evidence",
-                    search_results: str = "search_results") -> DataFrame:
-    """Append ``name`` resolved from the three JSON-text columns."""
+                    search_results: str = "search_results", struct_of_arrays: bool = False) -> DataFrame:
+    """Append ``name`` resolved from the three JSON-text columns.
+
+    ``struct_of_arrays`` (opt-in deviation) also reads the column-oriented
+    shape some loaders produce, an object of parallel lists such as
+    ``{"wiki_context": ["..."], ...}``, taking element 0 of each list. As
+    written, the reference rejects that shape and falls to the placeholder.
+    """
     keep = [c for c in df.columns]
-    paths = ([("ep", "_ep", f"$[0].{k}") for k in ENTITY_PAGE_KEYS]
+    soa = (lambda k: [f"$.{k}[0]"]) if struct_of_arrays else (lambda k: [])
+    paths = ([("ep", "_ep", p) for k in ENTITY_PAGE_KEYS for p in [f"$[0].{k}"] + soa(k)]
              + [("ev0", "_ev", "$[0]")]
              + [("ev", "_ev", f"$[0].{k}") for k in EVIDENCE_KEYS]
-             + [("sr", "_sr", f"$[0].{k}") for k in SEARCH_RESULT_KEYS])
+             + [("sr", "_sr", p) for k in SEARCH_RESULT_KEYS for p in [f"$[0].{k}"] + soa(k)])
     x = df.select(*keep,
                   F.try_parse_json(F.col(entity_pages)).alias("_ep"),
                   F.try_parse_json(F.col(evidence)).alias("_ev"),

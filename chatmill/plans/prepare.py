@@ -55,7 +55,8 @@ def build_records_by_union(spark: SparkSession, sf_dir: str, include=DEFAULT_INC
 
 def build_records(spark: SparkSession, sf_dir: str, include=DEFAULT_INCLUDE,
                   train_size: int | None = DEFAULT_TRAIN_SIZE, system_prompt: str = SYSTEM_PROMPT,
-                  scratchpad: str = SCRATCHPAD_TEXT, placeholder: str = NO_CONTEXT_PLACEHOLDER) -> DataFrame:
+                  scratchpad: str = SCRATCHPAD_TEXT, placeholder: str = NO_CONTEXT_PLACEHOLDER,
+                  struct_of_arrays: bool = False) -> DataFrame:
     """S8 + L2 + U1 in one pass: the three sources are views of the same
     (user turn, reply, document, page) rows, so they are scanned and joined
     once and each row emits up to one record per source through ``inline``
@@ -71,7 +72,8 @@ def build_records(spark: SparkSession, sf_dir: str, include=DEFAULT_INCLUDE,
     p = tables.qa_pairs(spark, sf_dir, max(caps[s] for s in include) if caps else None, keep_ordinal=True)
     trivia = "trivia_qa" in include
     if trivia:
-        p = resolve_context(tables.evidence_fields(tables.with_pages(spark, sf_dir, p)), placeholder, "ev_context")
+        p = resolve_context(tables.evidence_fields(tables.with_pages(spark, sf_dir, p)), placeholder, "ev_context",
+                            struct_of_arrays=struct_of_arrays)
     q, ctx, ans = F.col("question"), F.col("doc_text"), F.col("answer_text")
     texts = F.when(ans.isNotNull(), F.array(ans)).otherwise(F.array().cast("array<string>"))
 

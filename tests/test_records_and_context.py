@@ -73,3 +73,14 @@ def test_filter_evidence_qa(spark):
             ("q", None, None, None, None), (" ", {"value": "A"}, None, None, None)]
     df = spark.createDataFrame(data, EVIDENCE_QA)
     assert R.filter_evidence_qa(df).count() == 1
+
+
+def test_struct_of_arrays_opt_in(spark):
+    rows = [({"wiki_context": ["W"], "title": ["t"]}, None, None),
+            (None, None, {"description": [" D "], "rank": [1]}),
+            ([{"text": "T"}], None, None)]
+    df = evidence(spark, rows)
+    as_written = [r.context for r in resolve_context(df).orderBy(F.col("rec_key").cast("long")).collect()]
+    opted = [r.context for r in resolve_context(df, struct_of_arrays=True).orderBy(F.col("rec_key").cast("long")).collect()]
+    assert as_written == [NO_CONTEXT_PLACEHOLDER, NO_CONTEXT_PLACEHOLDER, "T"]
+    assert opted == ["W", "D", "T"]
