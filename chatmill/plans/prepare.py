@@ -20,7 +20,8 @@ from chatmill.operators import records as R
 from chatmill.functions.templates import render_instruction, render_output
 from chatmill.operators.context import resolve_context
 from chatmill.operators.ordinal import mix_caps
-from chatmill.operators.split import HASH, exact_split, preview, seeded_shuffle, split_counts
+from chatmill.operators.split import HASH, find_cutoff, label_split, preview, seeded_shuffle, split_counts, val_count
+from chatmill.sources.schemas import METADATA
 from chatmill.session import scratch_path
 from chatmill.sources import sinks, tables
 
@@ -120,13 +121,16 @@ def prepare(spark: SparkSession, sf_dir: str, out_dir: str, include=DEFAULT_INCL
     stage = scratch_path(spark, "records")
     recs.write.parquet(stage)
     staged = spark.read.parquet(stage)
-    labeled = exact_split(staged, val_fraction, seed)
+    n_total, cutoff = find_cutoff(staged, val_fraction)      # exact counts come with the cutoff
+    labeled = label_split(staged, cutoff)
+    n_val = val_count(n_total, val_fraction)
     order = [HASH, "rec_key"]
     out = out_dir.rstrip("/")
     sinks.write_jsonl(labeled.where(F.col("split") == "train"), f"{out}/train.jsonl", mode, order)
     sinks.write_jsonl(labeled.where(F.col("split") == "val"), f"{out}/val.jsonl", mode, order)
-    meta = metadata_frame(split_counts(labeled), include, seed, tpl.get("system_prompt", SYSTEM_PROMPT))
+    result = {"num_total": n_total, "num_train": n_total - n_val, "num_val": n_val, "include": list(include),
+              "seed": int(seed), "system": tpl.get("system_prompt", SYSTEM_PROMPT)}
+    meta = spark.createDataFrame([tuple(result[f.name] for f in METADATA.fields)], METADATA)
     sinks.write_metadata(meta, f"{out}/metadata.json", mode)
-    result = meta.first().asDict()
     result["preview"] = [r.asDict() for r in preview(labeled).collect()]
     return result
