@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 from chatmill.config import IGNORE_INDEX
 from chatmill.functions.arrays import pad_right
 from chatmill.operators.ordinal import with_ordinal
+from chatmill.session import ship_package
 
 
 def _runs(it):
@@ -89,6 +90,7 @@ def batch_widths(df: DataFrame, batch_size: int, ordinal: str = "ordinal") -> Da
     """A4: adds ``batch_id`` and ``width`` (longest row of the batch)."""
     if batch_size < 1:
         raise ValueError("batch_size must be >= 1")
+    ship_package(df.sparkSession)
     if ordinal not in df.columns:
         df = with_ordinal(df, ordinal)
     x = df.withColumn("batch_id", F.floor(F.col(ordinal) / F.lit(batch_size)).cast("long"))

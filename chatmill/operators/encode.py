@@ -76,6 +76,8 @@ class SubwordTokenizer:
     pad_id: int | None = None
 
     def ship(self, spark) -> "SubwordTokenizer":
+        from chatmill.session import ship_package
+        ship_package(spark)
         spark.sparkContext.addFile(self.path)
         return self
 
