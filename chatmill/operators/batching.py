@@ -78,9 +78,9 @@ def _width_fn(edge_widths: dict, batch_size: int):
         for t, bids, starts in _runs(it):
             mx, cnt = _run_stats(t, starts)
             heads = bids[starts]
-            widths = np.where(cnt < batch_size,
-                              np.fromiter((edge_widths.get(b, 0) for b in heads.tolist()), np.int64, len(heads)),
-                              mx)
+            combined = np.fromiter((max(edge_widths.get(b, m), m) for b, m in zip(heads.tolist(), mx.tolist())),
+                                   np.int64, len(heads))
+            widths = np.where(cnt < batch_size, combined, mx)
             col = pa.array(np.repeat(widths, cnt).astype(np.int32), pa.int32())
             yield from t.append_column("width", col).to_batches()
     return fn

@@ -37,13 +37,15 @@ def shared_dir(spark: SparkSession) -> str:
     Only when the session names none (local tests) is a private folder
     created and registered, so ``DataFrame.checkpoint()`` works too.
     """
-    path = spark.conf.get(_CHECKPOINT_KEY, None)
+    sc = spark.sparkContext
+    path = spark.conf.get(_CHECKPOINT_KEY, None) or sc.getConf().get(_CHECKPOINT_KEY, None)
     if not path:
-        path = spark.sparkContext.getCheckpointDir()
+        path = sc.getCheckpointDir()
     if not path:
         path = tempfile.mkdtemp(prefix="chatmill-ckpt-")
         spark.conf.set(_CHECKPOINT_KEY, path)
-    spark.sparkContext.setCheckpointDir(path)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(path)
     return path.rstrip("/")
 
 
