@@ -104,7 +104,7 @@ def batch_widths(df: DataFrame, batch_size: int, ordinal: str = "ordinal") -> Da
 
 
 def pad_batches(df: DataFrame, batch_size: int, pad_id: int, pad_multiple: int | None = None,
-                ordinal: str = "ordinal") -> DataFrame:
+                ordinal: str = "ordinal", keep=()) -> DataFrame:
     """Rectangular batches, one row per example."""
     x = batch_widths(df, batch_size, ordinal)
     width = F.col("width")
@@ -113,7 +113,7 @@ def pad_batches(df: DataFrame, batch_size: int, pad_id: int, pad_multiple: int |
     x = x.withColumn("width", width)
     long_arr = "array<bigint>"
     return x.select(
-        ordinal, "batch_id", "width",
+        *keep, ordinal, "batch_id", "width",
         pad_right("input_ids", "width", pad_id).cast(long_arr).alias("input_ids"),
         pad_right("attention_mask", "width", 0).cast(long_arr).alias("attention_mask"),
         pad_right("labels", "width", IGNORE_INDEX).cast(long_arr).alias("labels"))

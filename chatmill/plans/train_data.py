@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from chatmill.config import EVAL_BATCH_SIZE, PAD_MULTIPLE, RAW_MAX_LENGTH, TRAIN_BATCH_SIZE
 from chatmill.operators.batching import pad_batches
 from chatmill.operators.encode import Tokenizer, encode_raw
-from chatmill.operators.ordinal import SRC_BLOCK, SRC_FILE, head_cap, with_ordinal
+from chatmill.operators.ordinal import SEGMENT, SRC_BLOCK, SRC_FILE, head_cap, with_ordinal
 from chatmill.session import shared_dir
 from chatmill.sources.files import resolve_split
 
@@ -26,7 +26,8 @@ def load_split(spark: SparkSession, tokenized_dir: str | None, raw_file: str | N
     if found is None:
         return None
     origin, df = found
-    return origin, head_cap(with_ordinal(df, "ordinal"), max_samples)
+    df = df.drop(SEGMENT) if SEGMENT in df.columns else df
+    return origin, head_cap(with_ordinal(df, "ordinal", SEGMENT), max_samples)
 
 
 def load_datasets(spark: SparkSession, train_dir=None, train_file=None, eval_dir=None, eval_file=None,
@@ -43,7 +44,17 @@ def load_datasets(spark: SparkSession, train_dir=None, train_file=None, eval_dir
 def collate(df: DataFrame, tok: Tokenizer = Tokenizer(), batch_size: int = TRAIN_BATCH_SIZE,
             mixed_precision: bool = True) -> DataFrame:
     """Padded batches; multiple of 8 only under mixed precision."""
-    return pad_batches(df, batch_size, tok.pad_token_id, PAD_MULTIPLE if mixed_precision else None)
+    keep = [SEGMENT] if SEGMENT in df.columns else []
+    return pad_batches(df, batch_size, tok.pad_token_id, PAD_MULTIPLE if mixed_precision else None, keep=keep)
 
 
-__all__ = ["load_split", "load_datasets", "collate", "TRAIN_BATCH_SIZE", "EVAL_BATCH_SIZE"]
+def write_batches(batches: DataFrame, path: str, overwrite: bool = True) -> None:
+    """Padded batches (D9) as Parquet in row order, without a shuffle: a local
+    sort by (input split, ordinal) and one directory per input split."""
+    mode = "overwrite" if overwrite else "errorifexists"
+    (batches.sortWithinPartitions(SEGMENT, "ordinal")
+     .select(SEGMENT, "batch_id", "width", "input_ids", "attention_mask", "labels")
+     .write.mode(mode).partitionBy(SEGMENT).parquet(path))
+
+
+__all__ = ["load_split", "load_datasets", "collate", "write_batches", "TRAIN_BATCH_SIZE", "EVAL_BATCH_SIZE"]
