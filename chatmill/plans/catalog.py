@@ -325,7 +325,7 @@ def q_fit_vocab(spark, sf):
 def q_encode_vocab(spark, sf):
     recs = records(spark, sf).select("rec_key", TOK.tokens(build_text()).alias("tokens"))
     vocab = V.fit_vocab(recs, "tokens", VOCAB_N)
-    ids = V.encode_with_vocab(recs, "rec_key", vocab, "tokens", unk_id=-1, max_vocab=VOCAB_N)
+    ids = V.encode_with_vocab(recs, vocab, "tokens", unk_id=-1, max_vocab=VOCAB_N)
     return ids.select("rec_key", F.size("input_ids").cast("long").alias("n_ids"), digest("input_ids").alias("ids_md5"))
 
 

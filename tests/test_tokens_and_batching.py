@@ -71,3 +71,12 @@ def test_pad_lengths_3_1(spark):
     out = pad_batches(scan_with_position(spark, path), 2, 0, 8).orderBy("ordinal").collect()
     assert [r.width for r in out] == [8, 8]
     assert out[1].input_ids == [6] + [0] * 7 and out[1].labels == [6] + [-100] * 7
+
+
+def test_encode_with_vocab_narrow(spark):
+    df = spark.createDataFrame([(1, ["b", "a", "zz", "user"]), (2, []), (3, None)], "k int, tokens array<string>")
+    vocab = V.fit_vocab(spark.createDataFrame([(["b", "a", "b", "user"],)], "tokens array<string>"), "tokens", 10)
+    out = V.encode_with_vocab(df, vocab, "tokens", unk_id=-1, max_vocab=10)
+    got = {r.k: r.input_ids for r in out.collect()}
+    assert got[1] == [8, 9, -1, 6] and got[2] == [] and got[3] == []
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
