@@ -53,15 +53,6 @@ def filter_evidence_qa(df: DataFrame) -> DataFrame:
     return df.where(evidence_qa_keep(F.col("question"), F.col("answer.value")))
 
 
-def record_struct(source: str, rec_key: Column, question: Column, context: Column, answer: Column,
-                  system_prompt: str = SYSTEM_PROMPT, scratchpad: str = SCRATCHPAD_TEXT) -> Column:
-    """J5 as one struct (source, rec_key, instruction, output)."""
-    return F.struct(F.lit(source).alias("source"), rec_key.alias("rec_key"),
-                    render_instruction(F.coalesce(question, F.lit("")), F.coalesce(context, F.lit("")),
-                                       system_prompt).alias("instruction"),
-                    render_output(F.coalesce(answer, F.lit("")), scratchpad).alias("output"))
-
-
 def make_records(df: DataFrame, question: str = "question", answer: str = "answer", context: str = "context",
                  system_prompt: str = SYSTEM_PROMPT, scratchpad: str = SCRATCHPAD_TEXT) -> DataFrame:
     """Project to (source, rec_key, instruction, output)."""

@@ -26,30 +26,41 @@ def token_counts(df: DataFrame, tokens: str = "tokens") -> DataFrame:
     return df.select(F.explode(tokens).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("count"))
 
 
+_FANOUT = 4096
+
+
 def count_threshold(counts: DataFrame, k: int) -> int:
     """The k-th largest ``count`` (or 1 when there are fewer than k rows).
 
-    A log2 histogram of counts (<= 64 rows) finds the bucket holding the
-    k-th value; an exact histogram of the counts inside that bucket (at most
-    its width, and few rows in the wide top buckets) pins it down. Rows below
-    it can never reach the top k, so the final top-k merge only sees
-    ``k + ties`` candidates instead of ``k`` from every partition.
+    A log2 histogram of counts (<= 64 rows) finds the range [2^b, 2^(b+1))
+    holding the k-th value. That range is then cut into at most 4,096
+    equal-width sub-ranges per pass until it is a single value, so no pass
+    returns more than 4,096 rows. Rows below the threshold can never reach
+    the top k, so the final top-k merge only sees ``k + ties`` candidates
+    instead of ``k`` from every partition.
     """
-    lg = F.floor(F.log2(F.col("count"))).cast("int")
-    hist = sorted(((r[0], r[1]) for r in counts.groupBy(lg.alias("b")).agg(F.count(F.lit(1))).collect()),
-                  reverse=True)
-    seen = 0
+    c = F.col("count")
+    hist = sorted(((r[0], r[1]) for r in counts.groupBy(F.floor(F.log2(c)).cast("int").alias("b"))
+                   .agg(F.count(F.lit(1))).collect()), reverse=True)
+    above = 0                              # rows known to lie above the current range
     for b, n in hist:
-        if seen + n >= k:
+        if above + n >= k:
             lo, hi = 1 << b, 1 << (b + 1)
-            exact = sorted(((r[0], r[1]) for r in counts.where((F.col("count") >= lo) & (F.col("count") < hi))
-                            .groupBy("count").agg(F.count(F.lit(1))).collect()), reverse=True)
-            for c, m in exact:
-                seen += m
-                if seen >= k:
-                    return int(c)
-        seen += n
-    return 1
+            break
+        above += n
+    else:
+        return 1
+    while hi - lo > 1:
+        width = -(-(hi - lo) // _FANOUT)
+        scope = counts.where((c >= lo) & (c < hi))
+        sub = sorted(((r[0], r[1]) for r in scope.groupBy(F.floor((c - F.lit(lo)) / F.lit(width)).cast("long").alias("s"))
+                      .agg(F.count(F.lit(1))).collect()), reverse=True)
+        for s_, n in sub:
+            if above + n >= k:
+                lo, hi = lo + s_ * width, min(hi, lo + (s_ + 1) * width)
+                break
+            above += n
+    return int(lo)
 
 
 def fit_vocab(df: DataFrame, tokens: str = "tokens", vocab_size: int = DEFAULT_VOCAB_SIZE,

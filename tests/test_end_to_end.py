@@ -84,3 +84,14 @@ def test_save_mode_guard(spark):
         sinks.write_jsonl(df, path, sinks.save_mode(False))
     sinks.write_jsonl(df, path, sinks.save_mode(True))
     assert scan_jsonl(spark, path, positioned=False).count() == 1
+
+
+@pytest.mark.parametrize("train_size,include", [(None, ("squad", "squad_v2", "trivia_qa")),
+                                                (7, ("squad", "squad_v2", "trivia_qa")),
+                                                (3, ("trivia_qa", "squad"))])
+def test_fused_sources_equal_union_of_sources(spark, train_size, include):
+    from chatmill.plans.prepare import build_records, build_records_by_union
+    cols = ["source", "rec_key", "instruction", "output"]
+    a = sorted(tuple(r) for r in build_records(spark, SF_SMALL, include, train_size).select(*cols).collect())
+    b = sorted(tuple(r) for r in build_records_by_union(spark, SF_SMALL, include, train_size).select(*cols).collect())
+    assert a == b and len(a) > 0

@@ -80,3 +80,14 @@ def test_encode_with_vocab_narrow(spark):
     got = {r.k: r.input_ids for r in out.collect()}
     assert got[1] == [8, 9, -1, 6] and got[2] == [] and got[3] == []
     assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_count_threshold_matches_sort(spark, monkeypatch):
+    import random
+    monkeypatch.setattr(V, "_FANOUT", 3)          # force several narrowing passes
+    rnd = random.Random(5)
+    counts = [rnd.choice([1, 1, 1, 2, 3, 5, 8, 13, 40, 41, 300, 1000, 1001]) for _ in range(400)]
+    df = spark.createDataFrame([(f"t{i}", c) for i, c in enumerate(counts)], "token string, count long")
+    desc = sorted(counts, reverse=True)
+    for k in (1, 2, 7, 50, 133, 399, 400, 1000):
+        assert V.count_threshold(df, k) == (desc[k - 1] if k <= len(desc) else 1)
