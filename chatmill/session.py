@@ -49,32 +49,23 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
-_shipped: set = set()
+_TASK_MODULES = ("chatmill.operators.batching", "chatmill.operators.vocab", "chatmill.functions.subword")
+_by_value: set = set()
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Make ``chatmill`` importable in Python workers (the programmatic
-    ``--py-files``): zip the package into the shared folder once per
-    application and ``addPyFile`` it. Operators that run Python inside tasks
-    call this, so they work whatever directory the driver started in."""
-    sc = spark.sparkContext
-    app = sc.applicationId
-    if app in _shipped:
-        return
-    import zipfile
-    pkg = os.path.dirname(os.path.abspath(__file__))
-    target = scratch_path(spark, "pyfiles") + ".zip"
-    if target.startswith("file:"):
-        target = target[len("file:"):]
-    local = target if "://" not in target else os.path.join(tempfile.mkdtemp(prefix="chatmill-zip-"), "chatmill.zip")
-    with zipfile.ZipFile(local, "w", zipfile.ZIP_DEFLATED) as z:
-        for root, _, files in os.walk(pkg):
-            for f in files:
-                if f.endswith(".py"):
-                    full = os.path.join(root, f)
-                    z.write(full, os.path.join("chatmill", os.path.relpath(full, pkg)))
-    sc.addPyFile(local)
-    _shipped.add(app)
+def ship_package(spark: SparkSession | None = None) -> None:
+    """Let Python workers run ``chatmill``'s task-side functions without the
+    package installed: the modules that hold them are pickled by value into
+    the task closures (cloudpickle's ``register_pickle_by_value``), so no
+    file is shipped or written. Called by every operator that runs Python
+    inside tasks, so they work whatever directory the driver started in."""
+    import importlib
+
+    from pyspark import cloudpickle
+    for name in _TASK_MODULES:
+        if name not in _by_value:
+            cloudpickle.register_pickle_by_value(importlib.import_module(name))
+            _by_value.add(name)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
