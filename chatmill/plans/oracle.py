@@ -8,7 +8,7 @@ written here with plain window functions over the whole table.
 
 from __future__ import annotations
 
-from chatmill.config import (END_MARKER, NO_CONTEXT_PLACEHOLDER, PY_WHITESPACE, SCRATCHPAD_TEXT, SPECIAL_TOKENS,
+from chatmill.config import (NO_CONTEXT_PLACEHOLDER, PY_WHITESPACE, SCRATCHPAD_TEXT, SPECIAL_TOKENS,
                              SYSTEM_PROMPT)
 from chatmill.functions.tokens import DEFAULT_BUCKETS, SEP, special_pattern, token_pattern
 from chatmill.plans import catalog as C

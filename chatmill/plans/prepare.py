@@ -20,7 +20,7 @@ from chatmill.operators import records as R
 from chatmill.functions.templates import render_instruction, render_output
 from chatmill.operators.context import resolve_context
 from chatmill.operators.ordinal import mix_caps
-from chatmill.operators.split import HASH, find_cutoff, label_split, preview, seeded_shuffle, split_counts, val_count
+from chatmill.operators.split import HASH, find_cutoff, label_split, preview, seeded_shuffle, val_count
 from chatmill.sources.schemas import METADATA
 from chatmill.session import scratch_path
 from chatmill.sources import sinks, tables

@@ -11,7 +11,6 @@ row order for the next step's ordinals.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from chatmill.config import WINDOW_MAX_LENGTH
 from chatmill.operators.encode import Tokenizer, filter_nonempty, tokenize_and_mask
