@@ -128,15 +128,19 @@ def _emit(ok: Column, ids: Column, labels: Column) -> Column:
 
 def window_and_mask(ids_df: DataFrame, marker_ids, max_length: int = WINDOW_MAX_LENGTH,
                     min_answer: int = MIN_ANSWER_TOKENS, keep=(), ids: str = "input_ids") -> DataFrame:
-    """C3 + C4 + C5 + F4/F5/F7 on an ids column."""
+    """C3 + C4 + C5 + F4/F5/F7 on an ids column.
+
+    Staged projections (position, then window start, then window and mask
+    length, then the emit) keep every generated method small enough for the
+    JIT; one nested expression repeats the start arithmetic at each use.
+    """
     m = len(marker_ids)
     x = ids_df.select(*keep, F.col(ids).alias("_ids"), find_subarray(F.col(ids), marker_ids).alias("_pos"))
-    start = window_start("_ids", "_pos", m, max_length, min_answer)
-    w = F.least(F.size("_ids"), F.lit(int(max_length)))
-    upto = F.col("_pos") - start + F.lit(m)
-    win = F.slice("_ids", start + 1, w)
-    ok = start.isNotNull() & (w - upto >= F.lit(MIN_SUPERVISED))
-    return x.select(*keep, _emit(ok, win, mask_prefix(win, upto)))
+    x = x.select(*keep, "_ids", "_pos", window_start("_ids", "_pos", m, max_length, min_answer).alias("_start"))
+    x = x.select(*keep, F.slice("_ids", F.col("_start") + 1, F.least(F.size("_ids"), F.lit(int(max_length)))).alias("_win"),
+                 (F.col("_pos") - F.col("_start") + F.lit(m)).alias("_upto"))
+    ok = F.col("_win").isNotNull() & (F.size("_win") - F.col("_upto") >= F.lit(MIN_SUPERVISED))
+    return x.select(*keep, _emit(ok, F.col("_win"), mask_prefix("_win", "_upto")))
 
 
 def tokenize_and_mask(df: DataFrame, tok: Tokenizer = Tokenizer(), max_length: int = WINDOW_MAX_LENGTH,
@@ -156,8 +160,9 @@ def encode_raw(df: DataFrame, tok: Tokenizer = Tokenizer(), max_length: int = RA
     x = x.select(*keep, "_ids", find_subarray("_ids", marker).alias("_pos"))
     n = F.size("_ids")
     supervised = n if not mask else F.when(F.col("_pos") < 0, n).otherwise(n - F.col("_pos") - F.lit(m))
-    labels = mask_labels_keep("_ids", "_pos", m, mask, IGNORE_INDEX)
-    return x.select(*keep, _emit(supervised >= F.lit(MIN_SUPERVISED), F.col("_ids"), labels))
+    x = x.select(*keep, "_ids", mask_labels_keep("_ids", "_pos", m, mask, IGNORE_INDEX).alias("_labels"),
+                 (supervised >= F.lit(MIN_SUPERVISED)).alias("_ok"))
+    return x.select(*keep, _emit(F.col("_ok"), F.col("_ids"), F.col("_labels")))
 
 
 def filter_min_supervised(df: DataFrame, minimum: int = MIN_SUPERVISED) -> DataFrame:
