@@ -52,7 +52,10 @@ def _runs(it):
 
 
 def _run_stats(t, starts):
-    lens = pc.list_value_length(t.column("input_ids")).to_numpy(zero_copy_only=False).astype(np.int64)
+    if "len" in t.column_names:
+        lens = t.column("len").to_numpy(zero_copy_only=False).astype(np.int64)
+    else:
+        lens = pc.list_value_length(t.column("input_ids")).to_numpy(zero_copy_only=False).astype(np.int64)
     counts = np.diff(np.r_[starts, t.num_rows])
     return np.maximum.reduceat(lens, starts), counts
 
@@ -94,7 +97,8 @@ def batch_widths(df: DataFrame, batch_size: int, ordinal: str = "ordinal") -> Da
     if ordinal not in df.columns:
         df = with_ordinal(df, ordinal)
     x = df.withColumn("batch_id", F.floor(F.col(ordinal) / F.lit(batch_size)).cast("long"))
-    edges = (x.select("batch_id", "input_ids")
+    # pass 1 sees two ints per row (the length is taken JVM-side)
+    edges = (x.select("batch_id", F.size("input_ids").alias("len"))
              .mapInArrow(_edges_fn(batch_size), "batch_id long, max_len int, n long")
              .groupBy("batch_id").agg(F.max("max_len").alias("w")))
     # only batches cut by a split edge (and the last one): <= 2 per split + 1
