@@ -97,3 +97,16 @@ def test_mix_caps():
     assert mix_caps(1) == {"squad": 1, "squad_v2": 1, "trivia_qa": 1}
     with pytest.raises(ValueError):
         mix_caps(0)
+
+
+def test_cap_counts_raw_rows_before_filters(spark):
+    """Trap 3: the cap takes the first N raw rows, then filters drop some."""
+    from chatmill.operators import records as R
+    from chatmill.sources import tables
+    from conftest import SF_SMALL
+    n = 12
+    raw = tables.span_qa(spark, SF_SMALL).orderBy(F.split("rec_key", ":")[1].cast("long"),
+                                                   F.split("rec_key", ":")[2].cast("long")).limit(n)
+    expected = R.filter_span_qa(raw).count()
+    got = R.span_qa_records(tables.span_qa(spark, SF_SMALL, cap=n)).count()
+    assert got == expected < n
