@@ -75,9 +75,10 @@ def _edges_fn(batch_size: int):
     return fn
 
 
-def _width_fn(edge_widths: dict, batch_size: int):
+def _width_fn(edge_bc, batch_size: int):
     """Pass 2: width of each run = its own max, or the combined max of a cut batch."""
     def fn(it):
+        edge_widths = edge_bc.value
         for t, bids, starts in _runs(it):
             mx, cnt = _run_stats(t, starts)
             heads = bids[starts]
@@ -101,10 +102,12 @@ def batch_widths(df: DataFrame, batch_size: int, ordinal: str = "ordinal") -> Da
     edges = (x.select("batch_id", F.size("input_ids").alias("len"))
              .mapInArrow(_edges_fn(batch_size), "batch_id long, max_len int, n long")
              .groupBy("batch_id").agg(F.max("max_len").alias("w")))
-    # only batches cut by a split edge (and the last one): <= 2 per split + 1
+    # only batches cut by a split edge (and the last one): <= 2 per split + 1;
+    # shipped once per executor as a broadcast variable, not in every task
     edge_widths = {r["batch_id"]: r["w"] for r in edges.collect()}
+    edge_bc = df.sparkSession.sparkContext.broadcast(edge_widths)
     out_schema = T.StructType(x.schema.fields + [T.StructField("width", T.IntegerType(), False)])
-    return x.mapInArrow(_width_fn(edge_widths, batch_size), out_schema)
+    return x.mapInArrow(_width_fn(edge_bc, batch_size), out_schema)
 
 
 def pad_batches(df: DataFrame, batch_size: int, pad_id: int, pad_multiple: int | None = None,

@@ -9,7 +9,8 @@ shuffling the rows:
    the surviving rows of each split contiguously;
 3. a tiny aggregate (one row per split) gives each split's row count; a
    running sum over that table, ordered by (file, split start), gives each
-   split's offset, which is broadcast back (its size is the split count).
+   split's offset. The table is checkpointed, its size checked, and then
+   broadcast back (or shuffle-joined past the bound).
 
 Nothing here sorts the data or moves it through one task.
 """
@@ -19,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from chatmill.session import shared_dir
+
 SRC_FILE, SRC_BLOCK = "_src_file", "_src_block"
 
 
@@ -34,6 +37,9 @@ def scan_with_position(spark: SparkSession, path: str, fmt: str = "parquet", sch
 
 SEGMENT = "seg"
 SEGMENT_WIDTH = 12
+# the split table is broadcast up to this many rows (about 40 bytes each);
+# beyond it, it is joined by shuffle instead
+MAX_BROADCAST_SPLITS = 2_000_000
 
 
 def with_ordinal(df: DataFrame, name: str = "ordinal", segment: str | None = None) -> DataFrame:
@@ -43,20 +49,26 @@ def with_ordinal(df: DataFrame, name: str = "ordinal", segment: str | None = Non
     ``segment`` also keeps the input split's rank in source order as a
     zero-padded string, for writers that keep order without a shuffle.
     """
-    x = df.withColumn("_mid", F.monotonically_increasing_id())
-    seg = (x.groupBy(SRC_FILE, SRC_BLOCK)
+    x = df.withColumn("_mid", F.monotonically_increasing_id()).withColumn("_fkey", F.xxhash64(SRC_FILE))
+    seg = (x.groupBy(SRC_FILE, "_fkey", SRC_BLOCK)
            .agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_mid0")))
     in_order = Window.orderBy(SRC_FILE, SRC_BLOCK)
-    seg = seg.select(SRC_FILE, SRC_BLOCK, "_mid0",
+    seg = seg.select("_fkey", SRC_BLOCK, "_mid0",
                      F.coalesce(F.sum("_n").over(in_order.rowsBetween(Window.unboundedPreceding, -1)),
                                 F.lit(0)).alias("_off"),
                      F.lpad((F.row_number().over(in_order) - 1).cast("string"), SEGMENT_WIDTH, "0").alias("_seg"))
-    # one row per input split: bounded by the split count, never by the data
-    out = x.join(F.broadcast(seg), [SRC_FILE, SRC_BLOCK])
+    # one row per input split, keyed by a 64-bit path hash. It is materialised
+    # once (reliable checkpoint in the shared folder), its row count checked,
+    # and only then broadcast; a larger table is joined by shuffle instead
+    shared_dir(df.sparkSession)
+    seg = seg.checkpoint(eager=True)
+    small = seg.count() <= MAX_BROADCAST_SPLITS
+    out = x.join(F.broadcast(seg) if small else seg, ["_fkey", SRC_BLOCK])
     out = out.withColumn(name, (F.col("_off") + F.col("_mid") - F.col("_mid0")).cast("long"))
     if segment:
         out = out.withColumnRenamed("_seg", segment)
-    return out.drop("_mid", "_mid0", "_off", "_seg")
+    return out.drop("_mid", "_mid0", "_off", "_seg", "_fkey")
+
 
 
 def prefix_cap(df: DataFrame, cap: int | None, ordinal: str = "ordinal") -> DataFrame:

@@ -34,10 +34,15 @@ def test_split_labeling_is_narrow(spark):
 
 
 def test_cap_pushdown_and_pruning(spark):
+    from chatmill.operators.ordinal import SRC_BLOCK, SRC_FILE, scan_with_position
+    from chatmill.sources.tables import table_path
     p = plan(tables.user_turns(spark, SF_SMALL, 10))
     assert "PushedFilters: [IsNotNull(role), EqualTo(role,user)]" in p
-    assert "ReadSchema: struct<role:string>" in p          # the per-split count reads one column
-    assert "BroadcastExchange" in p                          # split offsets, one row per split
+    assert "BroadcastExchange" in p and "ExistingRDD" in p   # checked split table, checkpointed
+    # the per-split count pass reads one data column
+    stats = scan_with_position(spark, table_path(SF_SMALL, "conversations")).where("role = 'user'") \
+        .groupBy(SRC_FILE, SRC_BLOCK).count()
+    assert "ReadSchema: struct<role:string>" in plan(stats)
 
 
 def test_fused_sources_scan_documents_once(spark):
