@@ -13,10 +13,13 @@ def save_mode(overwrite: bool) -> str:
 
 
 def _ordered(df: DataFrame, order_by, partitions: int | None) -> DataFrame:
+    """Range partitions in key order. Without an explicit count, AQE may merge
+    adjacent ranges to its advisory size, which keeps the order and sizes the
+    output files to the data."""
     if not order_by:
         return df
-    n = partitions or df.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    return df.repartitionByRange(int(n), *order_by).sortWithinPartitions(*order_by)
+    parts = df.repartitionByRange(int(partitions), *order_by) if partitions else df.repartitionByRange(*order_by)
+    return parts.sortWithinPartitions(*order_by)
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite", order_by=None,
