@@ -20,6 +20,7 @@ from chatmill.operators import records as R
 from chatmill.functions.templates import render_instruction, render_output
 from chatmill.operators.context import resolve_context
 from chatmill.operators.ordinal import mix_caps
+from chatmill.operators.skew import HOT_ROWS
 from chatmill.operators.split import HASH, find_cutoff, label_split, preview, seeded_shuffle, val_count
 from chatmill.sources.schemas import METADATA
 from chatmill.session import scratch_path
@@ -57,7 +58,7 @@ def build_records_by_union(spark: SparkSession, sf_dir: str, include=DEFAULT_INC
 def build_records(spark: SparkSession, sf_dir: str, include=DEFAULT_INCLUDE,
                   train_size: int | None = DEFAULT_TRAIN_SIZE, system_prompt: str = SYSTEM_PROMPT,
                   scratchpad: str = SCRATCHPAD_TEXT, placeholder: str = NO_CONTEXT_PLACEHOLDER,
-                  struct_of_arrays: bool = False) -> DataFrame:
+                  struct_of_arrays: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
     """S8 + L2 + U1 in one pass: the three sources are views of the same
     (user turn, reply, document, page) rows, so they are scanned and joined
     once and each row emits up to one record per source through ``inline``
@@ -70,11 +71,11 @@ def build_records(spark: SparkSession, sf_dir: str, include=DEFAULT_INCLUDE,
     if unknown:
         raise ValueError(f"unknown sources {sorted(unknown)}; choose from {tables.SOURCES}")
     caps = mix_caps(train_size) if train_size is not None else None
-    p = tables.qa_pairs(spark, sf_dir, max(caps[s] for s in include) if caps else None, keep_ordinal=True)
     trivia = "trivia_qa" in include
+    p = tables.qa_pairs(spark, sf_dir, max(caps[s] for s in include) if caps else None, keep_ordinal=True,
+                        pages=trivia, hot_rows=hot_rows)
     if trivia:
-        p = resolve_context(tables.evidence_fields(tables.with_pages(spark, sf_dir, p)), placeholder, "ev_context",
-                            struct_of_arrays=struct_of_arrays)
+        p = resolve_context(tables.evidence_fields(p), placeholder, "ev_context", struct_of_arrays=struct_of_arrays)
     q, ctx, ans = F.col("question"), F.col("doc_text"), F.col("answer_text")
     texts = F.when(ans.isNotNull(), F.array(ans)).otherwise(F.array().cast("array<string>"))
 

@@ -14,8 +14,9 @@ them:
   every context tier and the placeholder are reached (a shape selector,
   not a filter: all rows are kept).
 
-Joins are equi-joins on (conv_id, turn) and conv_id; a hot conversation is
-split by AQE's skew-join handling rather than pulled into one task.
+Joins are equi-joins on (conv_id, turn), which one conversation cannot skew,
+and on (conv_id, salt): a hot conversation is salted (``operators.skew``)
+rather than pulled into one task.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatmill.operators.ordinal import SRC_BLOCK, SRC_FILE, prefix_cap, scan_with_position
+from chatmill.operators.skew import HOT_ROWS, SALT, hot_keys, salt_big, salt_small
 
 SOURCES = ("squad", "squad_v2", "trivia_qa")
 
@@ -49,22 +51,25 @@ def user_turns(spark: SparkSession, sf_dir: str, cap: int | None = None, keep_or
     return prefix_cap(users, cap).select(*cols)
 
 
-def qa_pairs(spark: SparkSession, sf_dir: str, cap: int | None = None, keep_ordinal: bool = False) -> DataFrame:
-    """User turn + following assistant turn (if any) + conversation document."""
+def qa_pairs(spark: SparkSession, sf_dir: str, cap: int | None = None, keep_ordinal: bool = False,
+             pages: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """User turn + following assistant turn (if any) + conversation document
+    (+ page). The (conv_id, turn) join cannot be skewed by one conversation;
+    the per-conversation joins run on (conv_id, salt), hot conversations salted."""
     conv = read_table(spark, sf_dir, "conversations")
     answers = conv.where(F.col("role") == "assistant").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer_text"))
+    users = user_turns(spark, sf_dir, cap, keep_ordinal)
+    hot = hot_keys(users.select("conv_id"), "conv_id", hot_rows)
+    pairs = salt_big(users.join(answers, ["conv_id", "turn"], "left"), hot, "conv_id", ["conv_id", "turn"])
     docs = read_table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("conv_id"), F.col("text").alias("doc_text"))
-    return (user_turns(spark, sf_dir, cap, keep_ordinal)
-            .join(answers, ["conv_id", "turn"], "left")
-            .join(docs, "conv_id", "left"))
-
-
-def with_pages(spark: SparkSession, sf_dir: str, pairs: DataFrame) -> DataFrame:
-    pages = read_table(spark, sf_dir, "pages").select(
-        F.col("page_id").alias("conv_id"), F.col("html").alias("page_html"), F.col("url").alias("page_url"))
-    return pairs.join(pages, "conv_id", "left")
+    pairs = pairs.join(salt_small(docs, hot, "conv_id"), ["conv_id", SALT], "left")
+    if pages:
+        pg = read_table(spark, sf_dir, "pages").select(
+            F.col("page_id").alias("conv_id"), F.col("html").alias("page_html"), F.col("url").alias("page_url"))
+        pairs = pairs.join(salt_small(pg, hot, "conv_id"), ["conv_id", SALT], "left")
+    return pairs.drop(SALT)
 
 
 def _answers_struct() -> Column:
@@ -121,7 +126,7 @@ def evidence_fields(p: DataFrame) -> DataFrame:
 
 def evidence_qa(spark: SparkSession, sf_dir: str, cap: int | None = None) -> DataFrame:
     """D3 rows: question, ``answer.value`` and three polymorphic JSON fields."""
-    p = evidence_fields(with_pages(spark, sf_dir, qa_pairs(spark, sf_dir, cap)))
+    p = evidence_fields(qa_pairs(spark, sf_dir, cap, pages=True))
     return p.select(
         F.lit("trivia_qa").alias("source"), rec_key("trivia_qa").alias("rec_key"),
         "question", F.struct(F.col("answer_text").alias("value")).alias("answer"),
