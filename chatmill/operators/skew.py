@@ -12,7 +12,8 @@ skew handling does not cover chained joins on the same key. So:
    columns; the small sides replicate only the hot keys' rows, once per salt;
 4. the joins run on (key, salt).
 
-Non-hot keys keep salt 0 and are neither replicated nor split.
+Non-hot keys keep salt 0 and are neither replicated nor split. With no hot
+key at all, callers join on the key alone.
 """
 
 from __future__ import annotations
@@ -28,12 +29,17 @@ MAX_HOT = 10_000
 MAX_SALTS = 1 << 16
 
 
-def hot_keys(counts_src: DataFrame, key: str, hot_rows: int = HOT_ROWS, max_hot: int = MAX_HOT) -> DataFrame:
-    """(key, _salts) for the hottest keys; at most ``max_hot`` rows."""
+def hot_keys(counts_src: DataFrame, key: str, hot_rows: int = HOT_ROWS, max_hot: int = MAX_HOT) -> DataFrame | None:
+    """(key, _salts) for the hottest keys as a small local table (at most
+    ``max_hot`` rows, computed once); None when no key is hot."""
     n = F.count(F.lit(1)).alias("_n")
-    return (counts_src.groupBy(key).agg(n).where(F.col("_n") > F.lit(hot_rows))
-            .orderBy(F.desc("_n")).limit(max_hot)
-            .select(key, F.least(F.ceil(F.col("_n") / F.lit(hot_rows)), F.lit(MAX_SALTS)).cast("int").alias("_salts")))
+    hot = (counts_src.groupBy(key).agg(n).where(F.col("_n") > F.lit(hot_rows))
+           .orderBy(F.desc("_n")).limit(max_hot)
+           .select(key, F.least(F.ceil(F.col("_n") / F.lit(hot_rows)), F.lit(MAX_SALTS)).cast("int").alias("_salts")))
+    rows = hot.collect()
+    if not rows:
+        return None
+    return counts_src.sparkSession.createDataFrame(rows, hot.schema)
 
 
 def salt_big(df: DataFrame, hot: DataFrame, key: str, spread: Sequence[str]) -> DataFrame:

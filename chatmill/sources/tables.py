@@ -60,15 +60,23 @@ def qa_pairs(spark: SparkSession, sf_dir: str, cap: int | None = None, keep_ordi
     answers = conv.where(F.col("role") == "assistant").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer_text"))
     users = user_turns(spark, sf_dir, cap, keep_ordinal)
-    hot = hot_keys(users.select("conv_id"), "conv_id", hot_rows)
-    pairs = salt_big(users.join(answers, ["conv_id", "turn"], "left"), hot, "conv_id", ["conv_id", "turn"])
+    # counted on the raw user turns (two columns, no ordinal): a key hot after
+    # the cap is hot before it, and salting a cooler key is harmless
+    hot = hot_keys(conv.where(F.col("role") == "user").select("conv_id"), "conv_id", hot_rows)
+    pairs = users.join(answers, ["conv_id", "turn"], "left")
     docs = read_table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("conv_id"), F.col("text").alias("doc_text"))
-    pairs = pairs.join(salt_small(docs, hot, "conv_id"), ["conv_id", SALT], "left")
+    dims = [docs]
     if pages:
-        pg = read_table(spark, sf_dir, "pages").select(
-            F.col("page_id").alias("conv_id"), F.col("html").alias("page_html"), F.col("url").alias("page_url"))
-        pairs = pairs.join(salt_small(pg, hot, "conv_id"), ["conv_id", SALT], "left")
+        dims.append(read_table(spark, sf_dir, "pages").select(
+            F.col("page_id").alias("conv_id"), F.col("html").alias("page_html"), F.col("url").alias("page_url")))
+    if hot is None:
+        for dim in dims:
+            pairs = pairs.join(dim, "conv_id", "left")
+        return pairs
+    pairs = salt_big(pairs, hot, "conv_id", ["conv_id", "turn"])
+    for dim in dims:
+        pairs = pairs.join(salt_small(dim, hot, "conv_id"), ["conv_id", SALT], "left")
     return pairs.drop(SALT)
 
 
