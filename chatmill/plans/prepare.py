@@ -71,16 +71,19 @@ def build_records(spark: SparkSession, sf_dir: str, include=DEFAULT_INCLUDE,
     if unknown:
         raise ValueError(f"unknown sources {sorted(unknown)}; choose from {tables.SOURCES}")
     caps = mix_caps(train_size) if train_size is not None else None
+    # a cap at or above the raw row count is a no-op: only binding caps need ordinals
+    n_raw = tables.count_user_turns(spark, sf_dir) if caps else 0
+    binding = {s: caps[s] for s in include if caps and caps[s] < n_raw}
+    pre_cap = max(binding.values()) if binding and len(binding) == len(include) else None
     trivia = "trivia_qa" in include
-    p = tables.qa_pairs(spark, sf_dir, max(caps[s] for s in include) if caps else None, keep_ordinal=True,
-                        pages=trivia, hot_rows=hot_rows)
+    p = tables.qa_pairs(spark, sf_dir, pre_cap, keep_ordinal=bool(binding), pages=trivia, hot_rows=hot_rows)
     if trivia:
         p = resolve_context(tables.evidence_fields(p), placeholder, "ev_context", struct_of_arrays=struct_of_arrays)
     q, ctx, ans = F.col("question"), F.col("doc_text"), F.col("answer_text")
     texts = F.when(ans.isNotNull(), F.array(ans)).otherwise(F.array().cast("array<string>"))
 
     def capped(source):
-        return F.lit(True) if caps is None else F.col("ordinal") < F.lit(caps[source])
+        return F.col("ordinal") < F.lit(binding[source]) if source in binding else F.lit(True)
 
     # stage 1: each rendered string once, with the per-source keep flags
     cols = {"conv_id": F.col("conv_id"), "turn": F.col("turn"),

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatmill.operators.ordinal import SRC_BLOCK, SRC_FILE, prefix_cap, scan_with_position
+from chatmill.operators.ordinal import SRC_BLOCK, SRC_FILE, prefix_cap, scan_with_position, with_ordinal
 from chatmill.operators.skew import HOT_ROWS, SALT, hot_keys, salt_big, salt_small
 
 SOURCES = ("squad", "squad_v2", "trivia_qa")
@@ -43,14 +43,22 @@ def rec_key(source: str) -> Column:
 
 
 def user_turns(spark: SparkSession, sf_dir: str, cap: int | None = None, keep_ordinal: bool = False) -> DataFrame:
-    """Raw QA rows (user turns) in source order, first ``cap`` only (L1)."""
+    """Raw QA rows (user turns) in source order, first ``cap`` only (L1);
+    ``keep_ordinal`` keeps each row's raw-row ordinal (computed even without a cap)."""
     conv = scan_with_position(spark, table_path(sf_dir, "conversations"))
     users = conv.where(F.col("role") == "user").select(
         "conv_id", "turn", F.col("text").alias("question"), SRC_FILE, SRC_BLOCK)
-    cols = ["conv_id", "turn", "question"] + (["ordinal"] if keep_ordinal and cap is not None else [])
+    if keep_ordinal:
+        users = with_ordinal(users)
+    cols = ["conv_id", "turn", "question"] + (["ordinal"] if keep_ordinal else [])
     return prefix_cap(users, cap).select(*cols)
 
 
+def count_user_turns(spark: SparkSession, sf_dir: str) -> int:
+    """Raw QA row count (one pruned column, pushed-down filter)."""
+    return read_table(spark, sf_dir, "conversations").where(F.col("role") == "user").count()
+
+
 def qa_pairs(spark: SparkSession, sf_dir: str, cap: int | None = None, keep_ordinal: bool = False,
              pages: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
     """User turn + following assistant turn (if any) + conversation document

@@ -88,7 +88,8 @@ def test_save_mode_guard(spark):
 
 @pytest.mark.parametrize("train_size,include", [(None, ("squad", "squad_v2", "trivia_qa")),
                                                 (7, ("squad", "squad_v2", "trivia_qa")),
-                                                (3, ("trivia_qa", "squad"))])
+                                                (3, ("trivia_qa", "squad")),
+                                                (60, ("squad", "squad_v2", "trivia_qa"))])  # v1 cap not binding
 def test_fused_sources_equal_union_of_sources(spark, train_size, include):
     from chatmill.plans.prepare import build_records, build_records_by_union
     cols = ["source", "rec_key", "instruction", "output"]
