@@ -45,6 +45,9 @@ def rec_key(source: str) -> Column:
 def user_turns(spark: SparkSession, sf_dir: str, cap: int | None = None, keep_ordinal: bool = False) -> DataFrame:
     """Raw QA rows (user turns) in source order, first ``cap`` only (L1);
     ``keep_ordinal`` keeps each row's raw-row ordinal (computed even without a cap)."""
+    if cap is None and not keep_ordinal:      # no position needed: plain scan
+        return read_table(spark, sf_dir, "conversations").where(F.col("role") == "user").select(
+            "conv_id", "turn", F.col("text").alias("question"))
     conv = scan_with_position(spark, table_path(sf_dir, "conversations"))
     users = conv.where(F.col("role") == "user").select(
         "conv_id", "turn", F.col("text").alias("question"), SRC_FILE, SRC_BLOCK)
