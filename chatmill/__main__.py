@@ -37,7 +37,11 @@ def main(argv=None) -> None:
     c.add_argument("--out_dir", required=True)
     c.add_argument("--max_seq_length", type=int, default=C.RAW_MAX_LENGTH)
     c.add_argument("--max_train_samples", type=int, default=None)
+    c.add_argument("--eval_dir", default=None)
+    c.add_argument("--val_file", default=None)
+    c.add_argument("--max_eval_samples", type=int, default=None)
     c.add_argument("--per_device_train_batch_size", type=int, default=C.TRAIN_BATCH_SIZE)
+    c.add_argument("--per_device_eval_batch_size", type=int, default=C.EVAL_BATCH_SIZE)
     c.add_argument("--no_mixed_precision", action="store_true")
     c.add_argument("--tokenizer_file", default=None)
 
@@ -61,12 +65,18 @@ def main(argv=None) -> None:
     else:
         from chatmill.plans import train_data as TD
         tok = tokenizer()
-        (origin, train), _ = TD.load_datasets(spark, train_dir=args.train_dir, train_file=args.train_file, tok=tok,
-                                              max_length=args.max_seq_length,
-                                              max_train_samples=args.max_train_samples)
-        batches = TD.collate(train, tok, args.per_device_train_batch_size, not args.no_mixed_precision)
-        TD.write_batches(batches, f"{args.out_dir.rstrip('/')}/train_batches")
-        print(f"train ({origin}) -> {args.out_dir}/train_batches")
+        (origin, train), evald = TD.load_datasets(spark, train_dir=args.train_dir, train_file=args.train_file,
+                                                  eval_dir=args.eval_dir, eval_file=args.val_file, tok=tok,
+                                                  max_length=args.max_seq_length,
+                                                  max_train_samples=args.max_train_samples,
+                                                  max_eval_samples=args.max_eval_samples)
+        out = args.out_dir.rstrip("/")
+        mixed = not args.no_mixed_precision
+        TD.write_batches(TD.collate(train, tok, args.per_device_train_batch_size, mixed), f"{out}/train_batches")
+        print(f"train ({origin}) -> {out}/train_batches")
+        if evald is not None:
+            TD.write_batches(TD.collate(evald[1], tok, args.per_device_eval_batch_size, mixed), f"{out}/eval_batches")
+            print(f"eval ({evald[0]}) -> {out}/eval_batches")
 
 
 if __name__ == "__main__":
