@@ -96,3 +96,21 @@ def test_fused_sources_equal_union_of_sources(spark, train_size, include):
     a = sorted(tuple(r) for r in build_records(spark, SF_SMALL, include, train_size).select(*cols).collect())
     b = sorted(tuple(r) for r in build_records_by_union(spark, SF_SMALL, include, train_size).select(*cols).collect())
     assert a == b and len(a) > 0
+
+
+def test_pretokenize_keeps_input_order_across_parts(spark):
+    from chatmill.operators.encode import tokenize_and_mask
+    from chatmill.operators.ordinal import with_ordinal
+    from chatmill.operators.split import seeded_shuffle
+    from chatmill.plans.prepare import build_records
+    tok = Tokenizer()
+    recs = seeded_shuffle(build_records(spark, SF_SMALL, train_size=None))
+    path = scratch_path(spark, "order")
+    sinks.write_jsonl(recs, f"{path}/in.jsonl", "overwrite", ["shuffle_key", "rec_key"], partitions=5)
+    res = pretokenize(spark, f"{path}/in.jsonl", f"{path}/absent.jsonl", path, tok, max_length=128)
+    got = [r[0] for r in with_ordinal(scan_tokenized(spark, res["train"])).orderBy("ordinal")
+           .select(F.md5(F.array_join(F.col("input_ids").cast("array<string>"), ","))).collect()]
+    expected_rows = tokenize_and_mask(recs, tok, 128, keep=["shuffle_key", "rec_key"]) \
+        .orderBy("shuffle_key", "rec_key") \
+        .select(F.md5(F.array_join(F.col("input_ids").cast("array<string>"), ","))).collect()
+    assert got == [r[0] for r in expected_rows] and len(got) > 10
