@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fingerprints, sharding
+from . import decontaminate, fingerprints, neardup, sharding
 from .common import table
 
 SHARDS = 24
@@ -22,5 +22,9 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), SHARDS)
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op5_decontamination, op8_sharding)}
+def op9_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), size=4)
+
+
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op5_decontamination, op8_sharding, op9_neardup)}
 ORACLE_SQL = {"op5_decontamination": decontaminate.SQL}
