@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprints, neardup, sharding
+from . import decontaminate, fingerprints, neardup, sharding, suffix_dedup
 from .common import table
 
 SHARDS = 24
@@ -26,5 +27,10 @@ def op9_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), size=4)
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op5_decontamination, op8_sharding, op9_neardup)}
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op5_decontamination, op8_sharding, op9_neardup, op10_suffix_dedup)}
 ORACLE_SQL = {"op5_decontamination": decontaminate.SQL}
