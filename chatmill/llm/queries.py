@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, fingerprints, neardup, sharding, suffix_dedup, token_files
+from . import bpe, decontaminate, fingerprints, neardup, quality, sharding, suffix_dedup, token_files, toxicity, warc
 from chatmill.session import scratch_path
 
 from .common import table
@@ -51,5 +51,27 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op5_decontamination, op8_sharding, op9_neardup, op10_suffix_dedup, op4_bpe, op7_token_files)}
-ORACLE_SQL = {"op5_decontamination": decontaminate.SQL}
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.fit_to(docs, table(spark, sf_dir, "labels")))
+    held = toxicity.fold(F.col("doc_id"), toxicity.FOLDS) == toxicity.HELD_FOLD
+    return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    held = toxicity.fold(F.col("doc_id"), quality.FOLDS) == quality.HELD_FOLD
+    return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write_warc(table(spark, sf_dir, "pages"), path)
+    records, _ = warc.read_warc(spark, path)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_fingerprints, op2_toxicity, op3_warc, op4_bpe, op5_decontamination, op6_quality,
+    op7_token_files, op8_sharding, op9_neardup, op10_suffix_dedup)}
+ORACLE_SQL = {"op3_warc": warc.SQL, "op5_decontamination": decontaminate.SQL}
