@@ -60,29 +60,32 @@ def _splitters(docs: DataFrame, n_docs: int, ranges: int) -> list[bytes]:
     return sorted({grams[len(grams) * i // ranges] for i in range(1, ranges)}) if grams else []
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (), characters: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, spans (start, end), kept (the other bytes).
 
     Removed is every byte of a document's UTF-8 text that lies in a 50-byte
     string which also starts in a document of smaller id; strings are judged on
     the input. A null or empty text has no bytes. Rows that share an id don't
-    count as smaller than each other; a null id is larger than all. Extra
-    columns are not read. The result is computed when read, from tables in the
+    count as smaller than each other; a null id is larger than all. ``carry``
+    names columns that go along; others are not read. With ``characters``, a
+    character stays unless all its bytes go, so ``kept`` is UTF-8. The result is computed when read, from tables in the
     shared folder that go at the session's end.
     """
     ship(suffix_runs.__name__)
     spark = docs.sparkSession
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST_ID)).alias("id"), text_of(text_col).alias("text"))
+    held = {f"_carry{i}": F.col(c) for i, c in enumerate(carry)}
+    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST_ID)).alias("id"), text_of(text_col).alias("text"), *[c.alias(n) for n, c in held.items()])
     n_docs, n_bytes = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()
     chunks = max(1, math.ceil(n_bytes / CHUNK_BYTES))
     buckets = max(1, math.ceil(chunks / CHUNKS_PER_BUCKET))
     ranges = max(buckets, min(chunks, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    dealt = rows.select(F.pmod(F.xxhash64("id"), F.lit(chunks)).cast("long").alias("chunk"), "id", "text")
+    dealt = rows.select(F.pmod(F.xxhash64("id"), F.lit(chunks)).cast("long").alias("chunk"), "id", "text", *held)
     table, table_path = _bucketed(dealt, "chunk", buckets)
 
-    announced = table.groupBy("chunk").applyInArrow(suffix_runs.announcer(ranges), "bucket long, chunk long, hashes binary")
+    texts = table.select("chunk", "id", "text")
+    announced = texts.groupBy("chunk").applyInArrow(suffix_runs.announcer(ranges), "bucket long, chunk long, hashes binary")
     shared, shared_path = staged(announced.groupBy("bucket").applyInArrow(suffix_runs.matcher, "chunk long, hashes binary"), "shared")
-    runs, runs_path = staged(table.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(
+    runs, runs_path = staged(texts.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(
         suffix_runs.sorter(_splitters(rows, n_docs, ranges)), suffix_runs.RUN_FIELDS), "runs")
     answers = runs.where("kind = 0").select("bucket", "chunk", "a", "b", "c", "d").groupBy("bucket").applyInArrow(
         suffix_runs.merger, "chunk long, a binary, c binary, d binary")
@@ -90,7 +93,20 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     discard(spark, shared_path)
     told = runs.where("kind = 1").select("chunk", "kind", "a", "b", "c", "d").union(
         answers.select("chunk", F.lit(0).alias("kind"), "a", F.lit(None).cast("binary").alias("b"), "c", "d"))
-    out = table.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(
-        suffix_runs.remover, "id long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary")
+    fields = ["id long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary",
+              *[f"{n} {table.schema[n].dataType.simpleString()}" for n in held]]
+    out = table.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(suffix_runs.remover(characters), ", ".join(fields))
     _delete_at_exit(spark, table_path, runs_path, answers_path)
-    return out.select(F.when(F.col("id") != _LAST_ID, F.col("id")).alias("doc_id"), "n_bytes", "n_removed", "spans", "kept")
+    return out.select(F.when(F.col("id") != _LAST_ID, F.col("id")).alias("doc_id"), "n_bytes", "n_removed", "spans", "kept",
+                      *[F.col(n).alias(c) for n, c in zip(held, carry)])
+
+
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
+    """The documents, all columns, with the text that is left and its length."""
+    rest = tuple(c for c in docs.columns if c not in (text_col, chars_col))
+    out = remove_repeats(docs, id_col, text_col, carry=rest, characters=True)
+    text = F.col("kept").cast("string")
+    own = {text_col: text, chars_col: F.length(text).cast("long")}
+    # by position: the operator's own columns, doc_id to kept, come before the carried ones
+    renamed = out.toDF("_id", "_bytes", "_removed", "_spans", "kept", *[f"_{i}" for i in range(len(rest))])
+    return renamed.select(*[(own[c] if c in own else F.col(f"_{rest.index(c)}")).alias(c) for c in docs.columns])

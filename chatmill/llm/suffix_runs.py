@@ -73,9 +73,9 @@ class Chunk:
     """A chunk's documents in ascending (id, text) order, as one buffer."""
 
     def __init__(self, table: pa.Table):
-        rows = sorted(zip(table["id"].to_pylist(), table["text"].to_pylist()))
-        raw = [t.encode("utf-8", "surrogatepass") for _, t in rows]
-        self.ids = np.array([i for i, _ in rows], np.int64)
+        rows = sorted(zip(table["id"].to_pylist(), table["text"].to_pylist(), range(len(table))))
+        raw = [t.encode("utf-8", "surrogatepass") for _, t, _ in rows]
+        self.ids, self.order = np.array([i for i, _, _ in rows], np.int64), [n for _, _, n in rows]
         self.buf = np.frombuffer(b"".join(raw), np.uint8)
         self.ends = np.cumsum([len(r) for r in raw], dtype=np.int64)
         self.starts = self.ends - np.array([len(r) for r in raw], np.int64)
@@ -342,8 +342,15 @@ def merger(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     return pa.table({"chunk": pa.array(out["chunk"], pa.int64()), **{f: pa.array(out[f], pa.binary()) for f in "acd"}})
 
 
-def remover(key: tuple[pa.Scalar, ...], table: pa.Table, told: pa.Table) -> pa.Table:
-    """(chunk, notes and answers) -> every document's removed spans and kept bytes."""
+def whole_characters(buf: np.ndarray, gone: np.ndarray) -> np.ndarray:
+    """``gone`` without the bytes of UTF-8 characters that are not gone as a whole."""
+    if not len(buf):
+        return gone
+    starts = np.flatnonzero((buf & 0xC0) != 0x80)
+    return np.repeat(np.logical_and.reduceat(gone, starts), np.diff(np.append(starts, len(buf))))
+
+
+def remove(table: pa.Table, told: pa.Table, characters: bool) -> pa.Table:
     chunk = Chunk(table)
     cover = np.zeros(len(chunk.buf) + 1, np.int32)
     kinds = told["kind"].to_pylist()
@@ -364,10 +371,18 @@ def remover(key: tuple[pa.Scalar, ...], table: pa.Table, told: pa.Table) -> pa.T
     gone = np.cumsum(cover[:-1]) > 0
     removed, spans, kept = [], [], []
     for s, e in zip(chunk.starts, chunk.ends):
-        g = gone[s:e]
+        g = whole_characters(chunk.buf[s:e], gone[s:e]) if characters else gone[s:e]
         edges = np.flatnonzero(np.diff(np.concatenate([[0], g.view(np.int8), [0]]))).reshape(-1, 2)
         removed.append(int(g.sum()))
         spans.append([{"start": int(x), "end": int(y)} for x, y in edges])
         kept.append(chunk.buf[s:e][~g].tobytes())
     return pa.table({"id": pa.array(chunk.ids, pa.int64()), "n_bytes": pa.array(chunk.ends - chunk.starts, pa.int64()), "n_removed": pa.array(removed, pa.int64()),
-                     "spans": pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), "kept": pa.array(kept, pa.binary())})
+                     "spans": pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), "kept": pa.array(kept, pa.binary()),
+                     **{c: table[c].take(pa.array(chunk.order, pa.int64())) for c in table.column_names if c not in ("chunk", "id", "text")}})
+
+
+def remover(characters: bool):
+    """(chunk, notes and answers) -> every document's removed spans and kept bytes."""
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table, told: pa.Table) -> pa.Table:
+        return remove(table, told, characters)
+    return run

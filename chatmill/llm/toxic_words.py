@@ -6,6 +6,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 
 #: Neutral names of groups. A swap replaces one by the next of its line.
@@ -84,13 +85,13 @@ def vectors(features):
 
 
 def scorer(model):
-    """(id, text) -> (id, score)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """texts -> scores, for a pandas UDF."""
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         features, weights, bias = model.value
         look = Lookup(features)
-        for batch in batches:
-            logits = [bias + sum(weights[i] for i in look(words_of(t))) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(1 / (1 + np.exp(-np.clip(np.array(logits, np.float64), -40, 40))), pa.float64())], ["id", "score"])
+        for texts in batches:
+            logits = np.array([bias + sum(weights[i] for i in look(words_of(t))) for t in texts], np.float64)
+            yield pd.Series(1 / (1 + np.exp(-np.clip(logits, -40, 40))))
     return run
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import toxic_words
@@ -60,20 +60,17 @@ def train(texts: DataFrame, penalty: float = 10.0, ridge: float = 1e-4, steps: i
     return Model(features, weights.tolist(), bias)
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, score) of every whole text. Empty and null texts get the bias's
-    score. Rows stay as they are; other columns are not read."""
+def score_of(spark: SparkSession, text: Column, model: Model) -> Column:
+    """The score of a text, in (0, 1). Empty and null texts get the bias's."""
     ship(toxic_words.__name__)
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    shared = docs.sparkSession.sparkContext.broadcast((model.features, model.weights, model.bias))
-    id_type = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(toxic_words.scorer(shared), f"id {id_type}, score double").withColumnRenamed("id", "doc_id")
+    shared = spark.sparkContext.broadcast((model.features, model.weights, model.bias))
+    return F.pandas_udf(toxic_words.scorer(shared), "double")(text)
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: int) -> DataFrame:
-    """(id, text, label) of the labelled documents outside the held-out fold."""
-    wanted = labels.select("doc_id", F.col(label).alias("label")).where((F.col("label").isNotNull()) & (fold(F.col("doc_id"), folds) != held))
-    return docs.select("doc_id", "text").join(wanted, "doc_id").select(F.col("doc_id").alias("id"), "text", "label")
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, score) of every whole text. Rows stay as they are; other columns
+    are not read."""
+    return docs.select(F.col(id_col).alias("doc_id"), score_of(docs.sparkSession, F.col(text_col), model).alias("score"))
 
 
 def fit_to(docs: DataFrame, labels: DataFrame, **options) -> Model:
@@ -84,7 +81,6 @@ def fit_to(docs: DataFrame, labels: DataFrame, **options) -> Model:
     return train(docs.select(F.col("doc_id").alias("id"), "text").join(F.broadcast(drawn), "id"), **options)
 
 
-def drop_toxic(docs: DataFrame, labelled_docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents, all columns, that score below the threshold."""
-    bad = score(docs, fit_to(labelled_docs, labels)).where(F.col("score") >= THRESHOLD).select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_bad"]), "left_anti")
+def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The documents, all columns, that score below the threshold: one narrow pass."""
+    return docs.where(score_of(docs.sparkSession, F.col(text_col), model) < THRESHOLD)
