@@ -88,8 +88,9 @@ def find_leaks(docs: DataFrame, items: DataFrame, threshold: float = 0.8, size:
     both = both.alias("b").join(d, F.col("b.doc_id").eqNullSafe(F.col("d.doc_id"))).select("b.*", words_of(F.col("d.text")).alias("words"))
     own = F.coalesce(*[F.when(F.col("width") == w, shingles(F.col("words"), w)) for w in range(1, size + 1)])
     exact = both.select("doc_id", "item_id", F.size(F.array_intersect("grams", own)).cast("long").alias("n_shared"), F.col("n_item").cast("long").alias("n_item"))
-    exact = exact.withColumn("containment", F.col("n_shared") / F.col("n_item")).where(F.col("containment") >= threshold)
+    exact = exact.withColumn("containment", F.col("n_shared") / F.col("n_item"))
     best = exact.groupBy("doc_id", "item_id").agg(F.max(F.struct("containment", "n_shared", "n_item")).alias("m")).select("doc_id", "item_id", "m.n_shared", "m.n_item", "m.containment")
+    best = best.where(F.col("containment") >= threshold)   # after the grouping: pushed below it, the filter would compute the words anew for each shingle
     out, _ = staged(best, "leaks")
     discard(spark, items_path, pairs_path)
     return out

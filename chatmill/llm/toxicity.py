@@ -18,6 +18,8 @@ from .common import ship
 
 #: Labelled rows that the classifier is fitted to at most, of lowest id hash; and features.
 MAX_TRAIN_ROWS, MAX_FEATURES = 20_000, 2_000
+#: Log-likelihood ratio above which a feature is taken.
+LEAST_EVIDENCE = 15.0
 FOLDS, HELD_FOLD = 5, 0
 THRESHOLD = 0.5
 
@@ -46,11 +48,11 @@ def train(texts: DataFrame, penalty: float = 10.0, ridge: float = 1e-4, steps: i
     spark = texts.sparkSession
     sample = bounded_sample(texts.where("label IS NOT NULL").select("id", "text", F.col("label").cast("long").alias("label")), max_rows).select("text", "label").persist()
     total = sample.agg(F.coalesce(F.sum("label"), F.lit(0)).alias("ones"), F.count(F.lit(1)).alias("n")).first()
-    ones, zeros = total["ones"] + 1.0, total["n"] - total["ones"] + 1.0
     tally = sample.mapInArrow(toxic_words.tally, "feature string, ones long, zeros long").groupBy("feature").agg(F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros"))
-    a, b = F.col("ones") + 0.5, F.col("zeros") + 0.5
-    z = (F.log(a / F.lit(ones)) - F.log(b / F.lit(zeros))) / F.sqrt(1 / a + 1 / b)
-    best = tally.where("ones + zeros >= 5").withColumn("z", z).where("abs(z) > 3.5").orderBy(F.abs("z").desc(), "feature").limit(MAX_FEATURES)
+    share = F.lit(total["ones"] / max(1, total["n"]))
+    excess = lambda c, p: F.when(F.col(c) > 0, F.col(c) * F.log(F.col(c) / ((F.col("ones") + F.col("zeros")) * p))).otherwise(0.0)
+    best = (tally.where("ones + zeros >= 3").withColumn("g", 2 * (excess("ones", share) + excess("zeros", 1 - share)))   # log-likelihood ratio
+            .where(F.col("g") > LEAST_EVIDENCE).orderBy(F.col("g").desc(), "feature").limit(MAX_FEATURES))
     features = sorted({r["feature"] for r in best.select("feature").collect()} | set(toxic_words.SWAP))
     shared = spark.sparkContext.broadcast(features)
     rows = sample.mapInArrow(toxic_words.vectors(shared), "label long, own array<int>, swapped array<int>").collect()   # at most max_rows
