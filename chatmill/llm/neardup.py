@@ -67,7 +67,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
         both = pairs.join(b, "b").join(a, "a").select("a", "b", "text_a", "text_b")
         found, path = staged(both.mapInArrow(shingle_sets.comparer(size, percent), "a long, b long"), "links")
         paths.append(path)
-        links, compared = links.union(found), compared.union(pairs)
+        compared = compared.union(pairs)
+        if found.isEmpty():
+            return
+        links = links.union(found)
         if labels_path:
             paths.append(labels_path)
         labels, labels_path = components(links)
