@@ -70,12 +70,6 @@ def pad_right(arr, width, value: int) -> Column:
     )
 
 
-def count_supervised(labels, ignore_index: int = IGNORE_INDEX) -> Column:
-    """Number of labels that are not -100 (A3). Uses ``array_remove`` so no
-    lambda is needed."""
-    return F.size(F.array_remove(_c(labels), F.lit(ignore_index))).cast("long")
-
-
 def window_start(ids, pos, marker_len: int, max_len: int, min_answer: int) -> Column:
     """Start offset of the admissible window around the marker, or null when
     there is none (C4, F4, F7).

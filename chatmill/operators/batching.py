@@ -4,120 +4,45 @@ Rows are batched by ordinal (``batch_id = ordinal div batch_size``); each
 batch is padded to its longest row, rounded up to ``pad_multiple``: ids with
 the pad id, the mask with 0, labels with -100, right side only.
 
-Consecutive rows share a split, so the per-batch maximum is computed inside
-each partition (contiguous runs of Arrow batches, vectorised) with no
-shuffle of the token arrays. Only batches cut by a split boundary need rows
-from elsewhere; a first pass emits the partial maximum of every run shorter
-than a batch (at most two per split, plus the last batch), which are
-combined and shipped to the second pass: a table bounded by the split
-count, not by the data.
+The widths are a grouped maximum over two numbers a row; consecutive rows lie
+together, so nearly all of it happens before the exchange. They are joined
+back by batch: the one shuffle of the rows, whose masks are built after it.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from chatmill.config import IGNORE_INDEX
 from chatmill.functions.arrays import pad_right
 from chatmill.operators.ordinal import with_ordinal
-from chatmill.session import ship_package
-
-
-def _runs(it):
-    """Stream an Arrow partition as contiguous ``batch_id`` runs.
-
-    Yields (table, batch_ids, run_starts) for every finished run; only the
-    trailing run (<= batch_size rows) is carried into the next Arrow batch.
-    """
-    carry = None
-    for rb in it:
-        if rb.num_rows == 0:
-            continue
-        t = pa.Table.from_batches([rb])
-        if carry is not None:
-            t = pa.concat_tables([carry, t])
-        bids = t.column("batch_id").to_numpy()
-        starts = np.flatnonzero(np.r_[True, bids[1:] != bids[:-1]])
-        last = int(starts[-1])
-        if last > 0:
-            yield t.slice(0, last), bids[:last], starts[:-1]
-        carry = t.slice(last)
-    if carry is not None and carry.num_rows:
-        yield carry, carry.column("batch_id").to_numpy(), np.array([0])
-
-
-def _run_stats(t, starts):
-    if "len" in t.column_names:
-        lens = t.column("len").to_numpy(zero_copy_only=False).astype(np.int64)
-    else:
-        lens = pc.list_value_length(t.column("input_ids")).to_numpy(zero_copy_only=False).astype(np.int64)
-    counts = np.diff(np.r_[starts, t.num_rows])
-    return np.maximum.reduceat(lens, starts), counts
-
-
-def _edges_fn(batch_size: int):
-    """Pass 1: partial (max, count) of every run shorter than a batch. Such
-    runs only occur where a split boundary cuts a batch (and at the end)."""
-    def fn(it):
-        for t, bids, starts in _runs(it):
-            mx, cnt = _run_stats(t, starts)
-            cut = cnt < batch_size
-            if cut.any():
-                yield pa.RecordBatch.from_pydict({
-                    "batch_id": pa.array(bids[starts][cut], pa.int64()),
-                    "max_len": pa.array(mx[cut], pa.int32()),
-                    "n": pa.array(cnt[cut], pa.int64())})
-    return fn
-
-
-def _width_fn(edge_bc, batch_size: int):
-    """Pass 2: width of each run = its own max, or the combined max of a cut batch."""
-    def fn(it):
-        edge_widths = edge_bc.value
-        for t, bids, starts in _runs(it):
-            mx, cnt = _run_stats(t, starts)
-            heads = bids[starts]
-            combined = np.fromiter((max(edge_widths.get(b, m), m) for b, m in zip(heads.tolist(), mx.tolist())),
-                                   np.int64, len(heads))
-            widths = np.where(cnt < batch_size, combined, mx)
-            col = pa.array(np.repeat(widths, cnt).astype(np.int32), pa.int32())
-            yield from t.append_column("width", col).to_batches()
-    return fn
 
 
 def batch_widths(df: DataFrame, batch_size: int, ordinal: str = "ordinal") -> DataFrame:
     """A4: adds ``batch_id`` and ``width`` (longest row of the batch)."""
     if batch_size < 1:
         raise ValueError("batch_size must be >= 1")
-    ship_package(df.sparkSession)
     if ordinal not in df.columns:
         df = with_ordinal(df, ordinal)
     x = df.withColumn("batch_id", F.floor(F.col(ordinal) / F.lit(batch_size)).cast("long"))
-    # pass 1 sees two ints per row (the length is taken JVM-side)
-    edges = (x.select("batch_id", F.size("input_ids").alias("len"))
-             .mapInArrow(_edges_fn(batch_size), "batch_id long, max_len int, n long")
-             .groupBy("batch_id").agg(F.max("max_len").alias("w")))
-    # only batches cut by a split edge (and the last one): <= 2 per split + 1;
-    # shipped once per executor as a broadcast variable, not in every task
-    edge_widths = {r["batch_id"]: r["w"] for r in edges.collect()}
-    edge_bc = df.sparkSession.sparkContext.broadcast(edge_widths)
-    out_schema = T.StructType(x.schema.fields + [T.StructField("width", T.IntegerType(), False)])
-    return x.mapInArrow(_width_fn(edge_bc, batch_size), out_schema)
+    length = F.col("n_ids") if "n_ids" in df.columns else F.size("input_ids")
+    widths = x.select("batch_id", length.alias("n")).groupBy("batch_id").agg(F.max("n").cast("int").alias("width"))
+    return x.join(widths, "batch_id")
 
 
 def pad_batches(df: DataFrame, batch_size: int, pad_id: int, pad_multiple: int | None = None,
                 ordinal: str = "ordinal", keep=()) -> DataFrame:
-    """Rectangular batches, one row per example."""
-    x = batch_widths(df, batch_size, ordinal)
+    """Rectangular batches, one row per example (D9). The attention mask is
+    1 for every id, so it is rebuilt rather than moved."""
+    if ordinal not in df.columns:
+        df = with_ordinal(df, ordinal)
+    cols = [*keep, ordinal, "input_ids", "labels", *[c for c in ("n_ids",) if c in df.columns]]
+    x = batch_widths(df.select(*cols), batch_size, ordinal)
     width = F.col("width")
     if pad_multiple:
         width = (F.ceil(width / F.lit(pad_multiple)) * F.lit(pad_multiple)).cast("int")
-    x = x.withColumn("width", width)
+    x = x.withColumn("width", width).withColumn("attention_mask", F.array_repeat(F.lit(1), F.size("input_ids")))
     long_arr = "array<bigint>"
     return x.select(
         *keep, ordinal, "batch_id", "width",

@@ -30,8 +30,6 @@ from chatmill.functions.arrays import find_subarray, mask_labels_keep, mask_pref
 from chatmill.functions.templates import build_text
 from chatmill.sources.schemas import TOKENIZED
 
-MIN_SUPERVISED = 8
-
 
 @dataclass(frozen=True)
 class Tokenizer:
@@ -139,7 +137,7 @@ def window_and_mask(ids_df: DataFrame, marker_ids, max_length: int = WINDOW_MAX_
     x = x.select(*keep, "_ids", "_pos", window_start("_ids", "_pos", m, max_length, min_answer).alias("_start"))
     x = x.select(*keep, F.slice("_ids", F.col("_start") + 1, F.least(F.size("_ids"), F.lit(int(max_length)))).alias("_win"),
                  (F.col("_pos") - F.col("_start") + F.lit(m)).alias("_upto"))
-    ok = F.col("_win").isNotNull() & (F.size("_win") - F.col("_upto") >= F.lit(MIN_SUPERVISED))
+    ok = F.col("_win").isNotNull() & (F.size("_win") - F.col("_upto") >= F.lit(MIN_ANSWER_TOKENS))
     return x.select(*keep, _emit(ok, F.col("_win"), mask_prefix("_win", "_upto")))
 
 
@@ -161,15 +159,10 @@ def encode_raw(df: DataFrame, tok: Tokenizer = Tokenizer(), max_length: int = RA
     n = F.size("_ids")
     supervised = n if not mask else F.when(F.col("_pos") < 0, n).otherwise(n - F.col("_pos") - F.lit(m))
     x = x.select(*keep, "_ids", mask_labels_keep("_ids", "_pos", m, mask, IGNORE_INDEX).alias("_labels"),
-                 (supervised >= F.lit(MIN_SUPERVISED)).alias("_ok"))
+                 (supervised >= F.lit(MIN_ANSWER_TOKENS)).alias("_ok"))
     return x.select(*keep, _emit(F.col("_ok"), F.col("_ids"), F.col("_labels")))
 
 
-def filter_min_supervised(df: DataFrame, minimum: int = MIN_SUPERVISED) -> DataFrame:
-    """F5 as a stand-alone filter on a labels column."""
-    return df.where(F.size(F.array_remove("labels", F.lit(IGNORE_INDEX))) >= minimum)
-
-
 def filter_nonempty(df: DataFrame) -> DataFrame:
     """keep rows whose ``input_ids`` is present and non-empty."""
     return df.where(F.coalesce(F.size("input_ids"), F.lit(0)) > 0)

@@ -1,83 +1,140 @@
 """L1, L2, L3: row ordinals in source order and the caps built on them.
 
-An ordinal is the exact 0-based position of a row in source order (file
-path, then position inside the file), computed without sorting or
-shuffling the rows:
-
-1. the scan tags each row with its file and split (``_metadata``);
-2. after any row-selecting filter, ``monotonically_increasing_id`` numbers
-   the surviving rows of each split contiguously;
-3. a tiny aggregate (one row per split) gives each split's row count; a
-   running sum over that table, ordered by (file, split start), gives each
-   split's offset. The table is checkpointed, its size checked, and then
-   broadcast back (or shuffle-joined past the bound).
-
-Nothing here sorts the data or moves it through one task.
+Positions come from what cannot shift between two jobs:
+
+* a Parquet row has its file and ``_metadata.row_index``, whatever the splits;
+* rows of other formats are staged once as Parquet together with the file and
+  split they came from, and every later job reads that copy.
+
+A run is a stretch of consecutive rows of one Parquet file that came from one
+source split. One small aggregate counts each run; a running sum over the
+runs, in source order, gives their offsets; ordinal = offset + place in the
+run. No row is sorted or moved, and a row without an offset raises an error.
+
+Files are ordered by directory, then by part number, then by name, so that
+``part-100000`` follows ``part-99999``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from chatmill.session import shared_dir
+from chatmill.session import scratch_path
 
-SRC_FILE, SRC_BLOCK = "_src_file", "_src_block"
+SRC_FILE, SRC_BLOCK, SRC_ROW = "_src_file", "_src_block", "_src_row"
+# where the rows of a staged or tokenized table came from
+FROM_FILE, FROM_BLOCK = "src_file", "src_block"
+# rows (about 100 bytes each) up to which the run table is broadcast; beyond,
+# the join shuffles, with the same result
+MAX_BROADCAST_RUNS = 500_000
+_BLOCK_ROWS = 1 << 16
 
 
 def scan_with_position(spark: SparkSession, path: str, fmt: str = "parquet", schema=None, **options) -> DataFrame:
-    """Read ``path`` and keep each row's file and split start."""
+    """Read ``path`` and keep each row's file and split; of Parquet, its row index."""
     reader = spark.read.format(fmt).options(**options)
     if schema is not None:
         reader = reader.schema(schema)
-    df = reader.load(path)
-    return df.select("*", F.col("_metadata.file_path").alias(SRC_FILE),
-                     F.col("_metadata.file_block_start").alias(SRC_BLOCK))
+    where = [F.col("_metadata.file_path").alias(SRC_FILE), F.col("_metadata.file_block_start").alias(SRC_BLOCK)]
+    if fmt == "parquet":
+        where.append(F.col("_metadata.row_index").alias(SRC_ROW))
+    return reader.load(path).select("*", *where)
 
 
-SEGMENT = "seg"
-SEGMENT_WIDTH = 12
-# the split table is broadcast up to this many rows (about 40 bytes each);
-# beyond it, it is joined by shuffle instead
-MAX_BROADCAST_SPLITS = 2_000_000
+def file_order(path: Column) -> Column:
+    """What files sort by: directory, part number, name."""
+    part = F.regexp_extract(path, r"/part-(\d+)[^/]*$", 1)
+    return F.struct(F.regexp_replace(path, r"/[^/]*$", ""), F.when(part == "", F.lit(-1)).otherwise(part.try_cast("long")), path)
 
 
-def with_ordinal(df: DataFrame, name: str = "ordinal", segment: str | None = None) -> DataFrame:
-    """Append the exact source-order ordinal (``df`` must come from
-    ``scan_with_position`` through narrow, row-order-preserving steps).
+def positions_of(df: DataFrame) -> list[str]:
+    """The position columns of a positioned scan; row-dropping, order-keeping
+    steps carry them along."""
+    return [c for c in (SRC_FILE, SRC_BLOCK) if c in df.columns]
 
-    ``segment`` also keeps the input split's rank in source order as a
-    zero-padded string, for writers that keep order without a shuffle.
-    """
-    x = df.withColumn("_mid", F.monotonically_increasing_id()).withColumn("_fkey", F.xxhash64(SRC_FILE))
-    seg = (x.groupBy(SRC_FILE, "_fkey", SRC_BLOCK)
-           .agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_mid0")))
-    in_order = Window.orderBy(SRC_FILE, SRC_BLOCK)
-    seg = seg.select("_fkey", SRC_BLOCK, "_mid0",
-                     F.coalesce(F.sum("_n").over(in_order.rowsBetween(Window.unboundedPreceding, -1)),
-                                F.lit(0)).alias("_off"),
-                     F.lpad((F.row_number().over(in_order) - 1).cast("string"), SEGMENT_WIDTH, "0").alias("_seg"))
-    # one row per input split, keyed by a 64-bit path hash. It is materialised
-    # once (reliable checkpoint in the shared folder), its row count checked,
-    # and only then broadcast; a larger table is joined by shuffle instead
-    shared_dir(df.sparkSession)
-    seg = seg.checkpoint(eager=True)
-    small = seg.count() <= MAX_BROADCAST_SPLITS
-    out = x.join(F.broadcast(seg) if small else seg, ["_fkey", SRC_BLOCK])
-    out = out.withColumn(name, (F.col("_off") + F.col("_mid") - F.col("_mid0")).cast("long"))
-    if segment:
-        out = out.withColumnRenamed("_seg", segment)
-    return out.drop("_mid", "_mid0", "_off", "_seg", "_fkey")
+
+def source_columns(df: DataFrame) -> DataFrame:
+    """Position columns under the names that staged tables keep them by."""
+    return df.withColumnsRenamed({SRC_FILE: FROM_FILE, SRC_BLOCK: FROM_BLOCK}).drop(SRC_ROW)
+
+
+def stage_in_order(df: DataFrame, label: str = "ordered") -> DataFrame:
+    """Write the rows of a positioned scan (after narrow steps) once, and read
+    them with positions that stay as they are."""
+    path = scratch_path(df.sparkSession, label)
+    source_columns(df).write.parquet(path)
+    return scan_with_position(df.sparkSession, path)
 
 
+def with_ordinal(df: DataFrame, name: str = "ordinal") -> DataFrame:
+    """Append the exact source-order ordinal, 0 .. n-1.
+
+    ``df``: a positioned scan with all its rows (a Parquet one, or one of
+    another format, which is staged first).
+    """
+    if SRC_ROW not in df.columns:
+        df = stage_in_order(df)
+    moved = [c for c in (FROM_FILE, FROM_BLOCK) if c in df.columns]
+    x = df.withColumns({"_file": F.coalesce(*[F.col(c) for c in moved[:1]], F.col(SRC_FILE)),
+                        "_block": F.coalesce(*[F.col(c) for c in moved[1:]], F.lit(-1).cast("long"))})
+    keys = [SRC_FILE, "_file", "_block"]
+    runs = x.select(*keys, SRC_ROW).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(SRC_ROW).alias("_row0"), F.max(SRC_ROW).alias("_row1"))
+    whole = F.when(F.col("_row1") - F.col("_row0") + 1 == F.col("_n"), F.col("_n")).otherwise(
+        F.raise_error(F.lit("with_ordinal: rows are missing from the scan")).cast("long"))
+    in_order = Window.orderBy(file_order(F.col("_file")), "_block", file_order(F.col(SRC_FILE)), "_row0")
+    runs = runs.withColumn("_n", whole).select(
+        *keys, "_row0", F.coalesce(F.sum("_n").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    path = scratch_path(df.sparkSession, "runs")
+    runs.write.parquet(path)
+    runs = df.sparkSession.read.parquet(path)
+    small = runs.count() <= MAX_BROADCAST_RUNS
+    out = x.join(F.broadcast(runs) if small else runs, keys, "left")
+    place = F.when(F.col("_off").isNull(), F.raise_error(F.lit("with_ordinal: a row without an offset")).cast("long")).otherwise(
+        F.col("_off") + F.col(SRC_ROW) - F.col("_row0"))
+    return out.withColumn(name, place.cast("long")).drop("_file", "_block", "_row0", "_off", *moved)
+
+
+def cap_condition(rows: DataFrame, cap: int) -> Column:
+    """Whether a row of a positioned Parquet scan, after any filters, is one of
+    the first ``cap`` in source order.
+
+    Rows are counted by file, then by blocks of row indexes of the one file
+    that the cap ends in, whose first rows (of one block) are looked up. The
+    condition's part on the file alone lets the scan skip later files.
+    """
+    if cap < 1:
+        raise ValueError(f"cap must be >= 1, got {cap}")
+    rows = rows.select(SRC_FILE, SRC_ROW)
+    order = file_order(F.col(SRC_FILE))
+    files = rows.groupBy(SRC_FILE).agg(F.count(F.lit(1)).alias("n"))
+    files = files.withColumn("upto", F.sum("n").over(Window.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)))
+    last = files.where(F.col("upto") >= F.lit(int(cap))).orderBy("upto").first()
+    if last is None:
+        return F.lit(True)
+    within = rows.where(F.col(SRC_FILE) == F.lit(last[SRC_FILE]))
+    block = F.floor(F.col(SRC_ROW) / _BLOCK_ROWS).alias("b")
+    rest, at = cap - (last["upto"] - last["n"]), 0
+    for b, n in sorted((r["b"], r["n"]) for r in within.groupBy(block).agg(F.count(F.lit(1)).alias("n")).collect()):
+        at = b
+        if rest <= n:
+            break
+        rest -= n
+    first = within.where(block == F.lit(at)).orderBy(SRC_ROW).limit(rest).agg(F.max(SRC_ROW)).first()[0]
+    end = file_order(F.lit(last[SRC_FILE]))
+    return (order <= end) & ((order < end) | (F.col(SRC_ROW) <= F.lit(first)))
+
 
 def prefix_cap(df: DataFrame, cap: int | None, ordinal: str = "ordinal") -> DataFrame:
-    """Keep the first ``cap`` rows in source order, before any filter (L1).
-    ``df`` is a positioned scan; ``cap=None`` keeps all rows."""
+    """Keep the first ``cap`` rows in source order (L1). ``df`` is a positioned
+    scan, after any filters, or has an ordinal; ``cap=None`` keeps all rows."""
     if cap is None:
         return df
     if cap < 1:
         raise ValueError(f"cap must be >= 1, got {cap}")
+    if ordinal not in df.columns and SRC_ROW in df.columns and FROM_FILE not in df.columns:
+        return df.where(cap_condition(df, cap))
     if ordinal not in df.columns:
         df = with_ordinal(df, ordinal)
     return df.where(F.col(ordinal) < F.lit(int(cap)))
@@ -96,4 +153,3 @@ def head_cap(df: DataFrame, max_samples: int | None, ordinal: str = "ordinal") -
     if not max_samples:
         return df
     return prefix_cap(df, int(max_samples), ordinal)
-

@@ -19,10 +19,11 @@ projection, so the result does not depend on the partition count.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatmill.config import DEFAULT_SEED, DEFAULT_VAL_FRACTION, PREVIEW_INSTRUCTION_CHARS, PREVIEW_OUTPUT_CHARS
+from chatmill.session import scratch_path
 
 HASH = "shuffle_key"
 _BITS, _LEVEL = 60, 12
@@ -62,10 +63,20 @@ def _histogram(scope: DataFrame, level: int) -> list[tuple[int, int]]:
                   scope.groupBy(_bucket(level).alias("b")).agg(F.count(F.lit(1)).alias("n")).collect())
 
 
-def find_cutoff(df: DataFrame, val_fraction: float, key: str = "rec_key") -> tuple[int, tuple[int, str] | None]:
-    """(n_total, cutoff): the row count and the (shuffle_key, key) of the
-    ``int(n * val_fraction)``-th smallest row (None when that is 0). The
-    first histogram pass also yields the row count."""
+TIE = "_tie"
+
+
+def _with_tie(df: DataFrame, key: str) -> DataFrame:
+    """Rows of one key are told apart by a hash of their other columns."""
+    rest = [c for c in df.columns if c not in (HASH, key, TIE)]
+    return df.withColumn(TIE, F.md5(F.to_json(F.struct(*rest), {"ignoreNullFields": "false"})) if rest else F.lit(""))
+
+
+def find_cutoff(df: DataFrame, val_fraction: float, key: str = "rec_key") -> tuple[int, tuple | None]:
+    """(n_total, cutoff): the row count and the (shuffle_key, key, tie, copies)
+    of the ``int(n * val_fraction)``-th smallest row (None when that is 0);
+    ``copies`` of the rows equal to it in all columns are taken. The first
+    histogram pass also yields the row count."""
     rows = df.select(HASH, key)
     hist = _histogram(rows, 0)
     n_total = sum(c for _, c in hist)
@@ -83,29 +94,44 @@ def find_cutoff(df: DataFrame, val_fraction: float, key: str = "rec_key") -> tup
             break
         level += 1
         hist = _histogram(rows.where(_prefix(level) == F.lit(prefix)), level)
-    scope = rows.where(_prefix(level + 1) == F.lit(prefix))
-    top = scope.orderBy(HASH, key).limit(rest)
-    last = top.agg(F.max(F.struct(F.col(HASH), F.col(key))).alias("m")).first()["m"]
-    return n_total, (int(last[0]), str(last[1]))
-
-
-def label_split(df: DataFrame, cutoff: tuple[int, str] | None, key: str = "rec_key") -> DataFrame:
-    """Add ``split`` = 'val' for rows at or before the cutoff, else 'train'."""
+    scope = _with_tie(df.where(_prefix(level + 1) == F.lit(prefix)), key).select(HASH, key, TIE)
+    # rows equal in everything are one row with a count, whatever their number
+    ranked = scope.groupBy(HASH, key, TIE).agg(F.count(F.lit(1)).alias("n")).orderBy(HASH, key, TIE)
+    for r in ranked.toLocalIterator():
+        if rest <= r["n"]:
+            return n_total, (int(r[HASH]), r[key], r[TIE], int(rest))
+        rest -= r["n"]
+    raise RuntimeError("the rows changed between two passes: stage them first")
+
+
+def label_split(df: DataFrame, cutoff: tuple | None, key: str = "rec_key") -> DataFrame:
+    """Add ``split`` = 'val' for rows at or before the cutoff, else 'train'. A
+    narrow projection; only copies of the very cutoff row are numbered."""
     if cutoff is None:
         return df.withColumn("split", F.lit("train"))
-    h, k = cutoff
-    is_val = (F.col(HASH) < F.lit(h)) | ((F.col(HASH) == F.lit(h)) & (F.col(key) <= F.lit(k)))
-    return df.withColumn("split", F.when(is_val, F.lit("val")).otherwise(F.lit("train")))
+    h, k, tie, copies = cutoff
+    same_key = (F.col(HASH) == F.lit(h)) & F.col(key).eqNullSafe(F.lit(k))
+    before = (F.col(HASH) < F.lit(h)) | ((F.col(HASH) == F.lit(h)) & (F.col(key) < F.lit(k)))
+    named = lambda val: F.when(val, F.lit("val")).otherwise(F.lit("train"))
+    others = df.where(~F.coalesce(same_key, F.lit(False))).withColumn("split", named(F.coalesce(before, F.lit(False))))
+    at = _with_tie(df.where(same_key), key)
+    nth = F.row_number().over(Window.partitionBy(TIE).orderBy(TIE))
+    at = at.withColumn("split", named((F.col(TIE) < F.lit(tie)) | ((F.col(TIE) == F.lit(tie)) & (nth <= F.lit(copies))))).drop(TIE)
+    return others.unionByName(at)
 
 
 def exact_split(df: DataFrame, val_fraction: float = DEFAULT_VAL_FRACTION, seed: int = DEFAULT_SEED,
                 key: str = "rec_key") -> DataFrame:
     """O2: exactly ``int(n * val_fraction)`` rows labeled 'val', the first in
-    shuffle order; the rest 'train'. Runs its counting passes eagerly."""
+    shuffle order; the rest 'train'. The rows are staged once; the counting
+    passes and the result read that copy."""
     if HASH not in df.columns:
         df = seeded_shuffle(df, seed, key)
-    _, cutoff = find_cutoff(df, val_fraction, key)
-    return label_split(df, cutoff, key)
+    path = scratch_path(df.sparkSession, "split")
+    df.write.parquet(path)
+    staged = df.sparkSession.read.schema(df.schema).parquet(path)
+    _, cutoff = find_cutoff(staged, val_fraction, key)
+    return label_split(staged, cutoff, key)
 
 
 def split_counts(df: DataFrame) -> DataFrame:

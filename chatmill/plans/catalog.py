@@ -12,10 +12,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatmill.config import PY_WHITESPACE
+from chatmill.config import ENTITY_PAGE_KEYS, PY_WHITESPACE
 from chatmill.functions import arrays as A
 from chatmill.functions import text as TX
 from chatmill.functions.templates import build_text, render_instruction, render_output
@@ -27,14 +28,17 @@ from chatmill.operators.ordinal import with_ordinal
 from chatmill.operators.split import HASH, exact_split, preview, seeded_shuffle, split_counts
 from chatmill.plans import pretokenize as PT
 from chatmill.plans import train_data as TD
-from chatmill.plans.prepare import build_records, metadata_frame, prepare
+from chatmill.plans.prepare import build_records, metadata_frame, prepare, records_of, source_records, union_sources
 from chatmill.session import scratch_path
+from chatmill.sources import qa_files as QF
 from chatmill.sources import sinks, tables
 from chatmill.sources.files import scan_jsonl, scan_tokenized
 
 TOK = E.Tokenizer()
 SEED, VAL_FRACTION = 42, 0.02
-WINDOW_L, RAW_L, HEAD_N, VOCAB_N = 256, 128, 100, 4096
+WINDOW_L, RAW_L, HEAD_N, VOCAB_N = 4096, 2048, 100, 4096
+# lengths of the queries about cropping and dropping, chosen so that rows are cropped and dropped
+CROP_L, TRUNCATE_L, ANSWER_K, TAIL_FROM = 256, 128, 60, 600
 CAP_N, MIX_N = 100, 150
 MARKER = TOK.marker_ids                   # <|im_start|> assistant
 USER_TURN = TOK.encode_py("<|im_start|>user")
@@ -50,7 +54,7 @@ def digest(c) -> Column:
 
 
 def _key(spark, sf, *rest):
-    return (id(spark), sf.rstrip("/"), *rest)
+    return (spark.sparkContext.applicationId, sf.rstrip("/"), *rest)
 
 
 def prepared(spark: SparkSession, sf: str) -> str:
@@ -193,7 +197,7 @@ def q_filter_evidence_qa(spark, sf):
 
 
 def q_window_boundary(spark, sf):
-    w = E.window_and_mask(token_rows(spark, sf), MARKER, WINDOW_L, keep=["rec_key"])
+    w = E.window_and_mask(token_rows(spark, sf), MARKER, CROP_L, ANSWER_K, keep=["rec_key"])
     return _tok_digests(w, "rec_key")
 
 
@@ -202,8 +206,8 @@ def q_filter_min_supervised(spark, sf):
 
 
 def q_filter_nonempty(spark, sf):
-    w = E.window_and_mask(token_rows(spark, sf), MARKER, WINDOW_L, keep=["rec_key"])
-    return E.filter_nonempty(w).select("rec_key", F.size("input_ids").cast("long").alias("n_ids"))
+    tails = token_rows(spark, sf).withColumn("input_ids", F.slice("input_ids", TAIL_FROM + 1, 1 << 30))
+    return E.filter_nonempty(tails).select("rec_key", F.size("input_ids").cast("long").alias("n_ids"))
 
 
 # --- aggregations ----------------------------------------------------------------
@@ -249,7 +253,31 @@ def q_exact_split(spark, sf):
 
 
 def q_union_sources(spark, sf):
-    return records(spark, sf).select("source", "rec_key")
+    parts = [source_records(spark, sf, s, None) for s in tables.SOURCES]
+    return union_sources(parts).select("source", "rec_key")
+
+
+def qa_files(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """The three corpora, written as JSON lines once and read back."""
+    k = _key(spark, sf, "qa_files")
+    if k not in _memo:
+        out = scratch_path(spark, "qa")
+        tables.span_qa(spark, sf).select("question", "context", "answers").write.json(f"{out}/squad")
+        tables.span_qa_v2(spark, sf).select("question", "context", "answers", "is_impossible").write.json(f"{out}/squad_v2")
+        QF.write_evidence_qa(tables.evidence_qa(spark, sf), f"{out}/trivia_qa")
+        _memo[k] = {s: read(spark, f"{out}/{s}") for s, read in QF.READERS.items()}
+    return _memo[k]
+
+
+def q_read_qa_files(spark, sf):
+    fields = {"squad": ["context"], "squad_v2": ["context"], "trivia_qa": ["answer.value"]}
+    parts = [d.select("source", F.md5(F.concat_ws("|", "question", *fields[s])).alias("row_md5")) for s, d in qa_files(spark, sf).items()]
+    return union_sources(parts).groupBy("source", "row_md5").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_prepare_sources(spark, sf):
+    d = records_of(qa_files(spark, sf))
+    return d.groupBy("source", F.md5("instruction").alias("instruction_md5"), F.md5("output").alias("output_md5")).agg(F.count(F.lit(1)).alias("n"))
 
 
 # --- scalar / array functions ------------------------------------------------------
@@ -263,8 +291,8 @@ def q_py_trim(spark, sf):
 
 def q_first_nonempty_key(spark, sf):
     d = tables.evidence_qa(spark, sf).select("rec_key", F.try_parse_json("entity_pages").alias("ep"))
-    d = d.select("rec_key", *[string_at(F.col("ep"), f"$[0].{k}").alias(k) for k in ("wiki_context", "text", "content")])
-    return d.select("rec_key", TX.first_nonempty("wiki_context", "text", "content").alias("picked"))
+    d = d.select("rec_key", *[string_at(F.col("ep"), f"$[0].{k}").alias(k) for k in ENTITY_PAGE_KEYS])
+    return d.select("rec_key", TX.first_nonempty(*ENTITY_PAGE_KEYS).alias("picked"))
 
 
 def q_find_subarray(spark, sf):
@@ -287,7 +315,7 @@ def q_mask_labels_keep(spark, sf):
 
 
 def q_truncate_head(spark, sf):
-    d = token_rows(spark, sf).select("rec_key", A.truncate_head("input_ids", RAW_L).alias("ids"))
+    d = token_rows(spark, sf).select("rec_key", A.truncate_head("input_ids", TRUNCATE_L).alias("ids"))
     return d.select("rec_key", F.size("ids").cast("long").alias("n_ids"), digest("ids").alias("ids_md5"))
 
 
@@ -362,7 +390,9 @@ def q_save_mode(spark, sf):
     try:
         sinks.write_jsonl(recs, path, sinks.save_mode(False))
         second = "written"
-    except Exception:           # AnalysisException: path already exists
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_ALREADY_EXISTS":
+            raise
         second = "refused"
     sinks.write_jsonl(recs, path, sinks.save_mode(True))
     back = scan_jsonl(spark, path, positioned=False)

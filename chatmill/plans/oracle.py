@@ -8,9 +8,17 @@ written here with plain window functions over the whole table.
 
 from __future__ import annotations
 
-from chatmill.config import (NO_CONTEXT_PLACEHOLDER, PY_WHITESPACE, SCRATCHPAD_TEXT, SPECIAL_TOKENS,
-                             SYSTEM_PROMPT)
-from chatmill.functions.tokens import DEFAULT_BUCKETS, SEP, special_pattern, token_pattern
+# Fixed values, stated here again so that a wrong constant in the code shows.
+SYSTEM_PROMPT = ("You are a careful reading-comprehension assistant. "
+                 "Use ONLY the provided passage to answer the question.")
+SCRATCHPAD_TEXT = "Read the passage, locate the span that answers the question, and state it succinctly."
+NO_CONTEXT_PLACEHOLDER = "(No additional passage provided. Answer only if you are certain.)"
+SPECIAL_TOKENS = ["<|im_start|>", "<|im_end|>", "<scratchpad>", "</scratchpad>", "<final>", "</final>", "user", "assistant"]
+SPECIALS_RE = r"(<\|im_start\|>|<\|im_end\|>|<scratchpad>|</scratchpad>|<final>|</final>|user|assistant)"
+TOKENS_RE = r"\x01[^\x01]+\x01|[\p{L}\p{N}]+|[^ \t\n\x0B\f\r\x01]"
+SEP, BUCKETS = chr(1), 131072
+MARKER, USER_TURN, END_THEN_MARKER, END_ID, PAD_ID = [0, 7], [0, 6], [1, 0, 7], [1], 1
+PY_WHITESPACE = [*range(9, 14), *range(28, 33), 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288]
 from chatmill.plans import catalog as C
 
 
@@ -18,7 +26,7 @@ def lit(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-WS = "(" + " || ".join(f"chr({ord(c)})" for c in PY_WHITESPACE) + ")"
+WS = "(" + " || ".join(f"chr({c})" for c in PY_WHITESPACE) + ")"
 
 
 def trim(x): return f"trim({x}, {WS})"
@@ -45,13 +53,13 @@ def text_of(i="instruction", o="output"):
 
 
 def tokens_of(text):
-    wrapped = f"regexp_replace(replace({text}, chr(1), ''), {lit(special_pattern())}, {lit(SEP + chr(92) + '1' + SEP)}, 'g')"
-    return f"list_transform(regexp_extract_all({wrapped}, {lit(token_pattern())}, 0), lambda t: replace(t, chr(1), ''))"
+    wrapped = f"regexp_replace(replace({text}, chr(1), ''), {lit(SPECIALS_RE)}, {lit(SEP + chr(92) + '1' + SEP)}, 'g')"
+    return f"list_transform(regexp_extract_all({wrapped}, {lit(TOKENS_RE)}, 0), lambda t: replace(t, chr(1), ''))"
 
 
 def ids_of(tokens):
     cases = " ".join(f"WHEN {lit(s)} THEN {i}" for i, s in enumerate(SPECIAL_TOKENS))
-    hashed = f"{len(SPECIAL_TOKENS)} + (('0x' || substr(md5(t), 1, 15))::BIGINT % {DEFAULT_BUCKETS})"
+    hashed = f"{len(SPECIAL_TOKENS)} + (('0x' || substr(md5(t), 1, 15))::BIGINT % {BUCKETS})"
     return f"list_transform({tokens}, lambda t: CASE t {cases} ELSE {hashed} END)::INTEGER[]"
 
 
@@ -158,7 +166,7 @@ def tok_rows(src="records", keep="rec_key"):
     return f"SELECT {keep}, {ids_of(tokens_of(text_of()))} AS ids FROM {src}"
 
 
-def window_path(src_sql, keep, L, marker=C.MARKER, k=8):
+def window_path(src_sql, keep, L, marker=MARKER, k=8):
     m = len(marker)
     lead = max(m + 1, L // 4)
     ok = lambda s: f"(pos >= 0 AND pos - {s} + {m} <= w AND w - (pos - {s}) - {m} >= {k})"
@@ -179,7 +187,7 @@ FROM (
 WHERE w - upto >= 8"""
 
 
-def raw_path(src_sql, keep, L, marker=C.MARKER):
+def raw_path(src_sql, keep, L, marker=MARKER):
     m = len(marker)
     return f"""
 SELECT {keep}, ids AS input_ids, {ones('ids')} AS attention_mask, labels
@@ -244,7 +252,6 @@ vocab AS (
 
 
 def build() -> dict[str, str]:
-    caps_default = None  # default train size (20,000) is above every raw-row count here
     R = records()
     L = labeled()
     q: dict[str, str] = {}
@@ -267,9 +274,9 @@ UNION ALL SELECT 'val' AS split, 'raw' AS origin, ordinal, {tok_digests()} FROM
     q["filter_span_qa"] = with_q(sources(), f"SELECT rec_key FROM squad_src WHERE {F1}")
     q["filter_answerable"] = with_q(sources(), f"SELECT rec_key, is_impossible FROM squad_v2_src WHERE {F2}")
     q["filter_evidence_qa"] = with_q(sources(), f"SELECT rec_key FROM trivia_src WHERE {F3}")
-    q["window_boundary"] = with_q(R, f"SELECT {tok_digests('rec_key')} FROM ({window_of_records(C.WINDOW_L)}) x")
+    q["window_boundary"] = with_q(R, f"SELECT {tok_digests('rec_key')} FROM ({window_path(tok_rows(), 'rec_key', C.CROP_L, k=C.ANSWER_K)}) x")
     q["filter_min_supervised"] = with_q(R, f"SELECT rec_key FROM ({raw_of_records(C.RAW_L)}) x")
-    q["filter_nonempty"] = with_q(R, f"SELECT rec_key, len(input_ids)::BIGINT AS n_ids FROM ({window_of_records(C.WINDOW_L)}) x WHERE len(input_ids) > 0")
+    q["filter_nonempty"] = with_q(R, f"SELECT rec_key, len(ids)::BIGINT - {C.TAIL_FROM} AS n_ids FROM ({tok_rows()}) x WHERE len(ids) > {C.TAIL_FROM}")
     q["split_counts"] = with_q(L, "SELECT count(*) AS num_total, count(*) FILTER (WHERE split = 'train') AS num_train, count(*) FILTER (WHERE split = 'val') AS num_val FROM labeled")
     q["dataset_sizes"] = with_q(L, f"""SELECT 'train' AS split, count(*) AS n FROM ({ordered_window('train', C.WINDOW_L)}) a
 UNION ALL SELECT 'eval' AS split, count(*) AS n FROM ({ordered_raw('val', C.RAW_L)}) b""")
@@ -281,22 +288,27 @@ UNION ALL SELECT 'eval' AS split, count(*) AS n FROM ({ordered_raw('val', C.RAW_
     q["seeded_shuffle"] = with_q(L, "SELECT rec_key, shuffle_key FROM keyed")
     q["exact_split"] = with_q(L, "SELECT rec_key, split FROM labeled")
     q["union_sources"] = with_q(R, "SELECT source, rec_key FROM records")
+    q["read_qa_files"] = with_q(sources(), """SELECT source, row_md5, count(*) AS n FROM (
+  SELECT source, md5(concat_ws('|', question, context)) AS row_md5 FROM squad_src
+  UNION ALL SELECT source, md5(concat_ws('|', question, context)) FROM squad_v2_src
+  UNION ALL SELECT source, md5(concat_ws('|', question, answer_value)) FROM trivia_src) x GROUP BY ALL""")
+    q["prepare_sources"] = with_q(R, "SELECT source, md5(instruction) AS instruction_md5, md5(output) AS output_md5, count(*) AS n FROM records GROUP BY ALL")
     q["py_trim"] = (f"SELECT doc_id, {rtrim(f'text || {WS}')} = text AS rtrim_same, "
                     f"length({trim(f'{WS} || chr(8203) || text || chr(32) || chr(65279)')})::BIGINT AS n_chars FROM documents")
     q["first_nonempty_key"] = with_q(sources(), f"SELECT rec_key, {first_nonempty(*[str_at('entity_pages', f'$[0].{k}') for k in ('wiki_context', 'text', 'content')])} AS picked FROM trivia_src")
-    q["find_subarray"] = with_q(R, f"""SELECT rec_key, ({find('ids', C.MARKER)})::BIGINT AS pos_marker,
-  ({find('ids', C.USER_TURN)})::BIGINT AS pos_user, ({find('ids', C.END_THEN_MARKER)})::BIGINT AS pos_end_marker,
-  ({find('ids', C.END_ID)})::BIGINT AS pos_end, (-1)::BIGINT AS pos_empty FROM ({tok_rows()}) x""")
-    m = len(C.MARKER)
+    q["find_subarray"] = with_q(R, f"""SELECT rec_key, ({find('ids', MARKER)})::BIGINT AS pos_marker,
+  ({find('ids', USER_TURN)})::BIGINT AS pos_user, ({find('ids', END_THEN_MARKER)})::BIGINT AS pos_end_marker,
+  ({find('ids', END_ID)})::BIGINT AS pos_end, (-1)::BIGINT AS pos_empty FROM ({tok_rows()}) x""")
+    m = len(MARKER)
     q["mask_labels"] = with_q(R, f"""SELECT rec_key, {digest(f"list_concat({repeat(-100, f'pos + {m}')}, ids[pos + {m + 1} : len(ids)])")} AS labels_md5
-FROM (SELECT rec_key, ids, {find('ids', C.MARKER)} AS pos FROM ({tok_rows()}) x) y WHERE pos >= 0""")
+FROM (SELECT rec_key, ids, {find('ids', MARKER)} AS pos FROM ({tok_rows()}) x) y WHERE pos >= 0""")
     q["mask_labels_keep"] = with_q(R, f"SELECT rec_key, {digest('labels')} AS labels_md5, len(list_filter(labels, lambda x: x <> -100))::BIGINT AS n_supervised FROM ({raw_of_records(C.RAW_L)}) x")
-    q["truncate_head"] = with_q(R, f"SELECT rec_key, len(ids[1 : {C.RAW_L}])::BIGINT AS n_ids, {digest(f'ids[1 : {C.RAW_L}]')} AS ids_md5 FROM ({tok_rows()}) x")
+    q["truncate_head"] = with_q(R, f"SELECT rec_key, len(ids[1 : {C.TRUNCATE_L}])::BIGINT AS n_ids, {digest(f'ids[1 : {C.TRUNCATE_L}]')} AS ids_md5 FROM ({tok_rows()}) x")
     q["write_jsonl"] = with_q(L, "SELECT instruction, output FROM labeled WHERE split = 'val'")
     q["split_tokens"] = with_q(R, f"SELECT rec_key, len(t)::BIGINT AS n_tokens, md5(array_to_string(t, ' ')) AS tokens_md5 FROM (SELECT rec_key, {tokens_of(text_of())} AS t FROM records) x")
     q["encode_ids"] = with_q(R, f"SELECT rec_key, len(ids)::BIGINT AS n_ids, {digest('ids')} AS ids_md5 FROM ({tok_rows()}) x")
     q["encode_raw_path"] = with_q(R, f"SELECT {tok_digests('rec_key')} FROM ({raw_of_records(2048)}) x")
-    pad = C.TOK.pad_token_id
+    pad = PAD_ID
     padded = f"""SELECT ordinal, batch_id, width,
   list_concat(input_ids, {repeat(pad, 'width - len(input_ids)')}) AS p_ids,
   list_concat(attention_mask, {repeat(0, 'width - len(input_ids)')}) AS p_mask,

@@ -14,12 +14,12 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatmill.config import (DEFAULT_INCLUDE, DEFAULT_SEED, DEFAULT_TRAIN_SIZE, DEFAULT_VAL_FRACTION,
+from chatmill.config import (DEFAULT_INCLUDE, DEFAULT_SEED, DEFAULT_VAL_FRACTION,
                              NO_CONTEXT_PLACEHOLDER, SCRATCHPAD_TEXT, SYSTEM_PROMPT)
 from chatmill.operators import records as R
 from chatmill.functions.templates import render_instruction, render_output
 from chatmill.operators.context import resolve_context
-from chatmill.operators.ordinal import mix_caps
+from chatmill.operators.ordinal import mix_caps, prefix_cap
 from chatmill.operators.skew import HOT_ROWS
 from chatmill.operators.split import HASH, find_cutoff, label_split, preview, seeded_shuffle, val_count
 from chatmill.sources.schemas import METADATA
@@ -46,7 +46,7 @@ def union_sources(parts: list[DataFrame]) -> DataFrame:
 
 
 def build_records_by_union(spark: SparkSession, sf_dir: str, include=DEFAULT_INCLUDE,
-                           train_size: int | None = DEFAULT_TRAIN_SIZE, **tpl) -> DataFrame:
+                           train_size: int | None = None, **tpl) -> DataFrame:
     """S8 + L2 + U1 as a literal union of per-source plans (each scans and
     joins on its own); kept as the reference shape for tests."""
     if not include:
@@ -56,7 +56,7 @@ def build_records_by_union(spark: SparkSession, sf_dir: str, include=DEFAULT_INC
 
 
 def build_records(spark: SparkSession, sf_dir: str, include=DEFAULT_INCLUDE,
-                  train_size: int | None = DEFAULT_TRAIN_SIZE, system_prompt: str = SYSTEM_PROMPT,
+                  train_size: int | None = None, system_prompt: str = SYSTEM_PROMPT,
                   scratchpad: str = SCRATCHPAD_TEXT, placeholder: str = NO_CONTEXT_PLACEHOLDER,
                   struct_of_arrays: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
     """S8 + L2 + U1 in one pass: the three sources are views of the same
@@ -70,20 +70,16 @@ def build_records(spark: SparkSession, sf_dir: str, include=DEFAULT_INCLUDE,
     unknown = set(include) - set(tables.SOURCES)
     if unknown:
         raise ValueError(f"unknown sources {sorted(unknown)}; choose from {tables.SOURCES}")
-    caps = mix_caps(train_size) if train_size is not None else None
-    # a cap at or above the raw row count is a no-op: only binding caps need ordinals
-    n_raw = tables.count_user_turns(spark, sf_dir) if caps else 0
-    binding = {s: caps[s] for s in include if caps and caps[s] < n_raw}
-    pre_cap = max(binding.values()) if binding and len(binding) == len(include) else None
+    binding = {s: c for s, c in mix_caps(train_size).items() if s in include} if train_size is not None else {}
     trivia = "trivia_qa" in include
-    p = tables.qa_pairs(spark, sf_dir, pre_cap, keep_ordinal=bool(binding), pages=trivia, hot_rows=hot_rows)
+    p = tables.qa_pairs(spark, sf_dir, max(binding.values(), default=None), caps=tuple(sorted(set(binding.values()))), pages=trivia, hot_rows=hot_rows)
     if trivia:
         p = resolve_context(tables.evidence_fields(p), placeholder, "ev_context", struct_of_arrays=struct_of_arrays)
     q, ctx, ans = F.col("question"), F.col("doc_text"), F.col("answer_text")
     texts = F.when(ans.isNotNull(), F.array(ans)).otherwise(F.array().cast("array<string>"))
 
     def capped(source):
-        return F.col("ordinal") < F.lit(binding[source]) if source in binding else F.lit(True)
+        return F.col(tables.cap_column(binding[source])) if source in binding else F.lit(True)
 
     # stage 1: each rendered string once, with the per-source keep flags
     cols = {"conv_id": F.col("conv_id"), "turn": F.col("turn"),
@@ -117,11 +113,47 @@ def metadata_frame(counts: DataFrame, include, seed: int, system_prompt: str = S
 
 
 def prepare(spark: SparkSession, sf_dir: str, out_dir: str, include=DEFAULT_INCLUDE,
-            train_size: int = DEFAULT_TRAIN_SIZE, val_fraction: float = DEFAULT_VAL_FRACTION,
+            train_size: int | None = None, val_fraction: float = DEFAULT_VAL_FRACTION,
             seed: int = DEFAULT_SEED, overwrite: bool = True, **tpl) -> dict:
-    """Run the whole prepare step; returns the metadata as a dict."""
+    """Run the whole prepare step over the given tables; returns the metadata as a dict."""
+    sinks.refuse_existing(spark, outputs(out_dir), overwrite)
+    recs = build_records(spark, sf_dir, include, train_size, **tpl)
+    return write_prepared(spark, recs, out_dir, include, val_fraction, seed, overwrite, tpl.get("system_prompt", SYSTEM_PROMPT))
+
+
+def prepare_sources(spark: SparkSession, sources: dict[str, DataFrame], out_dir: str, train_size: int | None = None,
+                    val_fraction: float = DEFAULT_VAL_FRACTION, seed: int = DEFAULT_SEED, overwrite: bool = True, **tpl) -> dict:
+    """Prepare over independent sources: ``squad``, ``squad_v2``, ``trivia_qa``
+    from ``sources.qa_files`` (or any frames of their schemas with a rec_key)."""
+    sinks.refuse_existing(spark, outputs(out_dir), overwrite)
+    recs = records_of(sources, train_size, **tpl)
+    return write_prepared(spark, recs, out_dir, list(sources), val_fraction, seed, overwrite, tpl.get("system_prompt", SYSTEM_PROMPT))
+
+
+def records_of(sources: dict[str, DataFrame], train_size: int | None = None, system_prompt: str = SYSTEM_PROMPT,
+               scratchpad: str = SCRATCHPAD_TEXT, placeholder: str = NO_CONTEXT_PLACEHOLDER) -> DataFrame:
+    """S8 + L2 + U1 over independent inputs, capped in source order."""
+    if not sources:
+        raise ValueError("include at least one source")
+    unknown = set(sources) - set(tables.SOURCES)
+    if unknown:
+        raise ValueError(f"unknown sources {sorted(unknown)}; choose from {tables.SOURCES}")
+    caps = mix_caps(train_size) if train_size is not None else {}
+    tpl = dict(system_prompt=system_prompt, scratchpad=scratchpad)
+    make = {"squad": R.span_qa_records, "squad_v2": R.span_qa_v2_records,
+            "trivia_qa": lambda d, **t: R.evidence_qa_records(d, placeholder=placeholder, **t)}
+    return union_sources([make[s](prefix_cap(d, caps.get(s)), **tpl) for s, d in sources.items()])
+
+
+def outputs(out_dir: str) -> list[str]:
+    return [f"{out_dir.rstrip('/')}/{name}" for name in ("train.jsonl", "val.jsonl", "metadata.json")]
+
+
+def write_prepared(spark: SparkSession, recs: DataFrame, out_dir: str, include, val_fraction: float, seed: int,
+                   overwrite: bool, system_prompt: str) -> dict:
+    """Stage the records once, split them exactly, write everything."""
     mode = sinks.save_mode(overwrite)
-    recs = seeded_shuffle(build_records(spark, sf_dir, include, train_size, **tpl), seed)
+    recs = seeded_shuffle(recs, seed)
     stage = scratch_path(spark, "records")
     recs.write.parquet(stage)
     staged = spark.read.parquet(stage)
@@ -133,8 +165,9 @@ def prepare(spark: SparkSession, sf_dir: str, out_dir: str, include=DEFAULT_INCL
     sinks.write_jsonl(labeled.where(F.col("split") == "train"), f"{out}/train.jsonl", mode, order)
     sinks.write_jsonl(labeled.where(F.col("split") == "val"), f"{out}/val.jsonl", mode, order)
     result = {"num_total": n_total, "num_train": n_total - n_val, "num_val": n_val, "include": list(include),
-              "seed": int(seed), "system": tpl.get("system_prompt", SYSTEM_PROMPT)}
+              "seed": int(seed), "system": system_prompt}
     meta = spark.createDataFrame([tuple(result[f.name] for f in METADATA.fields)], METADATA)
     sinks.write_metadata(meta, f"{out}/metadata.json", mode)
     result["preview"] = [r.asDict() for r in preview(labeled).collect()]
+    sinks.remove(spark, stage)
     return result

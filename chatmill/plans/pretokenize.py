@@ -1,52 +1,45 @@
 """Pretokenize (X6): JSONL split -> window-cropped, masked token rows -> Parquet.
 
-One narrow stage per split (scan -> encode -> window -> mask -> emit). The
-input order is the prepared shuffle order, and it is kept without a
-shuffle: each row carries its source ordinal and the rank of its input
-split; the writer puts every split's rows, sorted by ordinal inside the
-task, under its own zero-padded ``seg=`` directory. File-path order is then
-row order for the next step's ordinals.
+One narrow stage per split (scan -> encode -> window -> mask -> emit), written
+as plain part files. Input order is kept without a shuffle: every row carries
+the input file and split it came from, and rows of one split stay in order, so
+the next step's ordinals follow the input (``operators.ordinal``).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from chatmill.config import WINDOW_MAX_LENGTH
 from chatmill.operators.encode import Tokenizer, filter_nonempty, tokenize_and_mask
-from chatmill.operators.ordinal import SEGMENT, with_ordinal
+from chatmill.operators.ordinal import FROM_BLOCK, FROM_FILE, positions_of, source_columns
 from chatmill.sources import sinks
 from chatmill.sources.files import try_scan, scan_jsonl
 
 
-def ordered_write(df: DataFrame, path: str, mode: str, order: str = "ordinal") -> None:
-    """Order-keeping write with no exchange: a local sort by (segment, ordinal)
-    inside each task, one directory per input split."""
-    (df.sortWithinPartitions(SEGMENT, order)
-       .select(SEGMENT, "input_ids", "attention_mask", "labels")
-       .write.mode(mode).partitionBy(SEGMENT).parquet(path))
-
-
 def pretokenize_frame(records: DataFrame, tok: Tokenizer = Tokenizer(),
                       max_length: int = WINDOW_MAX_LENGTH) -> DataFrame:
-    """Window path over positioned JSONL rows; keeps ``ordinal`` and ``seg``."""
-    x = with_ordinal(records, "ordinal", SEGMENT)
-    return filter_nonempty(tokenize_and_mask(x, tok, max_length, keep=["ordinal", SEGMENT]))
+    """Window path over positioned JSONL rows; keeps the positions."""
+    return filter_nonempty(tokenize_and_mask(records, tok, max_length, keep=positions_of(records)))
 
 
 def pretokenize_split(spark: SparkSession, split: str, in_path: str, out_dir: str, tok: Tokenizer = Tokenizer(),
                       max_length: int = WINDOW_MAX_LENGTH, overwrite: bool = True) -> str | None:
     """One split; a missing input is skipped (returns None)."""
+    out = f"{out_dir.rstrip('/')}/{split}_tokenized"
+    sinks.refuse_existing(spark, [out], overwrite)
     src = try_scan(scan_jsonl, spark, in_path)
     if src is None:
         print(f"skipping {split}: no file at {in_path}")
         return None
-    out = f"{out_dir.rstrip('/')}/{split}_tokenized"
-    ordered_write(pretokenize_frame(src, tok, max_length), out, sinks.save_mode(overwrite))
+    rows = source_columns(pretokenize_frame(src, tok, max_length)).withColumn("n_ids", F.size("input_ids"))
+    sinks.write_tokenized(rows, out, sinks.save_mode(overwrite), extra=(FROM_FILE, FROM_BLOCK, "n_ids"))
     return out
 
 
 def pretokenize(spark: SparkSession, train_file: str, val_file: str, out_dir: str, tok: Tokenizer = Tokenizer(),
                 max_length: int = WINDOW_MAX_LENGTH, overwrite: bool = True) -> dict:
+    sinks.refuse_existing(spark, [f"{out_dir.rstrip('/')}/{s}_tokenized" for s in ("train", "val")], overwrite)
     return {s: pretokenize_split(spark, s, f, out_dir, tok, max_length, overwrite)
             for s, f in (("train", train_file), ("val", val_file))}

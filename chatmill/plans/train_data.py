@@ -4,12 +4,12 @@ cap, and collate into padded batches (S6, S7, X2r, L3, X4, A2)."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from chatmill.config import EVAL_BATCH_SIZE, PAD_MULTIPLE, RAW_MAX_LENGTH, TRAIN_BATCH_SIZE
 from chatmill.operators.batching import pad_batches
 from chatmill.operators.encode import Tokenizer, encode_raw
-from chatmill.operators.ordinal import SEGMENT, SRC_BLOCK, SRC_FILE, head_cap, with_ordinal
-from chatmill.session import shared_dir
+from chatmill.operators.ordinal import head_cap, positions_of, stage_in_order, with_ordinal
 from chatmill.sources.files import resolve_split
 
 
@@ -18,16 +18,14 @@ def load_split(spark: SparkSession, tokenized_dir: str | None, raw_file: str | N
                bos_id: int | None = None) -> tuple[str, DataFrame] | None:
     """Rows (ordinal, input_ids, attention_mask, labels) of one split, or None."""
     def raw(df):
-        # tokenize once: the ordinal and batching passes read the checkpoint
-        # (shared folder, partitions kept in order) instead of re-encoding
-        shared_dir(spark)
-        return encode_raw(df, tok, max_length, bos_id, keep=[SRC_FILE, SRC_BLOCK]).checkpoint(eager=True)
+        # tokenize once: the ordinal and batching passes read the staged columns they need
+        rows = encode_raw(df, tok, max_length, bos_id, keep=positions_of(df))
+        return stage_in_order(rows.withColumn("n_ids", F.size("input_ids")), "encoded")
     found = resolve_split(spark, tokenized_dir, raw_file, raw)
     if found is None:
         return None
     origin, df = found
-    df = df.drop(SEGMENT) if SEGMENT in df.columns else df
-    return origin, head_cap(with_ordinal(df, "ordinal", SEGMENT), max_samples)
+    return origin, head_cap(with_ordinal(df), max_samples)
 
 
 def load_datasets(spark: SparkSession, train_dir=None, train_file=None, eval_dir=None, eval_file=None,
@@ -35,7 +33,7 @@ def load_datasets(spark: SparkSession, train_dir=None, train_file=None, eval_dir
                   max_train_samples=None, max_eval_samples=None):
     """Both splits; training data is required, evaluation data optional."""
     train = load_split(spark, train_dir, train_file, tok, max_length, max_train_samples)
-    if train is None:
+    if train is None or train[1].isEmpty():
         raise ValueError("No training dataset found. Provide a train file or a tokenized train directory.")
     evald = load_split(spark, eval_dir, eval_file, tok, max_length, max_eval_samples)
     return train, evald
@@ -44,17 +42,16 @@ def load_datasets(spark: SparkSession, train_dir=None, train_file=None, eval_dir
 def collate(df: DataFrame, tok: Tokenizer = Tokenizer(), batch_size: int = TRAIN_BATCH_SIZE,
             mixed_precision: bool = True) -> DataFrame:
     """Padded batches; multiple of 8 only under mixed precision."""
-    keep = [SEGMENT] if SEGMENT in df.columns else []
-    return pad_batches(df, batch_size, tok.pad_token_id, PAD_MULTIPLE if mixed_precision else None, keep=keep)
+    return pad_batches(df, batch_size, tok.pad_token_id, PAD_MULTIPLE if mixed_precision else None)
 
 
 def write_batches(batches: DataFrame, path: str, overwrite: bool = True) -> None:
-    """Padded batches (D9) as Parquet in row order, without a shuffle: a local
-    sort by (input split, ordinal) and one directory per input split."""
+    """Padded batches (D9) as Parquet; each batch is whole in one file, and
+    ``ordinal`` and ``batch_id`` give the order."""
     mode = "overwrite" if overwrite else "errorifexists"
-    (batches.sortWithinPartitions(SEGMENT, "ordinal")
-     .select(SEGMENT, "batch_id", "width", "input_ids", "attention_mask", "labels")
-     .write.mode(mode).partitionBy(SEGMENT).parquet(path))
+    (batches.sortWithinPartitions("ordinal")
+     .select("ordinal", "batch_id", "width", "input_ids", "attention_mask", "labels")
+     .write.mode(mode).parquet(path))
 
 
 __all__ = ["load_split", "load_datasets", "collate", "write_batches", "TRAIN_BATCH_SIZE", "EVAL_BATCH_SIZE"]

@@ -41,6 +41,8 @@ def shared_dir(spark: SparkSession) -> str:
     path = spark.conf.get(_CHECKPOINT_KEY, None) or sc.getConf().get(_CHECKPOINT_KEY, None)
     if not path:
         path = sc.getCheckpointDir()
+    if not path and not (sc.master == "local" or sc.master.startswith("local[")):
+        raise RuntimeError(f"set {_CHECKPOINT_KEY} to a folder that all executors share")
     if not path:
         path = tempfile.mkdtemp(prefix="chatmill-ckpt-")
         spark.conf.set(_CHECKPOINT_KEY, path)
@@ -49,7 +51,7 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
-_TASK_MODULES = ("chatmill.operators.batching", "chatmill.operators.vocab", "chatmill.functions.subword")
+_TASK_MODULES = ("chatmill.operators.vocab", "chatmill.functions.subword")
 _by_value: set = set()
 
 

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from chatmill.operators.ordinal import scan_with_position
-from chatmill.sources.schemas import RECORD, TOKENIZED
+from chatmill.sources.schemas import RECORD, TOKENIZED, TOKENIZED_ORIGIN
 
 
 def scan_jsonl(spark: SparkSession, path: str, positioned: bool = True) -> DataFrame:
@@ -20,7 +21,9 @@ def scan_jsonl(spark: SparkSession, path: str, positioned: bool = True) -> DataF
 def scan_tokenized(spark: SparkSession, path: str, positioned: bool = True) -> DataFrame:
     """Pre-tokenized Parquet directory."""
     if positioned:
-        return scan_with_position(spark, path, "parquet", TOKENIZED)
+        have = set(spark.read.parquet(path).columns)
+        fields = [f for f in TOKENIZED_ORIGIN.fields if f.name in have]
+        return scan_with_position(spark, path, "parquet", StructType(TOKENIZED.fields + fields))
     return spark.read.schema(TOKENIZED).parquet(path)
 
 

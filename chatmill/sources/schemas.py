@@ -34,13 +34,10 @@ TOKENIZED = T.StructType([                    # D7
     T.StructField("labels", IDS, True),
 ])
 
-LONG_IDS = T.ArrayType(T.LongType(), containsNull=False)
-PADDED = T.StructType([                       # D9
-    T.StructField("batch_id", T.LongType(), False),
-    T.StructField("width", T.IntegerType(), False),
-    T.StructField("input_ids", LONG_IDS, True),
-    T.StructField("attention_mask", LONG_IDS, True),
-    T.StructField("labels", LONG_IDS, True),
+TOKENIZED_ORIGIN = T.StructType([             # of D7 as written here: length, and where a row came from
+    T.StructField("n_ids", T.IntegerType(), True),
+    T.StructField("src_file", T.StringType(), True),
+    T.StructField("src_block", T.LongType(), True),
 ])
 
 METADATA = T.StructType([                     # D10

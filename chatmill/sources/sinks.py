@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 SAVE_MODES = ("errorifexists", "overwrite")
 
@@ -31,9 +31,25 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite", order_by=None
     out.write.mode(mode).option("ignoreNullFields", "false").json(path)
 
 
-def write_tokenized(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """``<out>/<split>_tokenized`` as Parquet."""
-    df.select("input_ids", "attention_mask", "labels").write.mode(mode).parquet(path)
+def refuse_existing(spark: SparkSession, paths: list[str], overwrite: bool) -> None:
+    """W4, before any work starts: raise if an output exists and may not be replaced."""
+    if overwrite:
+        return
+    for path in paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        if p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
+            raise FileExistsError(f"{path} exists; pass overwrite=True to replace it")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a staged table that nothing reads any more."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def write_tokenized(df: DataFrame, path: str, mode: str = "overwrite", extra: tuple[str, ...] = ()) -> None:
+    """``<out>/<split>_tokenized`` as Parquet, with ``extra`` columns."""
+    df.select("input_ids", "attention_mask", "labels", *extra).write.mode(mode).parquet(path)
 
 
 def write_metadata(meta: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatmill.operators.ordinal import SRC_BLOCK, SRC_FILE, prefix_cap, scan_with_position, with_ordinal
+from chatmill.operators.ordinal import SRC_FILE, SRC_ROW, cap_condition, prefix_cap, scan_with_position
 from chatmill.operators.skew import HOT_ROWS, SALT, hot_keys, salt_big, salt_small
 
 SOURCES = ("squad", "squad_v2", "trivia_qa")
@@ -42,27 +42,24 @@ def rec_key(source: str) -> Column:
     return F.concat_ws(":", F.lit(source), F.col("conv_id").cast("string"), F.col("turn").cast("string"))
 
 
-def user_turns(spark: SparkSession, sf_dir: str, cap: int | None = None, keep_ordinal: bool = False) -> DataFrame:
+def cap_column(cap: int) -> str:
+    return f"_within_{cap}"
+
+
+def user_turns(spark: SparkSession, sf_dir: str, cap: int | None = None, caps: tuple[int, ...] = ()) -> DataFrame:
     """Raw QA rows (user turns) in source order, first ``cap`` only (L1);
-    ``keep_ordinal`` keeps each row's raw-row ordinal (computed even without a cap)."""
-    if cap is None and not keep_ordinal:      # no position needed: plain scan
+    ``caps`` adds a column for each that says whether a row is within it."""
+    if cap is None and not caps:              # no position needed: plain scan
         return read_table(spark, sf_dir, "conversations").where(F.col("role") == "user").select(
             "conv_id", "turn", F.col("text").alias("question"))
     conv = scan_with_position(spark, table_path(sf_dir, "conversations"))
     users = conv.where(F.col("role") == "user").select(
-        "conv_id", "turn", F.col("text").alias("question"), SRC_FILE, SRC_BLOCK)
-    if keep_ordinal:
-        users = with_ordinal(users)
-    cols = ["conv_id", "turn", "question"] + (["ordinal"] if keep_ordinal else [])
-    return prefix_cap(users, cap).select(*cols)
-
-
-def count_user_turns(spark: SparkSession, sf_dir: str) -> int:
-    """Raw QA row count (one pruned column, pushed-down filter)."""
-    return read_table(spark, sf_dir, "conversations").where(F.col("role") == "user").count()
+        "conv_id", "turn", F.col("text").alias("question"), SRC_FILE, SRC_ROW)
+    kept = prefix_cap(users, cap)
+    return kept.select("conv_id", "turn", "question", *[cap_condition(users, c).alias(cap_column(c)) for c in caps])
 
 
-def qa_pairs(spark: SparkSession, sf_dir: str, cap: int | None = None, keep_ordinal: bool = False,
+def qa_pairs(spark: SparkSession, sf_dir: str, cap: int | None = None, caps: tuple[int, ...] = (),
              pages: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
     """User turn + following assistant turn (if any) + conversation document
     (+ page). The (conv_id, turn) join cannot be skewed by one conversation;
@@ -70,7 +67,7 @@ def qa_pairs(spark: SparkSession, sf_dir: str, cap: int | None = None, keep_ordi
     conv = read_table(spark, sf_dir, "conversations")
     answers = conv.where(F.col("role") == "assistant").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer_text"))
-    users = user_turns(spark, sf_dir, cap, keep_ordinal)
+    users = user_turns(spark, sf_dir, cap, caps)
     # counted on the raw user turns (two columns, no ordinal): a key hot after
     # the cap is hot before it, and salting a cooler key is harmless
     hot = hot_keys(conv.where(F.col("role") == "user").select("conv_id"), "conv_id", hot_rows)
