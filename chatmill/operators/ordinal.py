@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from chatmill.session import scratch_path
+from chatmill.session import stage
 
 SRC_FILE, SRC_BLOCK, SRC_ROW = "_src_file", "_src_block", "_src_row"
 # where the rows of a staged or tokenized table came from
@@ -62,8 +62,7 @@ def source_columns(df: DataFrame) -> DataFrame:
 def stage_in_order(df: DataFrame, label: str = "ordered") -> DataFrame:
     """Write the rows of a positioned scan (after narrow steps) once, and read
     them with positions that stay as they are."""
-    path = scratch_path(df.sparkSession, label)
-    source_columns(df).write.parquet(path)
+    path = stage(source_columns(df), label)
     return scan_with_position(df.sparkSession, path)
 
 
@@ -86,9 +85,7 @@ def with_ordinal(df: DataFrame, name: str = "ordinal") -> DataFrame:
     in_order = Window.orderBy(file_order(F.col("_file")), "_block", file_order(F.col(SRC_FILE)), "_row0")
     runs = runs.withColumn("_n", whole).select(
         *keys, "_row0", F.coalesce(F.sum("_n").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    path = scratch_path(df.sparkSession, "runs")
-    runs.write.parquet(path)
-    runs = df.sparkSession.read.parquet(path)
+    runs = df.sparkSession.read.parquet(stage(runs, "runs"))
     small = runs.count() <= MAX_BROADCAST_RUNS
     out = x.join(F.broadcast(runs) if small else runs, keys, "left")
     place = F.when(F.col("_off").isNull(), F.raise_error(F.lit("with_ordinal: a row without an offset")).cast("long")).otherwise(

@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chatmill.session import scratch_path
+from chatmill.session import stage
 
 SALT = "_salt"
 HOT_ROWS = 100_000
@@ -36,9 +36,7 @@ def hot_keys(counts_src: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataF
     n = F.count(F.lit(1)).alias("_n")
     hot = (counts_src.groupBy(key).agg(n).where(F.col("_n") > F.lit(hot_rows))
            .select(key, F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_salts")))
-    path = scratch_path(counts_src.sparkSession, "hot-keys")
-    hot.write.parquet(path)
-    hot = counts_src.sparkSession.read.schema(hot.schema).parquet(path)
+    hot = counts_src.sparkSession.read.schema(hot.schema).parquet(stage(hot, "hot-keys"))
     return None if hot.isEmpty() else hot
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatmill.config import DEFAULT_SEED, DEFAULT_VAL_FRACTION, PREVIEW_INSTRUCTION_CHARS, PREVIEW_OUTPUT_CHARS
-from chatmill.session import scratch_path
+from chatmill.session import stage
 
 HASH = "shuffle_key"
 _BITS, _LEVEL = 60, 12
@@ -127,9 +127,7 @@ def exact_split(df: DataFrame, val_fraction: float = DEFAULT_VAL_FRACTION, seed:
     passes and the result read that copy."""
     if HASH not in df.columns:
         df = seeded_shuffle(df, seed, key)
-    path = scratch_path(df.sparkSession, "split")
-    df.write.parquet(path)
-    staged = df.sparkSession.read.schema(df.schema).parquet(path)
+    staged = df.sparkSession.read.schema(df.schema).parquet(stage(df, "split"))
     _, cutoff = find_cutoff(staged, val_fraction, key)
     return label_split(staged, cutoff, key)
 

@@ -23,7 +23,7 @@ from chatmill.operators.ordinal import mix_caps, prefix_cap
 from chatmill.operators.skew import HOT_ROWS
 from chatmill.operators.split import HASH, find_cutoff, label_split, preview, seeded_shuffle, val_count
 from chatmill.sources.schemas import METADATA
-from chatmill.session import scratch_path
+from chatmill.session import stage
 from chatmill.sources import sinks, tables
 
 
@@ -154,9 +154,8 @@ def write_prepared(spark: SparkSession, recs: DataFrame, out_dir: str, include,
     """Stage the records once, split them exactly, write everything."""
     mode = sinks.save_mode(overwrite)
     recs = seeded_shuffle(recs, seed)
-    stage = scratch_path(spark, "records")
-    recs.write.parquet(stage)
-    staged = spark.read.parquet(stage)
+    path = stage(recs, "records")
+    staged = spark.read.parquet(path)
     n_total, cutoff = find_cutoff(staged, val_fraction)      # exact counts come with the cutoff
     labeled = label_split(staged, cutoff)
     n_val = val_count(n_total, val_fraction)
@@ -169,5 +168,5 @@ def write_prepared(spark: SparkSession, recs: DataFrame, out_dir: str, include,
     meta = spark.createDataFrame([tuple(result[f.name] for f in METADATA.fields)], METADATA)
     sinks.write_metadata(meta, f"{out}/metadata.json", mode)
     result["preview"] = [r.asDict() for r in preview(labeled).collect()]
-    sinks.remove(spark, stage)
+    sinks.remove(spark, path)
     return result

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -73,3 +73,18 @@ def ship_package(spark: SparkSession | None = None) -> None:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, unique path under the shared folder for one staged table."""
     return f"{shared_dir(spark)}/chatmill-{label}-{uuid.uuid4().hex[:12]}"
+
+
+def stage(df: DataFrame, label: str) -> str:
+    """Write ``df`` as Parquet to a fresh path in the shared folder; it is
+    deleted when the driver ends. Returns the path."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    delete_at_exit(df.sparkSession, path)
+    return path
+
+
+def delete_at_exit(spark: SparkSession, *paths: str) -> None:
+    for path in paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
