@@ -10,7 +10,7 @@ import types
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatmill.session import scratch_path
+from chatmill.session import stage
 
 #: A null id sorts as this value, before every other id.
 NULL_ID = -(2**63)
@@ -26,9 +26,9 @@ def text_of(col: str | Column) -> Column:
 
 
 def staged(df: DataFrame, label: str) -> tuple[DataFrame, str]:
-    """Write ``df`` as Parquet to the shared folder and read it back."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    """Write ``df`` as Parquet to the shared folder and read it back; it is
+    deleted when the driver ends, or by ``discard``."""
+    path = stage(df, label)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, decontaminate, fingerprints, neardup, quality, sharding, suffix_dedup, token_files, toxicity, warc
-from chatmill.session import scratch_path
+from chatmill.session import delete_at_exit, scratch_path
 
 from .common import table
 
@@ -48,6 +48,7 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
     token_files.write_tokens(table(spark, sf_dir, "documents"), vocabulary(), path)
+    delete_at_exit(spark, path)
     return token_files.read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
@@ -67,6 +68,7 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write_warc(table(spark, sf_dir, "pages"), path)
+    delete_at_exit(spark, path)
     records, _ = warc.read_warc(spark, path)
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 

@@ -20,10 +20,10 @@ from __future__ import annotations
 import math
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chatmill.session import scratch_path
+from chatmill.session import delete_at_exit, scratch_path
 
 from . import suffix_runs
 from .common import discard, ship, staged, text_of
@@ -36,18 +36,13 @@ SAMPLE_DOCS, SAMPLE_GRAMS = 2_000, 16
 _LAST_ID = 2**63 - 1
 
 
-def _bucketed(df: DataFrame, key: str, buckets: int) -> tuple[DataFrame, str]:
+def _bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
     spark, name = df.sparkSession, f"chatmill_{uuid.uuid4().hex[:12]}"
     path = scratch_path(spark, "chunks")
     (df.repartition(buckets, key).sortWithinPartitions(key).write.bucketBy(buckets, key).sortBy(key)
      .option("path", path).option("compression", "zstd").saveAsTable(name, format="parquet"))
-    return spark.table(name), path
-
-
-def _delete_at_exit(spark: SparkSession, *paths: str) -> None:
-    for path in paths:
-        p = spark._jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
+    delete_at_exit(spark, path)
+    return spark.table(name)
 
 
 def _splitters(docs: DataFrame, n_docs: int, ranges: int) -> list[bytes]:
@@ -80,23 +75,22 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     buckets = max(1, math.ceil(chunks / CHUNKS_PER_BUCKET))
     ranges = max(buckets, min(chunks, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     dealt = rows.select(F.pmod(F.xxhash64("id"), F.lit(chunks)).cast("long").alias("chunk"), "id", "text", *held)
-    table, table_path = _bucketed(dealt, "chunk", buckets)
+    table = _bucketed(dealt, "chunk", buckets)
 
     texts = table.select("chunk", "id", "text")
     announced = texts.groupBy("chunk").applyInArrow(suffix_runs.announcer(ranges), "bucket long, chunk long, hashes binary")
     shared, shared_path = staged(announced.groupBy("bucket").applyInArrow(suffix_runs.matcher, "chunk long, hashes binary"), "shared")
-    runs, runs_path = staged(texts.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(
+    runs, _ = staged(texts.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(
         suffix_runs.sorter(_splitters(rows, n_docs, ranges)), suffix_runs.RUN_FIELDS), "runs")
     answers = runs.where("kind = 0").select("bucket", "chunk", "a", "b", "c", "d").groupBy("bucket").applyInArrow(
         suffix_runs.merger, "chunk long, a binary, c binary, d binary")
-    answers, answers_path = staged(answers, "answers")
+    answers, _ = staged(answers, "answers")
     discard(spark, shared_path)
     told = runs.where("kind = 1").select("chunk", "kind", "a", "b", "c", "d").union(
         answers.select("chunk", F.lit(0).alias("kind"), "a", F.lit(None).cast("binary").alias("b"), "c", "d"))
     fields = ["id long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary",
               *[f"{n} {table.schema[n].dataType.simpleString()}" for n in held]]
     out = table.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(suffix_runs.remover(characters), ", ".join(fields))
-    _delete_at_exit(spark, table_path, runs_path, answers_path)
     return out.select(F.when(F.col("id") != _LAST_ID, F.col("id")).alias("doc_id"), "n_bytes", "n_removed", "spans", "kept",
                       *[F.col(n).alias(c) for n, c in zip(held, carry)])
 
