@@ -7,14 +7,17 @@ class, whose representative alone goes on. Representatives that share a band
 are compared on their full sets.
 
 No bucket emits all its pairs. Its members are compared with its centre, the
-smallest member; then, for the buckets that still hold unlinked members, with
-4, 16, ... further centres until every member has been one or all are linked.
-So no pair of unlinked members of a bucket is left out. Two sets of Jaccard
-similarity 0.8 share none of the 28 bands with a chance of about 4e-7.
+smallest member. The members of buckets that still are in several components
+go on into finer buckets, keyed by each of their rarest shingles: two sets that
+are alike share one of these for certain. There they are compared with one
+centre, then with 8, 64, ... until every member has been one or all are linked.
+So no pair that shares a band is left out. Two sets of Jaccard similarity 0.8
+share none of the 28 bands with a chance of about 4e-7.
 """
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +26,9 @@ from .common import NULL_ID, discard, ship, staged
 from .components import components
 
 BANDS, PERMS_PER_BAND = 28, 2
+#: Documents whose shingles are counted to tell rare ones, and shingles kept of
+#: them. They set how fine the finer buckets are; any order is exact.
+SAMPLE_DOCS, SAMPLE_SHINGLES = 2_000, 200_000
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -82,6 +88,24 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
         left = pairs.join(compared, ["a", "b"], "left_anti").join(s("a"), "a").join(s("b"), "b").where(fits)
         return labelled(labelled(left, "a", "la"), "b", "lb").where("la != lb").select("a", "b", "shared")
 
+    def still_open(rows: DataFrame) -> DataFrame:
+        """The (key, node) whose key holds several components."""
+        rows = labelled(rows, "node", "label")
+        mixed = rows.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
+        return rows.join(mixed, "key").select("key", "node")
+
+    def finer(rows: DataFrame) -> DataFrame:
+        """(key, node) of the rarest shingles of the nodes of ``rows``."""
+        some = texts.join(rows.select("node").distinct(), "node")
+        drawn = some.orderBy(F.xxhash64("node"), "node").limit(SAMPLE_DOCS).select("text")
+        seen = drawn.mapInArrow(shingle_sets.gram_counter(size), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+        top = seen.where("n > 1").orderBy(F.col("n").desc(), "shingle").limit(SAMPLE_SHINGLES).toPandas()
+        known = top["shingle"].to_numpy(np.int64).view(np.uint64)
+        order = np.argsort(known)
+        common = spark.sparkContext.broadcast((known[order], top["n"].to_numpy(np.int64)[order]))
+        keyed = some.mapInArrow(shingle_sets.prefixer(size, percent, common), "node long, keys array<long>")
+        return keyed.select("node", F.explode("keys").alias("key")).distinct()
+
     centres_each, turn = 1, 0
     while not members.isEmpty():
         part = F.pmod(F.xxhash64("key", "node", F.lit(turn)), F.lit(centres_each))
@@ -94,12 +118,14 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
             compare(best.select((-F.col("m.col2")).alias("a"), "b"))
             pairs = open_pairs(pairs)
         compare(pairs)
-        left = labelled(members.join(centres.withColumnRenamed("c", "node"), ["key", "node"], "left_anti"), "node", "label")
-        mixed = left.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
-        members, newer = staged(left.join(mixed, "key").select("key", "node"), "members")
+        members, newer = staged(still_open(members.join(centres.withColumnRenamed("c", "node"), ["key", "node"], "left_anti")), "members")
         discard(spark, members_path, pairs_path)
-        members_path, turn = newer, turn + 1
-        centres_each = 4 ** max(0, turn - 1)
+        members_path = newer
+        if turn == 0 and not members.isEmpty():
+            members, newer = staged(still_open(finer(members)), "members")
+            discard(spark, members_path)
+            members_path = newer
+        centres_each, turn = 8 ** turn, turn + 1
 
     node_of = classes.select("digest", "node")
     out = labelled(sig.select("id", "n_shingles", "digest").join(node_of, "digest", "left").withColumn("node", F.coalesce("node", "id")), "node", "component")

@@ -78,6 +78,37 @@ def signer(size: int, bands: int, perms: int):
     return run
 
 
+def gram_counter(size: int):
+    """(text) -> (shingle, texts), summed over a batch."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache: dict[bytes, int] = {}
+        for batch in batches:
+            sets = [shingle_set(t, size, cache) for t in batch.column(0).to_pylist()]
+            values, counts = np.unique(np.concatenate([np.empty(0, np.uint64), *sets]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(counts.astype(np.int64))], ["shingle", "n"])
+    return run
+
+
+def prefixer(size: int, percent: int, common):
+    """(node, text) -> (node, keys): the rarest shingles, one more than a set
+    may lack of another that is alike to ``percent``. Rare are those that
+    ``common`` (shingles, counts) lacks, then those it counts least; ties go by
+    value. By this order two sets that are alike share a key."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache: dict[bytes, int] = {}
+        known, counts = common.value
+        for batch in batches:
+            keys = []
+            for text in batch.column(1).to_pylist():
+                values = shingle_set(text, size, cache)
+                at = np.minimum(np.searchsorted(known, values), max(0, len(known) - 1))
+                often = np.where(known[at] == values, counts[at], 0) if len(known) else np.zeros(len(values), np.int64)
+                take = len(values) - (percent * len(values) + 99) // 100 + 1
+                keys.append(values[np.lexsort((values, often))[:take]].view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.list_(pa.int64()))], ["node", "keys"])
+    return run
+
+
 def comparer(size: int, percent: int):
     """Keeps the pairs (a, b, text_a, text_b) whose full sets are alike."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
