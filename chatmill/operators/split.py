@@ -73,10 +73,11 @@ def _with_tie(df: DataFrame, key: str) -> DataFrame:
 
 
 def find_cutoff(df: DataFrame, val_fraction: float, key: str = "rec_key") -> tuple[int, tuple | None]:
-    """(n_total, cutoff): the row count and the (shuffle_key, key, tie, copies)
-    of the ``int(n * val_fraction)``-th smallest row (None when that is 0);
-    ``copies`` of the rows equal to it in all columns are taken. The first
-    histogram pass also yields the row count."""
+    """(n_total, cutoff): the row count and the (shuffle_key, key) of the
+    ``int(n * val_fraction)``-th smallest row (None when that is 0). If other
+    rows have its key too, (shuffle_key, key, tie, copies): ``copies`` of the
+    rows equal to it in all columns are taken. The first histogram pass also
+    yields the row count."""
     rows = df.select(HASH, key)
     hist = _histogram(rows, 0)
     n_total = sum(c for _, c in hist)
@@ -99,16 +100,23 @@ def find_cutoff(df: DataFrame, val_fraction: float, key: str = "rec_key") -> tup
     ranked = scope.groupBy(HASH, key, TIE).agg(F.count(F.lit(1)).alias("n")).orderBy(HASH, key, TIE)
     for r in ranked.toLocalIterator():
         if rest <= r["n"]:
-            return n_total, (int(r[HASH]), r[key], r[TIE], int(rest))
+            at = int(r[HASH]), r[key]
+            same = scope.where((F.col(HASH) == F.lit(at[0])) & F.col(key).eqNullSafe(F.lit(at[1])))
+            return n_total, at if same.count() == 1 else (*at, r[TIE], int(rest))
         rest -= r["n"]
     raise RuntimeError("the rows changed between two passes: stage them first")
 
 
 def label_split(df: DataFrame, cutoff: tuple | None, key: str = "rec_key") -> DataFrame:
-    """Add ``split`` = 'val' for rows at or before the cutoff, else 'train'. A
-    narrow projection; only copies of the very cutoff row are numbered."""
+    """Add ``split`` = 'val' for rows at or before the cutoff, else 'train': a
+    narrow projection. Only where rows share the cutoff's key, those are told
+    apart, and copies of the very cutoff row numbered."""
     if cutoff is None:
         return df.withColumn("split", F.lit("train"))
+    if len(cutoff) == 2:
+        h, k = cutoff
+        is_val = (F.col(HASH) < F.lit(h)) | ((F.col(HASH) == F.lit(h)) & (F.col(key) <= F.lit(k)))
+        return df.withColumn("split", F.when(is_val, F.lit("val")).otherwise(F.lit("train")))
     h, k, tie, copies = cutoff
     same_key = (F.col(HASH) == F.lit(h)) & F.col(key).eqNullSafe(F.lit(k))
     before = (F.col(HASH) < F.lit(h)) | ((F.col(HASH) == F.lit(h)) & (F.col(key) < F.lit(k)))

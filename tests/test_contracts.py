@@ -77,9 +77,8 @@ def test_a_filtered_scan_is_refused_and_a_cap_skips_files(spark):
     assert [r.id for r in capped.orderBy("id").collect()] == [3 * i for i in range(200)]
     assert capped.select(F.input_file_name().alias("f")).distinct().count() == 2
     plan = capped._jdf.queryExecution().executedPlan()
-    capped.collect()
-    scan = [n for n in plan.toString().splitlines() if "FileScan" in n][0]
-    assert "PartitionFilters" in scan or "file_path" in plan.toString()
+    plan.executeCollect()
+    assert plan.collectLeaves().apply(0).metrics().apply("numFiles").value() == 2
 
 
 @pytest.mark.parametrize("fraction", [0.13, 0.5, 0.02])
