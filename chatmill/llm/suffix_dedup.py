@@ -29,7 +29,7 @@ from . import suffix_runs
 from .common import discard, ship, staged, text_of
 
 #: Bytes of text in a chunk, and chunks in a bucket of the table.
-CHUNK_BYTES, CHUNKS_PER_BUCKET = 8 << 20, 4
+CHUNK_BYTES, CHUNKS_PER_BUCKET = 4 << 20, 8
 #: Documents and grams of each that are drawn to part the suffixes into ranges; they set the balance only.
 SAMPLE_DOCS, SAMPLE_GRAMS = 2_000, 16
 #: A null id: above all others, so it never makes another document lose bytes.

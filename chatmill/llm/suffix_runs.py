@@ -14,6 +14,7 @@ last winner: a longer one wins unseen, equal ones are compared past it.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -69,6 +70,14 @@ def anchors(buf: np.ndarray, room: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, full[at] & np.uint64((1 << _BITS) - 1)
 
 
+def _pack(x: np.ndarray) -> bytes:
+    return zlib.compress(x.tobytes(), 1)
+
+
+def _unpack(b: bytes, kind) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(b), kind)
+
+
 class Chunk:
     """A chunk's documents in ascending (id, text) order, as one buffer."""
 
@@ -165,7 +174,7 @@ RUN_FIELDS = "kind int, bucket long, chunk long, a binary, b binary, c binary, d
 
 def sorter(splitters: list[bytes]):
     """(chunk, shared hashes) -> its front-coded sorted run by ranges of the
-    grams (kind 0: prefixes, rests, ids, numbers in the run), and what it needs
+    grams (kind 0: prefixes, rests, ids, first number in the run), and what it needs
     to read the answers (kind 1: entry, position, offsets; -1 for the entry's smallest id)."""
     bounds = np.array(splitters or [b"\xff" * GRAM], f"S{GRAM}")
 
@@ -188,16 +197,18 @@ def sorter(splitters: list[bytes]):
             keys = _contexts(chunk, at, doc)
             flat = np.ascontiguousarray(keys).view(f"S{KEY}").ravel()
             order = np.argsort(flat, kind="stable")          # positions ascend, hence ids within equal keys
+            low, high = offsets(keys[:, -2], keys[:, -1])
             sorted_keys = keys[order]
+            del flat, keys
             new = np.concatenate([[True], (sorted_keys[1:] != sorted_keys[:-1]).any(1)])
             entry = np.empty(len(at), np.int64)
             entry[order] = np.cumsum(new) - 1
             heads = order[new]
             least = chunk.ids[doc[heads]]
-            low, high = offsets(keys[:, -2], keys[:, -1])
             first = chunk.ids[doc] == least[entry]
-            add(1, -1, number, entry.astype(np.int32).tobytes(), at.tobytes(), np.where(first, -1, low).astype(np.int8).tobytes(), high.astype(np.int8).tobytes())
+            add(1, -1, number, _pack(entry.astype(np.int32)), _pack(np.diff(at, prepend=0).astype(np.int32)), _pack(np.where(first, -1, low).astype(np.int8)), _pack(high.astype(np.int8)))
             run_keys = sorted_keys[new]
+            del sorted_keys
             lcp = _lcps(run_keys)
             part = np.searchsorted(bounds, np.ascontiguousarray(run_keys[:, :GRAM]).view(f"S{GRAM}").ravel(), "right")
             cut = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1, [len(part)]])
@@ -205,7 +216,7 @@ def sorter(splitters: list[bytes]):
                 piece = lcp[s:e].copy()
                 piece[0] = 0
                 rests = run_keys[s:e][np.arange(KEY) >= piece[:, None]]
-                add(0, int(part[s]), number, piece.tobytes(), rests.tobytes(), least[s:e].tobytes(), np.arange(s, e, dtype=np.int32).tobytes())
+                add(0, int(part[s]), number, piece.tobytes(), _pack(rests), _pack(least[s:e]), np.array([s], np.int64).tobytes())
         types = [pa.int32(), pa.int64(), pa.int64(), *[pa.binary()] * 4]
         return pa.table({f: pa.array(v, t) for (f, v), t in zip(out.items(), types)})
     return run
@@ -313,11 +324,12 @@ def merger(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     """bucket of runs -> (chunk, entries, least and greatest offsets) of the
     entries whose windows a smaller id holds."""
     a, b, c, d, chunks = (table[f].to_pylist() for f in ("a", "b", "c", "d", "chunk"))
-    ids, entries = [np.frombuffer(x, np.int64) for x in c], [np.frombuffer(x, np.int32) for x in d]
+    ids = [_unpack(x, np.int64) for x in c]
+    entries = [np.arange(len(i), dtype=np.int32) + int(np.frombuffer(x, np.int64)[0]) for i, x in zip(ids, d)]
     begin = np.concatenate([[0], np.cumsum([len(x) for x in ids])])
     total = int(begin[-1])
     keys, came, lcp, nth = bytearray(), np.empty(total, np.int64), np.empty(total, np.uint8), [0] * len(a)
-    for i, (r, k, share) in enumerate(merge([_run(x, y) for x, y in zip(a, b)])):
+    for i, (r, k, share) in enumerate(merge([_run(x, zlib.decompress(y)) for x, y in zip(a, b)])):
         keys += k
         came[i], lcp[i] = begin[r] + nth[r], share
         nth[r] += 1
@@ -356,8 +368,8 @@ def remove(table: pa.Table, told: pa.Table, characters: bool) -> pa.Table:
     kinds = told["kind"].to_pylist()
     a, b, c, d = (told[f].to_pylist() for f in "abcd")
     for i in (i for i, k in enumerate(kinds) if k == 1):
-        entry, at = np.frombuffer(a[i], np.int32), np.frombuffer(b[i], np.int64)
-        low, high = np.frombuffer(c[i], np.int8).astype(np.int64), np.frombuffer(d[i], np.int8).astype(np.int64)
+        entry, at = _unpack(a[i], np.int32), np.cumsum(_unpack(b[i], np.int32), dtype=np.int64)
+        low, high = _unpack(c[i], np.int8).astype(np.int64), _unpack(d[i], np.int8).astype(np.int64)
         answer_low, answer_high = (np.full(entry.max() + 1, -1, np.int64) for _ in range(2))
         for j in (j for j, k in enumerate(kinds) if k != 1):
             which = np.frombuffer(a[j], np.int32)
