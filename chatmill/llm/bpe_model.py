@@ -16,6 +16,7 @@ before both of these (the leftmost of equal merges goes first).
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable, Iterator
 
 import ahocorasick
@@ -26,7 +27,10 @@ import regex
 #: Fixed value: how byte-level BPE splits text before merging.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _NEVER = 1 << 62
-_CACHED, _OUT_TOKENS = 300_000, 2_000_000
+_SPLIT = regex.compile(PATTERN).findall
+#: A space beside other white space (of either kind), or white space at an end.
+_ODD = re.compile(r" [\s\x1c-\x1f]|[\s\x1c-\x1f] |\A[\s\x1c-\x1f]|[\s\x1c-\x1f]\Z").search
+_CACHED, _PAIRS, _BATCH_CHARS = 400_000, 1_000_000, 1_000_000
 
 
 def byte_letters() -> dict[int, str]:
@@ -50,7 +54,8 @@ class Vocabulary:
         self.rank: dict[tuple[int, int], int] = {}
         self.parts: dict[int, tuple[int, int, int]] = {}
         self._edges: dict[tuple[int, bool], list[tuple[int, int]]] = {}
-        self._compatible: dict[tuple[int, int], bool] = {}
+        self._compatible: dict[int, bool] = {}
+        self._words: dict[str, list[int]] = {}
         made = set()
         for r, m in enumerate(spec["model"]["merges"]):
             a, b = m.split(" ") if isinstance(m, str) else m
@@ -90,24 +95,27 @@ class Vocabulary:
                     return False
         return True
 
-    def compatible(self, a: int, b: int) -> bool:
-        key = a, b
-        found = self._compatible.get(key)
-        if found is None:
-            if len(self._compatible) > 1_000_000:
-                self._compatible.clear()
-            found = self._compatible[key] = self._meet(a, b)
-        return found
-
     def encode_word(self, raw: bytes) -> list[int]:
         """The ids of one word, a piece that merges never leave."""
         n = len(raw)
-        last, size = [-1] * (n + 1), [0] * (n + 1)
+        last, size, known = [-1] * (n + 1), [0] * (n + 1), self._compatible
+        if len(known) > _PAIRS:
+            known.clear()
         for end, (token, length) in self.automaton.iter(raw.decode("latin-1")):
             end += 1
-            begin = end - length
-            if last[end] < 0 and (begin == 0 or last[begin] >= 0 and self.compatible(last[begin], token)):
-                last[end], size[end] = token, length
+            if last[end] >= 0:
+                continue
+            if end > length:
+                before = last[end - length]
+                if before < 0:
+                    continue
+                key = before << 32 | token
+                fits = known.get(key)
+                if fits is None:
+                    fits = known[key] = self._meet(before, token)
+                if not fits:
+                    continue
+            last[end], size[end] = token, length
         out = []
         while n:
             if last[n] < 0:
@@ -118,13 +126,21 @@ class Vocabulary:
 
     def encode(self, text: str) -> list[int]:
         out: list[int] = []
-        parts = regex.split("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")", text) if self.added else [text]
+        parts = [text]
+        if any(a in text for a in self.added):
+            parts = regex.split("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")", text)
+        words = self._words
+        if len(words) > _CACHED:
+            words.clear()
         for part in parts:
             if part in self.added:
                 out.append(self.added[part])
-            else:
-                for word in regex.findall(PATTERN, part):
-                    out += self.encode_word(word.encode("utf-8", "surrogatepass"))
+                continue
+            for word in _SPLIT(part):
+                ids = words.get(word)
+                if ids is None:
+                    ids = words[word] = self.encode_word(word.encode("utf-8", "surrogatepass"))
+                out += ids
         return out
 
 
@@ -133,36 +149,39 @@ class ChunkEncoder:
 
     No piece of the split pattern reaches over a space that has a visible
     character on either side, so the chunks' ids concatenate to the text's.
+    New chunks of a batch are encoded together.
     """
 
-    def __init__(self, encode_many: Callable[[list[str]], list[list[int]]]):
-        self.encode_many, self.known = encode_many, ({}, {})
+    def __init__(self, encode_many: Callable[[list[str]], list[bytes]]):
+        """``encode_many``: texts -> their ids as 32-bit numbers."""
+        self.encode_many, self.known = encode_many, {}
 
     @staticmethod
-    def _chunks(text: str) -> list[str]:
+    def chunks(text: str) -> list[str]:
+        """The chunks, all but the first with their space in front."""
         parts = text.split(" ")
-        if all(p and not p[0].isspace() and not p[-1].isspace() for p in parts):
-            return parts
-        # the space after a cut goes without saying, as it does above
-        return [c for c in regex.split(r"(?<=[^\s\x1c-\x1f]) (?=[^\s\x1c-\x1f])", text)]
+        if "" in parts or _ODD(text):
+            parts = regex.split(r"(?<=[^\s\x1c-\x1f]) (?=[^\s\x1c-\x1f])", text)
+        return parts
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        known = self.known
+        split = [self.chunks(t) if t else [] for t in texts]
+        new = {c for parts in split for c in parts[1:] if c not in known}
+        if new:
+            if len(known) > _CACHED:
+                known.clear()
+                new = {c for parts in split for c in parts[1:]}
+            listed = list(new)
+            for i in range(0, len(listed), 4096):
+                some = listed[i:i + 4096]
+                known.update(zip(some, self.encode_many([" " + c for c in some])))
+        first = self.encode_many([parts[0] for parts in split if parts])
+        firsts = iter(first)
+        return [np.frombuffer(b"".join([next(firsts), *map(known.__getitem__, parts[1:])]), np.int32) if parts else np.empty(0, np.int32) for parts in split]
 
     def encode(self, text: str) -> np.ndarray:
-        first, rest = self.known
-        if not text:
-            return np.empty(0, np.int32)
-        parts = text.split(" ")
-        got = [first.get(parts[0]), *map(rest.get, parts[1:])]
-        if None in got:
-            parts = self._chunks(text)
-            if len(rest) > _CACHED:
-                first.clear()
-                rest.clear()
-            for known, lead, some in ((first, "", parts[:1]), (rest, " ", parts[1:])):
-                new = [p for p in dict.fromkeys(some) if p not in known]
-                for p, ids in zip(new, self.encode_many([lead + p for p in new])):
-                    known[p] = np.array(ids, np.int32).tobytes()
-            got = [first[parts[0]], *map(rest.__getitem__, parts[1:])]
-        return np.frombuffer(b"".join(got), np.int32)
+        return self.encode_all([text])[0]
 
 
 def ids_array(rows: list[np.ndarray]) -> pa.Array:
@@ -171,29 +190,49 @@ def ids_array(rows: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
 
 
+def _slices(texts: list[str | None]) -> Iterator[slice]:
+    """Runs of texts of bounded length together, of one text at least."""
+    begin = size = 0
+    for i, t in enumerate(texts):
+        size += len(t or "")
+        if size >= _BATCH_CHARS or i + 1 == len(texts):
+            yield slice(begin, i + 1)
+            begin, size = i + 1, 0
+
+
 def codec(content, per_process):
     """(id, text) -> (id, ids, decoded); ``content``: the vocabulary file, broadcast."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def build():
             vocabulary = Vocabulary(content.value)
             table = [vocabulary.bytes_of.get(i, b"") for i in range(max(vocabulary.bytes_of) + 1)]
-            return ChunkEncoder(lambda chunks: [vocabulary.encode(c) for c in chunks]), table
+            return ChunkEncoder(lambda chunks: [np.array(vocabulary.encode(c), np.int32).tobytes() for c in chunks]), table
 
         encoder, table = per_process(f"bpe_{hash(content.value)}", build)
         for batch in batches:
-            names, texts, begin = batch.column(0), batch.column(1), 0
-            while begin < len(names):
-                rows, decoded, total, end = [], [], 0, begin
-                while end < len(names) and total < _OUT_TOKENS:
-                    ids = encoder.encode(texts[end].as_py() or "")
-                    rows.append(ids)
-                    decoded.append(b"".join(map(table.__getitem__, ids.tolist())).decode("utf-8", "replace"))
-                    total, end = total + len(ids), end + 1
-                yield pa.RecordBatch.from_arrays([names.slice(begin, end - begin), ids_array(rows), pa.array(decoded, pa.string())], ["id", "ids", "decoded"])
-                begin = end
+            texts = batch.column(1).to_pylist()
+            for part in _slices(texts):
+                rows = encoder.encode_all([t or "" for t in texts[part]])
+                decoded = [b"".join(map(table.__getitem__, ids.tolist())).decode("utf-8", "replace") for ids in rows]
+                yield pa.RecordBatch.from_arrays([batch.column(0)[part], ids_array(rows), pa.array(decoded, pa.string())], ["id", "ids", "decoded"])
     return run
 
 
+def library_ids(model, lengths: np.ndarray):
+    """texts -> ids of the tokenizers library as 32-bit numbers. Chunks that
+    begin with their space are encoded as one text, and parted by the number
+    of bytes that their tokens stand for."""
+    def encode_many(chunks: list[str]) -> list[bytes]:
+        together = all(c.startswith(" ") for c in chunks)
+        if not together:
+            return [np.array(e.ids, np.int32).tobytes() for e in model.encode_batch_fast(chunks, add_special_tokens=False)]
+        ids = np.array(model.encode_batch_fast(["".join(chunks)], add_special_tokens=False)[0].ids, np.int32)
+        ends = np.cumsum(lengths[ids])
+        cuts = np.searchsorted(ends, np.cumsum([len(c.encode("utf-8", "surrogatepass")) for c in chunks]), "left") + 1
+        return [ids[s:e].tobytes() for s, e in zip([0, *cuts[:-1]], cuts)]
+    return encode_many
+
+
 def library_encoder(content, end_id: int, per_process):
     """(id, text) -> (id, ids): the tokenizers library's ids and an end id, as
     little-endian 32-bit numbers."""
@@ -205,17 +244,19 @@ def library_encoder(content, end_id: int, per_process):
             model = Tokenizer.from_str(content.value)
             model.no_truncation()
             model.no_padding()
-            return ChunkEncoder(lambda chunks: [e.ids for e in model.encode_batch_fast(chunks, add_special_tokens=False)])
+            spec = json.loads(content.value)
+            lengths = np.zeros(model.get_vocab_size(), np.int64)
+            for token, i in spec["model"]["vocab"].items():
+                lengths[i] = len(token)                       # a letter of a token stands for a byte
+            for t in spec.get("added_tokens", []):
+                lengths[t["id"]] = len(t["content"].encode())
+            return ChunkEncoder(library_ids(model, lengths))
 
         encoder = per_process(f"library_{hash(content.value)}", build)
-        end = np.array([end_id], "<u4").tobytes()
+        end = np.array([end_id], np.int32)
         for batch in batches:
-            names, texts, begin = batch.column(0), batch.column(1), 0
-            while begin < len(names):
-                rows, total, at = [], 0, begin
-                while at < len(names) and total < 4 * _OUT_TOKENS:
-                    rows.append(encoder.encode(texts[at].as_py() or "").astype("<u4").tobytes() + end)
-                    total, at = total + len(rows[-1]), at + 1
-                yield pa.RecordBatch.from_arrays([names.slice(begin, at - begin), pa.array(rows, pa.binary())], ["id", "ids"])
-                begin = at
+            texts = batch.column(1).to_pylist()
+            for part in _slices(texts):
+                rows = [np.append(r, end).astype("<u4").tobytes() for r in encoder.encode_all([t or "" for t in texts[part]])]
+                yield pa.RecordBatch.from_arrays([batch.column(0)[part], pa.array(rows, pa.binary())], ["id", "ids"])
     return run
