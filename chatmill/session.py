@@ -79,7 +79,7 @@ def stage(df: DataFrame, label: str) -> str:
     """Write ``df`` as Parquet to a fresh path in the shared folder; it is
     deleted when the driver ends. Returns the path."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     delete_at_exit(df.sparkSession, path)
     return path
 
