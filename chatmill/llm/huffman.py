@@ -1,9 +1,9 @@
 """Canonical length-limited Huffman codes and blocks of coded ids (task side).
 
-A block holds the ids of some documents, coded one after another, the first bit
-highest. Checkpoints give the bit offset of every 512th id, so decoding starts
-at any of them; a block is decoded from all its checkpoints side by side, each
-step looking 16 bits up in one table.
+A block holds the ids of some documents, each coded from a byte on, the first
+bit highest. Checkpoints give the bit offset of every 512th id of a document,
+so decoding starts at any of them; a block is decoded from all its checkpoints
+side by side, each step looking 16 bits up in one table.
 """
 
 from __future__ import annotations
@@ -63,30 +63,43 @@ def decoding_table(lengths: np.ndarray) -> np.ndarray:
 
 
 def pack(ids: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tuple[bytes, np.ndarray]:
-    """The coded ids and the checkpoints."""
+    """The coded ids, padded to a byte, and the bit offset of every 512th."""
+    if not len(ids):
+        return b"", np.empty(0, np.int64)
     size = lengths[ids].astype(np.int64)
     if (size == 0).any():
         raise ValueError("an id without a code")
-    at = np.cumsum(size) - size
+    ends = np.cumsum(size)
+    at = ends - size
     value = codes[ids].astype(np.int64) << (32 - (at & 15) - size)
-    words = int(at[-1] + size[-1] + 15) // 16 + 1 if len(ids) else 1
-    out = np.bincount(at >> 4, value >> 16, words) + np.bincount((at >> 4) + 1, value & 0xFFFF, words + 1)[:words] if len(ids) else np.zeros(1)
-    return out.astype(">u2").tobytes(), at[::STRIDE]
+    words = int(ends[-1] + 15) // 16 + 1
+    out = np.bincount(at >> 4, value >> 16, words) + np.bincount((at >> 4) + 1, value & 0xFFFF, words)
+    return out.astype(">u2").tobytes()[:int(ends[-1] + 7) // 8], at[::STRIDE]
 
 
-def unpack(payload: bytes, checkpoints: np.ndarray, n: int, table: np.ndarray) -> np.ndarray:
+def unpack(payload: bytes, checkpoints: np.ndarray, counts: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """The ids of all stretches, each ``counts`` ids from a checkpoint on."""
     raw = np.frombuffer(payload + b"\0\0\0", np.uint8).astype(np.uint32)
     window = (raw[:-2] << 16) | (raw[1:-1] << 8) | raw[2:]
-    out = np.zeros((len(checkpoints), STRIDE), np.uint32)
-    at = checkpoints.astype(np.int64)
-    left = n - np.arange(len(checkpoints)) * STRIDE
-    for step in range(min(STRIDE, n)):
-        if left[-1] == step:                      # the last stretch may be short
-            at, left = at[:-1], left[:-1]
+    out = np.zeros(int(counts.sum()), np.uint32)
+    order = np.argsort(-counts, kind="stable")
+    at, place, left = checkpoints[order].astype(np.int64), (np.cumsum(counts) - counts)[order], -counts[order]
+    for step in range(int(counts.max(initial=0))):
+        going = int(np.searchsorted(left, -step, "left"))     # stretches of more than `step` ids come first
+        at = at[:going]
         entry = table[(window[at >> 3] >> (8 - (at & 7))) & 0xFFFF]
-        out[:len(at), step] = entry & np.uint64(0xFFFFFFFF)
+        out[place[:going] + step] = entry & np.uint64(0xFFFFFFFF)
         at = at + (entry >> np.uint64(40)).astype(np.int64)
-    return out.ravel()[:n]
+    return out
+
+
+def stretches(sizes: np.ndarray) -> np.ndarray:
+    """Ids from each checkpoint on, for documents of these sizes."""
+    full = (sizes + STRIDE - 1) // STRIDE
+    out = np.full(int(full.sum()), STRIDE, np.int64)
+    last = np.cumsum(full)[full > 0] - 1
+    out[last] = sizes[full > 0] - (full[full > 0] - 1) * STRIDE
+    return out
 
 
 def counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,45 +117,55 @@ def counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 BLOCK_FIELDS = "range long, seq long, n_ids long, doc_ids binary, lengths binary, checkpoints binary, payload binary"
 
 
-def block_writer(code):
-    """(range, id, ids) in order -> blocks of whole documents."""
+def coder(code):
+    """(range, id, ids) -> (range, id, n_ids, checkpoints, payload) of each document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lengths = np.frombuffer(code.value, np.uint8)
         codes = canonical(lengths)
-        held: list[tuple[int, bytes]] = []
-        state = {"range": None, "seq": 0, "size": 0}
-
-        def block() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(r for _, r in held), "<u4")
-            payload, checkpoints = pack(ids, lengths, codes)
-            row = [[state["range"]], [state["seq"]], [len(ids)], [np.array([i for i, _ in held], "<i8").tobytes()],
-                   [np.array([len(r) // 4 for _, r in held], "<u8").tobytes()], [checkpoints.astype("<u8").tobytes()], [payload]]
-            held.clear()
-            state["seq"], state["size"] = state["seq"] + 1, 0
-            return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, [pa.int64()] * 3 + [pa.binary()] * 4)],
-                                              ["range", "seq", "n_ids", "doc_ids", "lengths", "checkpoints", "payload"])
-
         for batch in batches:
-            for part, name, ids in zip(*(c.to_pylist() for c in batch.columns)):
-                if held and (part != state["range"] or state["size"] + len(ids) > 4 * BLOCK_IDS):
-                    yield block()
-                if part != state["range"]:
-                    state["range"], state["seq"] = part, 0
-                held.append((name, ids))
-                state["size"] += len(ids)
-        if held:
-            yield block()
+            rows = [np.frombuffer(r, "<u4") for r in batch.column(2).to_pylist()]
+            packed = [pack(r, lengths, codes) for r in rows]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array([len(r) for r in rows], pa.int64()),
+                 pa.array([c.astype("<u8").tobytes() for _, c in packed], pa.binary()), pa.array([p for p, _ in packed], pa.binary())],
+                ["range", "id", "n_ids", "checkpoints", "payload"])
     return run
 
 
+def block_writer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Coded documents in order -> blocks of whole documents."""
+    held: list[tuple] = []
+    part, seq, size = None, 0, 0
+
+    def block() -> pa.RecordBatch:
+        begin = np.cumsum([0, *[len(p) for *_, p in held[:-1]]], dtype=np.int64) * 8
+        checkpoints = np.concatenate([np.frombuffer(c, "<u8").astype(np.int64) + b for b, (_, _, c, _) in zip(begin, held)])
+        row = [[part], [seq], [sum(n for _, n, _, _ in held)], [np.array([i for i, *_ in held], "<i8").tobytes()],
+               [np.array([n for _, n, _, _ in held], "<u8").tobytes()], [checkpoints.astype("<u8").tobytes()], [b"".join(p for *_, p in held)]]
+        return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, [pa.int64()] * 3 + [pa.binary()] * 4)],
+                                          ["range", "seq", "n_ids", "doc_ids", "lengths", "checkpoints", "payload"])
+
+    for batch in batches:
+        for where, name, n, checkpoints, payload in zip(*(c.to_pylist() for c in batch.columns)):
+            if held and (where != part or size + n > BLOCK_IDS):
+                yield block()
+                held, seq, size = [], seq + 1, 0
+            if where != part:
+                part, seq = where, 0
+            held.append((name, n, checkpoints, payload))
+            size += n
+    if held:
+        yield block()
+
+
 def block_reader(code):
     """(first, blocks) -> (id, start, n_tokens, ids)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = decoding_table(np.frombuffer(code.value, np.uint8))
         for batch in batches:
-            for first, n, names, lengths, checkpoints, payload in zip(*(c.to_pylist() for c in batch.columns)):
-                ids = unpack(payload, np.frombuffer(checkpoints, "<u8"), n, table).astype("<u4")
+            for first, names, lengths, checkpoints, payload in zip(*(c.to_pylist() for c in batch.columns)):
                 sizes = np.frombuffer(lengths, "<u8").astype(np.int64)
+                ids = unpack(payload, np.frombuffer(checkpoints, "<u8"), stretches(sizes), table).astype("<u4")
                 ends = np.cumsum(sizes)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.frombuffer(names, "<i8"), pa.int64()), pa.array(first + ends - sizes, pa.int64()), pa.array(sizes, pa.int64()),

@@ -26,8 +26,8 @@ def write_tokens(docs: DataFrame, vocabulary: str, path: str, end_id: int = 0, i
 
     A null or empty text is the end id alone. A null id comes first. Rows that
     share an id are written in an undefined order. Other columns are not read.
-    Texts are encoded once and are not shuffled; their ids are staged, and
-    dealt by ranges of doc_id that one part file holds in order.
+    Texts are encoded once and are not shuffled; their ids are staged, coded,
+    and dealt by ranges of doc_id that one part file holds in order.
     """
     ship(bpe_model.__name__, huffman.__name__)
     spark = docs.sparkSession
@@ -46,8 +46,9 @@ def write_tokens(docs: DataFrame, vocabulary: str, path: str, end_id: int = 0, i
     bounds = range_bounds(ids.select("id"), F.col("id"), DOCS_PER_RANGE)
     parts = max(1, min(len(bounds), int(spark.conf.get("spark.sql.shuffle.partitions"))))
     part = F.floor(F.col("range") * parts / max(1, len(bounds))).cast("int")
-    dealt = ids.select(bucket_of(F.col("id"), bounds).cast("long").alias("range"), "id", "ids").repartitionById(parts, part)
-    (dealt.sortWithinPartitions("range", "id").mapInArrow(huffman.block_writer(spark.sparkContext.broadcast(lengths.tobytes())), huffman.BLOCK_FIELDS)
+    coded = ids.select(bucket_of(F.col("id"), bounds).cast("long").alias("range"), "id", "ids").mapInArrow(
+        huffman.coder(spark.sparkContext.broadcast(lengths.tobytes())), "range long, id long, n_ids long, checkpoints binary, payload binary")
+    (coded.repartitionById(parts, part).sortWithinPartitions("range", "id").mapInArrow(huffman.block_writer, huffman.BLOCK_FIELDS)
      .write.option("compression", "uncompressed").parquet(f"{path}/blocks"))
     discard(spark, staged_path)
 
@@ -64,6 +65,6 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     ranges = ranges.select("range", before(Window.orderBy("range")).alias("_range_start"))
     starts = blocks.select("range", "seq", "n_ids").withColumn("_start", before(Window.partitionBy("range").orderBy("seq")))
     starts = starts.join(F.broadcast(ranges), "range").select("range", "seq", (F.col("_start") + F.col("_range_start")).alias("first"))
-    placed = blocks.join(starts, ["range", "seq"]).select("first", "n_ids", "doc_ids", "lengths", "checkpoints", "payload")
+    placed = blocks.join(starts, ["range", "seq"]).select("first", "doc_ids", "lengths", "checkpoints", "payload")
     out = placed.mapInArrow(huffman.block_reader(code), "id long, start long, n_tokens long, ids binary")
     return out.select(F.when(F.col("id") != NULL_ID, F.col("id")).alias("doc_id"), "start", "n_tokens", "ids")

@@ -21,7 +21,7 @@ def test_round_trip_of_a_block(ids, skew):
     ids = np.array([i >> (i % (skew + 1)) for i in ids], np.int64)
     lengths = huffman.code_lengths(np.bincount(ids, minlength=42))
     payload, checkpoints = huffman.pack(ids, lengths, huffman.canonical(lengths))
-    got = huffman.unpack(payload, checkpoints, len(ids), huffman.decoding_table(lengths))
+    got = huffman.unpack(payload, checkpoints, huffman.stretches(np.array([len(ids)])), huffman.decoding_table(lengths))
     assert got.tolist() == ids.tolist()
 
 
