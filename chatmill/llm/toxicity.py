@@ -46,7 +46,10 @@ def train(texts: DataFrame, penalty: float = 10.0, ridge: float = 1e-4, steps: i
     text has no words. Without rows, the model scores 1/4."""
     ship(toxic_words.__name__)
     spark = texts.sparkSession
-    sample = bounded_sample(texts.where("label IS NOT NULL").select("id", "text", F.col("label").cast("long").alias("label")), max_rows).select("text", "label").persist()
+    rows = texts.where("label IS NOT NULL").select("id", "text", F.col("label").cast("long").alias("label"))
+    if rows.count() > max_rows:                     # ``fit_to`` has drawn by id before
+        rows = bounded_sample(rows, max_rows)
+    sample = rows.select("text", "label").persist()
     total = sample.agg(F.coalesce(F.sum("label"), F.lit(0)).alias("ones"), F.count(F.lit(1)).alias("n")).first()
     tally = sample.mapInArrow(toxic_words.tally, "feature string, ones long, zeros long").groupBy("feature").agg(F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros"))
     share = F.lit(total["ones"] / max(1, total["n"]))
