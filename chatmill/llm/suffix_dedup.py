@@ -12,7 +12,10 @@ aware distributed merge sort of suffixes.
    compared for windows that a document of smaller id holds.
 4. The answers go back to the chunks, which remove what the windows cover.
 
-A substring that a third of all documents share is one entry of each chunk.
+A substring that a third of all documents share is one entry of each chunk; with
+different surroundings it would be one of each document, all in one range. So
+the windows at grams of more than ``HOT_ANCHORS`` anchors skip the merge: their
+hashes, each with the smallest id of a chunk, meet by ranges of the hashes.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from __future__ import annotations
 import math
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatmill.session import delete_at_exit, scratch_path
@@ -32,6 +35,8 @@ from .common import discard, ship, staged, text_of
 CHUNK_BYTES, CHUNKS_PER_BUCKET = 4 << 20, 8
 #: Documents and grams of each that are drawn to part the suffixes into ranges; they set the balance only.
 SAMPLE_DOCS, SAMPLE_GRAMS = 2_000, 16
+#: Anchors that one gram's entries in a range come from at most.
+HOT_ANCHORS = 8_192
 #: A null id: above all others, so it never makes another document lose bytes.
 _LAST_ID = 2**63 - 1
 
@@ -45,10 +50,15 @@ def _bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
     return spark.table(name)
 
 
+def _chunk_of(chunks: int) -> Column:
+    """Rows that share an id, or have none, are dealt by their texts too."""
+    return F.pmod(F.xxhash64("id", "text"), F.lit(chunks)).cast("long")
+
+
 def _splitters(docs: DataFrame, n_docs: int, ranges: int) -> list[bytes]:
     every = max(1, n_docs // SAMPLE_DOCS)
     raw = F.col("text").cast("binary")
-    drawn = docs.where(F.pmod(F.xxhash64("id", F.lit(10)), F.lit(every)) == 0).select(F.explode(F.transform(
+    drawn = docs.where(F.pmod(F.xxhash64("id", "text", F.lit(10)), F.lit(every)) == 0).select(F.explode(F.transform(
         F.sequence(F.lit(1), F.lit(SAMPLE_GRAMS)),
         lambda i: F.substring(raw, (F.pmod(F.xxhash64("id", i), F.greatest(F.octet_length("text"), F.lit(1))) + 1).cast("int"), F.lit(suffix_runs.GRAM)))).alias("g"))
     grams = sorted(bytes(r["g"]) for r in drawn.limit(2 * SAMPLE_DOCS * SAMPLE_GRAMS).collect() if r["g"])
@@ -74,20 +84,22 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     chunks = max(1, math.ceil(n_bytes / CHUNK_BYTES))
     buckets = max(1, math.ceil(chunks / CHUNKS_PER_BUCKET))
     ranges = max(buckets, min(chunks, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    dealt = rows.select(F.pmod(F.xxhash64("id"), F.lit(chunks)).cast("long").alias("chunk"), "id", "text", *held)
+    dealt = rows.select(_chunk_of(chunks).alias("chunk"), "id", "text", *held)
     table = _bucketed(dealt, "chunk", buckets)
 
     texts = table.select("chunk", "id", "text")
-    announced = texts.groupBy("chunk").applyInArrow(suffix_runs.announcer(ranges), "bucket long, chunk long, hashes binary")
-    shared, shared_path = staged(announced.groupBy("bucket").applyInArrow(suffix_runs.matcher, "chunk long, hashes binary"), "shared")
+    announced = texts.groupBy("chunk").applyInArrow(suffix_runs.announcer(ranges), "bucket long, chunk long, hashes binary, counts binary")
+    shared, shared_path = staged(announced.groupBy("bucket").applyInArrow(suffix_runs.matcher(HOT_ANCHORS), "chunk long, hashes binary, hot binary"), "shared")
     runs, _ = staged(texts.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(
-        suffix_runs.sorter(_splitters(rows, n_docs, ranges)), suffix_runs.RUN_FIELDS), "runs")
+        suffix_runs.sorter(_splitters(rows, n_docs, ranges), ranges), suffix_runs.RUN_FIELDS), "runs")
     answers = runs.where("kind = 0").select("bucket", "chunk", "a", "b", "c", "d").groupBy("bucket").applyInArrow(
         suffix_runs.merger, "chunk long, a binary, c binary, d binary")
-    answers, _ = staged(answers, "answers")
+    windows = runs.where("kind = 2").select("bucket", "chunk", "a", "b").groupBy("bucket").applyInArrow(
+        suffix_runs.window_matcher, "chunk long, a binary, c binary, d binary")
+    answers, _ = staged(answers.withColumn("kind", F.lit(0)).union(windows.withColumn("kind", F.lit(2))), "answers")
     discard(spark, shared_path)
-    told = runs.where("kind = 1").select("chunk", "kind", "a", "b", "c", "d").union(
-        answers.select("chunk", F.lit(0).alias("kind"), "a", F.lit(None).cast("binary").alias("b"), "c", "d"))
+    told = runs.where("kind IN (1, 3)").select("chunk", "kind", "a", "b", "c", "d").union(
+        answers.select("chunk", "kind", "a", F.lit(None).cast("binary").alias("b"), "c", "d"))
     fields = ["id long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary",
               *[f"{n} {table.schema[n].dataType.simpleString()}" for n in held]]
     out = table.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(suffix_runs.remover(characters), ", ".join(fields))

@@ -10,6 +10,10 @@ front-coded (common prefix length, remaining bytes).
 
 Merging. A loser tree merges runs by the prefix that each head shares with the
 last winner: a longer one wins unseen, equal ones are compared past it.
+
+Hot grams. What starts at a gram that very many anchors have is not merged, as a
+gram is never parted. Every window of 50 bytes around such an anchor is hashed;
+a chunk keeps the smallest id of each hash, and these meet by ranges of the hash.
 """
 
 from __future__ import annotations
@@ -37,13 +41,28 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def gram_hashes(buf: np.ndarray) -> np.ndarray:
-    """64-bit hash of the 24 bytes from each position."""
+def gram_hashes(buf: np.ndarray, width: int = GRAM) -> np.ndarray:
+    """64-bit hash of the ``width`` bytes from each position."""
     join = lambda a, la, b, lb: a[:len(a) - lb] * _power(lb) + b[la:la + len(a) - lb]
-    h = {1: (buf.astype(np.uint64) + np.uint64(1)) * _B}
-    for k in (1, 2, 4, 8):
+    h, k = {1: (buf.astype(np.uint64) + np.uint64(1)) * _B}, 1
+    while 2 * k <= width:
         h[2 * k] = join(h[k], k, h[k], k)
-    return _mix(join(h[16], 16, h[8], 8)[:max(0, len(buf) - GRAM + 1)])
+        k *= 2
+    out, have = h[k], k
+    while have < width:
+        k = 1 << (width - have).bit_length() - 1
+        out, have = join(out, have, h[k], k), have + k
+    return _mix(out[:max(0, len(buf) - width + 1)])
+
+
+def window_hashes(buf: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the windows that start at the ascending ``starts``, by slices."""
+    out = np.empty(len(starts), np.uint64)
+    for s in range(0, len(buf), _SLICE):
+        a, b = np.searchsorted(starts, [s, s + _SLICE])
+        if a < b:
+            out[a:b] = gram_hashes(buf[s:s + _SLICE + WIDTH - 1], WIDTH)[starts[a:b] - s]
+    return out
 
 
 def _sliding(x: np.ndarray, width: int, of) -> np.ndarray:
@@ -118,27 +137,35 @@ def _unplanes(b: bytes) -> np.ndarray:
 
 
 def announcer(buckets: int):
-    """chunk -> (bucket, chunk, hashes): its anchors' distinct hashes, by ranges."""
+    """chunk -> (bucket, chunk, hashes, counts): its anchors' distinct hashes and how many have them, by ranges."""
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         _, hashes, _ = Chunk(table).anchors()
-        hashes = np.unique(hashes)
+        hashes, counts = np.unique(hashes, return_counts=True)
         part = ((hashes >> np.uint64(16)) * np.uint64(buckets)) >> np.uint64(_BITS - 16)
         cut = np.flatnonzero(np.diff(part)) + 1
         pieces = [p for p in np.split(hashes, cut) if len(p)]
+        numbers = [_pack(n.astype(np.int32)) for n in np.split(counts, cut) if len(n)]
         return pa.table({"bucket": pa.array([int((int(p[0]) >> 16) * buckets >> (_BITS - 16)) for p in pieces], pa.int64()),
                          "chunk": pa.array([key[0].as_py()] * len(pieces), pa.int64()),
-                         "hashes": pa.array([_planes(p) for p in pieces], pa.binary())})
+                         "hashes": pa.array([_planes(p) for p in pieces], pa.binary()),
+                         "counts": pa.array(numbers, pa.binary())})
     return run
 
 
-def matcher(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    """bucket -> (chunk, hashes) for the hashes that other chunks announced too."""
-    rows = [_unplanes(b) for b in table["hashes"].to_pylist()]
-    values, counts = np.unique(np.concatenate(rows), return_counts=True)
-    shared = values[counts > 1]
-    hits = [r[np.isin(r, shared, assume_unique=True)] for r in rows]
-    keep = [i for i, h in enumerate(hits) if len(h)]
-    return pa.table({"chunk": table["chunk"].take(pa.array(keep, pa.int64())), "hashes": pa.array([_planes(hits[i]) for i in keep], pa.binary())})
+def matcher(most: int):
+    """bucket -> (chunk, hashes, hot): the hashes that other chunks announced
+    too, and those of them that more than ``most`` anchors have."""
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        rows = [_unplanes(b) for b in table["hashes"].to_pylist()]
+        anchors_of = np.concatenate([_unpack(b, np.int32) for b in table["counts"].to_pylist()])
+        values, inverse, counts = np.unique(np.concatenate(rows), return_inverse=True, return_counts=True)
+        shared = values[counts > 1]
+        hot = values[(counts > 1) & (np.bincount(inverse, anchors_of) > most)]
+        hits = [r[np.isin(r, shared, assume_unique=True)] for r in rows]
+        keep = [i for i, h in enumerate(hits) if len(h)]
+        return pa.table({"chunk": table["chunk"].take(pa.array(keep, pa.int64())), "hashes": pa.array([_planes(hits[i]) for i in keep], pa.binary()),
+                         "hot": pa.array([_planes(hits[i][np.isin(hits[i], hot, assume_unique=True)]) for i in keep], pa.binary())})
+    return run
 
 
 def _contexts(chunk: Chunk, at: np.ndarray, doc: np.ndarray) -> np.ndarray:
@@ -172,10 +199,22 @@ def _lcps(keys: np.ndarray) -> np.ndarray:
 RUN_FIELDS = "kind int, bucket long, chunk long, a binary, b binary, c binary, d binary"
 
 
-def sorter(splitters: list[bytes]):
+def hot_windows(chunk: Chunk, at: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Ascending starts of the windows that hold one of these anchors."""
+    low, high = offsets(np.minimum(chunk.ends[doc] - at, WIDTH), np.minimum(at - chunk.starts[doc], BEFORE))
+    marks = np.zeros(len(chunk.buf) + 1, np.int32)
+    some = low <= high
+    np.add.at(marks, (at - high)[some], 1)
+    np.add.at(marks, (at - low + 1)[some], -1)
+    return np.flatnonzero(np.cumsum(marks[:-1]) > 0)
+
+
+def sorter(splitters: list[bytes], ranges: int):
     """(chunk, shared hashes) -> its front-coded sorted run by ranges of the
     grams (kind 0: prefixes, rests, ids, first number in the run), and what it needs
-    to read the answers (kind 1: entry, position, offsets; -1 for the entry's smallest id)."""
+    to read the answers (kind 1: entry, position, offsets; -1 for the entry's smallest id).
+    Of hot grams the windows' hashes and smallest ids by ranges of the hashes (kind 2),
+    and where the windows start (kind 3)."""
     bounds = np.array(splitters or [b"\xff" * GRAM], f"S{GRAM}")
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table, told: pa.Table) -> pa.Table:
@@ -185,6 +224,9 @@ def sorter(splitters: list[bytes]):
         own, counts = np.unique(pairs[:, 0], return_counts=True)
         known = np.concatenate([own[counts > 1], *map(_unplanes, told["hashes"].to_pylist())])
         keep = np.isin(hashes, known)
+        hot = keep & np.isin(hashes, np.concatenate([np.empty(0, np.uint64), *map(_unplanes, told["hot"].to_pylist())]))
+        keep &= ~hot
+        hot_at, hot_doc = at[hot], doc[hot]
         at, doc = at[keep], doc[keep]
         out = {f: [] for f in ("kind", "bucket", "chunk", "a", "b", "c", "d")}
 
@@ -193,6 +235,15 @@ def sorter(splitters: list[bytes]):
                 out[f].append(v)
 
         number = key[0].as_py()
+        if len(hot_at):
+            starts = hot_windows(chunk, hot_at, hot_doc)
+            add(3, -1, number, _pack(np.diff(starts, prepend=0).astype(np.int32)), None, None, None)
+            windows, heads = np.unique(window_hashes(chunk.buf, starts), return_index=True)   # ids ascend: the first is the smallest
+            least = chunk.ids[np.searchsorted(chunk.ends, starts[heads], "right")]
+            part = ((windows >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
+            cut = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1, [len(part)]])
+            for s, e in zip(cut[:-1], cut[1:]):
+                add(2, int(part[s]), number, windows[s:e].tobytes(), _pack(least[s:e]), None, None)
         if len(at):
             keys = _contexts(chunk, at, doc)
             flat = np.ascontiguousarray(keys).view(f"S{KEY}").ravel()
@@ -354,6 +405,26 @@ def merger(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     return pa.table({"chunk": pa.array(out["chunk"], pa.int64()), **{f: pa.array(out[f], pa.binary()) for f in "acd"}})
 
 
+def window_matcher(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    """bucket of windows' hashes -> (chunk, hashes, ids) of those that a smaller id of another chunk has."""
+    hashes, ids = [np.frombuffer(x, np.uint64) for x in table["a"].to_pylist()], [_unpack(x, np.int64) for x in table["b"].to_pylist()]
+    values, inverse = np.unique(np.concatenate(hashes), return_inverse=True)
+    least = np.full(len(values), np.iinfo(np.int64).max)
+    every = np.concatenate(ids)
+    np.minimum.at(least, inverse, every)
+    out, at = {"chunk": [], "a": [], "c": []}, 0
+    for chunk, h, i in zip(table["chunk"].to_pylist(), hashes, ids):
+        low = least[inverse[at:at + len(h)]]
+        at += len(h)
+        hit = low < i
+        if hit.any():
+            out["chunk"].append(chunk)
+            out["a"].append(h[hit].tobytes())
+            out["c"].append(_pack(low[hit]))
+    return pa.table({"chunk": pa.array(out["chunk"], pa.int64()), "a": pa.array(out["a"], pa.binary()), "c": pa.array(out["c"], pa.binary()),
+                     "d": pa.array([None] * len(out["a"]), pa.binary())})
+
+
 def whole_characters(buf: np.ndarray, gone: np.ndarray) -> np.ndarray:
     """``gone`` without the bytes of UTF-8 characters that are not gone as a whole."""
     if not len(buf):
@@ -371,7 +442,7 @@ def remove(table: pa.Table, told: pa.Table, characters: bool) -> pa.Table:
         entry, at = _unpack(a[i], np.int32), np.cumsum(_unpack(b[i], np.int32), dtype=np.int64)
         low, high = _unpack(c[i], np.int8).astype(np.int64), _unpack(d[i], np.int8).astype(np.int64)
         answer_low, answer_high = (np.full(entry.max() + 1, -1, np.int64) for _ in range(2))
-        for j in (j for j, k in enumerate(kinds) if k != 1):
+        for j in (j for j, k in enumerate(kinds) if k == 0):
             which = np.frombuffer(a[j], np.int32)
             answer_low[which], answer_high[which] = np.frombuffer(c[j], np.int8), np.frombuffer(d[j], np.int8)
         own = low < 0
@@ -380,6 +451,16 @@ def remove(table: pa.Table, told: pa.Table, characters: bool) -> pa.Table:
         hit = high >= 0
         np.add.at(cover, at[hit] - high[hit], 1)
         np.add.at(cover, at[hit] - low[hit] + WIDTH, -1)
+    for i in (i for i, k in enumerate(kinds) if k == 3):
+        starts = np.cumsum(_unpack(a[i], np.int32), dtype=np.int64)
+        own = chunk.ids[np.searchsorted(chunk.ends, starts, "right")]
+        windows, heads, inverse = np.unique(window_hashes(chunk.buf, starts), return_index=True, return_inverse=True)
+        least = own[heads]
+        for j in (j for j, k in enumerate(kinds) if k == 2):
+            least[np.searchsorted(windows, np.frombuffer(a[j], np.uint64))] = _unpack(c[j], np.int64)
+        hit = starts[least[inverse] < own]
+        cover[:-1][hit] += 1
+        np.add.at(cover, hit + WIDTH, -1)
     gone = np.cumsum(cover[:-1]) > 0
     removed, spans, kept = [], [], []
     for s, e in zip(chunk.starts, chunk.ends):

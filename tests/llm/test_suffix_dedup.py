@@ -1,6 +1,8 @@
 import random
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -95,3 +97,40 @@ def test_every_window_has_its_anchor(data):
     have = set(at.tolist())
     for p in range(len(buf) - suffix_runs.WIDTH + 1):
         assert any(a in have for a in range(p, p + suffix_runs.BEFORE + 1))
+
+
+def test_hot_grams_against_brute_force(spark, monkeypatch):
+    rnd = random.Random(13)
+    text = lambda n: "".join(rnd.choice("abcdefghijkl é") for _ in range(n))
+    phrase, passage, tail = text(40), text(120), text(30)
+    rows = [(i, text(rnd.randint(0, 120)) + phrase + (tail if i % 5 == 0 else "") + text(rnd.randint(0, 120)) + (passage if i % 3 == 0 else "")) for i in range(300)]
+    rows += [(None, rows[7][1] + text(20)), (None, rows[8][1]), (None, text(90) + passage), (7, phrase + passage), (7, phrase + passage), (-1, phrase + tail), (400, phrase), (401, None)]
+    rnd.shuffle(rows)
+    for most in (0, 3, 100):
+        monkeypatch.setattr(suffix_dedup, "HOT_ANCHORS", most)
+        _check(spark, rows)
+
+
+def test_a_phrase_of_all_documents_is_not_one_range():
+    rnd = random.Random(17)
+    text = lambda n: "".join(rnd.choice("abcdefghijkl ") for _ in range(n))
+    phrase, ranges, most = text(60), 8, 50
+    number = lambda i: (pa.scalar(i, pa.int64()),)
+    chunks = [pa.table({"chunk": [c] * 100, "id": list(range(100 * c, 100 * c + 100)), "text": [text(80) + phrase + text(80) for _ in range(100)]}) for c in range(6)]
+    told = pa.concat_tables([suffix_runs.announcer(ranges)(number(c), t) for c, t in enumerate(chunks)])
+    buckets = {b: told.filter(pa.compute.equal(told["bucket"], b)) for b in told["bucket"].unique().to_pylist()}
+    shared = pa.concat_tables([suffix_runs.matcher(most)(number(b), t) for b, t in buckets.items()])
+    runs = pa.concat_tables([suffix_runs.sorter([], ranges)(number(c), t, shared.filter(pa.compute.equal(shared["chunk"], c))) for c, t in enumerate(chunks)]).to_pylist()
+    grams = [k[:suffix_runs.GRAM] for r in runs if r["kind"] == 0 for k, _ in suffix_runs._run(r["a"], suffix_runs.zlib.decompress(r["b"]))]
+    assert max(map(grams.count, grams)) <= most
+    sizes = {}
+    for r in runs:
+        if r["kind"] == 2:
+            sizes[r["bucket"]] = sizes.get(r["bucket"], 0) + len(r["a"]) // 8
+    assert len(sizes) == ranges and max(sizes.values()) < 2 * sum(sizes.values()) / ranges
+
+
+def test_rows_of_one_id_are_dealt_to_many_chunks(spark):
+    docs = spark.createDataFrame([(suffix_dedup._LAST_ID, f"text {i}") for i in range(200)], "id long, text string")
+    dealt = {r["chunk"] for r in docs.select(suffix_dedup._chunk_of(8).alias("chunk")).collect()}
+    assert dealt == set(range(8))
