@@ -80,7 +80,7 @@ def anchors(buf: np.ndarray, room: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if len(buf) < WIDTH:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
     full = gram_hashes(buf)
-    order = (full >> np.uint64(32)).astype(np.uint32)
+    order = np.maximum(full >> np.uint64(32), np.uint64(1)).astype(np.uint32)     # 0 marks windows that don't fit
     low = _sliding(order, BEFORE + 1, np.minimum)
     low[room[:len(low)] < WIDTH] = 0
     pad = np.zeros(BEFORE, np.uint32)

@@ -134,3 +134,17 @@ def test_rows_of_one_id_are_dealt_to_many_chunks(spark):
     docs = spark.createDataFrame([(suffix_dedup._LAST_ID, f"text {i}") for i in range(200)], "id long, text string")
     dealt = {r["chunk"] for r in docs.select(suffix_dedup._chunk_of(8).alias("chunk")).collect()}
     assert dealt == set(range(8))
+
+
+def test_a_gram_whose_order_is_zero_is_an_anchor(monkeypatch):
+    hashes = suffix_runs.gram_hashes
+
+    def zero_at_40(buf, *width):
+        out = hashes(buf, *width)
+        out[40] &= np.uint64(0xFFFFFFFF)
+        return out
+
+    monkeypatch.setattr(suffix_runs, "gram_hashes", zero_at_40)
+    buf = np.frombuffer(random.Random(3).randbytes(120), np.uint8)
+    at, _ = suffix_runs.anchors(buf, np.arange(len(buf), 0, -1))
+    assert 40 in at
