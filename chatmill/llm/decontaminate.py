@@ -97,9 +97,12 @@ def find_leaks(docs: DataFrame, items: DataFrame, threshold: float = 0.8, size:
 
 
 def drop_leaks(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """The documents, all columns, that contain no item; see ``find_leaks``."""
-    leaked = find_leaks(docs, items, **options).select("doc_id").distinct().withColumnRenamed("doc_id", "_leaked")
-    return docs.join(leaked, docs[options.get("id_col", "doc_id")].eqNullSafe(leaked["_leaked"]), "left_anti")
+    """The documents, all columns, that contain no item; see ``find_leaks``.
+    Every row is judged by its own text, also where ids repeat or are null."""
+    id_col, text_col = options.pop("id_col", "doc_id"), options.pop("text_col", "text")
+    keyed = docs.select(F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h")).alias("doc_id"), F.col(text_col).alias("text"))
+    leaked = find_leaks(keyed, items, **options).select(F.col("doc_id.id").alias("_leaked"), F.col("doc_id.h").alias("_h")).distinct()
+    return docs.join(leaked, docs[id_col].eqNullSafe(leaked["_leaked"]) & (F.xxhash64(docs[text_col]) == leaked["_h"]), "left_anti")
 
 
 #: DuckDB: every item's containment in every document, by exact shingles.

@@ -36,26 +36,37 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
 
     Linked are documents whose sets of ``size``-word shingles have at least
     ``percent`` hundredths of their union in common. A component's id is its
-    smallest doc_id, whose row is kept. Documents without words (null, empty)
-    are linked with nothing. Rows that share an id are one node. A null id is
+    smallest doc_id; one row of that id is kept. Documents without words (null,
+    empty) are linked with nothing and kept. Every row is judged by its own text:
+    rows that share an id, or have none, are not linked by that. A null id is
     the smallest id. Extra columns are not read. Staged tables cut the lineage.
     """
+    return _judged(docs, size, percent, id_col, text_col).drop("h")
+
+
+def _judged(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``near_duplicates`` with ``h``, the hash of the text."""
     if not 0 < percent <= 100 or size < 1:
         raise ValueError("percent lies in (0, 100], size is 1 or more")
     ship(shingle_sets.__name__)
     spark = docs.sparkSession
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("h"))
     sig, sig_path = staged(rows.mapInArrow(
-        shingle_sets.signer(size, BANDS, PERMS_PER_BAND), "id long, n_shingles long, digest binary, bands array<long>"), "signatures")
+        shingle_sets.signer(size, BANDS, PERMS_PER_BAND), "id long, n_shingles long, digest binary, bands array<long>, h long").withColumn("row", F.monotonically_increasing_id()), "signatures")
     classes, class_path = staged(sig.where("n_shingles > 0").groupBy("digest").agg(
-        F.min("id").alias("node"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "classes")
+        F.min(F.struct("id", "h", "row")).alias("first"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "classes")
+    # a class is the node of its smallest id, or of its digest's hash where classes share that id or it is null
+    clash, clash_path = staged(classes.groupBy(F.col("first.id").alias("clash")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("clash"), "clashes")
+    classes = classes.join(clash, F.col("first.id") == F.col("clash"), "left").withColumn(
+        "node", F.when(F.col("clash").isNotNull() | (F.col("first.id") == NULL_ID), F.xxhash64("digest")).otherwise(F.col("first.id"))).drop("clash")
     sizes = classes.groupBy("node").agg(F.max("n").alias("most"), F.min("n").alias("least"))
 
     members = classes.select("node", F.explode("bands").alias("key")).distinct()
     shared = members.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("key")
     members, members_path = staged(members.join(shared, "key"), "members")
-    texts, texts_path = staged(rows.join(members.select(F.col("node").alias("id")).distinct(), "id").select(F.col("id").alias("node"), "text"), "texts")
-    paths = [sig_path, class_path, texts_path]
+    heads = classes.select("node", "first.id", "first.h").join(members.select("node").distinct(), "node")
+    texts, texts_path = staged(rows.join(heads, ["id", "h"]).groupBy("id", "h", "node").agg(F.first("text").alias("text")).select("node", "text"), "texts")
+    paths = [sig_path, class_path, clash_path, texts_path]
     none = spark.createDataFrame([], "a long, b long")
     links, compared = none, none
     labels, labels_path = spark.createDataFrame([], "node long, label long"), None
@@ -127,16 +138,22 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
             members_path = newer
         centres_each, turn = 8 ** turn, turn + 1
 
-    node_of = classes.select("digest", "node")
-    out = labelled(sig.select("id", "n_shingles", "digest").join(node_of, "digest", "left").withColumn("node", F.coalesce("node", "id")), "node", "component")
-    shown = lambda c: F.when(F.col(c) != NULL_ID, F.col(c))
-    out, _ = staged(out.select(shown("id").alias("doc_id"), "n_shingles", shown("component").alias("component_id"), (F.col("id") == F.col("component")).alias("kept")), "neardup")
+    grouped = labelled(classes.select("digest", "node", "first"), "node", "label")
+    tops = grouped.join(grouped.groupBy("label").agg(F.min("first").alias("top")), "label").select("digest", "top")
+    out = sig.select("id", "n_shingles", "digest", "h", "row").join(tops, "digest", "left")
+    shown = lambda c: F.when(c != NULL_ID, c)
+    out, _ = staged(out.select(shown(F.col("id")).alias("doc_id"), "n_shingles", shown(F.coalesce("top.id", "id")).alias("component_id"),
+                               F.coalesce(F.col("top.row") == F.col("row"), F.lit(True)).alias("kept"), "h"), "neardup")
     discard(spark, members_path, *paths, *([labels_path] if labels_path else []))
     return out
 
 
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """The documents, all columns, of which one a component stays."""
-    id_col = options.get("id_col", "doc_id")
-    gone = near_duplicates(docs, **options).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col].eqNullSafe(gone["_gone"]), "left_anti")
+    """The documents, all columns, of which one a component stays. Rows are
+    told apart by id and text; of rows equal in both, any one stays."""
+    id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
+    rows = _judged(docs, **options).groupBy("doc_id", "h").agg(F.count(F.lit(1)).alias("n"), F.count_if("kept").alias("kept")).where("kept < n")
+    some, _ = staged(rows.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"), "kept"), "judged")
+    same = lambda x: docs[id_col].eqNullSafe(x["_id"]) & (F.xxhash64(docs[text_col]) == x["_h"])
+    one = some.where("kept > 0")
+    return docs.join(some, same(some), "left_anti").union(docs.join(one, same(one), "left_semi").dropDuplicates([id_col, text_col]))

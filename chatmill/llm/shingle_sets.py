@@ -60,6 +60,7 @@ def band_keys(sig: np.ndarray, perms: int) -> np.ndarray:
 
 
 def signer(size: int, bands: int, perms: int):
+    """(id, text, h) -> (id, shingles, their digest, band keys, h)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         random = np.random.default_rng(20)
         factors = random.integers(0, 2**64, bands * perms, np.uint64) | np.uint64(1)
@@ -73,8 +74,8 @@ def signer(size: int, bands: int, perms: int):
                 digests.append(hashlib.blake2b(values.tobytes(), digest_size=16).digest() if len(values) else None)
                 keys.append(band_keys(signature(values, factors, flips), perms) if len(values) else [])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                ["id", "n_shingles", "digest", "bands"])
+                [batch.column(0), pa.array(counts, pa.int64()), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64())), batch.column(2)],
+                ["id", "n_shingles", "digest", "bands", "h"])
     return run
 
 

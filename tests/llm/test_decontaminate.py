@@ -65,3 +65,10 @@ def test_shuffle_join_gives_the_same(spark, monkeypatch):
     ii = spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
     monkeypatch.setattr(dc, "MAX_BROADCAST_SKETCH", 0)
     assert dc.find_leaks(dd, ii).count() == 1
+
+
+def test_rows_are_dropped_by_their_own_text(spark):
+    s = "a b c d e f g h"
+    dd = spark.createDataFrame([(None, "clean one"), (None, "x " + s), (None, None), (1, s), (1, "clean two"), (2, s + " y")], "doc_id long, text string")
+    ii = spark.createDataFrame([(1, s)], "item_id long, text string")
+    assert sorted((r.doc_id or 0, r.text or "") for r in dc.drop_leaks(dd, ii).collect()) == [(0, ""), (0, "clean one"), (1, "clean two")]

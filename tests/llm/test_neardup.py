@@ -87,3 +87,18 @@ def test_components_of_a_long_path(spark):
     labels, _ = components(links)
     got = {r.node: r.label for r in labels.collect()}
     assert got == {**dict.fromkeys(range(61), 0), 100: 100, 101: 100}
+
+
+def test_rows_are_judged_by_their_own_text(spark):
+    far, near = "a b c d e f g h", " ".join(f"w{i}" for i in range(60))
+    rows = [(1, far, 0), (7, far, 1), (7, "q r s t u v", 2), (7, "", 3),          # two texts and none under one id
+            (None, near, 4), (None, near + " x", 5), (None, near, 6), (None, "k l m n o p", 7), (9, near + " y", 8), (None, None, 9), (None, None, 10),
+            (0, "i j k l m n", 11), (0, "i j k l m n", 12), (0, "I  j k l m n", 13)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, tag int")
+    got = neardup.near_duplicates(docs).collect()
+    assert len(got) == len(rows) and sum(r.kept for r in got) == 8
+    left = neardup.drop_near_duplicates(docs)
+    assert left.columns == docs.columns
+    tags = {r.tag for r in left.collect()}
+    assert len(tags) == left.count() == 8 and {0, 2, 3, 7, 9, 10} < tags
+    assert len(tags & {4, 5, 6}) == 1 and len(tags & {11, 12, 13}) == 1
