@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, fingerprints, neardup, quality, sharding, suffix_dedup, token_files, toxicity, warc
+from . import bpe, conversation_repair, decontaminate, fingerprints, neardup, quality, sharding, suffix_dedup, token_files, toxicity, warc
 from chatmill.session import delete_at_exit, scratch_path
 
 from .common import table
@@ -73,7 +73,16 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    found = conversation_repair.repair_conversations(conversation_repair.damage(turns))
+    ids = turns.select("conv_id").distinct()
+    counts = [F.coalesce(found[c], F.lit(0)).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return ids.join(found, ids.conv_id.eqNullSafe(found.conv_id), "left").select(
+        ids.conv_id, *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_fingerprints, op2_toxicity, op3_warc, op4_bpe, op5_decontamination, op6_quality,
-    op7_token_files, op8_sharding, op9_neardup, op10_suffix_dedup)}
+    op7_token_files, op8_sharding, op9_neardup, op10_suffix_dedup, op11_conversation_repair)}
 ORACLE_SQL = {"op3_warc": warc.SQL, "op5_decontamination": decontaminate.SQL}
