@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, conversation_repair, decontaminate, fingerprints, neardup, quality, sharding, suffix_dedup, token_files, toxicity, warc
+from . import bpe, conversation_repair, cross_tokenizer, decontaminate, fingerprints, neardup, quality, sharding, suffix_dedup, token_files, toxicity, warc
 from chatmill.session import delete_at_exit, scratch_path
 
 from .common import table
@@ -13,9 +13,9 @@ from .common import table
 SHARDS = 24
 
 
-def vocabulary() -> str:
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,7 +82,16 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
         ids.conv_id, *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = cross_tokenizer.align_tokenizers(table(spark, sf_dir, "documents"), vocabulary(), vocabulary("piece_bpe_32k.model"))
+    digest = F.when(F.col("n_a") == 0, "").otherwise(F.sha2("groups", 256)).alias("groups_sha256")
+    scored = cross_tokenizer.score_links(aligned.select("doc_id", "n_a", "n_b", "n_links", digest, "pairs"))
+    # every token has bytes, so a cut is the end of one token of each: a link
+    return scored.select("doc_id", "n_a", "n_b", F.col("n_links").alias("n_groups"), "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_fingerprints, op2_toxicity, op3_warc, op4_bpe, op5_decontamination, op6_quality,
-    op7_token_files, op8_sharding, op9_neardup, op10_suffix_dedup, op11_conversation_repair)}
+    op7_token_files, op8_sharding, op9_neardup, op10_suffix_dedup, op11_conversation_repair,
+    op12_token_alignment)}
 ORACLE_SQL = {"op3_warc": warc.SQL, "op5_decontamination": decontaminate.SQL}
