@@ -2,14 +2,12 @@
 
 The tokens of a batch lie one document after the other, with the byte offset at
 which each ends. One state vector holds a pointer into A's tokens and one into
-B's for every lane, which is a document or, of a long one, a run of ``LANE``
-chunks. Every step compares all lanes' two ends at once: where they are equal
+B's for every lane, which is a document or, of a long one, about ``LANE`` tokens.
+Every step compares all lanes' two ends at once: where they are equal
 the tokens are linked and the bytes cut there, and the pointer (or both) whose
 token ends first moves on. Lanes that are done leave the vector.
 
-Texts are encoded by the chunks between single spaces, as in ``bpe_model``:
-neither vocabulary has a token over such a border, so a chunk's end is an end
-of both, and known chunks are not encoded again.
+A long document is cut into lanes at offsets where tokens of both end.
 """
 
 from __future__ import annotations
@@ -20,11 +18,12 @@ from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
-from .bpe_model import ChunkEncoder, byte_letters
+from .bpe_model import PATTERN, byte_letters
 
-#: Chunks of a lane, remembered chunks and their longest, characters of texts held at a time.
-LANE, KNOWN, LONGEST, HELD = 256, 400_000, 64, 2_000_000
+#: Tokens of a lane, tokens in which an end of both is looked for, bytes of texts held at a time.
+LANE, WINDOW, HELD = 1024, 64, 2_000_000
 #: The B id's bits of a linked pair.
 B_BITS = 32
 
@@ -37,45 +36,55 @@ class Tokenizers:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
         from tokenizers import Tokenizer
-        self.a = Tokenizer.from_str(a_content)
-        self.a.no_truncation()
-        self.a.no_padding()
-        self.a.encode_special_tokens = True
+        spec = json.loads(a_content)
         letters = {c: b for b, c in byte_letters().items()}
-        vocab = json.loads(a_content)["model"]["vocab"]
-        self.a_bytes = _table({i: bytes(letters[c] for c in t) if set(t) <= letters.keys() else t.encode() for t, i in vocab.items()})
+        vocab = spec["model"]["vocab"]
+        self.a_bytes = {i: bytes(letters[c] for c in t) if set(t) <= letters.keys() else t.encode() for t, i in vocab.items()}
+        self.a_ids = ranked(spec, self.a_bytes)
+        if self.a_ids is None:
+            model = Tokenizer.from_str(a_content)
+            model.no_truncation()
+            model.no_padding()
+            model.encode_special_tokens = True
+            self.a_ids = lambda text: np.array(model.encode(text, add_special_tokens=False).ids, np.int64)
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b_content)
-        self.b_bytes = _table({i: _piece(self.b, i) for i in range(self.b.get_piece_size())})
-        inner = [p for i in range(self.b.get_piece_size()) if "▁" in (p := self.b.id_to_piece(i)).lstrip("▁")]
-        if inner or min(map(len, self.a_bytes.values())) == 0:
-            raise ValueError("a piece reaches over a space, or a token has no bytes")
+        self.b_bytes = {i: _piece(self.b, i) for i in range(self.b.get_piece_size())}
+        if min(map(len, self.a_bytes.values())) == 0 or min(map(len, self.b_bytes.values())) == 0:
+            raise ValueError("a token has no bytes")
         self.a_length = _lengths(self.a_bytes)
         self.b_length = _lengths(self.b_bytes)
         self.a_text, self.b_text = (_decimals(len(x)) for x in (self.a_length, self.b_length))
-        self.known: dict[str, tuple[bytes, bytes, bool]] = {}
-
-    def encode(self, chunks: list[str]) -> list[tuple[bytes, bytes, bool]]:
-        """Of space+chunk: A's ids, B's ids (32-bit), and whether both are its bytes."""
-        out = []
-        a_rows = self.a.encode_batch_fast([" " + c for c in chunks], add_special_tokens=False)
-        for c, a, b in zip(chunks, a_rows, self.b.encode(chunks, num_threads=1)):
-            raw = (" " + c).encode()
-            same = raw == b"".join(map(self.a_bytes.__getitem__, a.ids)) == b"".join(map(self.b_bytes.__getitem__, b))
-            out.append((np.array(a.ids, np.int32).tobytes(), np.array(b, np.int32).tobytes(), same))
-        return out
-
-    def encode_all(self, texts: list[str | None]) -> list[list[tuple[bytes, bytes, bool]]]:
-        """Every text's chunks, encoded; none for an empty text."""
-        split = [ChunkEncoder.chunks(t) if t else [] for t in texts]
-        if len(self.known) > KNOWN:
-            self.known.clear()
-        known = self.known
-        new = list({c for parts in split for c in parts if c not in known})
-        fresh = {}
-        for i in range(0, len(new), 4096):
-            fresh.update(zip(new[i:i + 4096], self.encode(new[i:i + 4096])))
-        known.update((c, x) for c, x in fresh.items() if len(c) <= LONGEST)
-        return [[known.get(c) or fresh[c] for c in parts] for parts in split]
+
+    def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of space+text of A, of text of B; none for an empty text, and
+        where the tokens' bytes are not space+text."""
+        none = np.empty(0, np.int64)
+        if not text:
+            return none, none
+        raw = (" " + text).encode()
+        a, b = self.a_ids(" " + text), self.b.encode(text)
+        if self.a_length[a].sum() != len(raw) or b"".join(map(self.b_bytes.__getitem__, b)) != raw:
+            return none, none
+        return a, np.array(b, np.int64)
+
+
+def ranked(spec: dict, bytes_of: dict[int, bytes]):
+    """text -> ids by the tiktoken library, which is several times as fast, if
+    the file is one whose merges follow its ids (so the ids are the same); else None."""
+    import tiktoken
+    model, split = spec["model"], spec.get("pre_tokenizer") or {}
+    merges = [m.split(" ") if isinstance(m, str) else m for m in model.get("merges", [])]
+    made = [model["vocab"].get(x + y) for x, y in merges]
+    added = {t["id"] for t in spec.get("added_tokens", [])}
+    basic = {i for i, raw in bytes_of.items() if len(raw) == 1 and i not in added}
+    plain = (split.get("type") == "ByteLevel" and not split.get("add_prefix_space") and split.get("use_regex", True) and not spec.get("normalizer")
+             and not model.get("ignore_merges") and not model.get("dropout") and not any(model.get(k) for k in ("continuing_subword_prefix", "end_of_word_suffix", "byte_fallback")))
+    if not plain or None in made or any(x >= y for x, y in zip(made, made[1:])) or len(basic) != 256 or (basic and made and max(basic) >= made[0]):
+        return None
+    if basic | set(made) != set(bytes_of) - added:
+        return None
+    encoding = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks={bytes_of[i]: i for i in basic | set(made)}, special_tokens={})
+    return lambda text: encoding.encode_to_numpy(text, allowed_special=set(), disallowed_special=()).astype(np.int64)
 
 
 def _piece(model, i: int) -> bytes:
@@ -83,10 +92,6 @@ def _piece(model, i: int) -> bytes:
     return bytes([int(piece[3:5], 16)]) if model.is_byte(i) else piece.replace("▁", " ").encode()
 
 
-def _table(of: dict[int, bytes]) -> dict[int, bytes]:
-    return dict(sorted(of.items()))
-
-
 def _lengths(of: dict[int, bytes]) -> np.ndarray:
     out = np.zeros(max(of) + 1, np.int64)
     for i, raw in of.items():
@@ -126,34 +131,38 @@ def lockstep(a_end: np.ndarray, b_end: np.ndarray, lanes: np.ndarray) -> np.ndar
     return partner
 
 
+def lanes_of(a_end: np.ndarray, b_end: np.ndarray) -> list[tuple[int, int, int]]:
+    """A document's lanes: about every ``LANE`` tokens of A one begins, where
+    the next few tokens hold an end of both."""
+    out, a, b = [], 0, 0
+    for at in range(LANE, len(a_end) - WINDOW, LANE):
+        near = a_end[at:at + WINDOW]
+        place = np.searchsorted(b_end, near)
+        both = np.flatnonzero(b_end[np.minimum(place, len(b_end) - 1)] == near)
+        if len(both):
+            out.append((a, b, at + int(both[0]) + 1))
+            a, b = at + int(both[0]) + 1, int(place[both[0]]) + 1
+    return [*out, (a, b, len(a_end))]
+
+
 def align(tokenizers: Tokenizers, texts: list[str | None]) -> list[tuple[int, int, int, bytes, np.ndarray]]:
     """Of every text: A's and B's number of tokens, of links, the groups as
     ``a1,a2|b1;a3|b2,b3``, and the linked ids (A's shifted by ``B_BITS``, or B's)."""
-    a_parts, b_parts, lanes, counts = [], [], [], []
-    a_at = b_at = 0
-    for chunks in tokenizers.encode_all(texts):
-        if not all(c[2] for c in chunks):
-            chunks = []
-        begin = a_at, b_at
-        for i in range(0, len(chunks), LANE):
-            a, b = b"".join([c[0] for c in chunks[i:i + LANE]]), b"".join([c[1] for c in chunks[i:i + LANE]])
-            a_parts.append(a)
-            b_parts.append(b)
-            lanes.append((a_at, b_at, a_at + len(a) // 4))
-            a_at, b_at = a_at + len(a) // 4, b_at + len(b) // 4
-        counts.append((a_at - begin[0], b_at - begin[1]))
-    a, b = (np.frombuffer(b"".join(x), np.int32) for x in (a_parts, b_parts))
-    partner = lockstep(np.cumsum(tokenizers.a_length[a]), np.cumsum(tokenizers.b_length[b]), np.array(lanes, np.int64).reshape(-1, 3))
+    rows = [tokenizers.encode(t) for t in texts]
+    a, b = (np.concatenate([r[i] for r in rows]) for i in (0, 1))
+    a_end, b_end = np.cumsum(tokenizers.a_length[a]), np.cumsum(tokenizers.b_length[b])
+    a_first, b_first = (np.cumsum([0, *(len(r[i]) for r in rows)]) for i in (0, 1))
+    lanes = [(x + a_first[d], y + b_first[d], z + a_first[d]) for d, r in enumerate(rows) if len(r[0])
+             for x, y, z in lanes_of(a_end[a_first[d]:a_first[d + 1]], b_end[b_first[d]:b_first[d + 1]])]
+    partner = lockstep(a_end, b_end, np.array(lanes, np.int64).reshape(-1, 3))
     linked = np.flatnonzero(partner >= 0)
     text, start = _groups(tokenizers, a, b, linked, partner[linked])
-    pairs = (a[linked].astype(np.int64) << B_BITS) | b[partner[linked]]
-    a_first = np.cumsum([0, *(n for n, _ in counts)])
-    b_first = np.cumsum([0, *(n for _, n in counts)])
+    pairs = (a[linked] << B_BITS) | b[partner[linked]]
     cuts = np.searchsorted(linked, a_first)
     out = []
-    for d, (n_a, n_b) in enumerate(counts):
+    for d in range(len(texts)):
         groups = text[start * (a_first[d] + b_first[d]):start * (a_first[d + 1] + b_first[d + 1])].translate(None, b"\0")[:-1]
-        out.append((n_a, n_b, int(cuts[d + 1] - cuts[d]), groups, pairs[cuts[d]:cuts[d + 1]]))
+        out.append((len(rows[d][0]), len(rows[d][1]), int(cuts[d + 1] - cuts[d]), groups, pairs[cuts[d]:cuts[d + 1]]))
     return out
 
 
@@ -175,11 +184,11 @@ def _groups(tokenizers: Tokenizers, a, b, a_cut, b_cut) -> tuple[bytes, int]:
     return out.tobytes(), width
 
 
-def slices(texts: list[str | None]) -> Iterator[slice]:
+def slices(texts: pa.Array) -> Iterator[slice]:
     """Runs of texts of bounded length together, of one text at least."""
     begin = size = 0
-    for i, t in enumerate(texts):
-        size += len(t or "")
+    for i, n in enumerate(pc.binary_length(texts).fill_null(0).to_pylist()):
+        size += n
         if size >= HELD or i + 1 == len(texts):
             yield slice(begin, i + 1)
             begin, size = i + 1, 0
@@ -190,9 +199,8 @@ def aligner(a_content, b_content, per_process):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizers = per_process(f"aligned_{hash(a_content.value)}_{hash(b_content.value)}", lambda: Tokenizers(a_content.value, b_content.value))
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for part in slices(texts):
-                n_a, n_b, n, groups, pairs = zip(*align(tokenizers, texts[part]))
+            for part in slices(batch.column(1)):
+                n_a, n_b, n, groups, pairs = zip(*align(tokenizers, batch.column(1)[part].to_pylist()))
                 ends = np.cumsum([0, *map(len, pairs)])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0)[part], pa.array(n_a, pa.int64()), pa.array(n_b, pa.int64()), pa.array(n, pa.int64()),
