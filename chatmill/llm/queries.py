@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, conversation_repair, cross_tokenizer, decontaminate, fingerprints, neardup, quality, sharding, suffix_dedup, token_files, toxicity, warc
+from . import bpe, conversation_repair, cross_tokenizer, decontaminate, fingerprints, neardup, pii, quality, sharding, suffix_dedup, token_files, toxicity, warc
 from chatmill.session import delete_at_exit, scratch_path
 
 from .common import table
@@ -90,8 +90,18 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "n_a", "n_b", F.col("n_links").alias("n_groups"), "n_links", "n_best", "count_sum", "groups_sha256")
 
 
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = pii.find_pii(docs, pii.fit(docs))
+    base = F.filter("spans", lambda s: s["base"])
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    count = lambda kind: F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    counts = [count(kind) for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_fingerprints, op2_toxicity, op3_warc, op4_bpe, op5_decontamination, op6_quality,
     op7_token_files, op8_sharding, op9_neardup, op10_suffix_dedup, op11_conversation_repair,
-    op12_token_alignment)}
+    op12_token_alignment, op13_pii)}
 ORACLE_SQL = {"op3_warc": warc.SQL, "op5_decontamination": decontaminate.SQL}
