@@ -23,7 +23,9 @@ import pyarrow.compute as pc
 from .bpe_model import PATTERN, byte_letters
 
 #: Tokens of a lane, tokens in which an end of both is looked for, bytes of texts held at a time.
-LANE, WINDOW, HELD = 1024, 64, 2_000_000
+LANE, WINDOW, HELD = 1024, 64, 1_000_000
+#: Links that are looked up at a time.
+HELD_LINKS = 1 << 18
 #: The B id's bits of a linked pair.
 B_BITS = 32
 
@@ -35,13 +37,13 @@ class Tokenizers:
     def __init__(self, a_content: str, b_content: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
-        from tokenizers import Tokenizer
         spec = json.loads(a_content)
         letters = {c: b for b, c in byte_letters().items()}
         vocab = spec["model"]["vocab"]
         self.a_bytes = {i: bytes(letters[c] for c in t) if set(t) <= letters.keys() else t.encode() for t, i in vocab.items()}
         self.a_ids = ranked(spec, self.a_bytes)
         if self.a_ids is None:
+            from tokenizers import Tokenizer
             model = Tokenizer.from_str(a_content)
             model.no_truncation()
             model.no_padding()
@@ -210,12 +212,24 @@ def aligner(a_content, b_content, per_process):
     return run
 
 
+def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of a bounded number of links together, of one row at least."""
+    for batch in batches:
+        ends = np.cumsum(batch.column(1).value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+        begin = 0
+        while begin < batch.num_rows:
+            before = int(ends[begin - 1]) if begin else 0
+            end = max(begin + 1, int(np.searchsorted(ends, before + HELD_LINKS, "right")))
+            yield batch.slice(begin, end - begin)
+            begin = end
+
+
 def scorer(pairs, counts, best):
     """(key, pairs) -> (key, hot_sum, hot_best): sums over the links among the
     broadcast pairs, which ascend."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, n, top = pairs.value, counts.value, best.value
-        for batch in batches:
+        for batch in parts(batches):
             row, found, values = _lookup(batch.column(1), known)
             at = found[values]
             sums, tops = (np.zeros(batch.num_rows, np.int64) for _ in range(2))
@@ -229,7 +243,7 @@ def others(pairs):
     """(key, pairs) -> (key, pair, times): the links that are not among the broadcast pairs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = pairs.value
-        for batch in batches:
+        for batch in parts(batches):
             row, _, values = _lookup(batch.column(1), known)
             flat = batch.column(1).flatten().to_numpy(zero_copy_only=False)[~values]
             rows = row[~values]
