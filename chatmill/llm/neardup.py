@@ -6,18 +6,26 @@ the minima and maxima of two permutations. Documents with equal sets form one
 class, whose representative alone goes on. Representatives that share a band
 are compared on their full sets.
 
-No bucket emits all its pairs. Its members are compared with its centre, the
-smallest member. The members of buckets that still are in several components
-go on into finer buckets, keyed by each of their rarest shingles: two sets that
-are alike share one of these for certain. There they are compared with one
-centre, then with 8, 64, ... until every member has been one or all are linked.
-So no pair that shares a band is left out. Two sets of Jaccard similarity 0.8
-share none of the 28 bands with a chance of about 4e-7.
+A bucket's members are compared with its centre, the smallest member. Where a
+bucket then still holds several components, its members go on to an exact search:
+
+* the shingles of these members are counted, and ordered by that count. A pair
+  that is alike shares its rarest common shingle at a place so far to the front
+  of both orders that the rest can still hold the overlap they need (prefix and
+  position filter). What only one member has is not shared, but takes a place;
+* the smaller one of a pair files under its first shingles, and its size; the
+  larger one looks under its own, at those sizes that its rest allows. So a
+  member whose own part is too large for any link meets nobody.
+
+There, filed members are centres in turn, 1, then 8, then 64 of a bucket, each
+compared with the members that are not linked to it yet, until all have been
+one or the bucket is one component. No pair that shares a band is left out. Two
+sets of Jaccard similarity 0.8 share none of the 28 bands with a chance of
+about 4e-7.
 """
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,9 +34,6 @@ from .common import NULL_ID, discard, ship, staged
 from .components import components
 
 BANDS, PERMS_PER_BAND = 28, 2
-#: Documents whose shingles are counted to tell rare ones, and shingles kept of
-#: them. They set how fine the finer buckets are; any order is exact.
-SAMPLE_DOCS, SAMPLE_SHINGLES = 2_000, 200_000
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -100,43 +105,45 @@ def _judged(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "do
         return labelled(labelled(left, "a", "la"), "b", "lb").where("la != lb").select("a", "b", "shared")
 
     def still_open(rows: DataFrame) -> DataFrame:
-        """The (key, node) whose key holds several components."""
-        rows = labelled(rows, "node", "label")
-        mixed = rows.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
-        return rows.join(mixed, "key").select("key", "node")
+        """The rows whose key holds several components, and one that is filed."""
+        known = labelled(rows, "node", "label")
+        mixed = known.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.max("filed").alias("any")).where("lo < hi and any").select("key")
+        return known.join(mixed, "key").select(*rows.columns)
 
     def finer(rows: DataFrame) -> DataFrame:
-        """(key, node) of the rarest shingles of the nodes of ``rows``."""
+        """(key, node, filed) of the shingles that a link of the nodes of ``rows`` would begin with."""
         some = texts.join(rows.select("node").distinct(), "node")
-        drawn = some.orderBy(F.xxhash64("node"), "node").limit(SAMPLE_DOCS).select("text")
-        seen = drawn.mapInArrow(shingle_sets.gram_counter(size), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
-        top = seen.where("n > 1").orderBy(F.col("n").desc(), "shingle").limit(SAMPLE_SHINGLES).toPandas()
-        known = top["shingle"].to_numpy(np.int64).view(np.uint64)
-        order = np.argsort(known)
-        common = spark.sparkContext.broadcast((known[order], top["n"].to_numpy(np.int64)[order]))
-        keyed = some.mapInArrow(shingle_sets.prefixer(size, percent, common), "node long, keys array<long>")
-        return keyed.select("node", F.explode("keys").alias("key")).distinct()
-
-    centres_each, turn = 1, 0
+        grams, path = staged(some.mapInArrow(shingle_sets.gram_lister(size), "node long, size long, shingle long"), "grams")
+        paths.append(path)
+        shared = grams.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        listed = grams.join(shared, "shingle").groupBy("node", "size").agg(F.collect_list(F.struct("n", "shingle")).alias("shared"))
+        return listed.mapInArrow(shingle_sets.prefixer(percent), "key long, node long, filed boolean").groupBy("key", "node").agg(F.max("filed").alias("filed"))
+
+    # first, each member with the one centre that most of its bands share, then with its other centres
+    centres = members.groupBy("key").agg(F.min("node").alias("c"))
+    pairs = members.join(centres, "key").where("node != c").groupBy(F.col("c").alias("a"), F.col("node").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
+    pairs, pairs_path = staged(open_pairs(pairs), "candidates")
+    best = pairs.groupBy("b").agg(F.max(F.struct("shared", -F.col("a"))).alias("m"))
+    compare(best.select((-F.col("m.col2")).alias("a"), "b"))
+    compare(open_pairs(pairs))
+    left = members.join(centres.withColumnRenamed("c", "node"), ["key", "node"], "left_anti").withColumn("filed", F.lit(True))
+    opened, newer = staged(still_open(left), "members")
+    discard(spark, members_path, pairs_path)
+    members, members_path = opened, newer
+    if not members.isEmpty():
+        opened, newer = staged(still_open(finer(members)), "members")
+        discard(spark, members_path)
+        members, members_path = opened, newer
+    turn = 0
     while not members.isEmpty():
-        part = F.pmod(F.xxhash64("key", "node", F.lit(turn)), F.lit(centres_each))
-        centres = members.groupBy("key", part.alias("part")).agg(F.min("node").alias("c")).select("key", "c")
-        pairs = (members.join(centres, "key").where("node != c")
-                 .groupBy(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).agg(F.count(F.lit(1)).alias("shared")))
-        pairs, pairs_path = staged(open_pairs(pairs), "candidates")
-        if turn == 0:  # first, each member with the one centre that most of its bands share
-            best = pairs.groupBy("b").agg(F.max(F.struct("shared", -F.col("a"))).alias("m"))
-            compare(best.select((-F.col("m.col2")).alias("a"), "b"))
-            pairs = open_pairs(pairs)
-        compare(pairs)
-        members, newer = staged(still_open(members.join(centres.withColumnRenamed("c", "node"), ["key", "node"], "left_anti")), "members")
-        discard(spark, members_path, pairs_path)
-        members_path = newer
-        if turn == 0 and not members.isEmpty():
-            members, newer = staged(still_open(finer(members)), "members")
-            discard(spark, members_path)
-            members_path = newer
-        centres_each, turn = 8 ** turn, turn + 1
+        part = F.pmod(F.xxhash64("key", "node", F.lit(turn)), F.lit(8 ** min(turn, 20)))
+        centres = members.where("filed").groupBy("key", part.alias("part")).agg(F.min("node").alias("c")).select("key", "c")
+        apart = labelled(members, "node", "own").alias("m").join(labelled(centres, "c", "other").alias("o"), (F.col("m.key") == F.col("o.key")) & (F.col("own") != F.col("other")))
+        pairs = apart.groupBy(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
+        compare(open_pairs(pairs))
+        opened, newer = staged(still_open(members.join(centres.withColumnRenamed("c", "node"), ["key", "node"], "left_anti")), "members")
+        discard(spark, members_path)
+        members, members_path, turn = opened, newer, turn + 1
 
     grouped = labelled(classes.select("digest", "node", "first"), "node", "label")
     tops = grouped.join(grouped.groupBy("label").agg(F.min("first").alias("top")), "label").select("digest", "top")

@@ -79,37 +79,63 @@ def signer(size: int, bands: int, perms: int):
     return run
 
 
-def gram_counter(size: int):
-    """(text) -> (shingle, texts), summed over a batch."""
+def gram_lister(size: int):
+    """(node, text) -> (node, size of its set, shingle), a row a shingle."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict[bytes, int] = {}
         for batch in batches:
-            sets = [shingle_set(t, size, cache) for t in batch.column(0).to_pylist()]
-            values, counts = np.unique(np.concatenate([np.empty(0, np.uint64), *sets]), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(counts.astype(np.int64))], ["shingle", "n"])
+            for at in range(0, batch.num_rows, 64):
+                nodes = batch.column(0)[at:at + 64].to_numpy(zero_copy_only=False)
+                sets = [shingle_set(t, size, cache).view(np.int64) for t in batch.column(1)[at:at + 64].to_pylist()]
+                n = np.array([len(x) for x in sets], np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(nodes, n)), pa.array(np.repeat(n, n)), pa.array(np.concatenate(sets))], ["node", "size", "shingle"])
     return run
 
 
-def prefixer(size: int, percent: int, common):
-    """(node, text) -> (node, keys): the rarest shingles, one more than a set
-    may lack of another that is alike to ``percent``. Rare are those that
-    ``common`` (shingles, counts) lacks, then those it counts least; ties go by
-    value. By this order two sets that are alike share a key."""
+#: Sizes are told apart in classes that grow by this factor.
+SIZE_STEP = 1.04
+
+
+def size_class(n: np.ndarray | int):
+    return np.floor(np.log(np.maximum(n, 1)) / np.log(SIZE_STEP)).astype(np.int64)
+
+
+def prefixer(percent: int):
+    """(node, size, shared [(n, shingle)]) -> (key, node, filed): where a node is
+    filed, as the smaller one of a pair, and where it looks for smaller ones.
+
+    Shingles stand in order of (n, shingle), behind the node's own. If the
+    rarest common one of a pair stands at place i (from 1), the overlap is at
+    most size - i + 1, and has to be percent * (both sizes) / (100 + percent).
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache: dict[bytes, int] = {}
-        known, counts = common.value
         for batch in batches:
-            keys = []
-            for text in batch.column(1).to_pylist():
-                values = shingle_set(text, size, cache)
-                at = np.minimum(np.searchsorted(known, values), max(0, len(known) - 1))
-                often = np.where(known[at] == values, counts[at], 0) if len(known) else np.zeros(len(values), np.int64)
-                take = len(values) - (percent * len(values) + 99) // 100 + 1
-                keys.append(values[np.lexsort((values, often))[:take]].view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.list_(pa.int64()))], ["node", "keys"])
+            held: list[list[np.ndarray]] = []
+            for i in range(batch.num_rows):
+                node, size, shared = batch.column(0)[i].as_py(), batch.column(1)[i].as_py(), batch.column(2)[i].values
+                n, shingles = shared.field(0).to_numpy(zero_copy_only=False), shared.field(1).to_numpy(zero_copy_only=False)
+                shingles = shingles[np.lexsort((shingles, n))]
+                overlap = len(shingles) - np.arange(len(shingles))                  # what the rest can hold
+                partner = overlap * (100 + percent) // percent - size               # and the largest partner's size
+                least = -(-size * percent // 100)
+                filed = shingles[partner >= size]
+                looks = np.flatnonzero(partner >= least)
+                low, high = size_class(least), size_class(np.minimum(partner[looks], size))
+                times = high - low + 1
+                classes = low + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+                keys = [_key(filed, np.full(len(filed), size_class(size))), _key(np.repeat(shingles[looks], times), classes)]
+                both = len(filed) + len(classes)
+                held.append([np.concatenate(keys), np.full(both, node, np.int64), np.arange(both) < len(filed)])
+                if len(held) >= 256 or both >= 1 << 16 or i + 1 == batch.num_rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)], ["key", "node", "filed"])
+                    held = []
     return run
 
 
+def _key(shingles: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    return mixed(shingles.view(np.uint64) * _FACTOR + classes.astype(np.uint64)).view(np.int64)
+
+
 def comparer(size: int, percent: int):
     """Keeps the pairs (a, b, text_a, text_b) whose full sets are alike."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

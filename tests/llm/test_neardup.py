@@ -102,3 +102,47 @@ def test_rows_are_judged_by_their_own_text(spark):
     tags = {r.tag for r in left.collect()}
     assert len(tags) == left.count() == 8 and {0, 2, 3, 7, 9, 10} < tags
     assert len(tags & {4, 5, 6}) == 1 and len(tags & {11, 12, 13}) == 1
+
+
+def _compared(spark, monkeypatch, rows):
+    """How many pairs of texts are compared, and the result."""
+    seen, staged = [], neardup.staged
+
+    def counted(df, label):
+        out = staged(df, label)
+        if label == "pairs":
+            seen.append(out[0].count())
+        return out
+    monkeypatch.setattr(neardup, "staged", counted)
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), size=4).collect()
+    monkeypatch.setattr(neardup, "staged", staged)
+    return sum(seen), {r.doc_id: (r.n_shingles, r.component_id) for r in got}
+
+
+def test_unlinked_documents_of_one_template_are_not_compared_in_pairs(spark, monkeypatch):
+    """70 of 80 words in common, no two linked: comparisons grow with the documents."""
+    rnd = random.Random(11)
+    shared = [f"w{i}" for i in range(70)]
+    counts = {}
+    for n in (100, 400):
+        rows = []
+        for i in range(n):
+            at = rnd.randrange(71)
+            rows.append((i, " ".join(shared[:at] + [f"u{i}x{j}" for j in range(10)] + shared[at:])))
+        counts[n], got = _compared(spark, monkeypatch, rows)
+        assert all(c == i for i, (_, c) in got.items())
+    assert counts[400] <= 30 * 400 and counts[400] < 8 * counts[100] < 8 * 30 * 100
+
+
+def test_sizes_and_places_lose_no_link(spark):
+    """Pairs about the threshold, of unequal sizes, in one template."""
+    rnd = random.Random(12)
+    shared = [f"w{i}" for i in range(90)]
+    rows = []
+    for i in range(150):
+        w = list(shared)
+        for _ in range(rnd.randrange(5)):
+            w[rnd.randrange(len(w))] = f"v{rnd.randrange(40)}"
+        w = w[rnd.randrange(12):len(w) - rnd.randrange(12)]
+        rows.append((i, " ".join(w)))
+    _check(spark, rows, 4)
