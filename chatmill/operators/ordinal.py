@@ -13,10 +13,21 @@ run. No row is sorted or moved, and a row without an offset raises an error.
 
 Files are ordered by directory, then by part number, then by name, so that
 ``part-100000`` follows ``part-99999``.
+
+Caps read no further than they have to: of text formats, files are staged in
+order, twice as many each time, until the cap is reached (``scan_prefix``); a
+Parquet folder may keep its runs beside it (``write_run_index``), which turn an
+ordinal bound into a list of files and a bound on row indexes (``scan_head``).
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+from functools import reduce
+from urllib.parse import unquote
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -28,6 +39,10 @@ FROM_FILE, FROM_BLOCK = "src_file", "src_block"
 # rows (about 100 bytes each) up to which the run table is broadcast; beyond,
 # the join shuffles, with the same result
 MAX_BROADCAST_RUNS = 500_000
+# the runs of a folder, in a folder whose name readers of the other skip
+RUN_INDEX = "_runs"
+# files up to which a capped scan names them one by one; beyond, it reads the folder
+MAX_LISTED_FILES = 10_000
 _BLOCK_ROWS = 1 << 16
 
 
@@ -74,25 +89,131 @@ def with_ordinal(df: DataFrame, name: str = "ordinal") -> DataFrame:
     """
     if SRC_ROW not in df.columns:
         df = stage_in_order(df)
+    keys = [SRC_FILE, "_file", "_block"]
+    runs = df.sparkSession.read.parquet(stage(_offsets(_runs(df)).select(*keys, "_row0", "_off"), "runs"))
+    return _numbered(df, runs, name)
+
+
+def _with_run(df: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Appends the source file and split of each row's run; and the columns that told them."""
     moved = [c for c in (FROM_FILE, FROM_BLOCK) if c in df.columns]
-    x = df.withColumns({"_file": F.coalesce(*[F.col(c) for c in moved[:1]], F.col(SRC_FILE)),
-                        "_block": F.coalesce(*[F.col(c) for c in moved[1:]], F.lit(-1).cast("long"))})
+    return df.withColumns({"_file": F.coalesce(*[F.col(c) for c in moved[:1]], F.col(SRC_FILE)),
+                           "_block": F.coalesce(*[F.col(c) for c in moved[1:]], F.lit(-1).cast("long"))}), moved
+
+
+def _runs(df: DataFrame, *also: Column) -> DataFrame:
+    """One row a run: its keys, number of rows and first row index."""
+    x, _ = _with_run(df)
     keys = [SRC_FILE, "_file", "_block"]
-    runs = x.select(*keys, SRC_ROW).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(SRC_ROW).alias("_row0"), F.max(SRC_ROW).alias("_row1"))
+    runs = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(SRC_ROW).alias("_row0"), F.max(SRC_ROW).alias("_row1"), *also)
     whole = F.when(F.col("_row1") - F.col("_row0") + 1 == F.col("_n"), F.col("_n")).otherwise(
         F.raise_error(F.lit("with_ordinal: rows are missing from the scan")).cast("long"))
+    return runs.withColumn("_n", whole).drop("_row1")
+
+
+def _offsets(runs: DataFrame) -> DataFrame:
+    """Appends the number of rows before each run, in source order."""
     in_order = Window.orderBy(file_order(F.col("_file")), "_block", file_order(F.col(SRC_FILE)), "_row0")
-    runs = runs.withColumn("_n", whole).select(
-        *keys, "_row0", F.coalesce(F.sum("_n").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    runs = df.sparkSession.read.parquet(stage(runs, "runs"))
+    return runs.withColumn("_off", F.coalesce(F.sum("_n").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+
+
+def _numbered(df: DataFrame, runs: DataFrame, name: str) -> DataFrame:
+    """Ordinals from a staged table of runs (keys, _row0, _off)."""
+    x, moved = _with_run(df)
     small = runs.count() <= MAX_BROADCAST_RUNS
-    out = x.join(F.broadcast(runs) if small else runs, keys, "left")
+    out = x.join(F.broadcast(runs) if small else runs, [SRC_FILE, "_file", "_block"], "left")
     place = F.when(F.col("_off").isNull(), F.raise_error(F.lit("with_ordinal: a row without an offset")).cast("long")).otherwise(
         F.col("_off") + F.col(SRC_ROW) - F.col("_row0"))
     return out.withColumn(name, place.cast("long")).drop("_file", "_block", "_row0", "_off", *moved)
 
 
+def _files(df: DataFrame) -> list[str]:
+    """The files of a scan in source order, as ``file_order`` has it."""
+    def place(path):
+        folder, _, file = path.rpartition("/")
+        part = re.match(r"part-(\d+)", file)
+        return folder, int(part.group(1)) if part else -1, path
+    return [unquote(path) for path in sorted(df.inputFiles(), key=place)]
+
+
+def scan_prefix(spark: SparkSession, path: str, cap: int, fmt: str = "json", schema=None, narrow: Callable[[DataFrame], DataFrame] | None = None,
+                name: str = "ordinal", **options) -> DataFrame:
+    """The first ``cap`` rows of files of any format in source order (L1, L3),
+    with their ordinal. ``narrow``: a step that keeps the order and the position
+    columns and may drop rows; the cap counts what it leaves.
+
+    Files are staged in order, as many again each time, until the rows suffice:
+    at most twice the files that hold them (of one file, all of it) are opened.
+    """
+    if cap < 1:
+        raise ValueError(f"cap must be >= 1, got {cap}")
+    reader = spark.read.format(fmt).options(**options)
+    files = _files((reader.schema(schema) if schema is not None else reader).load(path))
+    parts, have, at = [], 0, 0
+    while at < len(files) and have < cap:
+        some = scan_with_position(spark, files[at:max(1, 2 * at)], fmt, schema, **options)
+        staged = stage_in_order(narrow(some) if narrow else some, "prefix")
+        numbered = with_ordinal(staged, name)
+        parts.append(numbered.withColumn(name, F.col(name) + F.lit(have)))
+        have, at = have + staged.count(), max(1, 2 * at)
+    if not parts:
+        empty = scan_with_position(spark, path, fmt, schema, **options)
+        return with_ordinal(narrow(empty) if narrow else empty, name)
+    return reduce(lambda a, b: a.unionByName(b), parts).where(F.col(name) < F.lit(int(cap)))
+
+
+def write_run_index(spark: SparkSession, path: str) -> None:
+    """Keep the runs of a Parquet folder of part files beside them: by file
+    name (the folder may move) and size (a rewritten folder shows)."""
+    rows = scan_with_position(spark, path).withColumn("_size", F.col("_metadata.file_size"))
+    runs = _offsets(_runs(rows, F.max("_size").alias("_size")))
+    runs.withColumn("_name", _name(F.col(SRC_FILE))).drop(SRC_FILE).coalesce(1).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{RUN_INDEX}")
+
+
+def _name(path: Column) -> Column:
+    return F.regexp_extract(path, r"[^/]*$", 0)
+
+
+def read_run_index(spark: SparkSession, path: str) -> DataFrame | None:
+    """The kept runs, or None if there are none or the folder's files are others."""
+    try:
+        runs = spark.read.parquet(f"{path.rstrip('/')}/{RUN_INDEX}")
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
+            return None
+        raise
+    kept = runs.select("_name", "_size").distinct()
+    now = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).select(_name(F.col("path")).alias("_name"), F.col("length").alias("_size"))
+    rows = spark.read.parquet(path).select(_name(F.col("_metadata.file_path")).alias("_name")).distinct()     # of files with rows
+    now = now.join(rows, "_name", "left_semi")
+    return runs if now.exceptAll(kept).isEmpty() and kept.exceptAll(now).isEmpty() else None
+
+
+def scan_head(spark: SparkSession, path: str, cap: int, schema=None, name: str = "ordinal") -> DataFrame | None:
+    """L3 on a Parquet folder with a run index: its first ``cap`` rows with their
+    ordinal. Only files that hold such rows are scanned, each up to a row index.
+    None without an index, or where the files are too many to name."""
+    if cap < 1:
+        raise ValueError(f"cap must be >= 1, got {cap}")
+    index = read_run_index(spark, path)
+    if index is None:
+        return None
+    runs = index.where(F.col("_off") < F.lit(int(cap)))
+    upto = F.least(F.col("_n"), F.lit(int(cap)) - F.col("_off")) + F.col("_row0") - 1
+    files = runs.groupBy("_name").agg(F.max(upto).alias("upto"), F.max("_n").alias("n")).limit(MAX_LISTED_FILES + 1).collect()
+    if not files or len(files) > MAX_LISTED_FILES:
+        return None
+    last = {r["_name"]: r["upto"] for r in index.join(runs.select("_name").distinct(), "_name", "left_semi").groupBy("_name").agg(
+        F.max(F.col("_row0") + F.col("_n") - 1).alias("upto")).collect()}
+    df = scan_with_position(spark, [f"{path.rstrip('/')}/{r['_name']}" for r in files], "parquet", schema)
+    for r in files:
+        if r["upto"] < last[r["_name"]]:          # the cap ends within it
+            df = df.where((_name(F.col(SRC_FILE)) != F.lit(r["_name"])) | (F.col(SRC_ROW) <= F.lit(r["upto"])))
+    named = df.select(F.col(SRC_FILE)).distinct().withColumn("_name", _name(F.col(SRC_FILE)))
+    staged = spark.read.parquet(stage(runs.join(named, "_name").select(SRC_FILE, "_file", "_block", "_row0", "_off"), "runs"))
+    return _numbered(df, staged, name).where(F.col(name) < F.lit(int(cap)))
+
+
 def cap_condition(rows: DataFrame, cap: int) -> Column:
     """Whether a row of a positioned Parquet scan, after any filters, is one of
     the first ``cap`` in source order.

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from chatmill.config import WINDOW_MAX_LENGTH
 from chatmill.operators.encode import Tokenizer, filter_nonempty, tokenize_and_mask
-from chatmill.operators.ordinal import FROM_BLOCK, FROM_FILE, positions_of, source_columns
+from chatmill.operators.ordinal import FROM_BLOCK, FROM_FILE, positions_of, source_columns, write_run_index
 from chatmill.sources import sinks
 from chatmill.sources.files import try_scan, scan_jsonl
 
@@ -35,6 +35,7 @@ def pretokenize_split(spark: SparkSession, split: str, in_path: str, out_dir: st
         return None
     rows = source_columns(pretokenize_frame(src, tok, max_length)).withColumn("n_ids", F.size("input_ids"))
     sinks.write_tokenized(rows, out, sinks.save_mode(overwrite), extra=(FROM_FILE, FROM_BLOCK, "n_ids"))
+    write_run_index(spark, out)
     return out
 
 

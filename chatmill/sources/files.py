@@ -18,12 +18,16 @@ def scan_jsonl(spark: SparkSession, path: str, positioned: bool = True) -> DataF
     return spark.read.schema(RECORD).json(path)
 
 
+def tokenized_schema(spark: SparkSession, path: str) -> StructType:
+    """D7, and where its rows came from, as far as the folder tells."""
+    have = set(spark.read.parquet(path).columns)
+    return StructType(TOKENIZED.fields + [f for f in TOKENIZED_ORIGIN.fields if f.name in have])
+
+
 def scan_tokenized(spark: SparkSession, path: str, positioned: bool = True) -> DataFrame:
     """Pre-tokenized Parquet directory."""
     if positioned:
-        have = set(spark.read.parquet(path).columns)
-        fields = [f for f in TOKENIZED_ORIGIN.fields if f.name in have]
-        return scan_with_position(spark, path, "parquet", StructType(TOKENIZED.fields + fields))
+        return scan_with_position(spark, path, "parquet", tokenized_schema(spark, path))
     return spark.read.schema(TOKENIZED).parquet(path)
 
 

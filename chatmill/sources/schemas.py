@@ -22,6 +22,8 @@ EVIDENCE_QA = T.StructType([                  # D3: polymorphic fields as raw JS
     T.StructField("search_results", T.StringType(), True),
 ])
 
+CONTEXT_FIELDS = ("entity_pages", "evidence", "search_results")   # D4
+
 RECORD = T.StructType([                       # D5
     T.StructField("instruction", T.StringType(), True),
     T.StructField("output", T.StringType(), True),
