@@ -147,3 +147,54 @@ def evidence_qa(spark: SparkSession, sf_dir: str, cap: int | None = None) -> Dat
         F.lit("trivia_qa").alias("source"), rec_key("trivia_qa").alias("rec_key"),
         "question", F.struct(F.col("answer_text").alias("value")).alias("answer"),
         "entity_pages", "evidence", "search_results")
+
+
+TYPED_FORMS = ("lists", "maps", "structs")
+
+
+def typed_evidence_qa(spark: SparkSession, sf_dir: str, form: str) -> DataFrame:
+    """D3 rows whose context fields have real nested types: lists of structs
+    and strings; lists of maps, and a map of lists to walk; or structs (of
+    parallel lists, which is no list, and one to walk)."""
+    p = qa_pairs(spark, sf_dir, pages=True)
+    d, html, url = F.col("doc_text"), F.col("page_html"), F.col("page_url")
+    shape = F.pmod(F.col("conv_id"), F.lit(6))
+    null, text = F.lit(None).cast("string"), "string"
+
+    def chosen(kind: str, *cases):
+        out = F.lit(None).cast(kind)
+        for n, value in cases:
+            out = F.when(shape == n, value.cast(kind)).otherwise(out)
+        return out
+
+    if form == "lists":
+        page = lambda w, t: _obj(wiki_context=w.cast(text), text=t.cast(text))
+        hit = lambda s, t: _obj(snippet=s.cast(text), title=t.cast(text))
+        pages, hits = "array<struct<wiki_context:string,text:string>>", "array<struct<snippet:string,title:string>>"
+        fields = {
+            "entity_pages": chosen(pages, (0, F.array(page(d, null))), (1, F.array(page(F.lit("  "), d))), (2, F.array()), (4, F.array(page(null, null))),
+                                   (5, F.array(page(null, null), page(null, d)))),
+            "evidence": chosen("array<string>", (1, F.array(html)), (2, F.array(F.lit(""))), (4, F.array())),
+            "search_results": chosen(hits, (2, F.array(hit(null, url))), (3, F.array(hit(url, d))), (4, F.array()))}
+    elif form == "maps":
+        hits = "map<string,array<struct<snippet:string,title:string>>>"
+        hit = lambda s, t: F.array(_obj(snippet=s.cast(text), title=t.cast(text)))
+        none = F.array().cast("array<struct<snippet:string,title:string>>")
+        fields = {
+            "entity_pages": chosen("array<map<string,string>>", (0, F.array(F.create_map(F.lit("content"), d))),
+                                   (1, F.array(F.create_map(F.lit("wiki_context"), F.lit(""), F.lit("text"), F.lit("  ")))), (2, F.array())),
+            "evidence": chosen("array<struct<text:string,value:string>>", (1, F.array(_obj(text=null, value=html))), (2, F.array(_obj(text=F.lit(""), value=d)))),
+            "search_results": chosen(hits, (3, F.create_map(F.lit("zz"), hit(F.lit("  "), url), F.lit("aa"), hit(null, d))),
+                                     (4, F.create_map(F.lit("zz"), none, F.lit("aa"), hit(url, null))), (5, F.create_map()))}
+    elif form == "structs":
+        walked = "struct<zz:struct<description:string,title:string>,aa:array<struct<snippet:string>>>"
+        zz = lambda a, b: _obj(description=a.cast(text), title=b.cast(text))
+        aa = lambda s: F.array(_obj(snippet=s.cast(text)))
+        fields = {
+            "entity_pages": chosen("struct<wiki_context:array<string>>", (0, _obj(wiki_context=F.array(d))), (3, _obj(wiki_context=F.array(d)))),
+            "evidence": chosen("array<array<string>>", (1, F.array(F.array(d)))),
+            "search_results": chosen(walked, (0, _obj(zz=zz(d, null), aa=aa(url))), (1, _obj(zz=F.lit(None).cast("struct<description:string,title:string>"), aa=aa(url))),
+                                     (2, _obj(zz=zz(F.lit(""), F.lit(" ")), aa=aa(d))))}
+    else:
+        raise ValueError(f"unknown form {form!r}; choose from {TYPED_FORMS}")
+    return p.select("question", F.struct(F.col("answer_text").alias("value")).alias("answer"), *[c.alias(k) for k, c in fields.items()])
