@@ -4,30 +4,37 @@ The reference shuffles an in-memory list and takes the first
 ``int(n * val_fraction)`` records as validation. Here the shuffle order is a
 seeded hash: ``h = 60 bits of md5(seed ':' rec_key)``, ties broken by
 ``rec_key``. The split needs only the (h, rec_key) of the ``n_val``-th
-smallest row, found by narrowing a histogram of hash prefixes:
-
-* pass 1 counts rows per top-12-bit bucket (<= 4096 rows reach the driver)
-  and picks the bucket that holds the cutoff;
-* each further pass counts only that bucket's rows by the next 12 bits,
-  until the bucket is small; its first ``rest`` rows are then taken with a
-  bounded top-k.
-
-No step sorts the data globally or routes it through one partition; each
-pass reads just ``h`` (and ``rec_key`` at the end). Labeling is a narrow
-projection, so the result does not depend on the partition count.
+smallest row, found by radix selection, 12 bits a pass (at most 4,096 counts
+reach the driver in each):
+
+* pass 1 counts rows by the top 12 bits (a null key is a bucket of its own,
+  the first) and picks the bucket that holds the cutoff;
+* each further pass counts only that bucket's rows by the next 12 bits, until
+  it is small enough to look at its keys one by one;
+* if only some rows of the cutoff's key are to be taken, the selection goes on
+  in the same way through the bits of a hash of the whole row;
+* rows that are equal in all columns are taken by their place in the staged
+  files, with a literal condition.
+
+No step sorts the data globally, routes a key through one partition, or walks
+its rows on the driver; each pass reads just ``h`` (and the rows of one key at
+the end). Labeling is a narrow projection, so the result does not depend on
+the partition count.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatmill.config import DEFAULT_SEED, DEFAULT_VAL_FRACTION, PREVIEW_INSTRUCTION_CHARS, PREVIEW_OUTPUT_CHARS
+from chatmill.operators.ordinal import SRC_BLOCK, SRC_FILE, SRC_ROW, cap_condition, scan_with_position
 from chatmill.session import stage
 
 HASH = "shuffle_key"
 _BITS, _LEVEL = 60, 12
-_EXACT_LIMIT = 100_000
+#: Keys, or hashes of rows, that are looked at one by one.
+_EXACT_LIMIT = 4_096
 
 
 def shuffle_key(seed: int = DEFAULT_SEED, key: str = "rec_key") -> Column:
@@ -48,84 +55,117 @@ def val_count(n_total: int, val_fraction: float) -> int:
     return int(n_total * val_fraction)
 
 
-def _bucket(level: int) -> Column:
-    shift = _BITS - _LEVEL * (level + 1)
-    return F.shiftright(F.col(HASH), shift).bitwiseAND(F.lit((1 << _LEVEL) - 1))
+TIE = "_tie"
+_PLACE = (SRC_FILE, SRC_BLOCK, SRC_ROW)
 
 
-def _prefix(level: int) -> Column:
-    return F.shiftright(F.col(HASH), _BITS - _LEVEL * level)
+def _with_tie(df: DataFrame, key: str) -> DataFrame:
+    """Rows of one key are told apart by a hash of their other columns."""
+    rest = [c for c in df.columns if c not in (HASH, key, TIE, *_PLACE)]
+    return df.withColumn(TIE, F.md5(F.to_json(F.struct(*rest), {"ignoreNullFields": "false"})) if rest else F.md5(F.lit("")))
+
+
+def _radix(rows: DataFrame, digits: list[Column], rest: int, limit: int, hist=None) -> tuple[DataFrame, int, int]:
+    """Narrow ``rows`` by one digit after the other to those that share the
+    leading digits of the ``rest``-th smallest, until there are few or no more
+    digits. Returns them, how many, and which of them it is. Null digits first."""
+    n = None
+    for digit in digits:
+        counts = hist if hist is not None else _histogram(rows, digit)
+        hist = None
+        for value, n in counts:
+            if rest <= n:
+                break
+            rest -= n
+        else:
+            raise RuntimeError("the rows changed between two passes: stage them first")
+        rows = rows.where(digit.eqNullSafe(F.lit(value)))
+        if n <= limit or value is None:
+            break
+    return rows, n, rest
 
 
-def _histogram(scope: DataFrame, level: int) -> list[tuple[int, int]]:
-    """Row counts per 12-bit bucket at ``level`` (<= 4096 rows to the driver)."""
-    return sorted((r[0], r[1]) for r in
-                  scope.groupBy(_bucket(level).alias("b")).agg(F.count(F.lit(1)).alias("n")).collect())
+def _histogram(rows: DataFrame, digit: Column) -> list[tuple[int | None, int]]:
+    """Row counts by a 12-bit digit (<= 4096 rows and one of null reach the driver)."""
+    counts = rows.groupBy(digit.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()
+    return sorted(((r[0], r[1]) for r in counts), key=lambda c: (c[0] is not None, c[0] or 0))
 
 
-TIE = "_tie"
+def _digits(number: Column, bits: int = _BITS) -> list[Column]:
+    return [F.shiftright(number, shift).bitwiseAND(F.lit((1 << _LEVEL) - 1)) for shift in range(bits - _LEVEL, -1, -_LEVEL)]
 
 
-def _with_tie(df: DataFrame, key: str) -> DataFrame:
-    """Rows of one key are told apart by a hash of their other columns."""
-    rest = [c for c in df.columns if c not in (HASH, key, TIE)]
-    return df.withColumn(TIE, F.md5(F.to_json(F.struct(*rest), {"ignoreNullFields": "false"})) if rest else F.lit(""))
+def _walk(rows: DataFrame, by: list[str], rest: int) -> tuple:
+    """The group that holds the ``rest``-th row in order of ``by``, its size,
+    and which row of it that is; ``_EXACT_LIMIT`` groups at a time."""
+    counts = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+    order: list[Column] = [F.col(c).asc_nulls_first() for c in by]
+    after = None
+    while True:
+        page = (counts.where(after) if after is not None else counts).orderBy(*order).limit(_EXACT_LIMIT).collect()
+        if not page:
+            raise RuntimeError("the rows changed between two passes: stage them first")
+        for r in page:
+            if rest <= r["n"]:
+                return (*(r[c] for c in by), r["n"], rest)
+            rest -= r["n"]
+        last = page[-1]
+        after = F.lit(False)
+        for i, c in enumerate(by):                      # (by) > last, a null being the least
+            same = F.lit(True)
+            for d in by[:i]:
+                same = same & F.col(d).eqNullSafe(F.lit(last[d]))
+            greater = F.col(c).isNotNull() if last[c] is None else F.coalesce(F.col(c) > F.lit(last[c]), F.lit(False))
+            after = after | (same & greater)
 
 
 def find_cutoff(df: DataFrame, val_fraction: float, key: str = "rec_key") -> tuple[int, tuple | None]:
     """(n_total, cutoff): the row count and the (shuffle_key, key) of the
-    ``int(n * val_fraction)``-th smallest row (None when that is 0). If other
-    rows have its key too, (shuffle_key, key, tie, copies): ``copies`` of the
-    rows equal to it in all columns are taken. The first histogram pass also
-    yields the row count."""
+    ``int(n * val_fraction)``-th smallest row (None when that is 0); both are
+    null if its key is. If only some rows of the key are among them,
+    (shuffle_key, key, tie, copies): of the rows with that hash of all columns,
+    ``copies`` are taken. The first pass also yields the row count."""
     rows = df.select(HASH, key)
-    hist = _histogram(rows, 0)
-    n_total = sum(c for _, c in hist)
+    digits = _digits(F.col(HASH))
+    hist = _histogram(rows, digits[0])
+    n_total = sum(n for _, n in hist)
     n_val = val_count(n_total, val_fraction)
     if n_val <= 0:
         return n_total, None
-    rest, prefix, level = n_val, None, 0
-    while True:
-        for b, cnt in hist:
-            if rest <= cnt:
-                break
-            rest -= cnt
-        prefix = b if prefix is None else (prefix << _LEVEL) | b
-        if cnt <= _EXACT_LIMIT or _LEVEL * (level + 1) >= _BITS:
-            break
-        level += 1
-        hist = _histogram(rows.where(_prefix(level) == F.lit(prefix)), level)
-    scope = _with_tie(df.where(_prefix(level + 1) == F.lit(prefix)), key).select(HASH, key, TIE)
-    # rows equal in everything are one row with a count, whatever their number
-    ranked = scope.groupBy(HASH, key, TIE).agg(F.count(F.lit(1)).alias("n")).orderBy(HASH, key, TIE)
-    for r in ranked.toLocalIterator():
-        if rest <= r["n"]:
-            at = int(r[HASH]), r[key]
-            same = scope.where((F.col(HASH) == F.lit(at[0])) & F.col(key).eqNullSafe(F.lit(at[1])))
-            return n_total, at if same.count() == 1 else (*at, r[TIE], int(rest))
-        rest -= r["n"]
-    raise RuntimeError("the rows changed between two passes: stage them first")
+    scope, _, rest = _radix(rows, digits, n_val, _EXACT_LIMIT, hist)
+    h, k, n, rest = _walk(scope, [HASH, key], rest)
+    if rest == n:
+        return n_total, (h, k)
+    same = _with_tie(df.where(F.col(HASH).eqNullSafe(F.lit(h)) & F.col(key).eqNullSafe(F.lit(k))), key).select(TIE)
+    ties = [F.conv(F.substring(TIE, at, 15), 16, 10).cast("long") for at in (1, 16)]
+    scope, _, rest = _radix(same, [d for t in ties for d in _digits(t)], rest, _EXACT_LIMIT)
+    tie, _, rest = _walk(scope, [TIE], rest)
+    return n_total, (h, k, tie, int(rest))
 
 
 def label_split(df: DataFrame, cutoff: tuple | None, key: str = "rec_key") -> DataFrame:
     """Add ``split`` = 'val' for rows at or before the cutoff, else 'train': a
-    narrow projection. Only where rows share the cutoff's key, those are told
-    apart, and copies of the very cutoff row numbered."""
+    narrow projection. Only where a part of the cutoff's key is taken, its rows
+    are told apart; ``df`` is a positioned scan then (``label_staged``)."""
     if cutoff is None:
         return df.withColumn("split", F.lit("train"))
+    h, k = cutoff[:2]
+    at = F.col(HASH).eqNullSafe(F.lit(h)) & F.col(key).eqNullSafe(F.lit(k))
+    before = F.lit(False) if h is None else F.col(HASH).isNull() | (F.col(HASH) < F.lit(h)) | ((F.col(HASH) == F.lit(h)) & (
+        (F.col(key) < F.lit(k)) if k is not None else F.lit(False)))
+    named = lambda val: F.when(F.coalesce(val, F.lit(False)), F.lit("val")).otherwise(F.lit("train"))
     if len(cutoff) == 2:
-        h, k = cutoff
-        is_val = (F.col(HASH) < F.lit(h)) | ((F.col(HASH) == F.lit(h)) & (F.col(key) <= F.lit(k)))
-        return df.withColumn("split", F.when(is_val, F.lit("val")).otherwise(F.lit("train")))
-    h, k, tie, copies = cutoff
-    same_key = (F.col(HASH) == F.lit(h)) & F.col(key).eqNullSafe(F.lit(k))
-    before = (F.col(HASH) < F.lit(h)) | ((F.col(HASH) == F.lit(h)) & (F.col(key) < F.lit(k)))
-    named = lambda val: F.when(val, F.lit("val")).otherwise(F.lit("train"))
-    others = df.where(~F.coalesce(same_key, F.lit(False))).withColumn("split", named(F.coalesce(before, F.lit(False))))
-    at = _with_tie(df.where(same_key), key)
-    nth = F.row_number().over(Window.partitionBy(TIE).orderBy(TIE))
-    at = at.withColumn("split", named((F.col(TIE) < F.lit(tie)) | ((F.col(TIE) == F.lit(tie)) & (nth <= F.lit(copies))))).drop(TIE)
-    return others.unionByName(at)
+        return df.withColumn("split", named(before | at))
+    tie, copies = cutoff[2:]
+    told = _with_tie(df, key)
+    equal = told.where(at & (F.col(TIE) == F.lit(tie)))
+    some = (F.col(TIE) < F.lit(tie)) | ((F.col(TIE) == F.lit(tie)) & cap_condition(equal, copies))
+    return told.withColumn("split", named(before | (at & some))).drop(TIE, *_PLACE)
+
+
+def label_staged(spark: SparkSession, path: str, cutoff: tuple | None, key: str = "rec_key") -> DataFrame:
+    """``label_split`` over a staged table; its rows' places are read only where they count."""
+    return label_split(scan_with_position(spark, path) if cutoff and len(cutoff) > 2 else spark.read.parquet(path), cutoff, key)
 
 
 def exact_split(df: DataFrame, val_fraction: float = DEFAULT_VAL_FRACTION, seed: int = DEFAULT_SEED,
@@ -135,9 +175,9 @@ def exact_split(df: DataFrame, val_fraction: float = DEFAULT_VAL_FRACTION, seed:
     passes and the result read that copy."""
     if HASH not in df.columns:
         df = seeded_shuffle(df, seed, key)
-    staged = df.sparkSession.read.schema(df.schema).parquet(stage(df, "split"))
-    _, cutoff = find_cutoff(staged, val_fraction, key)
-    return label_split(staged, cutoff, key)
+    path = stage(df, "split")
+    _, cutoff = find_cutoff(df.sparkSession.read.schema(df.schema).parquet(path), val_fraction, key)
+    return label_staged(df.sparkSession, path, cutoff, key)
 
 
 def split_counts(df: DataFrame) -> DataFrame:

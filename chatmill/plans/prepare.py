@@ -21,7 +21,7 @@ from chatmill.functions.templates import render_instruction, render_output
 from chatmill.operators.context import resolve_context
 from chatmill.operators.ordinal import mix_caps, prefix_cap
 from chatmill.operators.skew import HOT_ROWS
-from chatmill.operators.split import HASH, find_cutoff, label_split, preview, seeded_shuffle, val_count
+from chatmill.operators.split import HASH, find_cutoff, label_staged, preview, seeded_shuffle, val_count
 from chatmill.sources.schemas import METADATA
 from chatmill.session import stage
 from chatmill.sources import sinks, tables
@@ -157,7 +157,7 @@ def write_prepared(spark: SparkSession, recs: DataFrame, out_dir: str, include,
     path = stage(recs, "records")
     staged = spark.read.parquet(path)
     n_total, cutoff = find_cutoff(staged, val_fraction)      # exact counts come with the cutoff
-    labeled = label_split(staged, cutoff)
+    labeled = label_staged(spark, path, cutoff)
     n_val = val_count(n_total, val_fraction)
     order = [HASH, "rec_key"]
     out = out_dir.rstrip("/")

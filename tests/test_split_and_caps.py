@@ -110,3 +110,57 @@ def test_cap_counts_raw_rows_before_filters(spark):
     expected = R.filter_span_qa(raw).count()
     got = R.span_qa_records(tables.span_qa(spark, SF_SMALL, cap=n)).count()
     assert got == expected < n
+
+
+def _ordered_split(df, n_val):
+    """The rows that a sort by key takes, as (key, how many)."""
+    from collections import Counter
+    rows = seeded_shuffle(df, 42).orderBy(F.col("shuffle_key").asc_nulls_first(), F.col("rec_key").asc_nulls_first()).select("rec_key").limit(n_val).collect()
+    return Counter(r.rec_key for r in rows)
+
+
+def test_one_key_over_a_million_distinct_rows(spark, monkeypatch):
+    """Selection goes on through the bits of the rows' hashes; no pass brings more than 4,096 counts to the driver."""
+    import chatmill.operators.split as S
+    passes, histogram, walk = [], S._histogram, S._walk
+
+    def counted(rows, digit):
+        out = histogram(rows, digit)
+        passes.append(len(out))
+        return out
+    monkeypatch.setattr(S, "_histogram", counted)
+    df = spark.range(1_000_000).select(F.lit("one").alias("rec_key"), "id")
+    out = exact_split(df, 0.3).groupBy("split").agg(F.count("*").alias("n"), F.countDistinct("id").alias("d")).collect()
+    assert {r.split: (r.n, r.d) for r in out} == {"val": (300_000, 300_000), "train": (700_000, 700_000)}
+    assert len(passes) >= 6 and max(passes) <= 4_096 and walk is S._walk
+
+
+def test_null_keys_are_the_first_bucket(spark):
+    rows = [(None, i % 7) for i in range(50)] + [(f"k{i}", i) for i in range(150)]
+    df = spark.createDataFrame(rows, "rec_key string, v int").repartition(3)
+    for fraction in (0.0, 0.1, 0.25, 0.4, 0.995):
+        out = exact_split(df, fraction)
+        n_val = val_count(200, fraction)
+        from collections import Counter
+        assert Counter(r.rec_key for r in out.where("split = 'val'").collect()) == _ordered_split(df, n_val)
+        assert out.count() == 200 and set(out.columns) == {"rec_key", "v", "shuffle_key", "split"}
+
+
+def test_equal_rows_are_counted(spark):
+    df = spark.range(900).repartition(5).select(F.when(F.col("id") < 600, "same").otherwise(F.concat(F.lit("k"), "id")).alias("rec_key"),
+                                                F.when(F.col("id") < 600, F.lit(0)).otherwise(F.col("id")).alias("v"))
+    for fraction in (0.2, 0.5, 0.7, 0.9):
+        assert exact_split(df, fraction).where("split = 'val'").count() == val_count(900, fraction)
+    nulls = spark.range(40).select(F.lit(None).cast("string").alias("rec_key"), F.lit(1).alias("v"))
+    assert exact_split(nulls, 0.25).where("split = 'val'").count() == 10
+
+
+def test_keys_page_by_page(spark, monkeypatch):
+    import chatmill.operators.split as S
+    monkeypatch.setattr(S, "_EXACT_LIMIT", 4)
+    rows = [(0, None)] + [(0, f"k{i:02d}") for i in range(30) for _ in range(1 + i % 2)]
+    df = spark.createDataFrame(rows, "shuffle_key long, rec_key string")
+    for n in (1, 2, 5, 17, 40):
+        h, k, size, at = S._walk(df, ["shuffle_key", "rec_key"], n)
+        ordered = sorted((r[1] for r in rows), key=lambda x: (x is not None, x or ""))
+        assert (h, k) == (0, ordered[n - 1]) and size == ordered.count(k) and at == n - ordered.index(k)
