@@ -37,6 +37,23 @@ def find_subarray(haystack, needle: Sequence[int]) -> Column:
     return F.coalesce(found.cast("int") - 1, F.lit(-1))
 
 
+def count_subarray(haystack, needle: Sequence[int]) -> Column:
+    """How often ``needle`` occurs, overlaps counted; 0 when it is empty or
+    longer than the haystack, or on null. The zip of ``find_subarray``, less
+    what is left of it without the needle."""
+    h = _c(haystack)
+    m = len(needle)
+    if m == 0:
+        return F.lit(0)
+    if m == 1:
+        zipped, probe = h, F.lit(int(needle[0]))
+    else:
+        n = F.size(h)
+        zipped = F.arrays_zip(*[F.slice(h, i + 1, n) for i in range(m)])
+        probe = F.struct(*[F.lit(int(v)).alias(str(i)) for i, v in enumerate(needle)])
+    return F.when(h.isNull(), F.lit(0)).otherwise(F.size(zipped) - F.size(F.array_remove(zipped, probe)))
+
+
 def mask_prefix(ids, upto, ignore_index: int = IGNORE_INDEX) -> Column:
     """Copy of ``ids`` with the first ``upto`` entries set to -100."""
     ids, upto = _c(ids), _c(upto).cast("int")

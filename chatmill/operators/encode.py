@@ -26,7 +26,7 @@ from pyspark.sql.types import ArrayType
 from chatmill.config import (ASSISTANT_MARKER, IGNORE_INDEX, MIN_ANSWER_TOKENS, RAW_MAX_LENGTH, SPECIAL_TOKENS,
                              WINDOW_MAX_LENGTH)
 from chatmill.functions import tokens as TK
-from chatmill.functions.arrays import find_subarray, mask_labels_keep, mask_prefix, truncate_head, window_start
+from chatmill.functions.arrays import count_subarray, find_subarray, mask_labels_keep, mask_prefix, truncate_head, window_start
 from chatmill.functions.templates import build_text
 from chatmill.sources.schemas import TOKENIZED
 
@@ -171,3 +171,16 @@ def filter_nonempty(df: DataFrame) -> DataFrame:
 def supervised_tokens(df: DataFrame, name: str = "n_supervised") -> DataFrame:
     """A3: per-row count of labels that are not -100."""
     return df.withColumn(name, F.size(F.array_remove("labels", F.lit(IGNORE_INDEX))).cast("long"))
+
+
+def marker_counts(df: DataFrame, marker_ids, name: str = "n_markers", ids: str = "input_ids") -> DataFrame:
+    """Appends how often the marker occurs in the ids, overlaps counted. The
+    mask begins at the first one, so a text with more has a marker in its labels."""
+    return df.withColumn(name, count_subarray(ids, marker_ids).cast("long"))
+
+
+def marker_tally(df: DataFrame, marker_ids, by=(), ids: str = "input_ids") -> DataFrame:
+    """A histogram of rows by their number of markers, within groups ``by``:
+    n_markers, n_rows. Summed up before the exchange, of a row a group and number."""
+    counted = marker_counts(df.select(*by, ids), marker_ids, ids=ids)
+    return counted.groupBy(*by, "n_markers").agg(F.count(F.lit(1)).alias("n_rows"))

@@ -51,7 +51,7 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
-_TASK_MODULES = ("chatmill.operators.vocab", "chatmill.functions.subword")
+_TASK_MODULES = ("chatmill.operators.vocab", "chatmill.operators.pad_tasks", "chatmill.functions.subword")
 _by_value: set = set()
 
 
