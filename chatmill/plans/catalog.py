@@ -23,8 +23,8 @@ from chatmill.functions.templates import build_text, render_instruction, render_
 from chatmill.operators import encode as E
 from chatmill.operators import records as R
 from chatmill.operators import vocab as V
-from chatmill.operators.context import resolve_context, string_at
-from chatmill.operators.ordinal import with_ordinal
+from chatmill.operators.context import context_fields, resolve_context, string_at
+from chatmill.operators.ordinal import scan_prefix, with_ordinal
 from chatmill.operators.split import HASH, exact_split, preview, seeded_shuffle, split_counts
 from chatmill.plans import pretokenize as PT
 from chatmill.plans import train_data as TD
@@ -33,17 +33,20 @@ from chatmill.session import scratch_path
 from chatmill.sources import qa_files as QF
 from chatmill.sources import sinks, tables
 from chatmill.sources.files import scan_jsonl, scan_tokenized
+from chatmill.sources.schemas import RECORD
 
 TOK = E.Tokenizer()
 SEED, VAL_FRACTION = 42, 0.02
 WINDOW_L, RAW_L, HEAD_N, VOCAB_N = 4096, 2048, 100, 4096
 # lengths of the queries about cropping and dropping, chosen so that rows are cropped and dropped
-CROP_L, TRUNCATE_L, ANSWER_K, TAIL_FROM = 256, 128, 60, 600
+CROP_L, TRUNCATE_L, ANSWER_K = 256, 128, 60
+SUPERVISED_LS = (100, 200, 400, 800, RAW_L)
 CAP_N, MIX_N = 100, 150
 MARKER = TOK.marker_ids                   # <|im_start|> assistant
 USER_TURN = TOK.encode_py("<|im_start|>user")
 END_THEN_MARKER = TOK.encode_py("<|im_end|>\n<|im_start|>assistant")
 END_ID = TOK.encode_py("<|im_end|>")
+TALLIED = {"marker": MARKER, "end": END_ID, "end_then_marker": END_THEN_MARKER, "stop": TOK.encode_py("."), "two_words": TOK.encode_py("de la")}
 
 _memo: dict = {}
 
@@ -175,6 +178,23 @@ def q_resolve_context(spark, sf):
     return resolve_context(tables.evidence_qa(spark, sf)).select("rec_key", "context")
 
 
+def q_resolve_context_typed(spark, sf):
+    """Three Parquet sources whose context fields are lists, maps and structs."""
+    parts = []
+    for form in tables.TYPED_FORMS:
+        k = _key(spark, sf, "typed", form)
+        if k not in _memo:
+            _memo[k] = scratch_path(spark, f"typed-{form}")
+            tables.typed_evidence_qa(spark, sf, form).write.parquet(_memo[k])
+        d = resolve_context(QF.read_evidence_qa(spark, _memo[k], "parquet"))
+        parts.append(d.select(F.lit(form).alias("form"), F.md5("question").alias("question_md5"), F.md5("context").alias("context_md5")))
+    return union_sources(parts).groupBy("form", "question_md5", "context_md5").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_context_fields(spark, sf):
+    return context_fields(tables.evidence_qa(spark, sf))
+
+
 def q_build_text(spark, sf):
     return records(spark, sf).select("rec_key", build_text().alias("text"))
 
@@ -202,12 +222,23 @@ def q_window_boundary(spark, sf):
 
 
 def q_filter_min_supervised(spark, sf):
-    return E.encode_raw(records(spark, sf), TOK, RAW_L, keep=["rec_key"]).select("rec_key")
+    """Rows that keep 8 supervised ids at each length; shorter heads cut the
+    answer behind the marker, so rows drop."""
+    recs = records(spark, sf)
+    return union_sources([E.encode_raw(recs, TOK, n, keep=["rec_key"]).select(F.lit(n).cast("long").alias("max_length"), "rec_key") for n in SUPERVISED_LS])
 
 
 def q_filter_nonempty(spark, sf):
-    tails = token_rows(spark, sf).withColumn("input_ids", F.slice("input_ids", TAIL_FROM + 1, 1 << 30))
-    return E.filter_nonempty(tails).select("rec_key", F.size("input_ids").cast("long").alias("n_ids"))
+    """Ids of every user turn's reply; a turn without one has an empty text."""
+    pairs = tables.qa_pairs(spark, sf).select("conv_id", "turn", TOK.ids(F.coalesce("answer_text", F.lit(""))).alias("input_ids"))
+    return E.filter_nonempty(pairs).select("conv_id", "turn", F.size("input_ids").cast("long").alias("n_ids"), digest("input_ids").alias("ids_md5"))
+
+
+def q_marker_tally(spark, sf):
+    """How many texts of each source hold a needle so many times."""
+    ids = E.text_ids(records(spark, sf), TOK, keep=["source"])
+    return union_sources([E.marker_tally(ids, needle, by=["source"]).select(F.lit(name).alias("needle"), "source", "n_markers", "n_rows")
+                          for name, needle in TALLIED.items()])
 
 
 # --- aggregations ----------------------------------------------------------------
@@ -244,6 +275,16 @@ def q_head_cap(spark, sf):
     return _tok_digests(found[1], "ordinal")
 
 
+def q_prefix_cap_json(spark, sf):
+    df = scan_prefix(spark, f"{prepared(spark, sf)}/train.jsonl", CAP_N, "json", RECORD)
+    return df.select("ordinal", "instruction", "output")
+
+
+def q_head_cap_tokenized(spark, sf):
+    found = TD.load_split(spark, f"{pretokenized(spark, sf)}/train_tokenized", None, TOK, max_samples=HEAD_N)
+    return _tok_digests(found[1], "ordinal")
+
+
 def q_seeded_shuffle(spark, sf):
     return seeded_shuffle(records(spark, sf), SEED).select("rec_key", HASH)
 
@@ -265,6 +306,7 @@ def qa_files(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
         tables.span_qa(spark, sf).select("question", "context", "answers").write.json(f"{out}/squad")
         tables.span_qa_v2(spark, sf).select("question", "context", "answers", "is_impossible").write.json(f"{out}/squad_v2")
         QF.write_evidence_qa(tables.evidence_qa(spark, sf), f"{out}/trivia_qa")
+        _memo[_key(spark, sf, "qa_path")] = out
         _memo[k] = {s: read(spark, f"{out}/{s}") for s, read in QF.READERS.items()}
     return _memo[k]
 
@@ -320,7 +362,8 @@ def q_truncate_head(spark, sf):
 
 
 def q_write_jsonl(spark, sf):
-    return scan_jsonl(spark, f"{prepared(spark, sf)}/val.jsonl", positioned=False)
+    parts = [scan_jsonl(spark, f"{prepared(spark, sf)}/{s}.jsonl", positioned=False).select(F.lit(s).alias("split"), "instruction", "output") for s in ("train", "val")]
+    return union_sources(parts)
 
 
 # --- tokenization and batching -----------------------------------------------------
@@ -364,6 +407,16 @@ def q_pretokenize_split(spark, sf):
     return parts[0].unionByName(parts[1])
 
 
+def q_stream_prepare(spark, sf):
+    from chatmill.streaming.prepare import read_records, stream_prepare
+    qa_files(spark, sf)
+    parts = []
+    for source in tables.SOURCES:
+        out = stream_prepare(spark, source, f"{_memo[_key(spark, sf, 'qa_path')]}/{source}", scratch_path(spark, "stream-prepare"))
+        parts.append(read_records(spark, out).select(F.lit(source).alias("source"), F.md5("instruction").alias("instruction_md5"), F.md5("output").alias("output_md5")))
+    return union_sources(parts).groupBy("source", "instruction_md5", "output_md5").agg(F.count(F.lit(1)).alias("n"))
+
+
 def q_stream_tokenize(spark, sf):
     from chatmill.streaming.rowwise import stream_pretokenize
     out = stream_pretokenize(spark, f"{prepared(spark, sf)}/train.jsonl", scratch_path(spark, "stream"),
@@ -379,8 +432,9 @@ def q_split_metadata(spark, sf):
 
 
 def q_write_tokenized(spark, sf):
-    df = with_ordinal(scan_tokenized(spark, f"{pretokenized(spark, sf)}/val_tokenized"))
-    return _tok_digests(df, "ordinal")
+    base = pretokenized(spark, sf)
+    return union_sources([_tok_digests(with_ordinal(scan_tokenized(spark, f"{base}/{s}_tokenized")), "ordinal").select(F.lit(s).alias("split"), "*")
+                          for s in ("train", "val")])
 
 
 def q_save_mode(spark, sf):

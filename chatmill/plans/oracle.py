@@ -73,6 +73,12 @@ def find(ids, needle):
     return f"coalesce(list_filter(range(0, greatest(len({ids}) - {m - 1}, 0)), lambda i: {cond})[1], -1)"
 
 
+def occurrences(ids, needle):
+    """Every place where the needle begins."""
+    cond = " AND ".join(f"{ids}[i + {j + 1}] = {v}" for j, v in enumerate(needle))
+    return f"len(list_filter(range(0, greatest(len({ids}) - {len(needle) - 1}, 0)), lambda i: {cond}))::BIGINT"
+
+
 def ones(x): return f"list_transform({x}, lambda z: 1)"
 def repeat(v, n): return f"list_transform(range(0, {n}), lambda z: {v})"
 
@@ -134,6 +140,26 @@ def context_sql(ep="entity_pages", ev="evidence", sr="search_results"):
     return f"coalesce(nullif({t1}, ''), nullif({t2}, ''), nullif({t3}, ''), {t4}, {lit(NO_CONTEXT_PLACEHOLDER)})"
 
 
+def obj(**fields): return "json_object(" + ", ".join(f"'{k}', {v}" for k, v in fields.items()) + ")"
+def arr(*items): return "json_array(" + ", ".join(items) + ")"
+def by_shape(**cases): return "CASE shape " + " ".join(f"WHEN {k[1:]} THEN ({v})::VARCHAR" for k, v in cases.items()) + " END"
+
+
+# the typed sources as JSON text: a null field is a missing key
+TYPED = {
+    "lists": (by_shape(s0=arr(obj(wiki_context="doc_text")), s1=arr(obj(wiki_context="'  '", text="doc_text")), s2="'[]'", s4="'[{}]'", s5=arr("json_object()", obj(text="doc_text"))),
+              by_shape(s1=arr("page_html"), s2=arr("''"), s4="'[]'"),
+              by_shape(s2=arr(obj(title="page_url")), s3=arr(obj(snippet="page_url", title="doc_text")), s4="'[]'")),
+    "maps": (by_shape(s0=arr(obj(content="doc_text")), s1=arr(obj(wiki_context="''", text="'  '")), s2="'[]'"),
+             by_shape(s1=arr(obj(value="page_html")), s2=arr(obj(text="''", value="doc_text"))),
+             by_shape(s3=obj(zz=arr(obj(snippet="'  '", title="page_url")), aa=arr(obj(title="doc_text"))), s4=obj(zz="json_array()", aa=arr(obj(snippet="page_url"))), s5="'{}'")),
+    "structs": (by_shape(s0=obj(wiki_context=arr("doc_text")), s3=obj(wiki_context=arr("doc_text"))),
+                by_shape(s1=arr(arr("doc_text"))),
+                by_shape(s0=obj(zz=obj(description="doc_text"), aa=arr(obj(snippet="page_url"))), s1=obj(aa=arr(obj(snippet="page_url"))),
+                         s2=obj(zz=obj(description="''", title="' '"), aa=arr(obj(snippet="doc_text"))))),
+}
+
+
 F1 = f"{clean('question')} <> '' AND {clean('context')} <> '' AND len(answers_text) > 0 AND answers_text[1] IS NOT NULL"
 F2 = "NOT coalesce(is_impossible, false)"
 F3 = f"{clean('question')} <> '' AND {clean('answer_value')} <> ''"
@@ -269,19 +295,34 @@ UNION ALL SELECT 'val' AS split, 'raw' AS origin, ordinal, {tok_digests()} FROM
     q["render_output"] = with_q(sources(), f"SELECT rec_key, {output('answers_text[1]')} AS output FROM squad_src WHERE answers_text[1] IS NOT NULL")
     q["make_records"] = with_q(R, "SELECT source, rec_key, instruction, output FROM records WHERE source = 'squad'")
     q["resolve_context"] = with_q(sources(), f"SELECT rec_key, {context_sql()} AS context FROM trivia_src")
+    q["resolve_context_typed"] = with_q(PAIRS, "SELECT form, question_md5, context_md5, count(*) AS n FROM (" + " UNION ALL ".join(
+        f"SELECT {lit(form)} AS form, md5(question) AS question_md5, md5({context_sql()}) AS context_md5 FROM (SELECT question, {ep} AS entity_pages, {ev} AS evidence, {sr} AS search_results "
+        "FROM (SELECT p.*, g.html AS page_html, g.url AS page_url, ((p.conv_id % 6) + 6) % 6 AS shape FROM pairs p LEFT JOIN pages g ON g.page_id = p.conv_id) s) t"
+        for form, (ep, ev, sr) in TYPED.items()) + ") u GROUP BY ALL")
+    tallied = " UNION ALL ".join(f"SELECT '{c}' AS field, {c} AS j FROM trivia_src" for c in ("entity_pages", "evidence", "search_results"))
+    q["context_fields"] = with_q(sources(), f"""SELECT field, count(*) AS n_rows, count(*) FILTER (WHERE j IS NULL) AS n_missing,
+  count(*) FILTER (WHERE json_valid(j)) AS n_json, 0::BIGINT AS n_repeated_keys, count(*) FILTER (WHERE j IS NOT NULL AND NOT json_valid(j)) AS n_unparsable
+FROM ({tallied}) x GROUP BY field""")
     q["build_text"] = with_q(R, f"SELECT rec_key, {text_of()} AS text FROM records")
     q["preview"] = with_q(L, "SELECT split, substr(instruction, 1, 500) AS instruction, substr(output, 1, 300) AS output FROM (SELECT split, instruction, output, row_number() OVER (PARTITION BY split ORDER BY shuffle_key, rec_key) AS r FROM labeled) WHERE r = 1")
     q["filter_span_qa"] = with_q(sources(), f"SELECT rec_key FROM squad_src WHERE {F1}")
     q["filter_answerable"] = with_q(sources(), f"SELECT rec_key, is_impossible FROM squad_v2_src WHERE {F2}")
     q["filter_evidence_qa"] = with_q(sources(), f"SELECT rec_key FROM trivia_src WHERE {F3}")
     q["window_boundary"] = with_q(R, f"SELECT {tok_digests('rec_key')} FROM ({window_path(tok_rows(), 'rec_key', C.CROP_L, k=C.ANSWER_K)}) x")
-    q["filter_min_supervised"] = with_q(R, f"SELECT rec_key FROM ({raw_of_records(C.RAW_L)}) x")
-    q["filter_nonempty"] = with_q(R, f"SELECT rec_key, len(ids)::BIGINT - {C.TAIL_FROM} AS n_ids FROM ({tok_rows()}) x WHERE len(ids) > {C.TAIL_FROM}")
+    q["filter_min_supervised"] = with_q(R, " UNION ALL ".join(f"SELECT {n}::BIGINT AS max_length, rec_key FROM ({raw_of_records(n)}) x{n}" for n in C.SUPERVISED_LS))
+    reply = "coalesce(answer_text, '')"
+    q["filter_nonempty"] = with_q(PAIRS, f"""SELECT conv_id, turn, len(ids)::BIGINT AS n_ids, {digest('ids')} AS ids_md5
+FROM (SELECT conv_id, turn, {ids_of(tokens_of(reply))} AS ids FROM pairs) x WHERE len(ids) > 0""")
+    q["marker_tally"] = with_q(R, f"""SELECT needle, source, n_markers, count(*) AS n_rows FROM (""" + " UNION ALL ".join(
+        f"SELECT '{name}' AS needle, source, {occurrences('ids', needle)} AS n_markers FROM ({tok_rows(keep='source')}) x" for name, needle in C.TALLIED.items())
+        + ") y GROUP BY ALL")
     q["split_counts"] = with_q(L, "SELECT count(*) AS num_total, count(*) FILTER (WHERE split = 'train') AS num_train, count(*) FILTER (WHERE split = 'val') AS num_val FROM labeled")
     q["dataset_sizes"] = with_q(L, f"""SELECT 'train' AS split, count(*) AS n FROM ({ordered_window('train', C.WINDOW_L)}) a
 UNION ALL SELECT 'eval' AS split, count(*) AS n FROM ({ordered_raw('val', C.RAW_L)}) b""")
     q["supervised_tokens"] = with_q(R, f"SELECT rec_key, len(list_filter(labels, lambda x: x <> -100))::BIGINT AS n_supervised FROM ({window_of_records(C.WINDOW_L)}) x")
     q["prefix_cap"] = with_q(PAIRS, f"SELECT conv_id, turn, question FROM users WHERE ordinal < {C.CAP_N}")
+    q["prefix_cap_json"] = with_q(L, f"SELECT * FROM (SELECT row_number() OVER (ORDER BY shuffle_key, rec_key) - 1 AS ordinal, instruction, output FROM labeled WHERE split = 'train') x WHERE ordinal < {C.CAP_N}")
+    q["head_cap_tokenized"] = with_q(L, f"SELECT ordinal, {tok_digests()} FROM ({ordered_window('train', C.WINDOW_L)}) x WHERE ordinal < {C.HEAD_N}")
     half = max(1, C.MIX_N // 2)
     q["mix_caps"] = with_q(records({"squad": C.MIX_N, "squad_v2": half, "trivia_qa": half}), "SELECT source, count(*) AS n_records FROM records GROUP BY source")
     q["head_cap"] = with_q(L, f"SELECT ordinal, {tok_digests()} FROM ({ordered_raw('train', C.RAW_L)}) x WHERE ordinal < {C.HEAD_N}")
@@ -304,7 +345,8 @@ UNION ALL SELECT 'eval' AS split, count(*) AS n FROM ({ordered_raw('val', C.RAW_
 FROM (SELECT rec_key, ids, {find('ids', MARKER)} AS pos FROM ({tok_rows()}) x) y WHERE pos >= 0""")
     q["mask_labels_keep"] = with_q(R, f"SELECT rec_key, {digest('labels')} AS labels_md5, len(list_filter(labels, lambda x: x <> -100))::BIGINT AS n_supervised FROM ({raw_of_records(C.RAW_L)}) x")
     q["truncate_head"] = with_q(R, f"SELECT rec_key, len(ids[1 : {C.TRUNCATE_L}])::BIGINT AS n_ids, {digest(f'ids[1 : {C.TRUNCATE_L}]')} AS ids_md5 FROM ({tok_rows()}) x")
-    q["write_jsonl"] = with_q(L, "SELECT instruction, output FROM labeled WHERE split = 'val'")
+    q["write_jsonl"] = with_q(L, "SELECT split, instruction, output FROM labeled")
+    q["stream_prepare"] = q["prepare_sources"]
     q["split_tokens"] = with_q(R, f"SELECT rec_key, len(t)::BIGINT AS n_tokens, md5(array_to_string(t, ' ')) AS tokens_md5 FROM (SELECT rec_key, {tokens_of(text_of())} AS t FROM records) x")
     q["encode_ids"] = with_q(R, f"SELECT rec_key, len(ids)::BIGINT AS n_ids, {digest('ids')} AS ids_md5 FROM ({tok_rows()}) x")
     q["encode_raw_path"] = with_q(R, f"SELECT {tok_digests('rec_key')} FROM ({raw_of_records(2048)}) x")
@@ -327,7 +369,7 @@ UNION ALL SELECT 'val' AS split, {tok_digests()} FROM ({window_path(split_src('v
     q["split_metadata"] = with_q(L, f"""SELECT count(*) AS num_total, count(*) FILTER (WHERE split = 'train') AS num_train,
   count(*) FILTER (WHERE split = 'val') AS num_val, 'squad,squad_v2,trivia_qa' AS include, {C.SEED}::BIGINT AS seed,
   {lit(SYSTEM_PROMPT)} AS system FROM labeled""")
-    q["write_tokenized"] = with_q(L, f"SELECT ordinal, {tok_digests()} FROM ({ordered_window('val', C.WINDOW_L)}) x")
+    q["write_tokenized"] = with_q(L, " UNION ALL ".join(f"SELECT '{s}' AS split, ordinal, {tok_digests()} FROM ({ordered_window(s, C.WINDOW_L)}) {s}_rows" for s in ("train", "val")))
     q["save_mode"] = with_q(R, "SELECT 'errorifexists' AS mode, 'refused' AS second_write, count(*) AS n_rows FROM records")
     return q
 

@@ -21,6 +21,10 @@ def test_entry_smoke(spark):
 
 
 def test_all_queries_match_oracle(spark, con):
-    res = compare(spark, SF_SMALL, None, con)
+    """Every query of this part of the library; those of the optional one are judged in tests/llm."""
+    from chatmill.plans.catalog import QUERIES
+    from chatmill.plans.oracle import ORACLE_SQL
+    assert QUERIES.keys() == ORACLE_SQL.keys()
+    res = compare(spark, SF_SMALL, sorted(QUERIES), con)
     bad = {k: v for k, v in res.items() if v.get("match") is not True}
     assert not bad, bad
