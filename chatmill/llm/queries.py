@@ -70,7 +70,7 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write_warc(table(spark, sf_dir, "pages"), path)
     delete_at_exit(spark, path)
-    records, _ = warc.read_warc(spark, path)
+    records, _ = warc.read_warc(spark, path, strict=True)      # an unreadable record is an error, not a missing row
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

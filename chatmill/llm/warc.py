@@ -26,8 +26,10 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: st
 
     A null html is the empty payload; a null url gives no target. A null id is
     never the one revisited while another row has an id, and reads back as
-    null. Rows that share the largest id are all responses. Other columns are
-    not read. Only digests are grouped; the few that repeat are joined back.
+    null. Rows that share the largest id are all responses. Ids are cast to
+    long. A url that makes a header too long to be read back raises an error;
+    payloads may be of any size. Other columns are not read. Only digests are
+    grouped; the few that repeat are joined back.
     """
     ship(warc_records.__name__)
     raw = F.encode(F.coalesce(F.col(html_col), F.lit("")), "UTF-8")
@@ -41,14 +43,24 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: st
      .option("lineSep", warc_records.EMPTY_MEMBER.decode("latin-1")).text(path))
 
 
-def read_warc(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+def read_warc(spark: SparkSession, path: str, strict: bool = False) -> tuple[DataFrame, DataFrame]:
     """The records (page_id, url, record_type, payload_bytes, payload_digest,
     refers_to, payload) of all archives under ``path``, and the quarantined
-    gaps (file, gap_start, gap_end: byte offsets in the file)."""
+    gaps (file, gap_start, gap_end: byte offsets in the file; inner_start,
+    inner_end: within what a member of that extent decompresses to, if it can
+    be read there). With ``strict``, a gap is an error when records are read.
+
+    An empty payload is an empty binary; a revisit has none. A file is one row:
+    Spark reads no archive of more than 2 GB.
+    """
     ship(warc_records.__name__)
     files = spark.read.format("binaryFile").load(path).select("path", "content")
     read = files.mapInArrow(warc_records.reader, warc_records.FIELDS)
-    return read.where("gap_start IS NULL").drop("file", "gap_start", "gap_end"), read.where("gap_start IS NOT NULL").select("file", "gap_start", "gap_end")
+    gap = ["file", "gap_start", "gap_end", "inner_start", "inner_end"]
+    whole = F.col("gap_start").isNull()
+    if strict:
+        whole = F.when(whole, F.lit(True)).otherwise(F.raise_error(F.concat(F.lit("bytes that belong to no record: "), F.col("file"), F.lit(" from "), F.col("gap_start").cast("string"))).cast("boolean"))
+    return read.where(whole).drop(*gap), read.where(F.col("gap_start").isNotNull()).select(*gap)
 
 
 #: DuckDB: what a correct round trip returns.
