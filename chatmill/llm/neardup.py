@@ -19,9 +19,10 @@ bucket then still holds several components, its members go on to an exact search
 
 There, filed members are centres in turn, 1, then 8, then 64 of a bucket, each
 compared with the members that are not linked to it yet, until all have been
-one or the bucket is one component. No pair that shares a band is left out. Two
-sets of Jaccard similarity 0.8 share none of the 28 bands with a chance of
-about 4e-7.
+one or the bucket is one component; where few pairs are left for the members
+(``FEW_PAIRS``), all are compared at once. No pair that shares a band is left
+out. Two sets of Jaccard similarity 0.8 share none of the 28 bands with a
+chance of about 4e-7.
 """
 
 from __future__ import annotations
@@ -34,6 +35,8 @@ from .common import NULL_ID, discard, ship, staged
 from .components import components
 
 BANDS, PERMS_PER_BAND = 28, 2
+#: Pairs a member, on average, up to which open buckets are compared at once.
+FEW_PAIRS = 4
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -72,8 +75,7 @@ def _judged(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "do
     heads = classes.select("node", "first.id", "first.h").join(members.select("node").distinct(), "node")
     texts, texts_path = staged(rows.join(heads, ["id", "h"]).groupBy("id", "h", "node").agg(F.first("text").alias("text")).select("node", "text"), "texts")
     paths = [sig_path, class_path, clash_path, texts_path]
-    none = spark.createDataFrame([], "a long, b long")
-    links, compared = none, none
+    compared = spark.createDataFrame([], "a long, b long")
     labels, labels_path = spark.createDataFrame([], "node long, label long"), None
 
     def labelled(df: DataFrame, node: str, name: str) -> DataFrame:
@@ -81,8 +83,8 @@ def _judged(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "do
         return df.join(known, node, "left").withColumn(name, F.coalesce(F.col(name), F.col(node)))
 
     def compare(pairs: DataFrame) -> None:
-        """Compares the pairs (a, b) and brings links, compared, labels up to date."""
-        nonlocal links, compared, labels, labels_path
+        """Compares the pairs (a, b) and brings compared and labels up to date."""
+        nonlocal compared, labels, labels_path
         pairs, path = staged(pairs.select("a", "b"), "pairs")
         paths.append(path)
         a, b = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
@@ -92,10 +94,15 @@ def _judged(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "do
         compared = compared.union(pairs)
         if found.isEmpty():
             return
-        links = links.union(found)
+        # links between components so far; a component of these takes its smallest label
+        joined, path = components(labelled(labelled(found, "a", "la"), "b", "lb").select(F.col("la").alias("a"), F.col("lb").alias("b")))
+        paths.append(path)
+        joined = joined.select(F.col("node").alias("was"), F.col("label").alias("to"))
+        known = labels.join(joined, F.col("label") == F.col("was"), "left").select("node", F.coalesce("to", "label").alias("label"))
+        newer = joined.join(labels.select("node"), F.col("was") == F.col("node"), "left_anti").select(F.col("was").alias("node"), F.col("to").alias("label"))
         if labels_path:
             paths.append(labels_path)
-        labels, labels_path = components(links)
+        labels, labels_path = staged(known.unionByName(newer), "labels")
 
     def open_pairs(pairs: DataFrame) -> DataFrame:
         """Those not compared yet, of sizes that allow a link, in different components."""
@@ -136,8 +143,14 @@ def _judged(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "do
         members, members_path = opened, newer
     turn = 0
     while not members.isEmpty():
-        part = F.pmod(F.xxhash64("key", "node", F.lit(turn)), F.lit(8 ** min(turn, 20)))
-        centres = members.where("filed").groupBy("key", part.alias("part")).agg(F.min("node").alias("c")).select("key", "c")
+        by_label = labelled(members, "node", "label").groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"), F.count_if("filed").alias("f"))
+        by_key = by_label.groupBy("key").agg(F.sum("n").alias("n"), F.sum("f").alias("f"), F.sum(F.col("n") * F.col("f")).alias("within"))
+        left = by_key.agg(F.sum(F.col("n") * F.col("f") - F.col("within")).alias("pairs"), F.sum("n").alias("members")).first()
+        if left["pairs"] <= FEW_PAIRS * left["members"]:
+            centres = members.where("filed").select("key", F.col("node").alias("c"))
+        else:
+            part = F.pmod(F.xxhash64("key", "node", F.lit(turn)), F.lit(8 ** min(turn, 20)))
+            centres = members.where("filed").groupBy("key", part.alias("part")).agg(F.min("node").alias("c")).select("key", "c")
         apart = labelled(members, "node", "own").alias("m").join(labelled(centres, "c", "other").alias("o"), (F.col("m.key") == F.col("o.key")) & (F.col("own") != F.col("other")))
         pairs = apart.groupBy(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
         compare(open_pairs(pairs))
