@@ -10,6 +10,8 @@ Python; windowing, masking and batching stay JVM-side.
 from __future__ import annotations
 
 import os
+import sys
+import types
 from collections.abc import Sequence
 
 import pandas as pd
@@ -20,17 +22,21 @@ from pyspark.sql import types as T
 
 from chatmill.config import SPECIAL_TOKENS
 
-_cache: dict = {}
+def _loaded() -> dict:
+    """This process' tokenizers. They live outside this module, which travels
+    to the workers by value: what the driver has loaded stays there."""
+    return sys.modules.setdefault("_chatmill_tokenizers", types.ModuleType("_chatmill_tokenizers")).__dict__.setdefault("loaded", {})
 
 
 def load(path: str, specials: Sequence[str] = SPECIAL_TOKENS):
-    key = (path, tuple(specials))
-    if key not in _cache:
+    """The tokenizer of a file, with the special literals as added tokens."""
+    key, loaded = (path, tuple(specials)), _loaded()
+    if key not in loaded:
         from tokenizers import AddedToken, Tokenizer
         tok = Tokenizer.from_file(path)
         tok.add_special_tokens([AddedToken(s, special=True, normalized=False) for s in specials])
-        _cache[key] = tok
-    return _cache[key]
+        loaded[key] = tok
+    return loaded[key]
 
 
 def _local_path(name: str, fallback: str) -> str:

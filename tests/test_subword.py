@@ -14,15 +14,20 @@ tokenizers = pytest.importorskip("tokenizers")
 
 
 @pytest.fixture(scope="module")
-def tok_file(spark, tmp_path_factory):
-    from tokenizers import Tokenizer, models, pre_tokenizers, trainers
-    recs = build_records(spark, SF_SMALL).select(build_text().alias("t")).limit(50).collect()
-    tk = Tokenizer(models.WordPiece(unk_token="[UNK]"))
-    tk.pre_tokenizer = pre_tokenizers.Whitespace()
-    tk.train_from_iterator([r.t for r in recs], trainers.WordPieceTrainer(vocab_size=500, special_tokens=["[UNK]"]))
-    path = str(tmp_path_factory.mktemp("tok") / "tokenizer.json")
-    tk.save(path)
-    return path
+def tok_file():
+    return pytest.importorskip("public_tokenizers").path("byte_bpe_50k.json")
+
+
+def test_a_loaded_tokenizer_stays_on_the_driver(spark, tok_file):
+    """The closure that goes to the workers is as small after the driver has loaded the file."""
+    from pyspark import cloudpickle
+
+    from chatmill.functions import subword
+    from chatmill.session import ship_package
+    ship_package(spark)
+    before = len(cloudpickle.dumps(subword.load))
+    assert subword.load(tok_file) is subword.load(tok_file)
+    assert len(cloudpickle.dumps(subword.load)) == before < 10_000
 
 
 def test_subword_ids_match_library(spark, tok_file):
