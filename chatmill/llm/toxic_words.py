@@ -9,14 +9,32 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 
-#: Neutral names of groups. A swap replaces one by the next of its line.
+#: Neutral names of groups, in English, German, French and
+#: Spanish. A swap replaces one by the next of its line.
 IDENTITY_TERMS = (
     ("women", "men"), ("woman", "man"), ("female", "male"), ("girls", "boys"), ("girl", "boy"),
     ("muslim", "christian", "jewish", "hindu", "buddhist", "atheist"), ("muslims", "christians", "jews", "hindus", "buddhists", "atheists"),
     ("black", "white", "asian", "latino", "african", "european"), ("gay", "lesbian", "straight", "bisexual", "transgender", "queer"),
     ("old", "young", "elderly", "teenage"), ("disabled", "blind", "deaf"), ("immigrants", "refugees", "citizens", "foreigners"),
+    ("frauen", "männer"), ("mädchen", "jungen"), ("muslime", "christen", "juden", "buddhisten", "atheisten"),
+    ("schwarze", "weiße", "asiaten"), ("schwule", "lesben", "heterosexuelle"), ("flüchtlinge", "einwanderer", "bürger", "ausländer"),
+    ("femmes", "hommes"), ("filles", "garçons"), ("musulmans", "chrétiens", "juifs", "hindous", "bouddhistes", "athées"),
+    ("noirs", "blancs", "asiatiques"), ("homosexuels", "lesbiennes", "hétérosexuels"), ("réfugiés", "immigrés", "citoyens", "étrangers"),
+    ("mujeres", "hombres"), ("niñas", "niños"), ("musulmanes", "cristianos", "judíos", "hindúes", "budistas", "ateos"),
+    ("negros", "blancos", "asiáticos"), ("homosexuales", "lesbianas", "heterosexuales"), ("refugiados", "inmigrantes", "ciudadanos", "extranjeros"),
 )
-SWAP = {t: line[(i + 1) % len(line)] for line in IDENTITY_TERMS for i, t in enumerate(line)}
+
+
+def swaps(lines) -> dict[str, str]:
+    """Each term and what replaces it; a term of several lines counts in the first."""
+    out: dict[str, str] = {}
+    for line in lines:
+        for i, term in enumerate(line):
+            out.setdefault(term, line[(i + 1) % len(line)])
+    return out
+
+
+SWAP = swaps(IDENTITY_TERMS)
 _WORD = re.compile(r"[^\W\d_]+")
 _CACHED = 200_000
 
@@ -34,8 +52,11 @@ def features_of(word: str) -> list[str]:
     return out
 
 
-def swapped(words: set[str]) -> set[str]:
-    return {SWAP.get(w, w) for w in words}
+def counterfactuals(text: str | None, swap: dict[str, str]) -> list[set[str]]:
+    """The words of the text with one of its identity terms swapped wherever it
+    stands, for each such term: a text that names a whole line has its own, too."""
+    words = words_of(text)
+    return [(words - {w}) | {swap[w]} for w in sorted(words & swap.keys()) if swap[w] != w]
 
 
 def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -69,18 +90,17 @@ class Lookup:
         return found
 
 
-def vectors(features):
-    """(text, label) -> (label, its features, those of the swapped text)."""
+def vectors(features, swap: dict[str, str]):
+    """(text, label) -> (label, its features, those of each counterfactual that differ)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         look = Lookup(features.value)
         for batch in batches:
-            own, other = [], []
+            own, others = [], []
             for text in batch.column(0).to_pylist():
-                words = words_of(text)
-                swap = swapped(words)
-                own.append(sorted(look(words)))
-                other.append(own[-1] if swap == words else sorted(look(swap)))
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(own, pa.list_(pa.int32())), pa.array(other, pa.list_(pa.int32()))], ["label", "own", "swapped"])
+                own.append(sorted(look(words_of(text))))
+                found = (sorted(look(words)) for words in counterfactuals(text, swap))
+                others.append([f for f in found if f != own[-1]])
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(own, pa.list_(pa.int32())), pa.array(others, pa.list_(pa.list_(pa.int32())))], ["label", "own", "others"])
     return run
 
 
@@ -95,16 +115,16 @@ def scorer(model):
     return run
 
 
-def fit(own: list[np.ndarray], swap: list[np.ndarray], labels: np.ndarray, n_features: int, penalty: float, ridge: float, steps: int) -> tuple[np.ndarray, float]:
+def fit(own: list[np.ndarray], others: list[list[np.ndarray]], labels: np.ndarray, n_features: int, penalty: float, ridge: float, steps: int) -> tuple[np.ndarray, float]:
     """Logistic regression by Adam. Its loss is the mean log loss, plus
-    ``penalty`` times the mean squared change of the logit when identity terms
-    are swapped (over rows that change), plus ``ridge`` times the weights' squares."""
+    ``penalty`` times the mean squared change of the logit when an identity term
+    is swapped (over all counterfactuals), plus ``ridge`` times the weights' squares."""
     flat = lambda rows: (np.concatenate([np.full(len(r), i) for i, r in enumerate(rows)] or [np.empty(0)]).astype(np.int64),
                          np.concatenate([*rows, np.empty(0)]).astype(np.int64))
     row, col = flat(own)
-    changed = [i for i in range(len(own)) if len(own[i]) != len(swap[i]) or (own[i] != swap[i]).any()]
-    a_row, a_col = flat([own[i] for i in changed])
-    b_row, b_col = flat([swap[i] for i in changed])
+    changed = [(i, o) for i, each in enumerate(others) for o in each]
+    a_row, a_col = flat([own[i] for i, _ in changed])
+    b_row, b_col = flat([o for _, o in changed])
     d_row, d_col, sign = np.concatenate([a_row, b_row]), np.concatenate([a_col, b_col]), np.concatenate([np.ones(len(a_row)), -np.ones(len(b_row))])
     n, w = len(labels), np.zeros(n_features + 1)
     w[-1] = np.log((labels.sum() + 0.5) / (n - labels.sum() + 1.5))

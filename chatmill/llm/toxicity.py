@@ -1,8 +1,9 @@
 """Toxicity: a logistic classifier with a counterfactual penalty.
 
 Features are words and their beginnings and endings. Identity terms of the
-labelled texts are swapped for others of their group; the loss penalises what
-that changes of the score, so a neutral mention of a group does not raise it.
+labelled texts are swapped, one after the other, for others of their group; the
+loss penalises what that changes of the score, so a neutral mention of a group
+does not raise it. A model tells how many of its rows had a term to swap.
 """
 
 from __future__ import annotations
@@ -29,6 +30,9 @@ class Model:
     features: list[str]
     weights: list[float]
     bias: float
+    #: Labelled rows that the model was fitted to, and those of them with a counterfactual.
+    rows: int = 0
+    swapped_rows: int = 0
 
 
 def fold(id_col: Column, folds: int) -> Column:
@@ -41,9 +45,12 @@ def bounded_sample(rows: DataFrame, most: int) -> DataFrame:
     return rows.orderBy(F.xxhash64("id", F.lit(2)), "id").limit(most)
 
 
-def train(texts: DataFrame, penalty: float = 10.0, ridge: float = 1e-4, steps: int = 200, max_rows: int = MAX_TRAIN_ROWS) -> Model:
+def train(texts: DataFrame, penalty: float = 10.0, ridge: float = 1e-4, steps: int = 200, max_rows: int = MAX_TRAIN_ROWS,
+          identity_terms=toxic_words.IDENTITY_TERMS) -> Model:
     """A model from rows (id, text, label). Null labels are left out; a null
-    text has no words. Without rows, the model scores 1/4."""
+    text has no words. Without rows, the model scores 1/4. ``identity_terms``:
+    lines of lower-case words that stand for one another."""
+    swap = toxic_words.swaps(identity_terms)
     ship(toxic_words.__name__)
     spark = texts.sparkSession
     rows = texts.where("label IS NOT NULL").select("id", "text", F.col("label").cast("long").alias("label"))
@@ -56,13 +63,13 @@ def train(texts: DataFrame, penalty: float = 10.0, ridge: float = 1e-4, steps: i
     excess = lambda c, p: F.when(F.col(c) > 0, F.col(c) * F.log(F.col(c) / ((F.col("ones") + F.col("zeros")) * p))).otherwise(0.0)
     best = (tally.where("ones + zeros >= 3").withColumn("g", 2 * (excess("ones", share) + excess("zeros", 1 - share)))   # log-likelihood ratio
             .where(F.col("g") > LEAST_EVIDENCE).orderBy(F.col("g").desc(), "feature").limit(MAX_FEATURES))
-    features = sorted({r["feature"] for r in best.select("feature").collect()} | set(toxic_words.SWAP))
+    features = sorted({r["feature"] for r in best.select("feature").collect()} | set(swap))
     shared = spark.sparkContext.broadcast(features)
-    rows = sample.mapInArrow(toxic_words.vectors(shared), "label long, own array<int>, swapped array<int>").collect()   # at most max_rows
+    rows = sample.mapInArrow(toxic_words.vectors(shared, swap), "label long, own array<int>, others array<array<int>>").collect()   # at most max_rows
     sample.unpersist()
-    as_arrays = lambda f: [np.array(r[f], np.int64) for r in rows]
-    weights, bias = toxic_words.fit(as_arrays("own"), as_arrays("swapped"), np.array([r["label"] for r in rows], np.float64), len(features), penalty, ridge, steps)
-    return Model(features, weights.tolist(), bias)
+    own, others = [np.array(r["own"], np.int64) for r in rows], [[np.array(o, np.int64) for o in r["others"]] for r in rows]
+    weights, bias = toxic_words.fit(own, others, np.array([r["label"] for r in rows], np.float64), len(features), penalty, ridge, steps)
+    return Model(features, weights.tolist(), bias, len(rows), sum(map(bool, others)))
 
 
 def score_of(spark: SparkSession, text: Column, model: Model) -> Column:
@@ -78,12 +85,12 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     return docs.select(F.col(id_col).alias("doc_id"), score_of(docs.sparkSession, F.col(text_col), model).alias("score"))
 
 
-def fit_to(docs: DataFrame, labels: DataFrame, **options) -> Model:
+def fit_to(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", **options) -> Model:
     """The model for ``labels.toxic``, without the held-out fold. The sample is
     drawn by id before any text is read, so only its texts are moved."""
-    wanted = labels.select("doc_id", F.col("toxic").alias("label")).where(F.col("label").isNotNull() & (fold(F.col("doc_id"), FOLDS) != HELD_FOLD))
-    drawn = bounded_sample(wanted.withColumnRenamed("doc_id", "id"), options.get("max_rows", MAX_TRAIN_ROWS))
-    return train(docs.select(F.col("doc_id").alias("id"), "text").join(F.broadcast(drawn), "id"), **options)
+    wanted = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label")).where(F.col("label").isNotNull() & (fold(F.col(id_col), FOLDS) != HELD_FOLD))
+    drawn = bounded_sample(wanted, options.get("max_rows", MAX_TRAIN_ROWS))
+    return train(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(drawn), "id"), **options)
 
 
 def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
