@@ -1,7 +1,7 @@
 """Quality by nearest-neighbour voting in a latent-semantic space.
 
-Every document becomes a tf-idf vector of word shapes and repetition rates,
-projected on the leading singular vectors of labelled documents. The labelled
+Every document becomes a tf-idf vector of word shapes, repetition rates, words
+and pairs of words, projected on the leading singular vectors of labelled documents. The labelled
 vectors are broadcast; every document meets all of them in blocked cosine
 products, and its nearest ones vote, weighted by similarity.
 """
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from . import quality_terms
 from .common import ship, staged
+from .shingle_sets import mixed
 from .toxicity import bounded_sample, fold
 
 #: Labelled vectors at most, of lowest id hash (64 floats each: 2 MB), and their rank.
@@ -31,7 +32,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     every score is 1/2. Rows that share an id are each scored; as labelled
     rows each counts. Other columns are not read.
     """
-    ship(quality_terms.__name__)
+    ship(quality_terms.__name__, mixed.__module__)
     spark = docs.sparkSession
     id_type = docs.schema[id_col].dataType.simpleString()
     terms, _ = staged(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(quality_terms.extractor, f"id {id_type}, terms binary, values binary"), "terms")

@@ -10,14 +10,25 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 
-DIMS = 1024
+from .shingle_sets import mixed
+
+#: Hashed terms: word shapes and rates, then words, then pairs of words.
+SHAPES, WORDS, PAIRS = 1024, 2048, 1024
+DIMS = SHAPES + WORDS + PAIRS
+#: Length of the words' part of a vector, where that of the shapes is 1.
+WORD_WEIGHT = 0.5
+#: Values are kept in steps of this.
+_STEP = 1 / 30
+_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+_EDGES = b""".,;:!?"'()[]"""
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
 #: Letters to a or A, digits to 0; bytes of other scripts count as small letters.
 _SHAPE = bytes(48 if 48 <= c < 58 else 65 if 65 <= c < 91 else 97 if 97 <= c < 123 or c >= 128 else c for c in range(256))
 _RUN = re.compile(rb"(.)\1+", re.S)
 
 
 def _term(name: bytes) -> int:
-    return xxhash.xxh64_intdigest(name) % DIMS
+    return xxhash.xxh64_intdigest(name) % SHAPES
 
 
 def counts_of(text: str | None, cache: dict[bytes, int]) -> dict[int, float]:
@@ -43,15 +54,35 @@ def counts_of(text: str | None, cache: dict[bytes, int]) -> dict[int, float]:
     return result
 
 
+def word_terms(text: str | None, cache: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed words (A-Z lower-cased, without signs at their ends) and pairs of
+    neighbours, and how often they stand, as weighted terms."""
+    words = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
+    if len(cache) > 200_000:
+        cache.clear()
+    for w in words:
+        if w not in cache:
+            cache[w] = xxhash.xxh64_intdigest(w.strip(_EDGES))
+    h = np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
+    pairs = mixed(h[:-1] * _FACTOR + h[1:])
+    terms = np.concatenate([SHAPES + mixed(h) % np.uint64(WORDS), SHAPES + WORDS + pairs % np.uint64(PAIRS)]).astype(np.int64)
+    counts = np.bincount(terms, minlength=DIMS)
+    terms = np.flatnonzero(counts)
+    return terms, np.log1p(counts[terms] * 100 / max(1, len(words)))
+
+
 def extractor(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, text) -> (id, terms, values)."""
+    """(id, text) -> (id, terms, values): a 16-bit number and steps of ``_STEP`` a term."""
     cache: dict[bytes, int] = {}
+    words: dict[bytes, int] = {}
     for batch in batches:
         terms, values = [], []
-        for text in batch.column(1).to_pylist():
+        for text in batch.column(1):
+            text = text.as_py()
             c = counts_of(text, cache)
-            terms.append(np.fromiter(c, "<u2", len(c)).tobytes())
-            values.append(np.fromiter(c.values(), "<f4", len(c)).tobytes())
+            more, weights = word_terms(text, words)
+            terms.append(np.concatenate([np.fromiter(c, np.int64, len(c)), more]).astype("<u2").tobytes())
+            values.append(np.clip(np.rint(np.concatenate([np.fromiter(c.values(), float, len(c)), weights]) / _STEP), 1, 255).astype(np.uint8).tobytes())
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(terms, pa.binary()), pa.array(values, pa.binary())], ["id", "terms", "values"])
 
 
@@ -64,10 +95,13 @@ def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def matrix(terms: list[bytes], values: list[bytes], idf: np.ndarray) -> np.ndarray:
+    """Tf-idf vectors: the shapes' part of length 1, the words' of ``WORD_WEIGHT``."""
     out = np.zeros((len(terms), DIMS), np.float32)
     for i, (t, v) in enumerate(zip(terms, values)):
         t = np.frombuffer(t, "<u2")
-        out[i, t] = np.frombuffer(v, "<f4") * idf[t]
+        out[i, t] = np.frombuffer(v, np.uint8) * np.float32(_STEP) * idf[t]
+    out[:, :SHAPES] = unit(out[:, :SHAPES])
+    out[:, SHAPES:] = unit(out[:, SHAPES:]) * np.float32(WORD_WEIGHT)
     return out
 
 
@@ -75,10 +109,19 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
 
 
-def latent_axes(x: np.ndarray, rank: int) -> np.ndarray:
-    """The leading right singular vectors, from the terms' Gram matrix."""
-    _, vectors = np.linalg.eigh((x.T @ x).astype(np.float64))
-    return np.ascontiguousarray(vectors[:, ::-1][:, :rank], dtype=np.float32)
+def latent_axes(x: np.ndarray, rank: int, rounds: int = 6) -> np.ndarray:
+    """The leading right singular vectors, by subspace iteration with half as
+    many vectors more from a fixed start."""
+    wide = min(rank + rank // 2, *x.shape) if x.size else 0
+    if not wide:
+        return np.zeros((x.shape[1], rank), np.float32)
+    y = x @ np.random.default_rng(6).normal(size=(x.shape[1], wide)).astype(np.float32)
+    for _ in range(rounds):
+        y, _ = np.linalg.qr(y)
+        y, _ = np.linalg.qr(x.T @ y)
+        y = x @ y
+    _, _, vectors = np.linalg.svd(np.linalg.qr(y)[0].T @ x, full_matrices=False)
+    return np.ascontiguousarray(vectors[:rank].T, dtype=np.float32)
 
 
 def voter(model, k: int, power: float, block: int = 256):
