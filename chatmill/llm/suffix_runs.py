@@ -27,7 +27,7 @@ import pyarrow as pa
 WIDTH, GRAM = 50, 24
 BEFORE = WIDTH - GRAM                     # 26 bytes before an anchor may share a window with it
 KEY = WIDTH + BEFORE + 2                  # right context, reversed left context, their true lengths
-_SLICE = 1 << 20
+_SLICE = 1 << 16
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 _BITS = 48
 
@@ -220,9 +220,10 @@ def sorter(splitters: list[bytes], ranges: int):
     def run(key: tuple[pa.Scalar, ...], table: pa.Table, told: pa.Table) -> pa.Table:
         chunk = Chunk(table)
         at, hashes, doc = chunk.anchors()
-        pairs = np.unique(np.stack([hashes, chunk.ids[doc].astype(np.uint64)], 1), axis=0) if len(at) else np.empty((0, 2), np.uint64)
-        own, counts = np.unique(pairs[:, 0], return_counts=True)
-        known = np.concatenate([own[counts > 1], *map(_unplanes, told["hashes"].to_pylist())])
+        order = np.argsort(hashes, kind="stable")           # positions ascend, hence ids within equal hashes
+        h, i = hashes[order], chunk.ids[doc][order]
+        own = np.unique(h[1:][(h[1:] == h[:-1]) & (i[1:] != i[:-1])])      # of two documents of this chunk
+        known = np.concatenate([own, *map(_unplanes, told["hashes"].to_pylist())])
         keep = np.isin(hashes, known)
         hot = keep & np.isin(hashes, np.concatenate([np.empty(0, np.uint64), *map(_unplanes, told["hot"].to_pylist())]))
         keep &= ~hot
