@@ -66,9 +66,13 @@ def likeness(a: Column, b: Column, leaves_a: Column, leaves_b: Column) -> Column
 
 
 def changed_paragraphs(a: Column, b: Column) -> Column:
-    """Paragraph nodes of ``a`` that ``b`` lacks: where an edit took place."""
-    nodes = lambda f: F.regexp_extract_all(f, F.lit(f"([0-9a-f]{{{NODE}}})="), F.lit(1))
-    return F.array_except(nodes(a), nodes(b))
+    """Paragraph nodes of ``a`` that ``b`` lacks: where an edit took place. The
+    tree is descended where it differs: nothing below equal roots, nor below
+    sections that both have, is looked at."""
+    sections = lambda f: F.regexp_extract_all(f, F.lit(f"[0-9a-f]{{{NODE}}}\\([^)]*\\)"), F.lit(0))
+    nodes = lambda some: F.flatten(F.transform(some, lambda s: F.regexp_extract_all(s, F.lit(f"([0-9a-f]{{{NODE}}})="), F.lit(1))))
+    below = F.array_except(nodes(F.array_except(sections(a), sections(b))), nodes(sections(b)))
+    return F.when(F.substring_index(a, ":", 1) == F.substring_index(b, ":", 1), F.array().cast("array<string>")).otherwise(below)
 
 
 def with_next(docs: DataFrame, rows_per_bucket: int = 1_000) -> DataFrame:
