@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 from collections.abc import Callable, Iterator
 
 import ahocorasick
@@ -55,7 +56,7 @@ class Vocabulary:
         self.parts: dict[int, tuple[int, int, int]] = {}
         self._edges: dict[tuple[int, bool], list[tuple[int, int]]] = {}
         self._compatible: dict[int, bool] = {}
-        self._words: dict[str, list[int]] = {}
+        self._words: dict[str, bytes] = {}
         made = set()
         for r, m in enumerate(spec["model"]["merges"]):
             a, b = m.split(" ") if isinstance(m, str) else m
@@ -64,6 +65,7 @@ class Vocabulary:
             if (whole := ids[a + b]) not in self.parts and self._meet(*pair, r):
                 self.parts[whole] = (*pair, r)
                 made.add(whole)
+        self._has_added = re.compile("|".join(map(re.escape, self.added))).search if self.added else lambda text: None
         self.automaton = ahocorasick.Automaton()
         for t, i in ids.items():
             raw = self.bytes_of[i]
@@ -71,6 +73,12 @@ class Vocabulary:
                 self.automaton.add_word(raw.decode("latin-1"), (i, len(raw)))
         self.automaton.make_automaton()
 
+    def forget(self) -> None:
+        """Without what was remembered of texts."""
+        self._words.clear()
+        self._compatible.clear()
+        self._edges.clear()
+
     def _edge(self, token: int, right: bool) -> list[tuple[int, int]]:
         """The token and its parts along one edge, each with the rank that ends it."""
         key = token, right
@@ -125,23 +133,28 @@ class Vocabulary:
         return out[::-1]
 
     def encode(self, text: str) -> list[int]:
-        out: list[int] = []
+        return np.frombuffer(self.encode_packed(text), np.int32).tolist()
+
+    def encode_packed(self, text: str) -> bytes:
+        """The ids as 32-bit numbers. Words are remembered as bytes, which the
+        garbage collector does not visit."""
+        out: list[bytes] = []
         parts = [text]
-        if any(a in text for a in self.added):
+        if self._has_added(text):
             parts = regex.split("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")", text)
         words = self._words
         if len(words) > _CACHED:
             words.clear()
         for part in parts:
             if part in self.added:
-                out.append(self.added[part])
+                out.append(np.array([self.added[part]], np.int32).tobytes())
                 continue
             for word in _SPLIT(part):
                 ids = words.get(word)
                 if ids is None:
-                    ids = words[word] = self.encode_word(word.encode("utf-8", "surrogatepass"))
-                out += ids
-        return out
+                    ids = words[word] = array("i", self.encode_word(word.encode("utf-8", "surrogatepass"))).tobytes()
+                out.append(ids)
+        return b"".join(out)
 
 
 class ChunkEncoder:
@@ -201,20 +214,24 @@ def _slices(texts: list[str | None]) -> Iterator[slice]:
 
 
 def codec(content, per_process):
-    """(id, text) -> (id, ids, decoded); ``content``: the vocabulary file, broadcast."""
+    """(id, text) -> (id, ids, decoded); ``content``: the vocabulary file, broadcast.
+    What a task has remembered goes with it; the vocabulary stays in the process."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def build():
             vocabulary = Vocabulary(content.value)
-            table = [vocabulary.bytes_of.get(i, b"") for i in range(max(vocabulary.bytes_of) + 1)]
-            return ChunkEncoder(lambda chunks: [np.array(vocabulary.encode(c), np.int32).tobytes() for c in chunks]), table
-
-        encoder, table = per_process(f"bpe_{hash(content.value)}", build)
-        for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for part in _slices(texts):
-                rows = encoder.encode_all([t or "" for t in texts[part]])
-                decoded = [b"".join(map(table.__getitem__, ids.tolist())).decode("utf-8", "replace") for ids in rows]
-                yield pa.RecordBatch.from_arrays([batch.column(0)[part], ids_array(rows), pa.array(decoded, pa.string())], ["id", "ids", "decoded"])
+            return vocabulary, [vocabulary.bytes_of.get(i, b"") for i in range(max(vocabulary.bytes_of) + 1)]
+
+        vocabulary, table = per_process(f"bpe_{hash(content.value)}", build)
+        encoder = ChunkEncoder(lambda chunks: list(map(vocabulary.encode_packed, chunks)))
+        try:
+            for batch in batches:
+                texts = batch.column(1).to_pylist()
+                for part in _slices(texts):
+                    rows = encoder.encode_all([t or "" for t in texts[part]])
+                    decoded = [b"".join(map(table.__getitem__, ids.tolist())).decode("utf-8", "replace") for ids in rows]
+                    yield pa.RecordBatch.from_arrays([batch.column(0)[part], ids_array(rows), pa.array(decoded, pa.string())], ["id", "ids", "decoded"])
+        finally:
+            vocabulary.forget()
     return run
 
 
