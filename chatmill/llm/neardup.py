@@ -47,7 +47,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     smallest doc_id; one row of that id is kept. Documents without words (null,
     empty) are linked with nothing and kept. Every row is judged by its own text:
     rows that share an id, or have none, are not linked by that. A null id is
-    the smallest id. Extra columns are not read. Staged tables cut the lineage.
+    the smallest id. Ids are cast to long, of which the least stands for a null
+    one. Extra columns are not read. Staged tables cut the lineage.
     """
     return _judged(docs, size, percent, id_col, text_col).drop("h")
 

@@ -71,7 +71,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Removed is every byte of a document's UTF-8 text that lies in a 50-byte
     string which also starts in a document of smaller id; strings are judged on
     the input. A null or empty text has no bytes. Rows that share an id don't
-    count as smaller than each other; a null id is larger than all. ``carry``
+    count as smaller than each other; a null id is larger than all (ids are cast
+    to long, of which the largest stands for a null one). ``carry``
     names columns that go along; others are not read. With ``characters``, a
     character stays unless all its bytes go, so ``kept`` is UTF-8. The result is computed when read, from tables in the
     shared folder that go at the session's end.

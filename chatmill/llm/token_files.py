@@ -24,7 +24,8 @@ def write_tokens(docs: DataFrame, vocabulary: str, path: str, end_id: int = 0, i
     """Encode every whole text with the tokenizers library, append ``end_id``,
     and write the file set in ascending doc_id order.
 
-    A null or empty text is the end id alone. A null id comes first. Rows that
+    A null or empty text is the end id alone. Ids are cast to long, of which the
+    least stands for a null one, which so comes first. Rows that
     share an id are written in an undefined order. Other columns are not read.
     Texts are encoded once and are not shuffled; their ids are staged, coded,
     and dealt by ranges of doc_id that one part file holds in order.

@@ -44,3 +44,27 @@ def test_run_and_empty_documents(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{d}/labels.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
     assert corpus_pipeline.run(spark, d).count() == 0
+
+
+def test_edge_rows_of_every_stage(spark, tmp_path):
+    """Nulls in any column, empty and very long texts, repeated rows and ids, further columns with clashing names."""
+    d = str(tmp_path)
+    long, other = "lorem ipsum dolor sit amet " * 20_000, "some words that no other document has in common with it"
+    rows = [(None, None, None, None, None), (None, other, "en", None, None), (1, "", None, "s", 0), (1, "", None, "s", 0), (2, None, "en", "s", None),
+            (3, long, "en", "s", len(long)), (4, "one two three four five six", None, None, 27), (4, "another text under the same id as before it", "de", "s", None),
+            (5, "one two three four five six", "en", "s", 27), (6, "scum moron scum", "en", "s", 15), (6, "scum moron scum", "en", "s", 15)]
+    docs = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 AS id", "'x' AS kept", "2 AS h", "'y' AS node", "3 AS chunk", "4 AS score", "'z' AS label")
+    docs.write.parquet(f"{d}/documents.parquet")
+    spark.createDataFrame([(6, None, 1), (4, 1, 0), (None, 1, None), (None, None, 0), (3, 1, None)], "doc_id long, quality int, toxic int").write.parquet(f"{d}/labels.parquet")
+    spark.createDataFrame([(1, None), (None, ""), (2, "no such item in any of the documents here")], "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
+    docs, sizes = spark.read.parquet(f"{d}/documents.parquet"), []
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES:
+        docs, _ = staged(stage(spark, docs, d), f"edge-{name}")
+        sizes.append(docs.count())
+        if name != corpus_pipeline.STAGES[-1][0]:
+            assert docs.columns == columns
+    assert sizes[0] >= 9 and sizes[1] in (sizes[0] - 1, sizes[0] - 2) and sizes[1] == sizes[2] == sizes[3] == sizes[4]
+    got = docs.collect()
+    assert all(r.exact and r.n_tokens == len(r.ids) for r in got)
+    assert sum(r.doc_id is None for r in got) == 2 and max(r.n_tokens for r in got) > 50_000
