@@ -3,7 +3,7 @@ import sys, re
 sys.path.insert(0, '/root/repo')
 from chatmill.session import local_session, scratch_path
 from chatmill.plans.prepare import build_records, prepare
-from chatmill.plans.pretokenize import pretokenize_frame
+from chatmill.plans.pretokenize import pretokenize_frame, pretokenize_split
 from chatmill.operators.split import label_split, seeded_shuffle
 from chatmill.operators.encode import Tokenizer
 from chatmill.sources.files import scan_jsonl
@@ -42,6 +42,11 @@ sections = [
     ("Split labelling after the cutoff search (O2)", label_split(seeded_shuffle(spark.read.parquet(f"{sf}/conversations.parquet").selectExpr("cast(conv_id as string) as rec_key")), (1 << 40, "0"))),
     ("Pretokenize frame (X6): JSONL scan -> ordinal -> window path", pretokenize_frame(scan_jsonl(spark, f"{out}/train.jsonl"), tok, 4096)),
 ]
+folder = pretokenize_split(spark, "train", f"{out}/train.jsonl", out, tok)
+sections += [
+    ("Padded batches (X4): rows are padded as they pass, no exchange", TD.collate(TD.load_split(spark, folder, None, tok)[1], tok)),
+    ("Head cap of a tokenized folder (L3): only files that its run index names", TD.load_split(spark, folder, None, tok, max_samples=20)[1]),
+]
 spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
 sections.append(("Cluster shape of the source joins: broadcast disabled, conversations with > 2 user turns salted",
                  tables.qa_pairs(spark, sf, pages=True, hot_rows=2)))
