@@ -229,9 +229,11 @@ def q_filter_min_supervised(spark, sf):
 
 
 def q_filter_nonempty(spark, sf):
-    """Ids of every user turn's reply; a turn without one has an empty text."""
-    pairs = tables.qa_pairs(spark, sf).select("conv_id", "turn", TOK.ids(F.coalesce("answer_text", F.lit(""))).alias("input_ids"))
-    return E.filter_nonempty(pairs).select("conv_id", "turn", F.size("input_ids").cast("long").alias("n_ids"), digest("input_ids").alias("ids_md5"))
+    """Window ids of every record of all sources, and ids of every user turn's
+    reply; a turn without one has an empty text."""
+    windows = E.window_and_mask(token_rows(spark, sf), MARKER, WINDOW_L, keep=["rec_key"]).select("rec_key", "input_ids")
+    replies = tables.qa_pairs(spark, sf).select(tables.rec_key("reply").alias("rec_key"), TOK.ids(F.coalesce("answer_text", F.lit(""))).alias("input_ids"))
+    return E.filter_nonempty(union_sources([windows, replies])).select("rec_key", F.size("input_ids").cast("long").alias("n_ids"), digest("input_ids").alias("ids_md5"))
 
 
 def q_marker_tally(spark, sf):

@@ -311,8 +311,9 @@ FROM ({tallied}) x GROUP BY field""")
     q["window_boundary"] = with_q(R, f"SELECT {tok_digests('rec_key')} FROM ({window_path(tok_rows(), 'rec_key', C.CROP_L, k=C.ANSWER_K)}) x")
     q["filter_min_supervised"] = with_q(R, " UNION ALL ".join(f"SELECT {n}::BIGINT AS max_length, rec_key FROM ({raw_of_records(n)}) x{n}" for n in C.SUPERVISED_LS))
     reply = "coalesce(answer_text, '')"
-    q["filter_nonempty"] = with_q(PAIRS, f"""SELECT conv_id, turn, len(ids)::BIGINT AS n_ids, {digest('ids')} AS ids_md5
-FROM (SELECT conv_id, turn, {ids_of(tokens_of(reply))} AS ids FROM pairs) x WHERE len(ids) > 0""")
+    q["filter_nonempty"] = with_q(R, f"""SELECT rec_key, len(ids)::BIGINT AS n_ids, {digest('ids')} AS ids_md5 FROM (
+  SELECT rec_key, input_ids AS ids FROM ({window_of_records(C.WINDOW_L)}) w
+  UNION ALL SELECT {key_of('reply')} AS rec_key, {ids_of(tokens_of(reply))} AS ids FROM pairs) x WHERE len(ids) > 0""")
     q["marker_tally"] = with_q(R, f"""SELECT needle, source, n_markers, count(*) AS n_rows FROM (""" + " UNION ALL ".join(
         f"SELECT '{name}' AS needle, source, {occurrences('ids', needle)} AS n_markers FROM ({tok_rows(keep='source')}) x" for name, needle in C.TALLIED.items())
         + ") y GROUP BY ALL")
