@@ -17,6 +17,7 @@ and evaluate the search twice.
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -181,6 +182,12 @@ def marker_counts(df: DataFrame, marker_ids, name: str = "n_markers", ids: str =
 
 def marker_tally(df: DataFrame, marker_ids, by=(), ids: str = "input_ids") -> DataFrame:
     """A histogram of rows by their number of markers, within groups ``by``:
-    n_markers, n_rows. Summed up before the exchange, of a row a group and number."""
-    counted = marker_counts(df.select(*by, ids), marker_ids, ids=ids)
-    return counted.groupBy(*by, "n_markers").agg(F.count(F.lit(1)).alias("n_rows"))
+    n_markers, n_rows. Summed up before the exchange, of a row a group and number.
+    Of several markers (name -> ids), each has its own, told by a column
+    ``needle``; a row's ids are computed once for all."""
+    if not isinstance(marker_ids, Mapping):
+        counted = marker_counts(df.select(*by, ids), marker_ids, ids=ids)
+        return counted.groupBy(*by, "n_markers").agg(F.count(F.lit(1)).alias("n_rows"))
+    counts = [F.struct(F.lit(name).alias("needle"), count_subarray(ids, needle).cast("long").alias("n_markers")) for name, needle in marker_ids.items()]
+    counted = df.select(*by, ids).select(*by, F.inline(F.array(*counts)))
+    return counted.groupBy("needle", *by, "n_markers").agg(F.count(F.lit(1)).alias("n_rows"))
