@@ -151,11 +151,18 @@ def tokenize_and_mask(df: DataFrame, tok: Tokenizer = Tokenizer(), max_length: i
 
 def encode_raw(df: DataFrame, tok: Tokenizer = Tokenizer(), max_length: int = RAW_MAX_LENGTH,
                bos_id: int | None = None, mask: bool = True, keep=()) -> DataFrame:
-    """Raw path (T): head truncation, marker-optional masking, >= 8 supervised."""
+    """Raw path (T): head truncation, marker-optional masking, >= 8 supervised.
+    Of several lengths, each gives its rows, with a column ``max_length``; a
+    text is encoded once for all."""
+    several = not isinstance(max_length, int)
     ids = tok.raw_ids(build_text("instruction", "output"), bos_id)
     marker = tok.marker_ids
     m = len(marker)
-    x = df.select(*keep, truncate_head(ids, max_length).alias("_ids"))
+    x = df.select(*keep, truncate_head(ids, max(max_length) if several else max_length).alias("_ids"))
+    if several:
+        x = x.select(*keep, "_ids", F.explode(F.array(*[F.lit(int(n)) for n in max_length])).alias("max_length"))
+        keep = [*keep, "max_length"]
+        x = x.select(*keep, F.slice("_ids", F.lit(1), F.col("max_length")).alias("_ids"))
     x = x.select(*keep, "_ids", find_subarray("_ids", marker).alias("_pos"))
     n = F.size("_ids")
     supervised = n if not mask else F.when(F.col("_pos") < 0, n).otherwise(n - F.col("_pos") - F.lit(m))

@@ -225,7 +225,7 @@ def q_filter_min_supervised(spark, sf):
     """Rows that keep 8 supervised ids at each length; shorter heads cut the
     answer behind the marker, so rows drop."""
     recs = records(spark, sf)
-    return union_sources([E.encode_raw(recs, TOK, n, keep=["rec_key"]).select(F.lit(n).cast("long").alias("max_length"), "rec_key") for n in SUPERVISED_LS])
+    return E.encode_raw(recs, TOK, SUPERVISED_LS, keep=["rec_key"]).select(F.col("max_length").cast("long"), "rec_key")
 
 
 def q_filter_nonempty(spark, sf):
