@@ -32,6 +32,13 @@ def special_pattern(specials: Sequence[str] = SPECIAL_TOKENS) -> str:
     return "(" + "|".join(re.escape(s) for s in specials) + ")"
 
 
+def _special_search(specials: Sequence[str]) -> str:
+    """``special_pattern`` for a scan of whole texts: where no special begins,
+    one look at the character tells."""
+    first = "".join(sorted({f"\\x{{{ord(s[0]):x}}}" for s in specials if s}))
+    return f"(?=[{first}])" + special_pattern(specials) if first and all(specials) else special_pattern(specials)
+
+
 def token_pattern() -> str:
     return r"\x01[^\x01]+\x01|" + _WORD + "|" + _OTHER
 
@@ -39,7 +46,7 @@ def token_pattern() -> str:
 def raw_tokens(text, specials: Sequence[str] = SPECIAL_TOKENS) -> Column:
     """Tokens with each special still wrapped in the delimiter."""
     clean = F.regexp_replace(F.coalesce(_c(text), F.lit("")), F.lit(SEP), F.lit(""))
-    wrapped = F.regexp_replace(clean, F.lit(special_pattern(specials)), F.lit(SEP + "$1" + SEP))
+    wrapped = F.regexp_replace(clean, F.lit(_special_search(specials)), F.lit(SEP + "$1" + SEP))
     return F.regexp_extract_all(wrapped, F.lit(token_pattern()), F.lit(0))
 
 
@@ -49,7 +56,12 @@ def split_tokens(text, specials: Sequence[str] = SPECIAL_TOKENS) -> Column:
 
 
 def hashed_id(token, n_special: int = len(SPECIAL_TOKENS), buckets: int = DEFAULT_BUCKETS) -> Column:
-    """Id of one non-special token: 60 bits of its MD5, modulo ``buckets``."""
+    """Id of one non-special token: 60 bits of its MD5, modulo ``buckets``. Of
+    a power of two, the last digits of the 60 bits tell it."""
+    if 0 < buckets <= 1 << 28 and buckets & (buckets - 1) == 0:
+        digits = max(1, -(-(buckets.bit_length() - 1) // 4))
+        low = F.conv(F.substring(F.md5(_c(token)), 16 - digits, digits), 16, 10).cast("int")
+        return (F.lit(n_special) + low.bitwiseAND(F.lit(buckets - 1))).cast("int")
     h60 = F.conv(F.substring(F.md5(_c(token)), 1, 15), 16, 10).cast("long")
     return (F.lit(n_special) + F.pmod(h60, F.lit(buckets))).cast("int")
 
@@ -58,11 +70,9 @@ def token_id(token, specials: Sequence[str] = SPECIAL_TOKENS, buckets: int = DEF
              wrapped: bool = False) -> Column:
     """Id of one token; ``wrapped`` matches specials still in delimiters."""
     t = _c(token)
-    expr = None
-    for i, s in enumerate(specials):
-        form = F.lit(SEP + s + SEP if wrapped else s)
-        expr = F.when(t == form, F.lit(i)) if expr is None else expr.when(t == form, F.lit(i))
-    return expr.otherwise(hashed_id(t, len(specials), buckets))
+    ids = {SEP + s + SEP if wrapped else s: i for i, s in reversed([*enumerate(specials)])}      # of equal ones the first
+    known = F.create_map(*[F.lit(x) for pair in ids.items() for x in pair])
+    return F.coalesce(F.try_element_at(known, t), hashed_id(t, len(specials), buckets))
 
 
 def encode_ids(tokens, specials: Sequence[str] = SPECIAL_TOKENS, buckets: int = DEFAULT_BUCKETS) -> Column:
