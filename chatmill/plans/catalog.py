@@ -347,8 +347,9 @@ def q_find_subarray(spark, sf):
 
 def q_mask_labels(spark, sf):
     d = token_rows(spark, sf).select("rec_key", "input_ids", A.find_subarray("input_ids", MARKER).alias("pos"))
-    d = d.where(F.col("pos") >= 0)
-    return d.select("rec_key", digest(A.mask_prefix("input_ids", F.col("pos") + F.lit(len(MARKER)))).alias("labels_md5"))
+    # a filter on the position would be pushed down and encode the text twice
+    row = F.struct("rec_key", digest(A.mask_prefix("input_ids", F.col("pos") + F.lit(len(MARKER)))).alias("labels_md5"))
+    return d.select(F.inline(F.when(F.col("pos") >= 0, F.array(row)).otherwise(F.array().cast("array<struct<rec_key:string,labels_md5:string>>"))))
 
 
 def q_mask_labels_keep(spark, sf):
