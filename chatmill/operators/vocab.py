@@ -88,25 +88,35 @@ def fit_vocab(df: DataFrame, tokens: str = "tokens", vocab_size: int = DEFAULT_V
             .select("token", vid.alias("id"), "count"))
 
 
-def _lookup_fn(vocab_bc, tokens: str, name: str, unk_id: int):
+#: Tokens that are looked up at a time.
+HELD_TOKENS = 1 << 18
+
+
+def _lookup_fn(vocab_bc, tokens: str, name: str, unk_id: int, held: int = HELD_TOKENS):
     def fn(it):
         import numpy as np
-        import pandas as pd
         import pyarrow as pa
         import pyarrow.compute as pc
-        index = pd.Index(vocab_bc.value[0])
-        ids_of = np.asarray(vocab_bc.value[1], dtype=np.int32)
-        for rb in it:
-            col = rb.column(rb.schema.get_field_index(tokens))
-            flat = pc.list_flatten(col).to_numpy(zero_copy_only=False)
-            pos = index.get_indexer(flat)                      # hash lookup, vectorised
-            ids = np.where(pos >= 0, ids_of[np.maximum(pos, 0)], unk_id).astype(np.int32)
-            offsets = pc.list_value_length(col).fill_null(0).to_numpy(zero_copy_only=False)
-            offs = pa.array(np.r_[0, np.cumsum(offsets)].astype(np.int32))
-            arr = pa.ListArray.from_arrays(offs, pa.array(ids, pa.int32()))
-            cols = [rb.column(j) for j in range(rb.num_columns) if rb.schema.field(j).name != tokens]
-            names = [f.name for f in rb.schema if f.name != tokens]
-            yield pa.RecordBatch.from_arrays(cols + [arr], names=names + [name])
+        known = pa.array(vocab_bc.value[0], pa.string())
+        ids_of = pa.array(vocab_bc.value[1], pa.int32())
+        for whole in it:
+            at = whole.schema.get_field_index(tokens)
+            ends = np.cumsum(pc.list_value_length(whole.column(at)).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+            begin = 0
+            while begin < whole.num_rows:
+                # rows of bounded tokens together, one at least; strings stay in Arrow, as no Python objects
+                done = int(ends[begin - 1]) if begin else 0
+                end = max(begin + 1, int(np.searchsorted(ends, done + held, "right")))
+                rb = whole.slice(begin, end - begin)
+                flat = pc.list_flatten(rb.column(at))
+                if not pa.types.is_string(flat.type):
+                    flat = flat.cast(pa.string())
+                ids = ids_of.take(pc.index_in(flat, value_set=known)).fill_null(unk_id)
+                arr = pa.ListArray.from_arrays(pa.array(np.r_[0, ends[begin:end] - done].astype(np.int32)), ids)
+                cols = [rb.column(j) for j in range(rb.num_columns) if j != at]
+                names = [f.name for j, f in enumerate(rb.schema) if j != at]
+                yield pa.RecordBatch.from_arrays(cols + [arr], names=names + [name])
+                begin = end
     return fn
 
 
@@ -116,7 +126,7 @@ def encode_with_vocab(df: DataFrame, vocab: DataFrame, tokens: str = "tokens", n
 
     The vocabulary's size is checked against ``max_vocab`` and then shipped
     once as a broadcast variable; each Arrow batch is flattened and looked up
-    through a hash index in one vectorised call. Unlike explode -> join ->
+    through a hash index in vectorised calls of bounded size. Unlike explode -> join ->
     regroup, this moves no token data between tasks.
     """
     rows = vocab.select("token", "id").limit(max_vocab + 1).collect()
