@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatmill.operators.ordinal import SRC_FILE, SRC_ROW, cap_condition, prefix_cap, scan_with_position
+from chatmill.operators.sieve import key_bitmap, sift
 from chatmill.operators.skew import HOT_ROWS, SALT, hot_keys, salt_big, salt_small
 
 SOURCES = ("squad", "squad_v2", "trivia_qa")
@@ -72,12 +73,15 @@ def qa_pairs(spark: SparkSession, sf_dir: str, cap: int | None = None, caps: tup
     # the cap is hot before it, and salting a cooler key is harmless
     hot = hot_keys(conv.where(F.col("role") == "user").select("conv_id"), "conv_id", hot_rows)
     pairs = users.join(answers, ["conv_id", "turn"], "left")
+    # documents and pages of no conversation are not moved
+    bitmap = key_bitmap(conv.where(F.col("role") == "user").select("conv_id"), "conv_id")
     docs = read_table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("conv_id"), F.col("text").alias("doc_text"))
     dims = [docs]
     if pages:
         dims.append(read_table(spark, sf_dir, "pages").select(
             F.col("page_id").alias("conv_id"), F.col("html").alias("page_html"), F.col("url").alias("page_url")))
+    dims = [sift(dim, bitmap, "conv_id") for dim in dims]
     if hot is None:
         for dim in dims:
             pairs = pairs.join(dim, "conv_id", "left")

@@ -1,0 +1,31 @@
+"""Rows of keys that no conversation has are left out before the join, no others."""
+
+from chatmill.operators.sieve import key_bitmap, sift
+from chatmill.sources import tables
+
+
+def test_no_key_is_lost_and_others_go(spark):
+    keys = [0, 1, -5, 32767, 32768, 2**62, -2**63, 7, 7, None] + list(range(100_000, 105_000))
+    bitmap = key_bitmap(spark.createDataFrame([(k,) for k in keys], "conv_id long"), "conv_id")
+    rows = spark.createDataFrame([(k, "t") for k in keys] + [(k, "other") for k in range(200_000, 240_000)], "conv_id long, text string")
+    got = sift(rows, bitmap, "conv_id")
+    assert got.columns == ["conv_id", "text"]
+    kept = [r.conv_id for r in got.collect()]
+    assert sorted(k for k in kept if k < 200_000 or k == 2**62) == sorted(k for k in keys if k is not None)
+    assert len(kept) < len(keys) + 100
+    none = key_bitmap(spark.createDataFrame([], "conv_id long"), "conv_id")
+    assert sift(rows, none, "conv_id").count() == 0
+
+
+def test_pairs_meet_their_documents(spark, tmp_path):
+    sf = str(tmp_path)
+    turns = [(c, t, "user" if t % 2 == 0 else "assistant", f"{c} {t}") for c in (None, -3, 1, 2, 2**40) for t in range(4)]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(f"{sf}/conversations.parquet")
+    spark.createDataFrame([(d, f"d{d}") for d in (None, -3, 1, 1, 2**40, 77)], "doc_id long, text string").write.parquet(f"{sf}/documents.parquet")
+    spark.createDataFrame([(2, "u", "h")], "page_id long, url string, html string").write.parquet(f"{sf}/pages.parquet")
+    for hot in (100_000, 1):
+        df = tables.qa_pairs(spark, sf, pages=True, hot_rows=hot)
+        assert "_bits" in df._jdf.queryExecution().optimizedPlan().toString()
+        got = sorted((r.conv_id or 0, r.turn, r.doc_text or "", r.page_html or "") for r in df.collect())
+        docs = {-3: ["d-3"], 1: ["d1", "d1"], 2**40: [f"d{2**40}"]}
+        assert got == sorted((c or 0, t, d, "h" if c == 2 else "") for c in (None, -3, 1, 2, 2**40) for t in (0, 2) for d in docs.get(c, [""]))
