@@ -149,7 +149,7 @@ def tokenize_and_mask(df: DataFrame, tok: Tokenizer = Tokenizer(), max_length: i
                            keep, "_text_ids")
 
 
-def encode_raw(df: DataFrame, tok: Tokenizer = Tokenizer(), max_length: int = RAW_MAX_LENGTH,
+def encode_raw(df: DataFrame, tok: Tokenizer = Tokenizer(), max_length: int | Sequence[int] = RAW_MAX_LENGTH,
                bos_id: int | None = None, mask: bool = True, keep=()) -> DataFrame:
     """Raw path (T): head truncation, marker-optional masking, >= 8 supervised.
     Of several lengths, each gives its rows, with a column ``max_length``; a
