@@ -117,6 +117,18 @@ def candidates(text: str) -> set[tuple[int, int, int]]:
     return out
 
 
+def apart(spans: set[tuple[int, int, int]], base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """The spans that touch no base span, ascending."""
+    out, at, reach = [], 0, -1
+    for span in sorted(spans):
+        while at < len(base) and base[at][0] <= span[0]:
+            reach = max(reach, base[at][2])
+            at += 1
+        if reach <= span[0] and (at == len(base) or base[at][0] >= span[2]):
+            out.append(span)
+    return out
+
+
 def _class(c: str) -> int:
     if not c:
         return 0
@@ -185,8 +197,10 @@ def examples(text: str, folds: int) -> list[tuple[int, int, int, list[float]]]:
     """(kind, fold, label, features) made out of a text's base spans, and of its
     candidates that touch none. Of these, what would be a base span if it stood
     alone is neither right nor wrong: it may be what the base has lost."""
-    base = base_spans(text)
+    base, free = base_spans(text), candidates(text)
     out = []
+    if not base and not free:
+        return out
     fold = zlib.crc32(text.encode("utf-8", "surrogatepass"))
     rng = random.Random(fold)
     fold %= folds
@@ -197,6 +211,5 @@ def examples(text: str, folds: int) -> list[tuple[int, int, int, list[float]]]:
                 # another cut of the same place; a part that would do alone may be what the base has taken more with
                 if k == kind and (b, e) != (begin, stop) and b < stop and e > begin and not (b >= begin and e <= stop and _alone(changed, b, k, e)):
                     out.append((k, fold, 0, features(changed, b, k, e)))
-    free = [c for c in candidates(text) if all(c[2] <= b or c[0] >= e for b, _, e in base)]
-    out += [(k, fold, 0, features(text, b, k, e)) for b, k, e in sorted(free) if not _alone(text, b, k, e)]
+    out += [(k, fold, 0, features(text, b, k, e)) for b, k, e in apart(free, base) if not _alone(text, b, k, e)]
     return out

@@ -8,7 +8,7 @@ from collections import Counter
 import numpy as np
 
 from chatmill.llm import boosted_trees, pii, queries
-from chatmill.llm.pii_candidates import FEATURES, KINDS, base_spans, candidates, digits_of, features, luhn
+from chatmill.llm.pii_candidates import FEATURES, KINDS, base_spans, candidates, digits_of, examples, features, luhn
 
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
             "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
@@ -119,6 +119,31 @@ def test_added_spans(spark):
     assert [r.redacted for r in rows] == ["pay <card> or <email> now", "", ""] and [len(r.spans) for r in rows] == [2, 0, 0]
 
 
+def test_trees_learn_from_all_documents(spark, monkeypatch):
+    """Every document's examples count, also beyond any sample; sums of Spark jobs give the trees that the driver's give."""
+    monkeypatch.setattr(boosted_trees, "TREES", 3)
+    texts = [f"the {i} mail bob{i}@mail.example.com re. {_card(random.Random(i))}" for i in range(3_500)]
+    texts += _documents(300, 8) + [None, "", "ana at mail dot com"]
+    made = Counter((k, fold == pii.HELD_FOLD) for t in texts for k, fold, *_ in examples(t or "", pii.FOLDS))
+    models = pii.fit(_frame(spark, texts))
+    assert set(models) == {0, 1, 2, 3}
+    assert {(k, held): m["held" if held else "examples"] for k, m in models.items() for held in (False, True)} == made
+    monkeypatch.setattr(pii, "DRIVER_CELLS", 0)
+    for k, m in pii.fit(_frame(spark, texts)).items():
+        assert all(np.array_equal(m["trees"][c], models[k]["trees"][c]) for c in models[k]["trees"])
+        assert np.array_equal(m["steps"], models[k]["steps"]) and m["threshold"] == models[k]["threshold"]
+
+
+def test_bins_end_at_exact_quantiles(spark):
+    rng = random.Random(9)
+    rows = [(0, [float(rng.randrange(4)), float(int(rng.expovariate(0.01)))]) for _ in range(997)]
+    edges = pii._edges(spark.createDataFrame(rows, "kind int, x array<double>"), [0])[0]
+    for f in (0, 1):
+        values = sorted(x[f] for _, x in rows)
+        n = boosted_trees.BINS
+        assert edges[f].tolist() == sorted({values[-(-q * len(values) // n) - 1] for q in range(1, n)})
+
+
 def test_query(spark, tmp_path):
     texts = [None, "", "x" * 50_000, "no data", "🙂 é x@y.zz", "1.2.3.4 then 1.2.3.4"] + _documents(800, 6)
     rows = [(None if i == 1 else i % 700, t) for i, t in enumerate(texts)]
