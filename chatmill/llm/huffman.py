@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 LIMIT, STRIDE, BLOCK_IDS = 16, 512, 1 << 20
 
@@ -64,17 +65,27 @@ def decoding_table(lengths: np.ndarray) -> np.ndarray:
 
 def pack(ids: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tuple[bytes, np.ndarray]:
     """The coded ids, padded to a byte, and the bit offset of every 512th."""
-    if not len(ids):
-        return b"", np.empty(0, np.int64)
+    payload, _, checkpoints = pack_many(ids, np.array([len(ids)]), lengths, codes)
+    return payload, checkpoints
+
+
+def pack_many(ids: np.ndarray, counts: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """Of documents of ``counts`` ids each: the coded ids, each document padded
+    to a byte, the bytes of each, and the bit offset in its document of every 512th id."""
     size = lengths[ids].astype(np.int64)
     if (size == 0).any():
         raise ValueError("an id without a code")
-    ends = np.cumsum(size)
-    at = ends - size
+    ends = np.append(0, np.cumsum(size))
+    starts = np.cumsum(counts) - counts
+    first = ends[starts]
+    n_bytes = (ends[starts + counts] - first + 7) // 8
+    at = ends[:-1] + np.repeat((np.cumsum(n_bytes) - n_bytes) * 8 - first, counts)
     value = codes[ids].astype(np.int64) << (32 - (at & 15) - size)
-    words = int(ends[-1] + 15) // 16 + 1
+    words = int(n_bytes.sum() + 1) // 2 + 1
     out = np.bincount(at >> 4, value >> 16, words) + np.bincount((at >> 4) + 1, value & 0xFFFF, words)
-    return out.astype(">u2").tobytes()[:int(ends[-1] + 7) // 8], at[::STRIDE]
+    stops = (counts + STRIDE - 1) // STRIDE
+    marks = np.repeat(starts - (np.cumsum(stops) - stops) * STRIDE, stops) + np.arange(stops.sum()) * STRIDE
+    return out.astype(">u2").tobytes()[:int(n_bytes.sum())], n_bytes, ends[marks] - np.repeat(first, stops)
 
 
 def unpack(payload: bytes, checkpoints: np.ndarray, counts: np.ndarray, table: np.ndarray) -> np.ndarray:
@@ -102,14 +113,21 @@ def stretches(sizes: np.ndarray) -> np.ndarray:
     return out
 
 
+def packed_counts(counts: np.ndarray) -> bytes:
+    """Counts by id, as pairs (id, count) of those that occur."""
+    used = np.flatnonzero(counts)
+    return np.stack([used, counts[used]], 1).astype("<i8").tobytes()
+
+
 def counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(ids) -> (token, n), summed over the task."""
+    """(packed counts) -> (token, n), summed over the task."""
     total = np.zeros(0, np.int64)
     for batch in batches:
-        ids = np.frombuffer(b"".join(batch.column(0).to_pylist()), "<u4")
-        counts = np.bincount(ids, minlength=len(total))
-        counts[:len(total)] += total
-        total = counts
+        for row in batch.column(0):
+            token, n = np.frombuffer(row.as_py(), "<i8").reshape(-1, 2).T
+            if len(token) and token[-1] >= len(total):
+                total = np.append(total, np.zeros(token[-1] + 1 - len(total), np.int64))
+            total[token] += n
     used = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], ["token", "n"])
 
@@ -117,18 +135,27 @@ def counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 BLOCK_FIELDS = "range long, seq long, n_ids long, doc_ids binary, lengths binary, checkpoints binary, payload binary"
 
 
+def binaries(payload: bytes | np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Rows of bytes that lie one after another."""
+    ends = pa.py_buffer(np.append(0, np.cumsum(sizes)).astype(np.int64))
+    return pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, ends, pa.py_buffer(payload)]).cast(pa.binary())
+
+
 def coder(code):
     """(range, id, ids) -> (range, id, n_ids, checkpoints, payload) of each document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lengths = np.frombuffer(code.value, np.uint8)
         codes = canonical(lengths)
         for batch in batches:
-            rows = [np.frombuffer(r, "<u4") for r in batch.column(2).to_pylist()]
-            packed = [pack(r, lengths, codes) for r in rows]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([len(r) for r in rows], pa.int64()),
-                 pa.array([c.astype("<u8").tobytes() for _, c in packed], pa.binary()), pa.array([p for p, _ in packed], pa.binary())],
-                ["range", "id", "n_ids", "checkpoints", "payload"])
+            counts = pc.binary_length(batch.column(2)).to_numpy().astype(np.int64) // 4
+            # some documents together, about a block's ids
+            for rows in np.split(np.arange(len(counts)), np.flatnonzero(np.diff(np.cumsum(counts) // BLOCK_IDS)) + 1):
+                if len(rows):
+                    part, own = batch.slice(rows[0], len(rows)), counts[rows]
+                    payload, n_bytes, checkpoints = pack_many(np.frombuffer(b"".join(part.column(2).to_pylist()), "<u4"), own, lengths, codes)
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column(0), part.column(1), pa.array(own), binaries(checkpoints.astype("<u8"), (own + STRIDE - 1) // STRIDE * 8), binaries(payload, n_bytes)],
+                        ["range", "id", "n_ids", "checkpoints", "payload"])
     return run
 
 

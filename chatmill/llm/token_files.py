@@ -27,16 +27,16 @@ def write_tokens(docs: DataFrame, vocabulary: str, path: str, end_id: int = 0, i
     A null or empty text is the end id alone. Ids are cast to long, of which the
     least stands for a null one, which so comes first. Rows that
     share an id are written in an undefined order. Other columns are not read.
-    Texts are encoded once and are not shuffled; their ids are staged, coded,
-    and dealt by ranges of doc_id that one part file holds in order.
+    Texts are encoded once and are not shuffled; their ids are staged with the
+    counts of each batch, coded, and dealt by ranges of doc_id that one part file holds in order.
     """
     ship(bpe_model.__name__, huffman.__name__)
     spark = docs.sparkSession
     content = vocabulary_file(spark, vocabulary)
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("id"), F.col(text_col).alias("text"))
-    ids, staged_path = staged(rows.mapInArrow(bpe_model.library_encoder(content, end_id, per_process), "id long, ids binary"), "ids")
+    ids, staged_path = staged(rows.mapInArrow(bpe_model.library_encoder(content, end_id, per_process, huffman.packed_counts), "id long, ids binary, counts binary"), "ids")
     # at most one row an id of the vocabulary
-    counts = ids.select("ids").mapInArrow(huffman.counter, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).collect()
+    counts = ids.select("counts").where(F.col("counts").isNotNull()).mapInArrow(huffman.counter, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).collect()
     if any(r["token"] > MAX_ID for r in counts):
         raise ValueError(f"ids above {MAX_ID}")
     table = np.zeros(max((r["token"] for r in counts), default=0) + 1, np.int64)
